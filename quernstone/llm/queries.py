@@ -26,5 +26,11 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op4_bpe": op4_bpe, "op5_sharding": op5_sharding}
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quernstone.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+QUERIES = {"op4_bpe": op4_bpe, "op5_sharding": op5_sharding, "op6_simhash": op6_simhash}
 ORACLES: dict[str, str] = {}
