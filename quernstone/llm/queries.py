@@ -32,5 +32,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = {"op4_bpe": op4_bpe, "op5_sharding": op5_sharding, "op6_simhash": op6_simhash}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quernstone.llm.toxicity import classify_documents
+
+    return classify_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {"op4_bpe": op4_bpe, "op5_sharding": op5_sharding, "op6_simhash": op6_simhash, "op9_toxicity": op9_toxicity}
 ORACLES: dict[str, str] = {}
