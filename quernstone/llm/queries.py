@@ -14,6 +14,12 @@ def vocabulary_file(name: str = "byte_bpe_50k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quernstone.llm.secrets import scan_documents
+
+    return scan_documents(table(spark, sf_dir, "documents")).drop("text_hash", "findings")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quernstone.llm.bpe import encode_documents
 
@@ -38,5 +44,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op4_bpe": op4_bpe, "op5_sharding": op5_sharding, "op6_simhash": op6_simhash, "op9_toxicity": op9_toxicity}
+QUERIES = {"op3_secrets": op3_secrets, "op4_bpe": op4_bpe, "op5_sharding": op5_sharding, "op6_simhash": op6_simhash, "op9_toxicity": op9_toxicity}
 ORACLES: dict[str, str] = {}
