@@ -44,5 +44,13 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op3_secrets": op3_secrets, "op4_bpe": op4_bpe, "op5_sharding": op5_sharding, "op6_simhash": op6_simhash, "op9_toxicity": op9_toxicity}
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from quernstone.llm.ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+QUERIES = {"op3_secrets": op3_secrets, "op4_bpe": op4_bpe, "op5_sharding": op5_sharding, "op6_simhash": op6_simhash, "op9_toxicity": op9_toxicity, "op10_ann": op10_ann}
 ORACLES: dict[str, str] = {}
