@@ -20,6 +20,13 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quernstone.llm.decontaminate import find_leaks
+
+    leaks = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.select("doc_id", "contaminated", "item_id", "share")
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quernstone.llm.secrets import scan_documents
 
@@ -58,5 +65,5 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-QUERIES = {"op1_warc": op1_warc, "op3_secrets": op3_secrets, "op4_bpe": op4_bpe, "op5_sharding": op5_sharding, "op6_simhash": op6_simhash, "op9_toxicity": op9_toxicity, "op10_ann": op10_ann}
+QUERIES = {"op1_warc": op1_warc, "op2_decontamination": op2_decontamination, "op3_secrets": op3_secrets, "op4_bpe": op4_bpe, "op5_sharding": op5_sharding, "op6_simhash": op6_simhash, "op9_toxicity": op9_toxicity, "op10_ann": op10_ann}
 ORACLES: dict[str, str] = {}

@@ -57,16 +57,18 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) with the fingerprint as a signed long; a null text counts as empty."""
-    slim = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    """(doc_id, text_hash, fp), the fingerprint as a signed long; a null text counts as empty."""
+    slim = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = np.array([fingerprint(t.as_py() or b"", shingle) for t in batch.column("text")], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(made.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(made.view(np.int64))], names=["doc_id", "text_hash", "fp"]
+            )
 
     kind = dict(slim.dtypes)["doc_id"]
-    return slim.mapInArrow(run, f"doc_id {kind}, fp long")
+    return slim.mapInArrow(run, f"doc_id {kind}, text_hash long, fp long")
 
 
 def _popcounts(half: Column) -> Column:
@@ -106,7 +108,9 @@ def linked_fingerprints(distinct: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp, fingerprint, component_id) for every row of ``docs``.
+    """(doc_id, text_hash, root, fingerprint, component_id) for every row of ``docs``.
+
+    ``root`` is a fingerprint that stands for the component.
 
     Documents whose fingerprints are linked by a chain of distances of at most 3
     share a component, named by its smallest doc_id. Equal fingerprints meet in
@@ -119,7 +123,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     owners = materialise(owners, "distinct-fingerprints")
     reached = connected_components(linked_fingerprints(owners.select("fp")), "simhash-links")
     names = reached.join(owners, F.col("node") == F.col("fp")).groupBy("component").agg(F.min("first_id").alias("component_id"))
-    moved = reached.join(names, "component").select(F.col("node").alias("fp"), "component_id")
-    of_fp = owners.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
+    moved = reached.join(names, "component").select(F.col("node").alias("fp"), "component", "component_id")
+    of_fp = owners.join(moved, "fp", "left").select(
+        "fp", F.coalesce("component", "fp").alias("root"), F.when(F.col("component").isNotNull(), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id")
+    )
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return base.join(of_fp, "fp").select("doc_id", "fp", text.alias("fingerprint"), "component_id")
+    return base.join(of_fp, "fp").select("doc_id", "text_hash", "root", text.alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """``docs`` with one row of each near-duplicate component: that of the smallest doc_id.
+
+    Ties go to the smaller hash of the text, rows alike in both stay once, a null
+    doc_id is chosen last. Columns stay as they are.
+    """
+    known = near_duplicates(docs, shingle)
+    first = known.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("m"))
+    key = lambda ident, digest: F.concat_ws(":", F.coalesce(ident.cast("string"), F.lit("")), digest.cast("string"))
+    kept = first.select(key(F.col("m.doc_id"), F.col("m.text_hash")).alias("_key")).distinct()
+    keyed = docs.withColumn("_key", key(F.col("doc_id"), F.xxhash64("text")))
+    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quernstone.llm.components import connected_components
 from quernstone.llm.queries import op6_simhash
-from quernstone.llm.simhash import fingerprint, linked_fingerprints, near_duplicates
+from quernstone.llm.simhash import fingerprint, keep_one, linked_fingerprints, near_duplicates
 
 
 def brute_fingerprint(text):
@@ -76,7 +76,10 @@ def test_nulls_ties_and_clashing_columns(spark):
     )
     rows = near_duplicates(df).collect()
     assert len(rows) == 6
-    assert [r.component_id for r in rows if r.fp == 0] == [2] * 4
-    assert [r.component_id for r in rows if r.doc_id is None and r.fp] == [None]
+    assert [r.component_id for r in rows if r.fingerprint == '0' * 16] == [2] * 4
+    assert [r.component_id for r in rows if r.doc_id is None and r.fingerprint != '0' * 16] == [None]
     assert near_duplicates(df.limit(0)).count() == 0
     assert near_duplicates(df.withColumn("component_id", F.lit(1))).count() == 6
+    kept = keep_one(df.withColumn("root", F.lit("x"))).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == [("2", ""), ("9", "quite a different text"), ("None", "some other words here")]
+    assert kept[0].root == "x"
