@@ -271,19 +271,22 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_
     left = once.withColumn("b", every_of(blocks)).withColumn("a", one_of("qkey", ask_blocks))
     right = base.withColumn("a", every_of(ask_blocks)).withColumn("b", one_of("id", blocks))
 
+    hits = pa.list_(pa.struct([("loss", pa.float64()), ("vec_id", pa.int64())]))
+
     def search(ask: pa.Table, file: pa.Table) -> pa.Table:
         if not ask.num_rows or not file.num_rows:
-            rows, ids, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-            keys = ids
-        else:
-            rows, ids, score = nearest_in_block(_matrix(ask.column("vector"), dim), file.column("id").to_numpy(), _matrix(file.column("vector"), dim), k + 1)
-            keys = ask.column("qkey").to_numpy()[rows]
-        return pa.table({"qkey": pa.array(keys, pa.int64()), "vec_id": pa.array(ids, pa.int64()), "score": pa.array(score, pa.float64())})
-
+            return pa.table({"qkey": pa.array([], pa.int64()), "hits": pa.array([], hits)})
+        rows, ids, score = nearest_in_block(_matrix(ask.column("vector"), dim), file.column("id").to_numpy(), _matrix(file.column("vector"), dim), k + 1)
+        first = np.r_[np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]), len(rows)]
+        flat = pa.StructArray.from_arrays([pa.array(-score), pa.array(ids)], names=["loss", "vec_id"])
+        lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), flat)
+        return pa.table({"qkey": pa.array(ask.column("qkey").to_numpy()[rows[first[:-1]]]), "hits": lists})
+
+    # A block gives one row per query, its nearest in a list; the lists of all blocks are merged.
     keys = ["part", "a", "b"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "qkey long, vec_id long, score double")
-    best = Window.partitionBy("qkey").orderBy(F.desc("score"), "vec_id")
-    found = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r")
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "qkey long, hits array<struct<loss: double, vec_id: long>>")
+    merged = found.groupBy("qkey").agg(F.slice(F.array_sort(F.flatten(F.collect_list("hits"))), 1, k + 1).alias("hits"))
+    found = merged.select("qkey", F.inline("hits")).select("qkey", "vec_id", (-F.col("loss")).alias("score"))
     keyed = asked.join(asked.groupBy("vector").agg(F.min("id").alias("qkey")), "vector").select(F.col("id").alias("query_id"), "qkey")
     spread = keyed.join(found, "qkey").where("vec_id <> query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
