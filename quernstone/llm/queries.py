@@ -51,6 +51,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quernstone.llm.repeats import deduplicate
+
+    return deduplicate(table(spark, sf_dir, "documents"), keep_text=False)
+
+
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quernstone.llm.lm_score import score_documents
 
@@ -71,5 +77,5 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-QUERIES = {"op1_warc": op1_warc, "op2_decontamination": op2_decontamination, "op3_secrets": op3_secrets, "op4_bpe": op4_bpe, "op5_sharding": op5_sharding, "op6_simhash": op6_simhash, "op8_lm_score": op8_lm_score, "op9_toxicity": op9_toxicity, "op10_ann": op10_ann}
+QUERIES = {"op1_warc": op1_warc, "op2_decontamination": op2_decontamination, "op3_secrets": op3_secrets, "op4_bpe": op4_bpe, "op5_sharding": op5_sharding, "op6_simhash": op6_simhash, "op7_repeats": op7_repeats, "op8_lm_score": op8_lm_score, "op9_toxicity": op9_toxicity, "op10_ann": op10_ann}
 ORACLES: dict[str, str] = {}
