@@ -1,6 +1,569 @@
-"""The query catalogue: name -> plan, name -> oracle SQL."""
+"""The query catalogue: name -> plan over whole tables, name -> the same in DuckDB SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from quernstone.functions import sentences as S
+from quernstone.functions import text as T
+from quernstone.operators import blocks as B
+from quernstone.operators import chunk as C
+from quernstone.operators import graph as G
+from quernstone.operators import relational as R
+from quernstone.operators import retrieval as V
+from quernstone.session import table
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable:
+    """Register a plan under its function's name, with its oracle where there is one."""
+
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _in(words: str | list[str]) -> str:
+    return "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in sorted(set(words.split() if isinstance(words, str) else words))) + ")"
+
+
+NORMAL = r"""trim(regexp_replace(regexp_replace(regexp_replace({0}, '[\t\n\r\f\x0B\p{{Zs}}\p{{Zl}}\p{{Zp}}]', ' ', 'g'), '[\p{{Cc}}\p{{Cf}}]', '', 'g'), ' +', ' ', 'g'))"""
+LINES = "(SELECT doc_id, lang, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents)"
+
+
+def normal(column: str) -> str:
+    return NORMAL.format(column)
+
+
+def words(column: str) -> str:
+    return f"(CASE WHEN {column} = '' THEN 0 ELSE len(string_split_regex({column}, ' +')) END)::BIGINT"
+
+
+def lines_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+
+
+# Retrieval ------------------------------------------------------------------
+
+
+def _index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    e = table(spark, sf_dir, "embeddings")
+    return e.select(F.col("vec_id").alias("row_id"), F.col("embedding").alias("vec"), "label"), e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("qvec"))
+
+
+def _candidates(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
+    index, asked = _index(spark, sf_dir)
+    labels = index.select("row_id", F.col("label").cast("long").alias("label"))
+    return V.top_k(index, asked, k).join(labels, "row_id")
+
+
+_TOP = """hits AS (SELECT * FROM (SELECT q.vec_id AS query_id, e.vec_id AS row_id, e.label::BIGINT AS label, q.label::BIGINT AS qlabel,
+    list_inner_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS score,
+    row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) DESC, e.vec_id) AS rank
+  FROM embeddings q, embeddings e WHERE q.vec_id % 100 = 0) WHERE rank <= {k})"""
+
+
+@query(f"WITH {_TOP.format(k=10)} SELECT query_id, rank::BIGINT AS rank, row_id, round(score, 6) AS score FROM hits")
+def topk_inner_product(spark, sf_dir):
+    index, asked = _index(spark, sf_dir)
+    return V.top_k(index, asked, 10).select("query_id", F.col("rank").cast("long").alias("rank"), "row_id", F.round("score", 6).alias("score"))
+
+
+@query(
+    f"""WITH {_TOP.format(k=50)}, docs AS (SELECT query_id, label, max(score) AS score, count(*) AS n FROM hits GROUP BY ALL),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, label) AS place FROM docs)
+    SELECT query_id, place, label, round(score, 6) AS score, n FROM placed WHERE place <= 3"""
+)
+def topk_docs_by_best_chunk(spark, sf_dir):
+    best = V.best_documents(_candidates(spark, sf_dir, 50), "label")
+    return best.select("query_id", F.col("place").cast("long").alias("place"), "label", F.round("score", 6).alias("score"), "n")
+
+
+@query(
+    """WITH t AS (SELECT vec_id, list_slice(embedding, 1, 32)::DOUBLE[] AS v FROM embeddings),
+    u AS (SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) AS v FROM t),
+    s AS (SELECT q.vec_id AS query_id, e.vec_id AS row_id, list_inner_product(q.v, e.v) AS score FROM u q, u e WHERE q.vec_id % 100 = 0),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, row_id) AS rank FROM s)
+    SELECT query_id, rank, row_id, round(score, 6) AS score FROM r WHERE rank <= 10"""
+)
+def matryoshka_topk(spark, sf_dir):
+    index, asked = _index(spark, sf_dir)
+    index, asked = index.withColumn("vec", V.truncated(F.col("vec"), 32)), asked.withColumn("qvec", V.truncated(F.col("qvec"), 32))
+    return V.top_k(index, asked, 10).select("query_id", F.col("rank").cast("long").alias("rank"), "row_id", F.round("score", 6).alias("score"))
+
+
+@query("SELECT count(*) AS n, round(min(l), 6) AS least, round(max(l), 6) AS most FROM (SELECT sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS l FROM embeddings)")
+def l2_norm_check(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings").select(V.norm(F.col("embedding")).alias("l"))
+    return e.agg(F.count("*").alias("n"), F.round(F.min("l"), 6).alias("least"), F.round(F.max("l"), 6).alias("most"))
+
+
+@query(f"WITH {_TOP.format(k=50)} SELECT query_id, rank, row_id FROM hits JOIN documents ON row_id = doc_id WHERE lang = 'en'")
+def language_post_filter(spark, sf_dir):
+    known = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_id"), "lang")
+    hits = _candidates(spark, sf_dir, 50).join(known, "row_id")
+    return V.language_filter(hits, "en").select("query_id", F.col("rank").cast("long").alias("rank"), "row_id")
+
+
+def _judged(spark, sf_dir, graded=False):
+    hits = _candidates(spark, sf_dir, 10).select("query_id", "rank", F.col("row_id").alias("item"))
+    e = table(spark, sf_dir, "embeddings")
+    asked = e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "label")
+    gain = (F.col("item") % 5 + 1).cast("double") if graded else F.lit(1.0)
+    return hits, asked.join(e.select(F.col("vec_id").alias("item"), "label"), "label").select("query_id", "item", gain.alias("gain"))
+
+
+_REL = "rel AS (SELECT q.vec_id AS query_id, e.vec_id AS item, (e.vec_id % 5 + 1)::DOUBLE AS gain FROM embeddings q JOIN embeddings e USING (label) WHERE q.vec_id % 100 = 0)"
+_F1 = f"""{_TOP.format(k=10)}, {_REL}, f AS (SELECT n.query_id, CASE WHEN coalesce(h, 0) = 0 THEN 0.0 ELSE 2 * (h / d) * (h / r) / (h / d + h / r) END AS f1 FROM
+    (SELECT query_id, count(*)::DOUBLE AS r FROM rel GROUP BY 1) n
+    LEFT JOIN (SELECT query_id, count(*)::DOUBLE AS d FROM hits WHERE rank <= 3 GROUP BY 1) USING (query_id)
+    LEFT JOIN (SELECT hits.query_id, count(*)::DOUBLE AS h FROM hits JOIN rel ON hits.query_id = rel.query_id AND row_id = item WHERE rank <= 3 GROUP BY 1) USING (query_id))"""
+_NDCG = f"""{_TOP.format(k=10)}, {_REL}, ideal AS (SELECT query_id, sum(gain / log2(r + 1)) AS i FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY gain DESC, item) AS r FROM rel) WHERE r <= 10 GROUP BY 1),
+    got AS (SELECT hits.query_id, sum(gain / log2(rank + 1)) AS g FROM hits JOIN rel ON hits.query_id = rel.query_id AND row_id = item GROUP BY 1),
+    nd AS (SELECT query_id, coalesce(g / i, 0.0) AS ndcg FROM ideal LEFT JOIN got USING (query_id))"""
+
+
+@query(f"WITH {_F1} SELECT query_id, round(f1, 6) AS f1 FROM f")
+def f1_at_k(spark, sf_dir):
+    return V.f1_at_k(*_judged(spark, sf_dir), 3).select("query_id", F.round("f1", 6).alias("f1"))
+
+
+@query(f"WITH {_NDCG} SELECT query_id, round(ndcg, 6) AS ndcg FROM nd")
+def ndcg_at_k(spark, sf_dir):
+    return V.ndcg_at_k(*_judged(spark, sf_dir, graded=True), 10).select("query_id", F.round("ndcg", 6).alias("ndcg"))
+
+
+@query(f"WITH {_F1} SELECT count(*) AS queries, round(avg(f1), 6) AS f1 FROM f")
+def macro_avg(spark, sf_dir):
+    return V.f1_at_k(*_judged(spark, sf_dir), 3).agg(F.count("*").alias("queries"), F.round(F.avg("f1"), 6).alias("f1"))
+
+
+@query("SELECT label::BIGINT AS label, n, round(2.0 * (least(n, 3) / n::DOUBLE) / (1 + least(n, 3) / n::DOUBLE), 6) AS ceiling FROM (SELECT label, count(*) AS n FROM embeddings GROUP BY 1)")
+def f1_ceiling(spark, sf_dir):
+    sizes = table(spark, sf_dir, "embeddings").groupBy(F.col("label").cast("long").alias("label")).agg(F.count("*").alias("n"))
+    return sizes.withColumn("ceiling", F.round(V.f1_ceiling(F.col("n"), 3), 6))
+
+
+# Text scalars ---------------------------------------------------------------
+
+
+@query(f"SELECT doc_id, md5({normal('text')}) AS digest, length({normal('text')})::BIGINT AS n FROM documents")
+def normalise_text(spark, sf_dir):
+    clean = T.normalised(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(clean.cast("binary")).alias("digest"), F.length(clean).cast("long").alias("n"))
+
+
+def _noise(c: str) -> str:
+    return f"({c} = '' OR " + " OR ".join(f"regexp_matches({c}, '(?i){p}')" for p in T.PAGE_NOISE) + ")"
+
+
+@query(f"SELECT doc_id, count(*) AS n_lines, count_if({_noise('clean')})::BIGINT AS n_noise FROM (SELECT doc_id, {normal('line')} AS clean FROM {LINES}) GROUP BY 1")
+def page_noise_lines(spark, sf_dir):
+    return lines_of(spark, sf_dir).groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if(T.is_page_noise(F.col("line"))).alias("n_noise"))
+
+
+def _shape(c: str, patterns: tuple[str, ...]) -> str:
+    return "(" + " OR ".join(f"regexp_matches({c}, '(?i){p}')" for p in patterns) + ")"
+
+
+_SQL_NOT_TEXT = tuple(p.replace(r"^\W+$", r"^[^\p{L}\p{M}\p{N}_]+$") for p in T.NOT_TEXT)
+
+
+@query(f"SELECT doc_id, count_if(regexp_matches(clean, '\\p{{L}}') AND NOT {_shape('clean', _SQL_NOT_TEXT)})::BIGINT AS n_natural FROM (SELECT doc_id, {normal('line')} AS clean FROM {LINES}) GROUP BY 1")
+def natural_text_filter(spark, sf_dir):
+    return lines_of(spark, sf_dir).groupBy("doc_id").agg(F.count_if(T.is_natural(F.col("line"))).alias("n_natural"))
+
+
+@query(f"SELECT page_id, (c = '' OR {_shape('c', T.OPAQUE)}) AS opaque FROM (SELECT page_id, {normal('url')} AS c FROM pages)")
+def opaque_values(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", T.is_opaque(F.col("url")).alias("opaque"))
+
+
+@query("SELECT p_partkey, concat_ws(' | ', 'p_name: ' || p_name, 'p_brand: ' || p_brand, 'p_size: ' || p_size::VARCHAR, 'p_retailprice: ' || p_retailprice::DECIMAL(12, 2)::VARCHAR) AS line FROM part")
+def serialise_row_part(spark, sf_dir):
+    row = T.serialised(("p_name", F.col("p_name")), ("p_brand", F.col("p_brand")), ("p_size", F.col("p_size").cast("string")), ("p_retailprice", F.col("p_retailprice").cast("decimal(12,2)").cast("string")))
+    return table(spark, sf_dir, "part").select("p_partkey", row.alias("line"))
+
+
+@query("SELECT o_orderkey, concat_ws(' | ', 'status: ' || o_orderstatus, 'priority: ' || o_orderpriority, 'date: ' || strftime(o_orderdate, '%Y-%m-%d')) AS line FROM orders")
+def serialise_row_orders(spark, sf_dir):
+    row = T.serialised(("status", F.col("o_orderstatus")), ("priority", F.col("o_orderpriority")), ("date", F.date_format("o_orderdate", "yyyy-MM-dd")))
+    return table(spark, sf_dir, "orders").select("o_orderkey", row.alias("line"))
+
+
+@query(f"SELECT doc_id, w AS words, ceil(w * 1.6::DOUBLE)::BIGINT AS tokens FROM (SELECT doc_id, {words(normal('text'))} AS w FROM documents)")
+def word_token_estimate(spark, sf_dir):
+    n = T.word_count(T.normalised(F.col("text")))
+    return table(spark, sf_dir, "documents").select("doc_id", n.alias("words"), T.estimated_tokens(n).alias("tokens"))
+
+
+@query(f"SELECT doc_id, pos::BIGINT AS pos, doc_id::VARCHAR || '-c' || printf('%04d', pos) AS chunk_id, doc_id::VARCHAR AS of_doc FROM {LINES}")
+def chunk_ids(spark, sf_dir):
+    rows = lines_of(spark, sf_dir).select("doc_id", F.col("pos").cast("long").alias("pos"), T.fragment_id(F.col("doc_id"), F.col("pos")).alias("chunk_id"))
+    return rows.withColumn("of_doc", T.document_of_fragment(F.col("chunk_id")))
+
+
+def _language_sql() -> str:
+    n = lambda k: f"len(list_filter(w, lambda x: list_contains({list_sql(T.FUNCTION_WORDS[k])}, x)))"
+    list_sql = lambda v: "[" + _in(v)[1:-1] + "]"
+    return f"""SELECT doc_id, CASE WHEN length(t) < 20 OR greatest(es, en, pt) = 0 THEN 'es' WHEN es >= en AND es >= pt THEN 'es' WHEN en >= pt THEN 'en' ELSE 'pt' END AS language
+    FROM (SELECT doc_id, t, {n('es')} AS es, {n('en')} AS en, {n('pt')} AS pt FROM (SELECT doc_id, {normal('text')} AS t, regexp_extract_all(lower({normal('text')}), '[\\p{{L}}]+') AS w FROM documents))"""
+
+
+@query(_language_sql())
+def function_word_language(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", T.function_word_language(F.col("text")).alias("language"))
+
+
+@query("SELECT doc_id, strip_accents(text) = text AS plain, md5(strip_accents(text)) AS digest FROM documents")
+def accent_free(spark, sf_dir):
+    bare = T.without_accents(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", (bare == F.col("text")).alias("plain"), F.md5(bare.cast("binary")).alias("digest"))
+
+
+@query("SELECT doc_id, concat_ws(' · ', source, upper(lang)) AS prefix, greatest(1, 450 - ceil(len(string_split(concat_ws(' · ', source, upper(lang)), ' ')) * 1.6::DOUBLE))::BIGINT AS budget FROM documents")
+def context_prefix(spark, sf_dir):
+    prefix = T.context_prefix(F.col("source"), F.upper("lang"), F.array().cast("array<string>"))
+    return table(spark, sf_dir, "documents").select("doc_id", prefix.alias("prefix"), T.token_budget(prefix).alias("budget"))
+
+
+@query(
+    """WITH t AS (SELECT p_partkey, p_partkey % 64 AS x, (p_partkey // 64) % 64 AS y FROM part)
+    SELECT p_partkey, round(x / 64.0::DOUBLE * 360 - 180, 6) AS west, round((x + 1) / 64.0::DOUBLE * 360 - 180, 6) AS east,
+    round(degrees(atan((exp(pi() * (1 - 2 * (y + 1) / 64.0::DOUBLE)) - exp(-pi() * (1 - 2 * (y + 1) / 64.0::DOUBLE))) / 2)), 6) AS south,
+    round(degrees(atan((exp(pi() * (1 - 2 * y / 64.0::DOUBLE)) - exp(-pi() * (1 - 2 * y / 64.0::DOUBLE))) / 2)), 6) AS north FROM t"""
+)
+def tile_bbox(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_partkey", T.tile_bounds(F.lit(6), F.col("p_partkey") % 64, F.expr("p_partkey div 64") % 64).alias("b"))
+    return p.select("p_partkey", "b.west", "b.east", "b.south", "b.north")
+
+
+# Joins, aggregates, ranks ---------------------------------------------------
+
+
+@query("SELECT source, line, n_units FROM (SELECT source, line, count(DISTINCT doc_id) AS n_units FROM " + LINES + " GROUP BY 1, 2) JOIN (SELECT source, count(*) AS units FROM documents GROUP BY 1) USING (source) WHERE units >= 3 AND n_units >= 0.03 * units")
+def repeated_lines(spark, sf_dir):
+    return R.repeated_lines(lines_of(spark, sf_dir), "source", "doc_id", "line", share=0.03)
+
+
+_WORDS = f"(SELECT doc_id, lang, {words(normal('text'))} AS w FROM documents)"
+
+
+def _counted(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", "lang", T.word_count(T.normalised(F.col("text"))).alias("w"))
+
+
+@query(f"SELECT printf('%04d-%04d', w // 25 * 25, w // 25 * 25 + 24) AS bin, count(*) AS n FROM {_WORDS} GROUP BY 1")
+def word_histogram(spark, sf_dir):
+    return R.histogram(_counted(spark, sf_dir), "w")
+
+
+@query(f"SELECT lang, quantile_disc(w, 0.5)::BIGINT AS p50, quantile_disc(w, 0.95)::BIGINT AS p95 FROM {_WORDS} GROUP BY 1")
+def percentiles_nearest_rank(spark, sf_dir):
+    return _counted(spark, sf_dir).groupBy("lang").agg(R.nearest_rank("w", 50).alias("p50"), R.nearest_rank("w", 95).alias("p95"))
+
+
+@query(f"SELECT lang, list_sort(list(w))[greatest(1, least(count(*), round_even(95.0::DOUBLE * count(*) / 100.0 + 0.5, 0)::BIGINT))]::BIGINT AS p95 FROM {_WORDS} GROUP BY 1")
+def percentiles_half_even(spark, sf_dir):
+    return R.half_even_rank(_counted(spark, sf_dir), ["lang"], "w", 95, "p95")
+
+
+@query(f"SELECT count(*) AS n, sum(w)::BIGINT AS words, count_if(w < 40)::BIGINT AS short, count_if(w > 240)::BIGINT AS long, quantile_disc(w, 0.5)::BIGINT AS p50, max(w) AS most FROM {_WORDS}")
+def chunk_report(spark, sf_dir):
+    return _counted(spark, sf_dir).agg(F.count("*").alias("n"), F.sum("w").alias("words"), F.count_if(F.col("w") < 40).alias("short"), F.count_if(F.col("w") > 240).alias("long"), R.nearest_rank("w", 50).alias("p50"), F.max("w").alias("most"))
+
+
+def _split(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "source"), table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return R.split_by_index(docs, labels, "doc_id")
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
+def index_listed(spark, sf_dir):
+    return _split(spark, sf_dir)[0]
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def index_outside(spark, sf_dir):
+    return _split(spark, sf_dir)[1]
+
+
+@query("SELECT c_custkey, c_name FROM customer ANTI JOIN orders ON c_custkey = o_custkey")
+def index_orphans(spark, sf_dir):
+    files = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return R.split_by_index(files, table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey")[2]
+
+
+@query("SELECT lang, count(*) AS n FROM documents ANTI JOIN labels USING (doc_id) GROUP BY 1")
+def coverage_gaps(spark, sf_dir):
+    return R.counts(table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_anti"), "lang")
+
+
+@query("SELECT doc_id, source, n_chars FROM documents WHERE doc_id % 7 <> 0 UNION ALL SELECT doc_id, 'new', 0 FROM documents WHERE doc_id % 7 = 0")
+def manifest_upsert(spark, sf_dir):
+    known = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    changed = known.where("doc_id % 7 = 0").select("doc_id", F.lit("new").alias("source"), F.lit(0).cast("long").alias("n_chars"))
+    return R.upsert(known, changed, "doc_id")
+
+
+@query("SELECT name, count(*) AS n_paths FROM (SELECT DISTINCT regexp_extract(url, '([^/]+)$', 1) AS name, url FROM pages) GROUP BY 1 HAVING count(*) > 1")
+def ambiguous_names(spark, sf_dir):
+    return R.ambiguous(table(spark, sf_dir, "pages"), F.regexp_extract("url", "([^/]+)$", 1), "url").select("name", "n_paths")
+
+
+@query("SELECT md5(text) AS digest, count(*) AS n, min(doc_id) AS first_id FROM documents GROUP BY text HAVING count(*) > 1")
+def duplicate_texts(spark, sf_dir):
+    return table(spark, sf_dir, "documents").groupBy(F.md5(F.col("text").cast("binary")).alias("digest")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id")).where("n > 1")
+
+
+@query("SELECT doc_id, md5(text) AS code FROM documents")
+def encode_once_reuse(spark, sf_dir):
+    """Each distinct text is encoded once and the code joined back (here a digest stands for the encoder)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.xxhash64("text").alias("h"))
+    codes = docs.select("h", "text").distinct().select("h", F.col("text").alias("t"), F.md5(F.col("text").cast("binary")).alias("code"))
+    return docs.join(codes, (docs["h"] == codes["h"]) & (docs["text"] == codes["t"])).select("doc_id", "code")
+
+
+@query("SELECT conv_id, min(turn) AS turn, count(*) AS n FROM conversations GROUP BY conv_id, lower(trim(regexp_replace(text, '\\s+', ' ', 'g')))")
+def dedup_in_document(spark, sf_dir):
+    chats = table(spark, sf_dir, "conversations")
+    first = V.distinct_texts(chats, ["conv_id"], "text", ["turn"]).select("conv_id", "turn", F.lower(F.trim(F.regexp_replace("text", r"\s+", " "))).alias("k"))
+    n = chats.groupBy("conv_id", F.lower(F.trim(F.regexp_replace("text", r"\s+", " "))).alias("k")).agg(F.count("*").alias("n"))
+    return first.join(n, ["conv_id", "k"]).select("conv_id", "turn", "n")
+
+
+@query("SELECT user_id, least(count(*), 5) AS kept, greatest(count(*) - 5, 0) AS over FROM events GROUP BY 1")
+def row_cap_overflow(spark, sf_dir):
+    return R.capped(table(spark, sf_dir, "events"), ["user_id"], ["event_id"], 5)
+
+
+@query("SELECT event_type, user_id, event_id FROM events QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY event_id) <= 2")
+def first_rows(spark, sf_dir):
+    return R.first_rows(table(spark, sf_dir, "events").select("event_type", "user_id", "event_id"), ["event_type", "user_id"], ["event_id"], 2)
+
+
+@query(f"SELECT target, n, cast(ceil(w / target) AS BIGINT) AS packs FROM (SELECT count(*) AS n, sum(w)::DOUBLE AS w FROM {_WORDS}), (SELECT unnest([120, 190, 240])::BIGINT AS target)")
+def param_sweep(spark, sf_dir):
+    total = _counted(spark, sf_dir).agg(F.count("*").alias("n"), F.sum("w").alias("w"))
+    each = total.select("n", "w", F.explode(F.array(*(F.lit(t).cast("long") for t in (120, 190, 240)))).alias("target"))
+    return each.select("target", "n", F.ceil(F.col("w") / F.col("target")).alias("packs"))
+
+
+@query("SELECT doc_id, list_filter([CASE WHEN text = '' THEN 'empty text' END, CASE WHEN n_chars <> length(text) THEN 'length differs' END, CASE WHEN lang NOT IN ('en', 'es', 'pt') THEN 'language outside the contract' END], lambda x: x IS NOT NULL) AS violations FROM documents WHERE violations <> []")
+def contract_violations(spark, sf_dir):
+    checks = {"empty text": F.col("text") == "", "length differs": F.col("n_chars") != F.length("text"), "language outside the contract": ~F.col("lang").isin("en", "es", "pt")}
+    found = F.filter(F.array(*(F.when(c, F.lit(m)) for m, c in checks.items())), lambda m: m.isNotNull())
+    return table(spark, sf_dir, "documents").select("doc_id", found.alias("violations")).where(F.size("violations") > 0)
+
+
+# Structure ------------------------------------------------------------------
+
+_LEVEL = "CASE WHEN turn % 4 = 3 THEN NULL ELSE turn % 4 + 1 END"
+
+
+@query(
+    f"""WITH b AS (SELECT conv_id, turn, {_LEVEL} AS level, role || turn AS t FROM conversations),
+    h AS (SELECT conv_id, turn, level, {', '.join(f"last_value(CASE WHEN level = {n} THEN turn END IGNORE NULLS) OVER w AS p{n}, last_value(CASE WHEN level = {n} THEN t END IGNORE NULLS) OVER w AS t{n}" for n in (1, 2, 3))}
+      FROM b WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+    SELECT conv_id, turn, array_to_string(list_filter([CASE WHEN level IS NULL OR level > 1 THEN t1 END, CASE WHEN p2 > coalesce(p1, -1) AND (level IS NULL OR level > 2) THEN t2 END,
+      CASE WHEN p3 > greatest(coalesce(p1, -1), coalesce(p2, -1)) AND (level IS NULL OR level > 3) THEN t3 END], lambda x: x IS NOT NULL), ' > ') AS path FROM h"""
+)
+def heading_path(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.expr(_LEVEL).alias("level"), F.concat("role", F.col("turn").cast("string")).alias("t"))
+    return B.heading_paths(rows, "conv_id", "turn", "level", "t").select("conv_id", "turn", F.array_join("path", " > ").alias("path"))
+
+
+_STEPS = "(SELECT *, lag(sec) OVER w AS before FROM (SELECT user_id, event_id, epoch(ts)::BIGINT AS sec FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY sec, event_id))"
+
+
+@query(f"SELECT user_id, event_id, (sum(CASE WHEN sec - before > 1.5 * 3600 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY sec, event_id))::BIGINT AS paragraph FROM {_STEPS}")
+def paragraph_breaks(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", F.unix_timestamp("ts").alias("sec"))
+    return B.paragraph_numbers(e, "user_id", "sec", None, F.lit(3600), ["sec", "event_id"]).select("user_id", "event_id", "paragraph")
+
+
+@query("SELECT p_brand, p_size::BIGINT AS leading FROM (SELECT p_brand, p_size, row_number() OVER (PARTITION BY p_brand ORDER BY count(*) DESC, p_size) AS r FROM part GROUP BY 1, 2) WHERE r = 1")
+def modal_leading(spark, sf_dir):
+    return B.modal(table(spark, sf_dir, "part"), ["p_brand"], "p_size", "leading").select("p_brand", F.col("leading").cast("long").alias("leading"))
+
+
+@query("SELECT p_size::BIGINT AS size, least(dense_rank() OVER (ORDER BY p_size DESC), 6)::BIGINT AS level FROM (SELECT DISTINCT p_size FROM part WHERE p_size > 1.15 * 30)")
+def title_levels(spark, sf_dir):
+    found = B.title_levels(table(spark, sf_dir, "part").select(F.col("p_size").cast("long").alias("size")), 30.0)
+    return found.select("size", F.col("level").cast("long").alias("level"))
+
+
+@query(
+    """WITH g AS (SELECT p_brand, b + 1 AS start, nxt - b - 1 AS width FROM (SELECT p_brand, b, lead(b) OVER (PARTITION BY p_brand ORDER BY b) AS nxt FROM (SELECT DISTINCT p_brand, p_partkey % 200 AS b FROM part)) WHERE nxt > b + 1)
+    SELECT p_brand, start, width FROM g QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY width DESC, start) = 1"""
+)
+def gutter_gap(spark, sf_dir):
+    return B.widest_gap(table(spark, sf_dir, "part").select("p_brand", (F.col("p_partkey") % 200).alias("b")), ["p_brand"], "b")
+
+
+@query("SELECT event_id, k.key AS path, json_extract_string(props, '$.\"' || k.key || '\"') AS leaf FROM (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events) k")
+def json_generic_leaves(spark, sf_dir):
+    leaves = F.from_json("props", "map<string,string>")
+    return table(spark, sf_dir, "events").select("event_id", F.explode(leaves).alias("path", "leaf"))
+
+
+_PIECES = f"""p AS (SELECT doc_id, string_split(regexp_replace({normal('text')}, '([.!?…])\\s+', '\\1' || chr(1), 'g'), chr(1)) AS s FROM documents)"""
+
+
+@query(f"WITH {_PIECES} SELECT doc_id, len(list_filter(s, lambda x: x <> ''))::BIGINT AS n, md5(array_to_string(list_filter(s, lambda x: x <> ''), '|')) AS digest FROM p")
+def sentence_split(spark, sf_dir):
+    cut = S.pieces(T.normalised(F.col("text")))
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(cut).cast("long").alias("n"), F.md5(F.array_join(cut, "|").cast("binary")).alias("digest"))
+
+
+@query()
+def sentences(spark, sf_dir):
+    clean = T.normalised(F.col("text"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", clean.alias("t"), S.sentences(clean, "en").alias("s"))
+    return rows.select("doc_id", F.size("s").cast("long").alias("n"), (F.array_join("s", " ") == F.col("t")).alias("lossless"))
+
+
+_PACK = f"""l AS (SELECT doc_id, pos + 1 AS i, {words(normal('line'))} AS w FROM {LINES}),
+    g AS (SELECT doc_id, i, w AS words, 0 AS grp FROM l WHERE i = 1
+      UNION ALL SELECT l.doc_id, l.i, CASE WHEN g.words + l.w > 240 OR g.words >= 190 THEN l.w ELSE g.words + l.w END, g.grp + (g.words + l.w > 240 OR g.words >= 190)::INT FROM g JOIN l ON l.doc_id = g.doc_id AND l.i = g.i + 1)"""
+
+
+def _packed(spark, sf_dir):
+    lines = F.transform(F.split("text", "\n"), lambda x: T.normalised(x))
+    sized = table(spark, sf_dir, "documents").select("doc_id", F.transform(lines, T.word_count).alias("w"))
+    return sized.select("doc_id", "w", C.pack_words(F.col("w")).alias("g")).select("doc_id", F.posexplode(F.arrays_zip("w", "g")).alias("i", "x")).select("doc_id", "i", "x.w", "x.g")
+
+
+@query(f"WITH RECURSIVE {_PACK} SELECT doc_id, grp::BIGINT AS grp, count(*) AS n, max(words)::BIGINT AS words FROM g GROUP BY 1, 2")
+def greedy_pack(spark, sf_dir):
+    return _packed(spark, sf_dir).groupBy("doc_id", F.col("g").cast("long").alias("grp")).agg(F.count("*").alias("n"), F.sum("w").alias("words"))
+
+
+@query(f"WITH RECURSIVE {_PACK}, a AS (SELECT doc_id, grp, max(words) AS w, arg_max(g2, i) AS lastw FROM (SELECT g.*, l.w AS g2 FROM g JOIN l USING (doc_id, i)) GROUP BY 1, 2) SELECT doc_id, grp::BIGINT AS grp, coalesce(lag(lastw) OVER (PARTITION BY doc_id ORDER BY grp) + w <= 240, false) AS overlaps FROM a")
+def overlap_prev_sentence(spark, sf_dir):
+    groups = _packed(spark, sf_dir).groupBy("doc_id", "g").agg(F.sum("w").alias("w"), F.max_by("w", "i").alias("last"))
+    fits = F.lag("last").over(Window.partitionBy("doc_id").orderBy("g")) + F.col("w") <= 240
+    return groups.select("doc_id", F.col("g").cast("long").alias("grp"), F.coalesce(fits, F.lit(False)).alias("overlaps"))
+
+
+@query(
+    f"""WITH RECURSIVE l AS (SELECT doc_id, pos + 1 AS i, {words(normal('line'))} AS w FROM {LINES}),
+    g AS (SELECT doc_id, i, w, 0 AS grp, (w >= 40 OR w >= 190) AS done, CASE WHEN w >= 40 THEN 0 ELSE w END AS acc FROM l WHERE i = 1
+      UNION ALL SELECT l.doc_id, l.i, l.w, g.grp + (g.done OR l.w >= 40)::INT, l.w >= 40 OR (CASE WHEN g.done THEN l.w ELSE g.acc + 1 + l.w END) >= 190,
+        CASE WHEN g.done THEN l.w ELSE g.acc + 1 + l.w END FROM g JOIN l ON l.doc_id = g.doc_id AND l.i = g.i + 1)
+    SELECT doc_id, grp::BIGINT AS grp, count(*) AS n FROM g GROUP BY 1, 2"""
+)
+def atomic_row_grouping(spark, sf_dir):
+    sizes = F.transform(F.split("text", "\n"), lambda x: T.word_count(T.normalised(x)))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(C.accumulate_records(sizes)).alias("grp"))
+    return rows.groupBy("doc_id", F.col("grp").cast("long").alias("grp")).agg(F.count("*").alias("n"))
+
+
+def _documents(spark, sf_dir):
+    block = lambda x: F.struct(x.alias("text"), F.lit("paragraph").alias("kind"), F.lit(None).cast("int").alias("level"), F.array().cast("array<string>").alias("path"), F.lit(None).cast("int").alias("page"), F.lit(False).alias("atomic"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.transform(F.split("text", "\n"), block).alias("blocks"), F.col("source").alias("observatory"), F.lit(None).cast("string").alias("title"))
+
+
+@query()
+def fragments(spark, sf_dir):
+    return C.fragment_documents(_documents(spark, sf_dir), language="en")
+
+
+@query()
+def fragment_checks(spark, sf_dir):
+    return C.fragment_violations(C.fragment_documents(_documents(spark, sf_dir), language="en"))
+
+
+# Graph ----------------------------------------------------------------------
+
+#: A small dictionary of frequent tokens stands in for a corpus's own.
+DICTIONARY = G.Dictionary(sensitive={w: (w.lower(), "TEMA") for w in ("The", "To", "Of", "In", "Der", "La", "De", "Und")}, stopwords=frozenset("the of to and".split()))
+
+
+@query("SELECT doc_id, len(a)::BIGINT AS n, array_to_string(a, ',') AS found FROM (SELECT doc_id, list_filter(regexp_extract_all(text, '[\\p{L}\\p{M}\\p{N}_]+'), lambda t: regexp_full_match(t, '[A-ZÁÉÍÓÚÑ]{2,6}[0-9]{0,2}') AND length(t) >= 3) AS a FROM documents)")
+def acronyms(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", G.acronyms(F.col("text")).alias("a")).select("doc_id", F.size("a").cast("long").alias("n"), F.array_join("a", ",").alias("found"))
+
+
+@query()
+def entities(spark, sf_dir):
+    return G.recognise(table(spark, sf_dir, "documents"), DICTIONARY).drop("between")
+
+
+def _plain_entities(spark, sf_dir):
+    chats = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("pos"), F.col("role").alias("name"), F.lit(0).alias("sentence"))
+    text = F.lit("").alias("t")
+    return chats.select("*", F.array(*[text] * 3).alias("between"), F.lit("TEMA").alias("kind"), F.lit("dictionary").alias("origin"))
+
+
+@query("SELECT a.conv_id AS doc_id, a.n::BIGINT AS pos, (b.n - a.n)::BIGINT AS jump, a.role AS a, b.role AS b FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS n FROM conversations) a JOIN (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS n FROM conversations) b ON a.conv_id = b.conv_id AND b.n BETWEEN a.n + 1 AND a.n + 3")
+def entity_pairs_band_join(spark, sf_dir):
+    order = F.row_number().over(Window.partitionBy("doc_id").orderBy("pos")) - 1
+    found = G.entity_pairs(_plain_entities(spark, sf_dir).withColumn("pos", order))
+    return found.select("doc_id", F.col("pos").cast("long").alias("pos"), F.col("jump").cast("long").alias("jump"), "a", "b")
+
+
+def _relation_sql(column: str) -> str:
+    plain = f"lower(strip_accents({column}))"
+    return "CASE " + " ".join(f"WHEN regexp_matches({plain}, '(^|[^\\p{{L}}\\p{{M}}\\p{{N}}_])({s.replace(' ', '|').replace('_', ' ')})') THEN '{r}'" for r, s in G.RELATIONS.items()) + f" ELSE '{G.NO_RELATION}' END"
+
+
+@query(f"SELECT doc_id, {_relation_sql('text')} AS relation FROM documents")
+def relation_case(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", G.relation_of(F.col("text")).alias("relation"))
+
+
+_EDGES = "e AS (SELECT lang AS a, CASE WHEN quality = 1 THEN 'firma' ELSE 'regula' END AS relation, source AS b, count(*) AS weight FROM documents JOIN labels USING (doc_id) GROUP BY ALL)"
+
+
+def _edges(spark, sf_dir, where="true"):
+    rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id").where(where)
+    return G.edges(rows.select("doc_id", F.col("lang").alias("a"), F.when(F.col("quality") == 1, "firma").otherwise("regula").alias("relation"), F.col("source").alias("b")))
+
+
+@query(f"WITH {_EDGES} SELECT * FROM e")
+def graph_edges(spark, sf_dir):
+    return _edges(spark, sf_dir)
+
+
+_NODES = "n AS (SELECT lower(role) AS node, arg_min(role, conv_id * 100000 + turn) AS name, count(*) AS mentions, count(DISTINCT conv_id) AS n_docs FROM conversations GROUP BY 1)"
+
+
+@query(f"WITH {_NODES} SELECT * FROM n")
+def graph_nodes(spark, sf_dir):
+    return G.nodes(_plain_entities(spark, sf_dir)).drop("kind")
+
+
+@query(f"WITH {_EDGES}, n AS (SELECT lang AS node, count(*) AS mentions FROM documents GROUP BY 1 UNION ALL SELECT source, count(*) FROM documents GROUP BY 1), k AS (SELECT node FROM n WHERE mentions >= 40) SELECT a, relation, b, weight FROM e WHERE weight >= 2 AND a IN (SELECT node FROM k) AND b IN (SELECT node FROM k)")
+def prune_semi(spark, sf_dir):
+    return G.pruned(_name_nodes(spark, sf_dir), _edges(spark, sf_dir), 40, 2)[1]
+
+
+def _name_nodes(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    both = docs.select(F.col("lang").alias("node")).union(docs.select("source"))
+    return both.groupBy("node").agg(F.count("*").alias("mentions"), F.lit("NOMBRE").alias("kind"))
+
+
+@query(f"WITH {_EDGES}, w AS (SELECT * FROM e WHERE weight >= 5) SELECT node, mentions FROM (SELECT source AS node, count(*) AS mentions FROM documents GROUP BY 1 UNION ALL SELECT lang, count(*) FROM documents GROUP BY 1) WHERE node NOT IN (SELECT a FROM w UNION SELECT b FROM w)")
+def isolated_anti(spark, sf_dir):
+    return G.isolated(_name_nodes(spark, sf_dir), _edges(spark, sf_dir).where("weight >= 5")).select("node", "mentions")
+
+
+@query(f"WITH {_EDGES} SELECT * FROM e")
+def partial_merge_equals_direct(spark, sf_dir):
+    return G.merged(*(_edges(spark, sf_dir, f"doc_id % 3 = {k}") for k in range(3)))
+
+
+@query()
+def entity_triples(spark, sf_dir):
+    return G.triples(G.recognise(table(spark, sf_dir, "documents"), DICTIONARY))
