@@ -36,7 +36,7 @@ from quernstone.session import materialise
 #: Fixed value: the length of a string that counts as repeated.
 LENGTH = 50
 #: k-mer length, bytes scanned at once, bytes of contexts sorted at once.
-KMER, BLOCK, CHUNK = 16, 8 << 20, 1 << 20
+KMER, BLOCK, CHUNK = 16, 2 << 20, 1 << 20
 #: Where null ids stand: above all others.
 LAST = (1 << 63) - 1
 
