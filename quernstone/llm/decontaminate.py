@@ -124,6 +124,16 @@ class Batch:
     word: np.ndarray
     first: np.ndarray
 
+    @classmethod
+    def each(cls, batch: pa.RecordBatch, words: int = 1 << 16) -> Iterator[tuple[int, int, Batch]]:
+        """(first row, end, batch): runs of rows of about ``words`` words, long rows alone."""
+        ends, a = np.asarray(batch.column("at").offsets)[1:].astype(np.int64), 0
+        while a < batch.num_rows:
+            base = ends[a - 1] if a else np.int64(batch.column("at").offsets[0].as_py())
+            z = max(a + 1, int(np.searchsorted(ends, base + words, side="right")))
+            yield a, z, cls.of(batch.slice(a, z - a))
+            a = z
+
     @classmethod
     def of(cls, batch: pa.RecordBatch) -> Batch:
         at, word = batch.column("at"), batch.column("word")
@@ -180,8 +190,8 @@ def _project(passage: np.ndarray, f: np.ndarray, w: np.ndarray, onto: np.ndarray
     start = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
     out = np.empty((len(start), onto.shape[1]), onto.dtype)
     ends = np.r_[start[1:], len(passage)]
-    for a in range(0, len(start), 4096):
-        z = min(a + 4096, len(start))
+    for a in range(0, len(start), 512):
+        z = min(a + 512, len(start))
         lo, hi = start[a], ends[z - 1]
         out[a:z] = np.add.reduceat(onto[f[lo:hi]] * w[lo:hi, None], start[a:z] - lo, axis=0)
     return out
@@ -191,8 +201,8 @@ def _back(passage: np.ndarray, f: np.ndarray, w: np.ndarray, y: np.ndarray, n: i
     """The transposed passage matrix times ``y``."""
     out = np.zeros((n, y.shape[1]))
     order = np.argsort(f, kind="stable")
-    for a in range(0, len(order), 1 << 16):
-        o = order[a : a + (1 << 16)]
+    for a in range(0, len(order), 1 << 13):
+        o = order[a : a + (1 << 13)]
         start = np.flatnonzero(np.r_[True, f[o][1:] != f[o][:-1]])
         out[f[o][start]] += np.add.reduceat(y[passage[o]] * w[o, None], start, axis=0)
     return out
@@ -205,7 +215,8 @@ def _summed(table: DataFrame, shape: tuple[int, int], part: Callable[[Batch], np
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(shape)
         for batch in batches:
-            total += part(Batch.of(batch))
+            for _, _, b in Batch.each(batch):
+                total += part(b)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["m"])
 
     def add(rows: pa.Table) -> pa.Table:
@@ -319,34 +330,37 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, config: Config = Config())
         space, items = held.value
         words = [w.tolist() for w in items.words]
         for batch in batches:
-            b = Batch.of(batch)
-            row, place, passage, f, w = space.windows(b)
-            met: dict[tuple[int, int], list[int]] = {}
-            if len(row):
-                z = _project(passage, f, w, space.basis)
-                z /= np.sqrt(np.bincount(passage, w.astype(np.float64) ** 2))[:, None].astype(np.float32)
-                for a in range(0, len(z), 2048):
-                    p, i = np.nonzero(z[a : a + 2048] @ space.item_latent.T >= space.config.cosine)
-                    for r, s, item in zip(row[a + p].tolist(), place[a + p].tolist(), space.item_of[i].tolist(), strict=True):
-                        met.setdefault((r, item), []).append(s)
-            n = batch.num_rows
-            bad, best, share, count = np.zeros(n, bool), np.full(n, -1), np.zeros(n), np.zeros(n, np.int32)
-            for (r, item), places in sorted(met.items()):
-                count[r] += 1
-                own = slice(b.first[r], b.first[r + 1])
-                at, word = b.at[own], b.word[own]
-                reach = len(words[item])
-                for s in sorted(set(places)):
-                    lo, hi = np.searchsorted(at, (s - reach, s + space.config.window + reach))
-                    got, leak = judge(words[item], word[lo:hi].tolist(), space.config)
-                    bad[r] |= leak
-                    if got > share[r]:
-                        share[r], best[r] = got, item
-            names = np.array(items.ids)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array(bad), pa.array(names[np.maximum(best, 0)].astype(np.int64), mask=best < 0), pa.array(share), pa.array(count)],
-                names=["doc_id", "text_hash", "contaminated", "item_id", "share", "n_candidates"],
-            )
+            for first, end, b in Batch.each(batch):
+                yield judged(space, items, words, batch.slice(first, end - first), b)
+
+    def judged(space: Space, items: Items, words: list[list[int]], batch: pa.RecordBatch, b: Batch) -> pa.RecordBatch:
+        row, place, passage, f, w = space.windows(b)
+        met: dict[tuple[int, int], list[int]] = {}
+        if len(row):
+            z = _project(passage, f, w, space.basis)
+            z /= np.sqrt(np.bincount(passage, w.astype(np.float64) ** 2))[:, None].astype(np.float32)
+            for a in range(0, len(z), 2048):
+                p, i = np.nonzero(z[a : a + 2048] @ space.item_latent.T >= space.config.cosine)
+                for r, s, item in zip(row[a + p].tolist(), place[a + p].tolist(), space.item_of[i].tolist(), strict=True):
+                    met.setdefault((r, item), []).append(s)
+        n = batch.num_rows
+        bad, best, share, count = np.zeros(n, bool), np.full(n, -1), np.zeros(n), np.zeros(n, np.int32)
+        for (r, item), places in sorted(met.items()):
+            count[r] += 1
+            own = slice(b.first[r], b.first[r + 1])
+            at, word = b.at[own], b.word[own]
+            reach = len(words[item])
+            for s in sorted(set(places)):
+                lo, hi = np.searchsorted(at, (s - reach, s + space.config.window + reach))
+                got, leak = judge(words[item], word[lo:hi].tolist(), space.config)
+                bad[r] |= leak
+                if got > share[r]:
+                    share[r], best[r] = got, item
+        names = np.array(items.ids)
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array(bad), pa.array(names[np.maximum(best, 0)].astype(np.int64), mask=best < 0), pa.array(share), pa.array(count)],
+            names=["doc_id", "text_hash", "contaminated", "item_id", "share", "n_candidates"],
+        )
 
     return table.mapInArrow(run, schema)
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _UNBASE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 #: Bytes taken at once; one text may be longer.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 
 _CLASS = np.zeros(256, dtype=np.uint8)
 for _b in range(256):
