@@ -12,9 +12,10 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import sys
+from array import array
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -24,7 +25,7 @@ from pyspark.sql.types import StructType
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-#: Pre-tokens whose ids a codec remembers, and the longest it remembers (bytes).
+#: Pre-tokens whose ids each of two generations remembers, and the longest (characters).
 CACHE_WORDS, CACHE_LONGEST = 1 << 17, 64
 
 
@@ -55,6 +56,7 @@ class Codec:
         self.added_cut = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if self.added else None
         self.pre_tokens = regex.compile(PATTERN).findall
         self.cache: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
 
     @classmethod
     def from_file(cls, path: str) -> Codec:
@@ -94,10 +96,13 @@ class Codec:
         for word in self.pre_tokens(text):
             ids = cache.get(word)
             if ids is None:
-                ids = self.merge(data := word.encode("utf-8", "surrogatepass"))
-                if len(data) <= CACHE_LONGEST:
-                    if len(cache) >= CACHE_WORDS:
-                        cache.clear()
+                ids = self.older.get(word)
+                if ids is None:
+                    ids = self.merge(word.encode("utf-8", "surrogatepass"))
+                if len(word) <= CACHE_LONGEST:
+                    if len(cache) >= CACHE_WORDS:  # words met since then are kept, others forgotten
+                        self.older, self.cache = cache, {}
+                        cache = self.cache
                     cache[word] = ids
             out += ids
 
@@ -116,6 +121,14 @@ class Codec:
         return b"".join(map(self.vocabulary.__getitem__, ids)).decode("utf-8", "replace")
 
 
+def little_endian(ids: list[int]) -> bytes:
+    """The ids as unsigned 32-bit words."""
+    words = array("I", ids)
+    if sys.byteorder != "little":
+        words.byteswap()
+    return words.tobytes()
+
+
 _codecs: dict[str, Codec] = {}
 
 
@@ -153,7 +166,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, digests_only: bool = Fals
                 ids = own.encode(text.as_py() or "")
                 decoded = own.decode(ids)
                 made["n_tokens"].append(len(ids))
-                made["ids_sha256"].append(hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest())
+                made["ids_sha256"].append(hashlib.sha256(little_endian(ids)).hexdigest())
                 made["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
                 if not digests_only:
                     made["token_ids"].append(ids)
