@@ -27,7 +27,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quernstone.llm.tokens import byte_blocks, mix
@@ -216,20 +217,21 @@ def repeated_anchors(known: DataFrame, length: int = LENGTH) -> DataFrame:
     return rows.mapInArrow(pick, "doc long, hash long").groupBy("doc").agg(F.collect_set("hash").alias("hashes"))
 
 
-CONTEXT = "deal long, hash long, doc long, text_hash long, at int, upto int, context binary"
+CONTEXT = "deal long, hash long, doc long, text_hash long, at array<int>, upto array<int>, context binary"
 
 
 def _batch(columns: list, schema: str) -> pa.RecordBatch:
     names = [c.split()[0] for c in schema.split(", ")]
-    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}
     return pa.RecordBatch.from_arrays([pa.array(x, kinds[c.split()[1]]) for x, c in zip(columns, schema.split(", "), strict=True)], names=names)
 
 
 def anchor_contexts(marked: DataFrame, length: int = LENGTH) -> DataFrame:
     """Contexts of the repeated anchors of (doc, text_hash, data, hashes).
 
-    Of equal contexts in a block those of the smallest document keep their bytes;
-    the rest are repeats for certain and carry their span alone (context null).
+    Equal contexts of a block give one row for the smallest document, with all
+    their places; in larger documents they are repeats for certain, so each such
+    document gets one row of merged spans (context null).
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,27 +246,27 @@ def anchor_contexts(marked: DataFrame, length: int = LENGTH) -> DataFrame:
                 keep = np.isin(found, own)
                 found, text, start, end = found[keep], text[keep], start[keep], end[keep]
                 whole = data.tobytes()
-                first: dict[tuple[int, bytes], list] = {}
-                columns: list[list] = [[] for _ in range(7)]
-
-                def put(*values, columns=columns) -> None:
-                    for c, v in zip(columns, values, strict=True):
-                        c.append(v)
-
-                doc, digest, base = ids[row + text].tolist(), digests[row + text].tolist(), offsets[text].tolist()
-                order = np.lexsort((start, ids[row + text])).tolist()
-                hashes, start, end = found.view(np.int64).tolist(), start.tolist(), end.tolist()
-                for i in order:
-                    context = whole[start[i] : end[i]]
-                    d = doc[i]
-                    lowest = first.setdefault((hashes[i], context), d)
-                    at, upto = start[i] - base[i], end[i] - base[i]
-                    if d == lowest:
-                        put(hashes[i], hashes[i], d, digest[i], at, upto, context)
+                held: dict[tuple[int, bytes, int], list[int]] = {}
+                lowest: dict[tuple[int, bytes], int] = {}
+                spans: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
+                doc, digest, base = ids[row + text], digests[row + text], offsets[text]
+                order = np.lexsort((start, digest, doc))
+                columns = (found.view(np.int64), doc, digest, start, end, base)
+                for value, d, th, s, e, o in zip(*(c[order].tolist() for c in columns), strict=True):
+                    context = whole[s:e]
+                    if lowest.setdefault((value, context), d) == d:
+                        held.setdefault((value, context, th), []).append(s - o)
+                        continue
+                    at, upto = spans.setdefault((d, th), ([], []))
+                    if upto and s - o <= upto[-1]:
+                        upto[-1] = max(upto[-1], e - o)
                     else:
-                        put(hash((d, at)), hashes[i], d, digest[i], at, upto, None)
-                if columns[0]:
-                    yield _batch(columns, CONTEXT)
+                        at.append(s - o)
+                        upto.append(e - o)
+                rows = [(v, v, lowest[v, c], th, at, [], c) for (v, c, th), at in held.items()]
+                rows += [(hash(k), 0, *k, at, upto, None) for k, (at, upto) in spans.items()]
+                if rows:
+                    yield _batch(list(zip(*rows, strict=True)), CONTEXT)
 
     return marked.select("doc", "text_hash", "data", "hashes").mapInArrow(cut, CONTEXT)
 
@@ -279,7 +281,7 @@ def repeated_spans(contexts: DataFrame, length: int = LENGTH) -> DataFrame:
         """All rows of some anchors: spans to remove."""
         place: dict[tuple[int, bytes], int] = {}
         least: list[int] = []
-        for value, doc, _, _, _, context in rows:
+        for value, doc, _, _, context in rows:
             k = place.setdefault((value, context), len(least))
             if k == len(least):
                 least.append(doc)
@@ -295,11 +297,13 @@ def repeated_spans(contexts: DataFrame, length: int = LENGTH) -> DataFrame:
             found = repeated_parts([c for c, _ in mixed], np.array([least[k] for _, k in mixed]), length)
             parts = {k: p for (_, k), p in zip(mixed, found, strict=True)}
         out: list[list] = [[], [], [], []]
-        for value, doc, digest, at, upto, context in rows:
+        for value, doc, digest, places, context in rows:
             k = place[value, context]
-            for a, z in [(0, upto - at)] if doc > least[k] else parts.get(k, ()):
-                for c, v in zip(out, (doc, digest, at + a, at + z), strict=True):
-                    c.append(v)
+            for a, z in [(0, len(context))] if doc > least[k] else parts.get(k, ()):
+                out[0] += [doc] * len(places)
+                out[1] += [digest] * len(places)
+                out[2] += [at + a for at in places]
+                out[3] += [at + z for at in places]
         if out[0]:
             yield _batch(out, SPAN)
 
@@ -309,15 +313,20 @@ def repeated_spans(contexts: DataFrame, length: int = LENGTH) -> DataFrame:
         for batch in batches:
             plain = batch.column("context").is_null().to_numpy(zero_copy_only=False)
             if plain.any():
-                yield batch.filter(pa.array(plain)).select([c.split()[0] for c in SPAN.split(", ")])
+                known = batch.filter(pa.array(plain))
+                row = pc.list_parent_indices(known.column("at"))
+                yield pa.RecordBatch.from_arrays(
+                    [known.column("doc").take(row), known.column("text_hash").take(row), known.column("at").flatten(), known.column("upto").flatten()],
+                    names=["doc", "text_hash", "at", "upto"],
+                )
             rest = batch.filter(pa.array(~plain))
-            for value, doc, digest, at, upto, context in zip(*(rest.column(c).to_pylist() for c in ("hash", "doc", "text_hash", "at", "upto", "context")), strict=True):
+            for value, doc, digest, at, context in zip(*(rest.column(c).to_pylist() for c in ("hash", "doc", "text_hash", "at", "context")), strict=True):
                 if value != last and size >= CHUNK:
                     yield from settle(rows)
                     rows, size = [], 0
                 last = value
-                rows.append((value, doc, digest, at, upto, context))
-                size += len(context) + 40
+                rows.append((value, doc, digest, at, context))
+                size += len(context) + 4 * len(at) + 40
         if rows:
             yield from settle(rows)
 
@@ -325,19 +334,19 @@ def repeated_spans(contexts: DataFrame, length: int = LENGTH) -> DataFrame:
     return dealt.mapInArrow(run, SPAN)
 
 
-def _swept(df: DataFrame, name: str) -> DataFrame:
-    """Written and reread; the shuffle files behind it are let go."""
-    out = materialise(df, name)
+def _let_go(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more."""
     gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return out
+    spark.sparkContext._jvm.System.gc()
 
 
 def removed_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc, text_hash, spans): of each document that loses bytes, its stretches to remove."""
     known = _known(docs)
-    lists = _swept(repeated_anchors(known, length), "repeated-anchors")
-    spans = _swept(repeated_spans(anchor_contexts(known.join(lists, "doc"), length), length), "repeated-spans")
+    lists = materialise(repeated_anchors(known, length), "repeated-anchors")
+    _let_go(docs.sparkSession)
+    spans = materialise(repeated_spans(anchor_contexts(known.join(lists, "doc"), length), length), "repeated-spans")
+    _let_go(docs.sparkSession)
     return spans.groupBy("doc", "text_hash").agg(F.array_sort(F.collect_set(F.struct("at", "upto"))).alias("spans"))
 
 
