@@ -152,7 +152,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, config: Config = Config(
     counted and scored each; an empty table gives no rows.
     """
     good = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg((F.max("quality") == 1).alias("target"))
-    words = hashed_words(docs, config).join(good, "doc_id", "left").select("doc_id", "words", F.coalesce("target", F.lit(False)).alias("target"))
+    # Sorted and merged at every size, so that the plan does not change with the labels.
+    words = hashed_words(docs, config).join(good.hint("merge"), "doc_id", "left").select("doc_id", "words", F.coalesce("target", F.lit(False)).alias("target"))
     table = materialise(words, "hashed-words")
     held = docs.sparkSession.sparkContext.broadcast(count_models(table, config))
     kind = dict(docs.dtypes)["doc_id"]
