@@ -65,3 +65,42 @@ def test_query(spark, sf_dir):
     rows = op8_lm_score(spark, sf_dir).collect()
     assert len(rows) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     assert all(np.isfinite(r.score) for r in rows)
+
+
+def exact(texts, target, c):
+    """Scores from counts of the words and word pairs themselves, nothing hashed."""
+    docs = [t.split() for t in texts]
+    size, out = len({w for x in docs for w in x}), []
+    for d, words in enumerate(docs):
+        losses = []
+        for m in (0, 1):
+            rest = [x for e, x in enumerate(docs) if e != d and (m == 0 or target[e])]
+            uni, big = Counter(w for x in rest for w in x), Counter(p for x in rest for p in zip([None, *x], x, strict=False))
+            uni[None], total, loss = len(rest), sum(map(len, rest)), 0.0
+            for v, w in zip([None, *words], words, strict=False):
+                weight = c.weight if uni[v] else 0
+                loss -= math.log(weight * big[v, w] / max(uni[v], 1) + (1 - weight) * (uni[w] + c.alpha) / (total + c.alpha * size))
+            losses.append(loss / len(words))
+        out.append((len(words), losses[1], losses[0], losses[1] - losses[0]))
+    return out
+
+
+def test_every_word_has_its_own_count(spark):
+    """Words that share a place of a table of 1 << 17 are counted apart, over several blocks and buckets."""
+    import pyarrow as pa
+
+    ((_, w),) = word_blocks(pa.array([" ".join(f"w{i}" for i in range(3000))]))
+    place, twins = {}, []
+    for i, h in enumerate((w.hashes % np.uint64(1 << 17)).tolist()):
+        twins += [f"w{place[h]}", f"w{i}"] if h in place else []
+        place[h] = i
+    assert len(twins) >= 10
+    rng = random.Random(10)
+    texts = [" ".join(rng.choice(twins) for _ in range(rng.randint(1, 60))) for _ in range(50)]
+    target = [i % 3 == 0 for i in range(50)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(q)) for i, q in enumerate(target)], "doc_id long, quality int")
+    for config in (Config(), Config(block=100, bucket=64, least_bits=2)):
+        rows = {r.doc_id: r for r in score_documents(docs, labels, config).collect()}
+        for i, want in enumerate(exact(texts, target, Config())):
+            assert tuple(rows[i])[1:] == pytest.approx(want)
