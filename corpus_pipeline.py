@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from quernstone.llm.bpe import encode_documents
 from quernstone.llm.decontaminate import drop_leaks
+from quernstone.llm.near_copies import keep_one
 from quernstone.llm.queries import vocabulary_file
 from quernstone.llm.secrets import redact_documents
-from quernstone.llm.simhash import keep_one
 from quernstone.llm.toxicity import fit_on, is_toxic, score_documents
 from quernstone.session import materialise, table
 
@@ -25,7 +25,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays, that of the smallest doc_id."""
+    """Documents that share four fifths of their five-word shingles with one of a smaller doc_id go."""
     return keep_one(docs)
 
 
