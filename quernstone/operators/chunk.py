@@ -94,6 +94,7 @@ class Chunker:
 
     def __init__(self, config: ChunkConfig):
         self.config = config
+        self.merged = 0  # orphans that joined a neighbour
 
     def sections(self, blocks: list[dict]) -> list[dict]:
         """Runs of blocks that packing does not cross, each with its breadcrumb."""
@@ -138,6 +139,7 @@ class Chunker:
             if ahead or back:
                 at = k if ahead else k - 1
                 groups[at : at + 2] = [groups[at] + groups[at + 1]]
+                self.merged += 1
             else:
                 k += 1
         return groups
@@ -209,6 +211,13 @@ class Chunker:
         return out
 
 
+def _cut(docs: DataFrame, language: str) -> DataFrame:
+    """(doc_id, blocks, observatory, title) with normalised blocks, the empty ones dropped, and their sentences."""
+    clean = F.filter(F.transform("blocks", lambda b: b.withField("text", T.normalised(b["text"]))), lambda b: F.length(b["text"]) > 0)
+    cut = F.transform(clean, lambda b: b.withField("sentences", rules.sentences(b["text"], language)))
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), cut.alias("blocks"), "observatory", "title")
+
+
 def fragment_documents(docs: DataFrame, config: ChunkConfig = ChunkConfig(), language: str = "es") -> DataFrame:  # noqa: B008
     """Fragments of (doc_id, blocks, observatory, title): one row each, FRAGMENT columns.
 
@@ -216,9 +225,7 @@ def fragment_documents(docs: DataFrame, config: ChunkConfig = ChunkConfig(), lan
     normalised and empty blocks dropped; sentences are cut in the plan, folds run
     in one Arrow pass over whole documents. A document without blocks gives none.
     """
-    clean = F.filter(F.transform("blocks", lambda b: b.withField("text", T.normalised(b["text"]))), lambda b: F.length(b["text"]) > 0)
-    cut = F.transform(clean, lambda b: b.withField("sentences", rules.sentences(b["text"], language)))
-    ready = docs.select(F.col("doc_id").cast("string").alias("doc_id"), cut.alias("blocks"), "observatory", "title")
+    ready = _cut(docs, language)
     schema = "doc_id string, " + FRAGMENT
     names = [c.strip().split(" ")[0] for c in schema.split(", ")]
     kinds = {"position": pa.int32(), "n_tokens": pa.int32(), "section": pa.list_(pa.string()), "page": pa.int32(), "n_words": pa.int32(), "overlaps": pa.bool_(), "n_sentences": pa.int32()}
@@ -234,6 +241,54 @@ def fragment_documents(docs: DataFrame, config: ChunkConfig = ChunkConfig(), lan
     return ready.mapInArrow(run, schema)
 
 
+def sweep(docs: DataFrame, targets: tuple[int, ...] = (120, 190, 240), overlaps: tuple[int, ...] = (0, 1), language: str = "es") -> DataFrame:
+    """The corpus fragmented anew with each target and overlap, measured: one row a configuration.
+
+    n_fragments, median_words and p95_words (nearest rank, 0 without fragments),
+    one_sentence and merged_orphans (percentages of the fragments, one decimal).
+    Sentences are cut once; tasks send a histogram of fragment sizes a batch, so
+    a configuration gathers no more rows than fragments have sizes.
+    """
+    configs = [(t, o) for t in targets for o in overlaps]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunkers = [Chunker(ChunkConfig(target_words=t, overlap=o)) for t, o in configs]
+        for batch in batches:
+            counts: dict[tuple[int, int, int], list[int]] = {}
+            for r in batch.to_pylist():
+                for (t, o), chunker in zip(configs, chunkers, strict=True):
+                    for f in chunker.fragments(r["doc_id"], r["blocks"] or [], r["observatory"], r["title"]):
+                        held = counts.setdefault((t, o, f["n_words"]), [0, 0, 0])
+                        held[0] += 1
+                        held[1] += f["n_sentences"] == 1
+            for (t, o), chunker in zip(configs, chunkers, strict=True):
+                counts.setdefault((t, o, 0), [0, 0, 0])[2] += chunker.merged
+                chunker.merged = 0
+            yield pa.RecordBatch.from_pylist([{"target": t, "overlap": o, "n_words": w, "n": n, "single": s, "merged": m} for (t, o, w), (n, s, m) in counts.items()])
+
+    def measure(rows: pa.Table) -> pa.Table:
+        sizes = sorted((r["n_words"], r["n"]) for r in rows.to_pylist())
+        total, single, merged = (sum(rows.column(c).to_pylist()) for c in ("n", "single", "merged"))
+
+        def rank(p: int) -> int:
+            left = max(1, math.ceil(p / 100 * total))
+            for words, n in sizes:
+                left -= n
+                if left <= 0:
+                    return words
+            return 0
+
+        share = lambda part: round(100 * part / total, 1) if total else 0.0
+        first = {c: rows.column(c)[0].as_py() for c in ("target", "overlap")}
+        return pa.Table.from_pylist([{**first, "n_fragments": total, "median_words": rank(50), "p95_words": rank(95), "one_sentence": share(single), "merged_orphans": share(merged)}])
+
+    sizes = _cut(docs, language).mapInArrow(run, "target long, overlap long, n_words long, n long, single long, merged long")
+    # Every configuration has a row, without documents too.
+    none = docs.sparkSession.createDataFrame([(t, o, 0, 0, 0, 0) for t, o in configs], sizes.schema)
+    summed = sizes.union(none).groupBy("target", "overlap", "n_words").agg(*(F.sum(c).alias(c) for c in ("n", "single", "merged")))
+    return summed.groupBy("target", "overlap").applyInArrow(measure, "target long, overlap long, n_fragments long, median_words long, p95_words long, one_sentence double, merged_orphans double")
+
+
 def fragment_violations(fragments: DataFrame, config: ChunkConfig = ChunkConfig()) -> DataFrame:  # noqa: B008
     """Fragments that break an invariant, with messages."""
     checks = {

@@ -353,6 +353,7 @@ def first_rows(spark, sf_dir):
 
 @query(f"SELECT target, n, cast(ceil(w / target) AS BIGINT) AS packs FROM (SELECT count(*) AS n, sum(w)::DOUBLE AS w FROM {_WORDS}), (SELECT unnest([120, 190, 240])::BIGINT AS target)")
 def param_sweep(spark, sf_dir):
+    """Packs that the corpus's words would fill as one text, by target; ``fragment_sweep`` fragments the documents."""
     total = _counted(spark, sf_dir).agg(F.count("*").alias("n"), F.sum("w").alias("w"))
     each = total.select("n", "w", F.explode(F.array(*(F.lit(t).cast("long") for t in (120, 190, 240)))).alias("target"))
     return each.select("target", "n", F.ceil(F.col("w") / F.col("target")).alias("packs"))
@@ -483,6 +484,12 @@ def fragment_checks(spark, sf_dir):
     return C.fragment_violations(C.fragment_documents(_documents(spark, sf_dir), language="en"))
 
 
+@query()
+def fragment_sweep(spark, sf_dir):
+    """The whole sweep: every document fragmented with three targets and two overlaps, five metrics each."""
+    return C.sweep(_documents(spark, sf_dir), language="en")
+
+
 # Graph ----------------------------------------------------------------------
 
 #: A small dictionary of frequent tokens stands in for a corpus's own.

@@ -147,3 +147,31 @@ def test_graph(spark):
     assert {r.node for r in kept.collect()} == {"nasa", "espana", "corea del sur"} and lines.count() == 1
     assert {r.node for r in G.isolated(kept, lines).collect()} == {"corea del sur"}
     assert sorted(map(tuple, G.merged(edges, edges).collect())) == sorted((a, r, b, 2 * w) for a, r, b, w in map(tuple, edges.collect()))
+
+
+def test_sweep_fragments_every_document_anew(spark):
+    import math
+
+    rng = random.Random(4)
+    block = lambda k, t: (t, "title" if k else "paragraph", k, [], None, False)
+    rows = []
+    for d in range(12):
+        blocks = [block(None, prose(rng, rng.randint(5, 50), rng.randint(5, 20)))]
+        for h in range(rng.randint(0, 3)):  # sections end inside a pack, the last fragments are orphans
+            blocks += [block(1, f"Parte {h}"), block(None, prose(rng, rng.randint(1, 17)))]
+        rows.append((f"D{d}", blocks, "Obs", None))
+    schema = "doc_id string, blocks array<struct<text:string,kind:string,level:int,path:array<string>,page:int,atomic:boolean>>, observatory string, title string"
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    got = {(r.target, r.overlap): tuple(r)[2:] for r in C.sweep(df).collect()}
+    assert set(got) == {(t, o) for t in (120, 190, 240) for o in (0, 1)}
+    for (t, o), measured in got.items():
+        out = C.fragment_documents(df, C.ChunkConfig(target_words=t, overlap=o)).collect()
+        sizes, n = sorted(r.n_words for r in out), len(out)
+        rank = lambda p: sizes[math.ceil(p / 100 * n) - 1]  # noqa: B023, E731
+        assert measured[:4] == (n, rank(50), rank(95), round(100 * sum(r.n_sentences == 1 for r in out) / n, 1))
+    assert got[120, 0] != got[240, 0] and got[190, 0] != got[190, 1]
+    assert max(m[4] for m in got.values()) > 0
+    # Ten sentences of 12 words and three more: the last 36 words join the 120 before them.
+    one = spark.createDataFrame([("D", [block(None, prose(rng, 13))], None, None)], schema)
+    assert {tuple(r)[2:] for r in C.sweep(one, (120,), (0,)).collect()} == {(1, 156, 156, 0.0, 100.0)}
+    assert sorted(tuple(r) for r in C.sweep(df.limit(0), (120,), (0, 1)).collect()) == [(120, 0, 0, 0, 0, 0.0, 0.0), (120, 1, 0, 0, 0, 0.0, 0.0)]
