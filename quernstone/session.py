@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -38,14 +39,16 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the session names none (tests on one machine) a temporary folder is
-    made and set as the checkpoint folder.
+    Where a local session names none (tests on one machine) a temporary folder is
+    made and set as the checkpoint folder; a cluster must name one.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         named = held.get() if held.isDefined() else None
     if not named:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="quernstone-")
         spark.sparkContext.setCheckpointDir(f"file://{named}")
         named = f"file://{named}"
@@ -62,7 +65,28 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
     This cuts the lineage: a lost executor costs a re-read, not a re-run.
     """
-    spark = df.sparkSession
-    path = fresh_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Written(df, name).read()
+
+
+class Written:
+    """A table written in the shared folder, with aggregates taken while it was written."""
+
+    def __init__(self, df: DataFrame, name: str, **taken: Column):
+        self.spark, self.schema, self.path = df.sparkSession, df.schema, fresh_dir(df.sparkSession, name)
+        seen = Observation() if taken else None
+        (df.observe(seen, *(c.alias(k) for k, c in taken.items())) if seen else df).write.parquet(self.path)
+        self.taken = seen.get if seen else {}
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+    def delete(self) -> None:
+        """Drop the files; frames that read them must not be used any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def let_go(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
