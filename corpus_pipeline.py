@@ -14,34 +14,57 @@ from quernstone.llm.decontaminate import drop_leaks
 from quernstone.llm.near_copies import keep_one
 from quernstone.llm.queries import vocabulary_file
 from quernstone.llm.secrets import redact_documents
-from quernstone.llm.toxicity import fit_on, is_toxic, score_documents
+from quernstone.llm.toxicity import drop_toxic, fit_on
 from quernstone.session import materialise, table
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that reach their language's threshold go; the others stay as they are."""
-    model = fit_on(docs, table(spark, sf_dir, "labels"))
-    return score_documents(docs, model).where(~is_toxic(model)).select(*docs.columns)
+    """Documents that reach their language's threshold go; the others stay as they are.
+
+    A null text is judged as an empty one, a null language by the common threshold.
+    Repeated rows go or stay together. Extra columns stay, one named score too.
+    Long texts are judged whole. An empty table gives no rows.
+    """
+    return drop_toxic(docs, fit_on(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share four fifths of their five-word shingles with one of a smaller doc_id go."""
+    """Documents that share four fifths of their five-word shingles with one of a smaller doc_id go.
+
+    A null doc_id counts as the largest; ties in doc_id go to the smaller hash of
+    the text; rows alike in both stay once. Null, empty and blank texts are copies
+    of each other. Extra columns stay. Long texts are compared whole. An empty
+    table gives no rows.
+    """
     return keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go.
+
+    Null and empty texts hold none; null and empty items are none. Repeated rows go
+    or stay together. Extra columns stay. Long texts are searched whole. An empty
+    table gives no rows, an empty benchmark drops none.
+    """
     return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in texts are replaced by a mark; every document stays, n_chars follows."""
+    """Secrets in texts are replaced by a mark; every document stays, n_chars follows.
+
+    Null texts stay null. Repeated rows are all cleaned. Extra columns stay. Long
+    texts are scanned whole. An empty table gives no rows.
+    """
     clean = redact_documents(docs)
     return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of every document, encoded and decoded again."""
+    """doc_id, token count and digests of every document, encoded whole and decoded again.
+
+    A null text has no tokens. Repeated rows and null ids stay; extra columns are
+    left out. An empty table gives no rows.
+    """
     return encode_documents(docs, vocabulary_file(), digests_only=True)
 
 

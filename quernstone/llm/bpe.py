@@ -147,7 +147,8 @@ def encode_documents(docs: DataFrame, vocabulary: str, digests_only: bool = Fals
     the two large columns are left out and only doc_id is kept of the input.
     A null text counts as empty: no tokens, digests of no bytes. Columns of the
     input that have the names of added ones are replaced. No shuffle; rows keep
-    their order. ``vocabulary`` names a file that every executor has.
+    their order. Texts of any length are encoded whole; an empty table gives no
+    rows. ``vocabulary`` names a file that every executor has.
     """
     added = "n_tokens long, ids_sha256 string, decoded_sha256 string"
     if not digests_only:

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quernstone.llm.columns import spare
 from quernstone.llm.tokens import word_blocks
 from quernstone.session import materialise
 
@@ -366,6 +367,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, config: Config = Config())
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, config: Config = Config()) -> DataFrame:  # noqa: B008
-    """``docs`` without the rows that hold a benchmark item; rows with null texts stay."""
-    bad = find_leaks(docs, benchmark, config).where("contaminated").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash")), "left_anti")
+    """``docs`` without the rows that hold a benchmark item.
+
+    Columns stay, whatever their names. Rows with null or empty texts hold no item
+    and stay; of repeated rows all go or all stay, null ids included. Texts are
+    read whole. An empty table gives no rows, an empty benchmark drops none.
+    """
+    ident, digest = spare("_id", docs), spare("_hash", docs)
+    bad = find_leaks(docs, benchmark, config).where("contaminated").select(F.col("doc_id").alias(ident), F.col("text_hash").alias(digest))
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col(ident)) & (F.xxhash64(docs["text"]) == F.col(digest)), "left_anti")

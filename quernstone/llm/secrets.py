@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quernstone.llm.columns import spare
+
 SCOPE = 300
 #: Kinds in order: three strong ones, then those that linking may add.
 KINDS = ("assign", "access", "hex", "ident", "secret", "endpoint")
@@ -141,17 +143,19 @@ def redact_documents(docs: DataFrame, mark: str = "[SECRET]", scope: int = SCOPE
     """``docs`` with every reported span of ``text`` replaced by ``mark``.
 
     Overlapping and touching spans become one mark. Rows and columns stay as
-    they are otherwise, null texts included; findings are joined back by id and
-    hash of the text, so repeated rows all get theirs.
+    they are otherwise, whatever their names, null and empty texts included;
+    findings are joined back by id and hash of the text, so repeated rows all get
+    theirs. Texts are scanned whole. An empty table gives no rows.
     """
     hits = scan_documents(docs, scope=scope).where(F.size("findings") > 0).dropDuplicates(["doc_id", "text_hash"])
     # Stretches to keep: what lies between the furthest end so far and the next start.
     folded = """aggregate(findings, struct(CAST(0 AS BIGINT) AS upto, CAST(array() AS ARRAY<STRUCT<a: BIGINT, n: BIGINT>>) AS kept),
         (acc, s) -> struct(greatest(acc.upto, CAST(s.end AS BIGINT)) AS upto,
                            IF(size(acc.kept) = 0 OR s.start > acc.upto, concat(acc.kept, array(struct(acc.upto AS a, s.start - acc.upto AS n))), acc.kept) AS kept))"""
-    cuts = hits.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.expr(folded).alias("_cut"))
-    joined = docs.join(cuts, docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash")), "left")
-    pieces = F.transform(F.col("_cut.kept"), lambda k: F.substring(docs["text"], (k["a"] + 1).cast("int"), k["n"].cast("int")))
-    tail = F.substring(docs["text"], (F.col("_cut.upto") + 1).cast("int"), F.length(docs["text"]))
-    clean = F.when(F.col("_cut").isNull(), docs["text"]).otherwise(F.array_join(F.concat(pieces, F.array(tail)), mark))
-    return joined.select(*(clean.alias("text") if c == "text" else docs[c] for c in docs.columns))
+    ident, digest, cut = (spare(c, docs) for c in ("_id", "_hash", "_cut"))
+    cuts = hits.select(F.col("doc_id").alias(ident), F.col("text_hash").alias(digest), F.expr(folded).alias(cut))
+    joined = docs.join(cuts, docs["doc_id"].eqNullSafe(F.col(ident)) & (F.xxhash64(docs["text"]) == F.col(digest)), "left")
+    pieces = F.transform(F.col(cut)["kept"], lambda k: F.substring(docs["text"], (k["a"] + 1).cast("int"), k["n"].cast("int")))
+    tail = F.substring(docs["text"], (F.col(cut)["upto"] + 1).cast("int"), F.length(docs["text"]))
+    clean = F.when(F.col(cut).isNull(), docs["text"]).otherwise(F.array_join(F.concat(pieces, F.array(tail)), mark))
+    return joined.select(*(clean.alias("text") if c.lower() == "text" else docs[c] for c in docs.columns))

@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quernstone.llm.columns import spare
 from quernstone.llm.components import connected_components
 from quernstone.session import materialise
 
@@ -116,7 +117,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     share a component, named by its smallest doc_id. Equal fingerprints meet in
     a grouped minimum and take part in the search once, however many they are.
     A null doc_id keeps its row and is never a name unless it stands alone (then
-    component_id is null). Repeated rows stay; an empty table gives no rows.
+    component_id is null). Repeated rows stay; an empty table gives no rows. Only
+    doc_id and text are read, so other columns cannot clash. Long texts are read
+    whole.
     """
     base = materialise(fingerprints(docs, shingle), "fingerprints")
     owners = base.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
@@ -131,15 +134,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return base.join(of_fp, "fp").select("doc_id", "text_hash", "root", text.alias("fingerprint"), "component_id")
 
 
+def row_key(ident: Column, digest: Column) -> Column:
+    """One string of an id and a text's hash; null ids have their own."""
+    return F.concat_ws(":", F.coalesce(ident.cast("string"), F.lit("")), digest.cast("string"))
+
+
+def only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose (doc_id, text_hash) is not in ``kept``; rows alike in both stay once."""
+    name = spare("_key", docs)
+    keys = kept.select(row_key(F.col("doc_id"), F.col("text_hash")).alias(name)).distinct()
+    keyed = docs.withColumn(name, row_key(F.col("doc_id"), F.xxhash64("text")))
+    return keyed.join(keys, name, "left_semi").dropDuplicates([name]).select(*docs.columns)
+
+
 def keep_one(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """``docs`` with one row of each near-duplicate component: that of the smallest doc_id.
 
     Ties go to the smaller hash of the text, rows alike in both stay once, a null
-    doc_id is chosen last. Columns stay as they are.
+    doc_id is chosen last. Columns stay as they are, whatever their names. Null
+    and empty texts have the fingerprint 0 and are near each other; long texts are
+    read whole. An empty table gives no rows.
     """
     known = near_duplicates(docs, shingle)
-    first = known.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("m"))
-    key = lambda ident, digest: F.concat_ws(":", F.coalesce(ident.cast("string"), F.lit("")), digest.cast("string"))
-    kept = first.select(key(F.col("m.doc_id"), F.col("m.text_hash")).alias("_key")).distinct()
-    keyed = docs.withColumn("_key", key(F.col("doc_id"), F.xxhash64("text")))
-    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    first = known.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("m"))
+    return only(docs, first.select("m.doc_id", "m.text_hash"))

@@ -10,15 +10,17 @@ enters a score.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from quernstone.llm.columns import spare
 from quernstone.llm.tokens import Words, word_blocks
 
 #: Threshold of the calibrated score that all languages have until they get their own.
@@ -214,73 +216,86 @@ def fit(texts: list[str], labels: list[int], langs: list[str | None], config: Co
     return model
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, config: Config) -> tuple[list[str], list[int], list[str | None]]:
-    """At most ``config.sample`` labelled texts: those with the smallest hash of their id.
+def labelled_sample(docs: DataFrame, labels: DataFrame, config: Config) -> DataFrame:
+    """(doc_id, text, lang, toxic), at most ``config.sample`` rows: the smallest hashes of an id.
 
-    The run stops early where they pass ``config.sample_bytes`` together. Only ids for which crc32(id as text) mod 4 is not 2 take part. A null label
-    or id does not count; an id that has both labels counts as toxic.
+    Rows that would pass ``config.sample_bytes`` together, in that order, are left
+    out, and so is any text longer than that. Only ids for which crc32(id as text)
+    mod 4 is not 2 take part. A null label or id does not count; an id that has
+    both labels counts as toxic, one with several texts has the largest.
     """
     ident = F.col("doc_id").cast("string").cast("binary")
     known = labels.where("toxic is not null and doc_id is not null").where(F.crc32(ident) % 4 != 2)
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang")
-    sizes = texts.groupBy("doc_id").agg(F.max(F.octet_length("text")).alias("size"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("")).alias("lang"))
+    sizes = texts.groupBy("doc_id").agg(F.max(F.octet_length("text")).alias("size")).where(F.col("size") <= config.sample_bytes)
     order = F.xxhash64("doc_id")
-    chosen = known.join(sizes, "doc_id").orderBy(order, "doc_id").limit(config.sample).collect()
-    total, ids = 0, []
-    for r in chosen:
-        total += r.size
-        if ids and total > config.sample_bytes:
-            break
-        ids.append((r.doc_id, r.toxic))
-    if not ids:
-        return [], [], []
-    kind = dict(docs.dtypes)["doc_id"]
-    picked = docs.sparkSession.createDataFrame(ids, f"doc_id {kind}, toxic int")  # at most config.sample rows
-    rows = texts.join(F.broadcast(picked), "doc_id").collect()
-    rows = {r.doc_id: r for r in sorted(rows, key=lambda r: (r.doc_id, r.text, r.lang or ""))}
-    return [r.text for r in rows.values()], [r.toxic for r in rows.values()], [r.lang for r in rows.values()]
+    first = known.join(sizes, "doc_id").orderBy(order, "doc_id").limit(config.sample)
+    total = F.sum("size").over(Window.orderBy(order, "doc_id").rowsBetween(Window.unboundedPreceding, 0))  # over the sample's rows
+    chosen = first.select("doc_id", "toxic", total.alias("total")).where(F.col("total") <= config.sample_bytes).select("doc_id", "toxic")
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max(F.struct("text", "lang")).alias("t"), F.max("toxic").alias("toxic"))
+    return rows.select("doc_id", "t.text", "t.lang", "toxic")
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, config: Config = Config()) -> Model:  # noqa: B008
-    """The model of :func:`fit` on :func:`labelled_sample`."""
-    return fit(*labelled_sample(docs, labels, config), config)
+    """The model of :func:`fit` on :func:`labelled_sample`, fitted in one task.
+
+    Only the weights come to the driver, buckets x dim floats.
+    """
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("doc_id")
+        texts, labels, langs = (rows.column(c).to_pylist() for c in ("text", "toxic", "lang"))
+        return pa.table({"model": pa.array([pickle.dumps(fit(texts, labels, langs, config))], pa.binary())})
 
+    sample = labelled_sample(docs, labels, config)
+    made = sample.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(run, "model binary").first()
+    return pickle.loads(made[0]) if made else fit([], [], [], config)
 
-def score_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """Every row of ``docs`` with ``score``: the whole text is read, in one pass.
 
-    A null text scores as an empty one does. A column named score is replaced;
-    others stay. No shuffle.
+def score_documents(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """Every row of ``docs`` with its score in column ``name``: the whole text is read, in one pass.
+
+    A null text scores as an empty one does. A column of that name is replaced;
+    others stay. Repeated rows stay, an empty table gives none. A text may be of
+    any length: it is scored whole, alone where it is long. No shuffle.
     """
-    kept = docs.drop(*(c for c in docs.columns if c.lower() == "score"))
+    kept = docs.drop(*(c for c in docs.columns if c.lower() == name.lower()))
     names = kept.columns
-    schema = StructType([*kept.schema, StructField("score", DoubleType())])
+    schema = StructType([*kept.schema, StructField(name, DoubleType())])
     held = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size: buckets x dim floats
+    place = [c.lower() for c in names].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [held.value.score(words) for _, words in word_blocks(batch.column("text"), 1 << 20)]
+            scores = [held.value.score(words) for _, words in word_blocks(batch.column(place), 1 << 20)]
             made = pa.array(np.concatenate(scores) if scores else np.zeros(0))
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(names))), made], names=schema.names)
 
     return kept.mapInArrow(run, schema)
 
 
-def is_toxic(model: Model) -> F.Column:
-    """Whether a scored row reaches its language's threshold."""
+def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` without the rows that reach their language's threshold; columns stay, one named score too."""
+    name = spare("score", docs)
+    return score_documents(docs, model, name).where(~is_toxic(model, name)).select(*docs.columns)
+
+
+def is_toxic(model: Model, name: str = "score") -> F.Column:
+    """Whether a scored row reaches its language's threshold (the common one where lang is null or unknown)."""
     cut = F.lit(model.config.threshold)
     for lang, t in sorted(model.thresholds.items()):
         cut = F.when(F.col("lang") == lang, t).otherwise(cut)
-    return F.col("score") >= cut
+    return F.col(name) >= cut
 
 
 def classify_documents(docs: DataFrame, labels: DataFrame, config: Config = Config()) -> DataFrame:  # noqa: B008
     """doc_id, held_out, score, predicted and flagged for every document.
 
     predicted compares the score with ``config.threshold``, flagged with the
-    threshold of the row's language. A null doc_id counts as not held out. Empty
-    tables give no rows; without labels of both kinds all scores are alike.
+    threshold of the row's language. A null doc_id counts as not held out, a null
+    text as empty; long texts are read whole. Repeated rows stay. Empty tables give
+    no rows; without labels of both kinds all scores are alike.
     """
     model = fit_on(docs, labels, config)
     scored = score_documents(docs.select("doc_id", "lang", "text"), model)
