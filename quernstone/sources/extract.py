@@ -3,8 +3,8 @@
 Each extractor takes a file's bytes and gives (blocks, meta, errors); one Arrow
 pass over Spark's ``binaryFile`` rows runs them, so files are read by Spark from
 whatever store they are in. A file that cannot be read gives a document without
-blocks and the reason, never an exception. Formats whose libraries are absent
-(PDF, images) give such a document.
+blocks and the reason, never an exception. PDF files (no library here) and images
+(no recogniser; their header's facts are kept) give such a document.
 """
 
 from __future__ import annotations
@@ -14,9 +14,7 @@ import io
 import json
 import re
 import unicodedata
-import zipfile
 from collections.abc import Callable, Iterator
-from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +22,9 @@ from pyspark.sql import functions as F
 
 from quernstone.functions import text as T
 from quernstone.operators.blocks import LEVELS
+from quernstone.sources.images import header, recogniser
+from quernstone.sources.sheets import cell_text, sheets
+from quernstone.sources.tiles import FEATURE_CAP, NEGATIVE, OSM_MARK, in_order, layers, place_of
 
 #: Extensions and formats, encodings in order, delimiters, caps.
 FORMATS = {
@@ -37,9 +38,12 @@ TABLES = {
     "pubmed": (("PMID", "Title", "Authors", "Citation", "Journal/Book", "Publication Year"), ("Title", "Authors", "Journal/Book", "Publication Year")),
     "litcovid": (("pmid", "title", "journal"), ("title", "journal")),
 }
+#: Lists of an article kept as metadata, by the keys that feed each; collections that are only counted.
+LISTS = {"authors": ("authors",), "tags": ("keywords", "tags", "topics", "categories")}
+COUNTED = ("images", "links", "pdf_links", "doc_links", "science_links", "external_links", "internal_links")
 DOCUMENT = (
     "doc_id string, path string, source string, format string, language string, "
-    "blocks array<struct<text: string, kind: string, level: int, path: array<string>, page: int, atomic: boolean>>, meta map<string, string>, errors array<string>"
+    "blocks array<struct<text: string, kind: string, level: int, path: array<string>, page: int, atomic: boolean, data: map<string, string>>>, meta map<string, string>, errors array<string>"
 )
 
 
@@ -75,13 +79,13 @@ class Outline:
         self.open: list[tuple[int, str]] = []
         self.blocks: list[dict] = []
 
-    def add(self, text: object, kind: str = "paragraph", level: int | None = None, atomic: bool = False) -> None:
+    def add(self, text: object, kind: str = "paragraph", level: int | None = None, atomic: bool = False, page: int | None = None, data: dict[str, str] | None = None) -> None:
         if not (text := clean(text)):
             return
         if level is not None:
             level = min(max(level, 1), LEVELS)
             self.open = [h for h in self.open if h[0] < level]
-        self.blocks.append({"text": text, "kind": kind, "level": level, "path": [t for _, t in self.open], "page": None, "atomic": atomic})
+        self.blocks.append({"text": text, "kind": kind, "level": level, "path": [t for _, t in self.open], "page": page, "atomic": atomic, "data": data or {}})
         if level is not None:
             self.open.append((level, text))
 
@@ -155,12 +159,14 @@ def _rows(out: Outline, header: list[str], rows: Iterator[list[str]], room: int)
     written = over = 0
     for row in rows:
         pairs = [((header[i] if i < len(header) else "") or f"columna_{i + 1}", v) for i, v in enumerate(row)]
+        aside: dict[str, str] = {}
         if schema:
             by = dict(pairs)
             pairs = [(c, by[c]) for c in TABLES[schema][1] if c in by]
+            aside = {clean(k): clean(v) for k, v in by.items() if k not in TABLES[schema][1] and clean(k) and clean(v)}
         if text := record(pairs):
             if written < room:
-                out.add(text, "row", atomic=True)
+                out.add(text, "row", atomic=True, data=aside)
                 written += 1
             else:
                 over += 1
@@ -184,49 +190,21 @@ def from_csv(data: bytes, name: str) -> Extracted:
     return out.blocks, meta, [f"{over} rows beyond the first {ROW_CAP} are left out"] if over else [] if written else ["a table without rows"]
 
 
-def cell(value: float | str | None) -> str:
-    """A cell as text: integral floats without a point, None empty."""
-    if value is None:
-        return ""
-    return str(int(value)) if isinstance(value, float) and value.is_integer() else str(value)
-
-
 def from_xlsx(data: bytes, name: str) -> Extracted:
-    """All sheets of a workbook, values only; a sheet's title stands over its rows."""
-    space = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
-    with zipfile.ZipFile(io.BytesIO(data)) as z:
-        tree = lambda p: ElementTree.fromstring(z.read(p))
-        shared = ["".join(t.text or "" for t in s.iter(f"{{{space['m']}}}t")) for s in tree("xl/sharedStrings.xml").findall("m:si", space)] if "xl/sharedStrings.xml" in z.namelist() else []
-        names = [s.get("name") for s in tree("xl/workbook.xml").findall("m:sheets/m:sheet", space)]
-        files = sorted((n for n in z.namelist() if re.match(r"xl/worksheets/sheet\d+\.xml$", n)), key=lambda n: int(re.search(r"\d+", n)[0]))
-        out, left, over = Outline(), ROW_CAP, 0
-        for title, file in zip(names, files, strict=False):
-            table = []
-            for r in tree(file).findall("m:sheetData/m:row", space):
-                row: list[str] = []
-                for c in r.findall("m:c", space):
-                    letters = re.match(r"[A-Z]*", c.get("r", ""))[0]
-                    at = 0
-                    for ch in letters:
-                        at = at * 26 + ord(ch) - 64
-                    row += [""] * (at - 1 - len(row))
-                    v = c.findtext("m:v", None, space)
-                    kind = c.get("t")
-                    if kind == "s" and v is not None:
-                        row.append(shared[int(v)])
-                    elif kind == "inlineStr":
-                        row.append("".join(t.text or "" for t in c.iter(f"{{{space['m']}}}t")))
-                    else:
-                        row.append(cell(float(v)) if v and kind is None else v or "")
-                table.append(row)
-            inner = Outline()
-            n, more, _ = _rows(inner, [clean(c) for c in table[0]] if table else [], iter(table[1:]), left)
-            left, over = left - n, over + more
-            if inner.blocks:
-                out.add(title, "title", 1)
-                for b in inner.blocks:
-                    out.add(b["text"], "row", atomic=True)
-    return out.blocks, {"sheets": ",".join(filter(None, names))}, [f"{over} rows beyond the first {ROW_CAP} are left out"] if over else []
+    """All sheets of a workbook, values only; a sheet's title stands over its rows, the cap is shared."""
+    out, left, over, names = Outline(), ROW_CAP, 0, []
+    for title, cells in sheets(data):
+        names.append(title)
+        table = [[cell_text(v) for v in row] for row in cells]
+        inner = Outline()
+        n, more, _ = _rows(inner, [clean(c) for c in table[0]] if table else [], iter(table[1:]), left)
+        left, over = left - n, over + more
+        if inner.blocks:
+            out.add(title, "title", 1)
+            for b in inner.blocks:
+                out.add(b["text"], "row", atomic=True, data=b["data"])
+    errors = [f"{over} rows beyond the first {ROW_CAP} are left out"] if over else [] if out.blocks else ["a workbook without rows"]
+    return out.blocks, {"sheets": ",".join(filter(None, names))}, errors
 
 
 def _listed(value: object) -> list:
@@ -283,10 +261,19 @@ def from_json(data: bytes, name: str) -> Extracted:
         for k, to in (("url", "url"), ("date", "date"), ("doi", "doi"), ("issue", "issue"), ("pdf_url", "pdf_url")):
             if isinstance(root.get(k), str) and root[k].strip():
                 meta[to] = root[k].strip()
+        for to, sources in LISTS.items():
+            named = [x.strip() for k in sources for x in _listed(root.get(k)) if isinstance(x, str)]
+            if named := [x for x in dict.fromkeys(named) if x]:
+                meta[to] = json.dumps(named, ensure_ascii=False)
+        for k in COUNTED:
+            if isinstance(root.get(k), list) and root[k]:
+                meta[f"n_{k}"] = str(len(root[k]))
         if isinstance(root.get("title"), str) and root["title"].strip():
             meta["title"] = clean(root["title"])
             out.add(root["title"], "title", 1)
         alert = root.get("alerta_meta") if isinstance(root.get("alerta_meta"), dict) else {}
+        if said := dict(sorted(_scalars(alert))):
+            meta["alerta_meta"] = json.dumps(said, ensure_ascii=False)
         body = [p for p in _listed(root.get("body_paragraphs")) if natural(p)] or [p for p in [root.get("body_text")] if natural(p)]
         for p in [root.get("abstract"), root.get("excerpt"), *(v for _, v in sorted(alert.items()))]:
             if natural(p):
@@ -316,7 +303,51 @@ def from_json(data: bytes, name: str) -> Extracted:
                 out.add(path[depth], "title", depth + 1)
             opened = path
             out.add(text)
-    return out.blocks, meta, [] if out.blocks else ["an empty list" if root == [] else "no natural language to index"]
+    return out.blocks, meta, [] if out.blocks else [_why_empty(root)]
+
+
+def _why_empty(root: object) -> str:
+    """Why a JSON file gives no blocks."""
+    if root in ([], {}):
+        return "an empty list" if root == [] else "an empty object"
+    if isinstance(root, (dict, list)):
+        return "no natural language to index"
+    return f"a lone {type(root).__name__}, not a document"
+
+
+def from_tile(data: bytes, name: str) -> Extracted:
+    """A layer a section, a feature a row: layers by name, features by number, the cap is the feature."""
+    if OSM_MARK in data[:64]:
+        return [], {}, ["a map dump, not a vector tile"]
+    out, named, n = Outline(), [], 0
+    for layer, features in sorted(layers(data).items()):
+        rows = [feature_text(f) for f in in_order(features)[:FEATURE_CAP]]
+        if any(rows):
+            named.append(layer)
+            out.add(layer, "title", 1)
+            for text in filter(None, rows):
+                out.add(text, "row", atomic=True)
+                n += 1
+    meta = {"layers": ",".join(named), "n_features": str(n)}
+    return out.blocks, meta, [] if out.blocks else ["a tile without properties to index"]
+
+
+def feature_text(properties: dict[str, object]) -> str:
+    """Properties by key, without opaque and negative values; flags that are set stay."""
+
+    def says(key: str, value: object) -> bool:
+        if isinstance(value, bool) or not key.strip():
+            return bool(value) and bool(key.strip())
+        text = clean(value)
+        return bool(text) and not _OPAQUE.search(text) and text.lower() not in NEGATIVE
+
+    return " | ".join(f"{clean(k)}: {clean(v)}" for k, v in sorted(properties.items()) if says(k, v))
+
+
+def from_image(data: bytes, name: str) -> Extracted:
+    """The header's facts; the text needs a recogniser, which is not part of this library."""
+    facts = header(data)
+    return [], facts | {"needs_recognition": "true"}, ["a recogniser is installed but none is wired in" if recogniser() else "no text recogniser is installed"]
 
 
 def _absent(data: bytes, name: str) -> Extracted:
@@ -324,14 +355,19 @@ def _absent(data: bytes, name: str) -> Extracted:
 
 
 #: Format -> extractor; add one to support a format.
-EXTRACTORS: dict[str, Callable[[bytes, str], Extracted]] = {"txt": from_text, "csv": from_csv, "xlsx": from_xlsx, "json": from_json, "pdf": _absent, "imagen": _absent, "pbf": _absent}
+EXTRACTORS: dict[str, Callable[[bytes, str], Extracted]] = {"txt": from_text, "csv": from_csv, "xlsx": from_xlsx, "json": from_json, "pdf": _absent, "imagen": from_image, "pbf": from_tile}
 
 
 def scan_files(spark: SparkSession, root: str) -> DataFrame:
     """(path, relative, name, format, length) of a folder's files without system files.
 
     The content is not read. ``format`` is null where no extractor is registered.
+    A folder that is missing raises. The order of rows means nothing: sort by
+    ``relative`` where they are written.
     """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        raise ValueError(f"no such folder: {root}")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length")
     name = F.element_at(F.split("path", "/"), -1)
     formats = F.create_map(*(F.lit(x) for p in FORMATS.items() for x in p))
@@ -346,25 +382,31 @@ def extract_files(spark: SparkSession, root: str) -> DataFrame:
     listed = scan_files(spark, root).where("format IS NOT NULL").select("path", "relative", "name", "format")
     content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "content")
     rows = content.join(listed, "path")
-    blocks = pa.list_(pa.struct([("text", pa.string()), ("kind", pa.string()), ("level", pa.int32()), ("path", pa.list_(pa.string())), ("page", pa.int32()), ("atomic", pa.bool_())]))
+    blocks = pa.list_(pa.struct([("text", pa.string()), ("kind", pa.string()), ("level", pa.int32()), ("path", pa.list_(pa.string())), ("page", pa.int32()), ("atomic", pa.bool_()), ("data", pa.map_(pa.string(), pa.string()))]))
     names = ["path", "source", "format", "blocks", "meta", "errors"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for data, name, kind in zip(batch.column("content"), batch.column("name").to_pylist(), batch.column("format").to_pylist(), strict=True):
+            for data, name, kind, relative in zip(batch.column("content"), *(batch.column(c).to_pylist() for c in ("name", "format", "relative")), strict=True):
                 try:
-                    found.append(EXTRACTORS[kind](data.as_py(), name))
+                    blocks_, meta, errors = EXTRACTORS[kind](data.as_py(), name)
+                    if kind == "pbf" and (place := place_of(relative)):
+                        meta |= {k: str(v) for k, v in zip(("zoom", "tile_x", "tile_y"), place, strict=True) if v is not None}
+                    found.append((blocks_, meta, errors))
                 except Exception as e:  # a file must not stop the others
                     found.append(([], {}, [f"{type(e).__name__}: {e}"]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("relative"), batch.column("name"), batch.column("format"), pa.array([x[0] for x in found], blocks), pa.array([list(x[1].items()) for x in found], pa.map_(pa.string(), pa.string())), pa.array([x[2] for x in found], pa.list_(pa.string()))],
+                [batch.column("relative"), batch.column("name"), batch.column("format"), pa.array([[b | {"data": list(b["data"].items())} for b in x[0]] for x in found], blocks), pa.array([list(x[1].items()) for x in found], pa.map_(pa.string(), pa.string())), pa.array([x[2] for x in found], pa.list_(pa.string()))],
                 names=names,
             )
 
     schema = ", ".join(c for c in DOCUMENT.split(", ", 5)[5:])
     docs = rows.select("content", "relative", "name", "format").mapInArrow(run, "path string, source string, format string, " + schema)
     head = F.substring(F.array_join(F.transform("blocks", lambda b: b["text"]), " "), 1, 4000)
+    bounds = T.tile_bounds(*(F.col("meta")[k].cast("int") for k in ("zoom", "tile_x", "tile_y")))
+    box = F.when(F.col("meta")["tile_y"].isNotNull(), F.to_json(F.array(*(bounds[k] for k in ("west", "south", "east", "north")))))
+    docs = docs.withColumn("meta", F.when(box.isNotNull(), F.map_concat("meta", F.create_map(F.lit("bbox"), box))).otherwise(F.col("meta")))
     return docs.select(T.document_id(F.col("path")).alias("doc_id"), "path", "source", "format", T.function_word_language(head).alias("language"), "blocks", "meta", "errors")
 
 
