@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quernstone.functions.text import once
+
 #: Abbreviations that never end a sentence (all languages, then each).
 COMMON = "cf. vs. Vs. e.g. E.g. i.e. I.e. Ph.D. PhD. et. Fig. fig. Figs. figs. Tab. tab. Ref. ref. Refs. op. cit. loc. p. pp. ed. eds. Ed. vol. Vol. vols. cap. caps. núm. no. No. nº. n. Dr. Dra. Drs. Prof. Profa. Sr. Sra. St. Univ. Dept. Corp."
 OWN = {
@@ -20,7 +22,10 @@ OWN = {
 #: Abbreviations that may end one, where an upper-case letter follows.
 AMBIGUOUS = "etc. al. Inc. Ltd. Ltda. Co. Cia. Cía. S.A. Corp."
 
-_CUT = r"(?<=[.!?…])\s+|(?<=[.!?…][\"'»”’\)\]])\s+"
+#: After closing punctuation; after a closing mark behind it only before an upper-case letter or an opening mark.
+_CUT = r"(?<=[.!?…])\s+|(?<=[.!?…][\"'»”’\)\]])\s+(?=[\p{Lu}¿¡«\"“‘])"
+#: Stands between sentences while they are one string; normalised text has no controls.
+_MARK = "\x01"
 
 
 def pieces(clean: Column) -> Column:
@@ -29,23 +34,33 @@ def pieces(clean: Column) -> Column:
 
 
 def is_false_cut(left: Column, right: Column, language: str = "es") -> Column:
-    """Whether the text between ``left`` and the piece ``right`` runs on."""
+    """Whether the text between the piece ``left`` and the next one, ``right``, runs on."""
     never = sorted(set(f"{COMMON} {OWN.get(language, OWN['es'])}".split()) - set(AMBIGUOUS.split()))
-    last = F.regexp_extract(left, r"(\S+)$", 1)
-    first = F.substring(right, 1, 1)
-    lower, upper = first.rlike(r"^\p{Ll}"), first.rlike(r"^\p{Lu}")
-    return (
-        last.isin(never)
-        | last.rlike(r"^(?:[A-ZÁÉÍÓÚÑÜÇ]{1,3}\.){2,}$|^[A-ZÁÉÍÓÚÑÜÇ]\.$")
-        | F.when(last.isin(AMBIGUOUS.split()), ~upper).otherwise(~left.rlike(r"[.!?…][\"'»”’\)\]]*$") & lower)
-    )
+    lower, upper = right.rlike(r"^\p{Ll}"), right.rlike(r"^\p{Lu}")
+
+    def judged(last: Column) -> Column:
+        return (
+            last.isin(never)
+            | last.rlike(r"^(?:[A-ZÁÉÍÓÚÑÜÇ]{1,3}\.){2,}$|^[A-ZÁÉÍÓÚÑÜÇ]\.$")
+            | F.when(last.isin(AMBIGUOUS.split()), ~upper).otherwise(lower & (~last.rlike(r"[.!?…][\"'»”’\)\]]*$") | last.rlike(r"(?:\.\.\.|…)[\"'»”’\)\]]*$")))
+        )
+
+    return once(F.substring_index(left, " ", -1), judged)
 
 
 def sentences(clean: Column, language: str = "es") -> Column:
-    """Sentences of a normalised text; null gives null, an empty text none."""
-    step = lambda acc, p: F.when(
-        (F.size(acc) > 0) & is_false_cut(F.element_at(acc, -1), p, language),
-        F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.concat_ws(" ", F.element_at(acc, -1), p))),
-    ).otherwise(F.concat(acc, F.array(p)))
-    merged = F.aggregate(pieces(clean), F.array().cast("array<string>"), step)
-    return F.when(clean == "", F.array().cast("array<string>")).when(F.array_join(merged, " ") == clean, merged).otherwise(F.array(clean))
+    """Sentences of a normalised text; null gives null, an empty text none.
+
+    Each cut is judged by its two neighbours alone, so all are judged in one pass
+    and the pieces are joined and cut again: linear in the text.
+    """
+    gap = lambda left, right: F.when(right.isNull(), F.lit("")).when(is_false_cut(left, right, language), F.lit(" ")).otherwise(F.lit(_MARK))
+
+    def joined(p: Column) -> Column:
+        return F.array_join(F.zip_with(p, F.slice(p, F.lit(2), F.greatest(F.size(p) - 1, F.lit(0))), lambda a, b: F.concat(a, gap(a, b))), "")
+
+    def cut(text: Column, marked: Column) -> Column:
+        whole = F.translate(marked, _MARK, " ") == text
+        return F.when(text.isNull(), F.lit(None)).when(text == "", F.array().cast("array<string>")).when(whole, F.split(marked, _MARK)).otherwise(F.array(text))
+
+    return once(clean, lambda text: once(once(pieces(text), joined), lambda marked: cut(text, marked)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -45,6 +46,11 @@ ARTICLES = "el la los las un una unos unas o a os as um uma the an".split()
 NAME_EDGES = "\"'“”‘’()[]{}.,;:!¡?¿-–—…«»|/\\ \t\n"
 
 
+def once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once a row, however often ``then`` names it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def normalised(text: Column) -> Column:
     """Canonical text: any white space to one space, controls and invisibles out, trimmed.
 
@@ -123,18 +129,23 @@ def document_of_fragment(fragment: Column) -> Column:
 
 def function_word_language(text: Column, default: str = DEFAULT_LANGUAGE) -> Column:
     """The language with most function words; ties in stated order; none: the default."""
-    clean = normalised(text)
-    words = F.regexp_extract_all(F.lower(clean), F.lit(r"([\p{L}]+)"), F.lit(1))
-
-    def among(vocabulary: str) -> Column:
-        return F.size(F.filter(words, lambda w: w.isin(sorted(set(vocabulary.split())))))
-
-    hits = {k: among(v) for k, v in FUNCTION_WORDS.items()}
-    most = F.greatest(*hits.values())
-    pick = F.when((most == 0) | (F.length(clean) < LEAST_FOR_LANGUAGE), F.lit(default))
-    for k, n in hits.items():
-        pick = pick.when(n == most, F.lit(k))
-    return F.coalesce(pick, F.lit(default))
+
+    def picked(clean: Column, hits: Column) -> Column:
+        most = F.greatest(*(hits[k] for k in FUNCTION_WORDS))
+        pick = F.when((most == 0) | (F.length(clean) < LEAST_FOR_LANGUAGE), F.lit(default))
+        for k in FUNCTION_WORDS:
+            pick = pick.when(hits[k] == most, F.lit(k))
+        return F.coalesce(pick, F.lit(default))
+
+    def counted(words: Column) -> Column:
+        among = lambda v: F.size(F.filter(words, lambda w: w.isin(sorted(set(v.split())))))
+        return F.struct(*(among(v).alias(k) for k, v in FUNCTION_WORDS.items()))
+
+    def judged(clean: Column) -> Column:
+        words = F.regexp_extract_all(F.lower(clean), F.lit(r"([\p{L}]+)"), F.lit(1))
+        return once(once(words, counted), lambda hits: picked(clean, hits))
+
+    return F.coalesce(once(normalised(text), judged), F.lit(default))
 
 
 def _accents() -> tuple[str, str]:

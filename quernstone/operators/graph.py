@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -14,32 +15,32 @@ from quernstone.functions import text as T
 
 #: Relations in order of precedence, each with the word starts that show it.
 RELATIONS = {
-    "desarrolla": "desarroll desenvolv develop",
-    "financia": "financi fund invest invers investiment subvencion presupuest",
-    "opera": "opera oper gestion administra manage",
-    "lanza": "lanz launch lanc despega puso_en_orbita put_into_orbit",
-    "monitorea": "monitore monitor vigil rastre track observ supervis detect",
-    "colabora_con": "colabor cooper parceri partner alianz allianc conjunt joint acuerdo_con agreement_with trabaja_con works_with",
-    "firma": "firm assin sign ratific suscrib adopt",
-    "regula": "regul normativ legisl reglament 标准 estandariz standard",
-    "prohibe": "prohib proib ban veta veda restring restrict limit",
-    "amenaza": "amenaz ameac threat pone_en_riesgo puts_at_risk compromet vulner",
-    "despliega": "despleg deploy implant instal posicion",
-    "ataca": "atac attack bombarde invad agred hostil",
-    "exporta": "export vend sell suministr supply provee provid",
-    "adquiere": "adquir compr purchas acquir obtien obtain import",
-    "produce": "produc produz fabric manufactur construy build constru",
-    "integra": "integr incorpor incluy includ compone forma_parte part_of miembro_de member_of",
-    "apoya": "apoy support respald suport asist assist promue promot fomenta foster",
-    "compite_con": "compit compet rival disput contest",
-    "sanciona": "sancion sanction penaliz multa embargo",
-    "afecta": "afect impact perjudic damag harm deterior influy influenc",
-    "aumenta": "aument increas cresc crec expand amplia acelera accelerat",
-    "reduce": "reduc reduz decreas disminu mitig declin",
-    "utiliza": "utiliz emplea uses using usa usan aplicac aplic appli adopt",
-    "investiga": "investig research pesquis estudi study analiz analyz analys",
-    "publica": "public report inform document divulg anunci announc",
-    "alberga": "alberg aloja host sede ubicad locat situad",
+    "desarrolla": ("desarroll", "desenvolv", "develop"),
+    "financia": ("financi", "fund", "invest", "invers", "investiment", "subvencion", "presupuest"),
+    "opera": ("opera", "oper", "gestion", "administra", "manage"),
+    "lanza": ("lanz", "launch", "lanc", "despega", "puso en orbita", "put into orbit"),
+    "monitorea": ("monitore", "monitor", "vigil", "rastre", "track", "observ", "supervis", "detect"),
+    "colabora_con": ("colabor", "cooper", "parceri", "partner", "alianz", "allianc", "conjunt", "joint", "acuerdo con", "agreement with", "trabaja con", "works with"),
+    "firma": ("firm", "assin", "sign", "ratific", "suscrib", "adopt"),
+    "regula": ("regul", "normativ", "legisl", "reglament", "标准", "estandariz", "standard"),
+    "prohibe": ("prohib", "proib", "ban", "veta", "veda", "restring", "restrict", "limit"),
+    "amenaza": ("amenaz", "ameac", "threat", "pone en riesgo", "puts at risk", "compromet", "vulner"),
+    "despliega": ("despleg", "deploy", "implant", "instal", "posicion"),
+    "ataca": ("atac", "attack", "bombarde", "invad", "agred", "hostil"),
+    "exporta": ("export", "vend", "sell", "suministr", "supply", "provee", "provid"),
+    "adquiere": ("adquir", "compr", "purchas", "acquir", "obtien", "obtain", "import"),
+    "produce": ("produc", "produz", "fabric", "manufactur", "construy", "build", "constru"),
+    "integra": ("integr", "incorpor", "incluy", "includ", "compone", "forma parte", "part of", "miembro de", "member of"),
+    "apoya": ("apoy", "support", "respald", "suport", "asist", "assist", "promue", "promot", "fomenta", "foster"),
+    "compite_con": ("compit", "compet", "rival", "disput", "contest"),
+    "sanciona": ("sancion", "sanction", "penaliz", "multa", "embargo"),
+    "afecta": ("afect", "impact", "perjudic", "damag", "harm", "deterior", "influy", "influenc"),
+    "aumenta": ("aument", "increas", "cresc", "crec", "expand", "amplia", "acelera", "accelerat"),
+    "reduce": ("reduc", "reduz", "decreas", "disminu", "mitig", "declin"),
+    "utiliza": ("utiliz", "emplea", "uses", "using", "usa", "usan", "aplicac", "aplic", "appli", "adopt"),
+    "investiga": ("investig", "research", "pesquis", "estudi", "study", "analiz", "analyz", "analys"),
+    "publica": ("public", "report", "inform", "document", "divulg", "anunci", "announc"),
+    "alberga": ("alberg", "aloja", "host", "sede", "ubicad", "locat", "situad"),
 }
 #: The relation where none shows, words and entities between, triples a text.
 NO_RELATION, WORDS_BETWEEN, JUMPS, TRIPLES = "relacionado_con", 15, 2, 12
@@ -53,9 +54,8 @@ SENTENCE_START = r"(?<=[.!?;])\s+(?=[\"'“«(¿¡]?[A-ZÁÉÍÓÚÑ0-9])"
 
 def relation_of(between: Column) -> Column:
     """The first relation whose word start stands in a text, else NO_RELATION."""
-    plain = T.entity_key(between)
-    out = F.coalesce(*(F.when(plain.rlike(r"(?U)\b(?:" + stems.replace(" ", "|").replace("_", " ") + ")"), F.lit(name)) for name, stems in RELATIONS.items()), F.lit(NO_RELATION))
-    return out
+    first = lambda plain: F.coalesce(*(F.when(plain.rlike(r"(?U)\b(?:" + "|".join(stems) + ")"), F.lit(name)) for name, stems in RELATIONS.items()), F.lit(NO_RELATION))
+    return T.once(T.entity_key(between), first)
 
 
 def acronyms(text: Column) -> Column:
@@ -118,11 +118,14 @@ class Recogniser:
         )
 
     def entities(self, text: str) -> list[dict]:
-        found: list[dict] = []
+        found: list[dict] = []  # in order of place; spans never overlap
+        starts: list[int] = []
 
         def take(m: re.Match, name: str, kind: str, origin: str) -> None:
-            if not any(m.start() < f["end"] and f["start"] < m.end() for f in found):
-                found.append({"name": name, "kind": kind, "start": m.start(), "end": m.end(), "origin": origin})
+            at = bisect.bisect_left(starts, m.end())
+            if not at or found[at - 1]["end"] <= m.start():
+                starts.insert(at, m.start())
+                found.insert(at, {"name": name, "kind": kind, "start": m.start(), "end": m.end(), "origin": origin})
 
         for pattern, of in ((self.sensitive, self.d.sensitive.get), (self.insensitive, lambda s: self.folded.get(s.casefold()))):
             for m in pattern.finditer(text) if pattern else ():
@@ -136,7 +139,7 @@ class Recogniser:
             name = self.plain_name(m[1])
             if not self.label(text, m.end()) and not self.rejects(name, m.start()):
                 take(m, name, "NOMBRE", "name")
-        return sorted(found, key=lambda f: f["start"])
+        return found
 
 
 def recognise(texts: DataFrame, dictionary: Dictionary, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -158,7 +161,7 @@ def recognise(texts: DataFrame, dictionary: Dictionary, key: str = "doc_id", tex
                 cuts = [m.end() for m in start.finditer(t or "")] if found else []
                 for k, f in enumerate(found):
                     after = [t[f["end"] : max(f["end"], g["start"])] for g in found[k + 1 : k + 2 + JUMPS]]
-                    rows.append({key: ident, "pos": k, **f, "sentence": sum(c <= f["start"] for c in cuts), "between": after})
+                    rows.append({key: ident, "pos": k, **f, "sentence": bisect.bisect_right(cuts, f["start"]), "between": after})
             if rows:
                 columns = {n: [r[n] for r in rows] for n in rows[0]}
                 arrow = {"pos": pa.int32(), "start": pa.int32(), "end": pa.int32(), "sentence": pa.int32(), "between": pa.list_(pa.string())}

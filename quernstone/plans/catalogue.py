@@ -521,7 +521,7 @@ def entity_pairs_band_join(spark, sf_dir):
 
 def _relation_sql(column: str) -> str:
     plain = f"lower(strip_accents({column}))"
-    return "CASE " + " ".join(f"WHEN regexp_matches({plain}, '(^|[^\\p{{L}}\\p{{M}}\\p{{N}}_])({s.replace(' ', '|').replace('_', ' ')})') THEN '{r}'" for r, s in G.RELATIONS.items()) + f" ELSE '{G.NO_RELATION}' END"
+    return "CASE " + " ".join(f"WHEN regexp_matches({plain}, '(^|[^\\p{{L}}\\p{{M}}\\p{{N}}_])({'|'.join(s)})') THEN '{r}'" for r, s in G.RELATIONS.items()) + f" ELSE '{G.NO_RELATION}' END"
 
 
 @query(f"SELECT doc_id, {_relation_sql('text')} AS relation FROM documents")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -87,6 +88,12 @@ class Written:
 
 
 def let_go(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark delete the shuffle files of plans that nothing refers to any more.
+
+    Python's references are given up first, then those of the JVM, each a moment
+    after it was asked.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
