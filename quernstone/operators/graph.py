@@ -142,32 +142,33 @@ class Recogniser:
         return found
 
 
-def recognise(texts: DataFrame, dictionary: Dictionary, key: str = "doc_id", text: str = "text") -> DataFrame:
+def recognise(texts: DataFrame, dictionary: Dictionary, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(key, pos, name, kind, start, end, origin, sentence, between): entities in order.
 
     ``sentence`` counts sentence starts before the entity; ``between`` maps the
     next JUMPS + 1 places to the text up to that entity, so pairs need no second
-    look at the text. One pass, no shuffle; a null text has no entities.
+    look at the text. Columns ``keep`` go along. One pass, no shuffle; a null text
+    has no entities.
     """
-    kind = dict(texts.dtypes)[key]
-    schema = f"{key} {kind}, pos int, {ENTITIES}, sentence int, between array<string>"
+    kinds = dict(texts.dtypes)
+    schema = ", ".join([f"{key} {kinds[key]}", f"pos int, {ENTITIES}, sentence int, between array<string>", *(f"{c} {kinds[c]}" for c in keep)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, start = Recogniser(dictionary), re.compile(SENTENCE_START)
         for batch in batches:
             rows = []
-            for ident, t in zip(batch.column(key).to_pylist(), batch.column(text).to_pylist(), strict=True):
+            for ident, t, *kept in zip(*(batch.column(c).to_pylist() for c in (key, text, *keep)), strict=True):
                 found = own.entities(t or "")
                 cuts = [m.end() for m in start.finditer(t or "")] if found else []
                 for k, f in enumerate(found):
                     after = [t[f["end"] : max(f["end"], g["start"])] for g in found[k + 1 : k + 2 + JUMPS]]
-                    rows.append({key: ident, "pos": k, **f, "sentence": bisect.bisect_right(cuts, f["start"]), "between": after})
+                    rows.append({key: ident, "pos": k, **f, "sentence": bisect.bisect_right(cuts, f["start"]), "between": after, **dict(zip(keep, kept, strict=True))})
             if rows:
                 columns = {n: [r[n] for r in rows] for n in rows[0]}
                 arrow = {"pos": pa.int32(), "start": pa.int32(), "end": pa.int32(), "sentence": pa.int32(), "between": pa.list_(pa.string())}
-                yield pa.RecordBatch.from_arrays([pa.array(v, batch.column(key).type if n == key else arrow.get(n, pa.string())) for n, v in columns.items()], names=list(columns))
+                yield pa.RecordBatch.from_arrays([pa.array(v, batch.column(n).type if n in (key, *keep) else arrow.get(n, pa.string())) for n, v in columns.items()], names=list(columns))
 
-    return texts.select(key, text).mapInArrow(run, schema)
+    return texts.select(key, text, *keep).mapInArrow(run, schema)
 
 
 def entity_pairs(entities: DataFrame, key: str = "doc_id") -> DataFrame:
