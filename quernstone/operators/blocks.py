@@ -58,9 +58,14 @@ def modal(df: DataFrame, keys: list[str], value: str, into: str) -> DataFrame:
 
 
 def title_levels(sizes: DataFrame, body: float, size: str = "size") -> DataFrame:
-    """(size, level): sizes over 1.15 times the body's, largest first, levels 1 to 6."""
+    """(size, level): sizes over 1.15 times the body's, largest first, levels 1 to 6.
+
+    Only the LEVELS - 1 largest are ranked; all others have the last level.
+    """
     large = sizes.where(F.col(size) > 1.15 * body).select(size).distinct()
-    return large.withColumn("level", F.least(F.dense_rank().over(Window.orderBy(F.desc(size))), F.lit(LEVELS)))
+    first = large.orderBy(F.desc(size)).limit(LEVELS - 1)
+    ranked = first.withColumn("level", F.row_number().over(Window.orderBy(F.desc(size))))  # a few rows
+    return large.join(F.broadcast(ranked), size, "left").withColumn("level", F.coalesce("level", F.lit(LEVELS)))
 
 
 def widest_gap(occupied: DataFrame, keys: list[str], band: str, into: str = "gap") -> DataFrame:

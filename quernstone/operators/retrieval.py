@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bytes of query vectors a task holds; larger query sets are searched in blocks.
-QUERY_BYTES = 32 << 20
+#: Bytes of query vectors a task holds, scores computed at once; larger query sets are searched in blocks.
+QUERY_BYTES, SCORES = 32 << 20, 1 << 22
 #: Documents and fragments delivered, candidates asked for.
 TOP_DOCUMENTS, TOP_FRAGMENTS, CANDIDATES = 3, 10, 50
 
@@ -35,13 +35,26 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
+def _best(score: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each line's ``k`` largest scores, ties to smaller rows: a partition finds the k-th, then few are sorted."""
+    if score.shape[1] > 2 * k:
+        kth = -np.partition(-score, k - 1, axis=1)[:, k - 1 : k]
+        # Scores above the k-th, and of equals to it the smallest rows.
+        rank = np.where(score > kth, -1, np.where(score == kth, row, np.iinfo(np.int64).max))
+        keep = np.argpartition(rank, k - 1, axis=1)[:, :k]
+        score, row = np.take_along_axis(score, keep, 1), np.take_along_axis(row, keep, 1)
+    order = np.lexsort((row, -score), axis=1)[:, :k]
+    return np.take_along_axis(score, order, 1), np.take_along_axis(row, order, 1)
+
+
 def top_k(index: DataFrame, queries: DataFrame, k: int = CANDIDATES) -> DataFrame:
     """(query_id, rank, row_id, score): the ``k`` rows of largest inner product of each query.
 
     ``index`` has (row_id, vec), ``queries`` (query_id, qvec), all of one length;
     ties go to the smaller row_id. A task scores each Arrow batch with one matrix
-    product and keeps k rows a query, so tasks x queries x k rows are shuffled.
-    Queries go to tasks in blocks of at most QUERY_BYTES.
+    product of at most SCORES numbers at a time and keeps k rows a query, so tasks
+    x queries x k rows are shuffled. Queries go to tasks in blocks of at most
+    QUERY_BYTES. Row ids are not negative.
     """
     spark = index.sparkSession
     ask = queries.select(F.col("query_id").cast("long"), F.col("qvec").cast("array<double>")).orderBy("query_id")
@@ -60,12 +73,13 @@ def top_k(index: DataFrame, queries: DataFrame, k: int = CANDIDATES) -> DataFram
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, q = own.value
             best_score, best_row = np.full((len(q), 0), -np.inf), np.zeros((len(q), 0), np.int64)
+            step = max(k, SCORES // max(1, len(q)))
             for batch in batches:
-                rows = batch.column("row_id").to_numpy()
-                score = np.hstack([best_score, q @ _matrix(batch.column("vec"), dim).T])
-                row = np.hstack([best_row, np.broadcast_to(rows, (len(q), len(rows)))])
-                order = np.lexsort((row, -score), axis=1)[:, :k]
-                best_score, best_row = np.take_along_axis(score, order, 1), np.take_along_axis(row, order, 1)
+                for at in range(0, batch.num_rows, step):
+                    part = batch.slice(at, step)
+                    score = np.hstack([best_score, q @ _matrix(part.column("vec"), dim).T])
+                    row = np.hstack([best_row, np.broadcast_to(part.column("row_id").to_numpy(), (len(q), part.num_rows))])
+                    best_score, best_row = _best(score, row, k)
             n = best_row.shape[1]
             if n:
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, n)), pa.array(best_row.ravel()), pa.array(best_score.ravel())], names=["query_id", "row_id", "score"])
@@ -96,6 +110,12 @@ def distinct_texts(candidates: DataFrame, keys: list[str], text: str, order: lis
     return candidates.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
+def first_rows_by_rank(candidates: DataFrame, top: int = TOP_FRAGMENTS) -> DataFrame:
+    """The ``top`` best candidates of each query with their ``place``; reranking would come before this cut."""
+    w = Window.partitionBy("query_id").orderBy("rank")
+    return candidates.withColumn("place", F.row_number().over(w)).where(F.col("place") <= top)
+
+
 def language_filter(candidates: DataFrame, language: str | None, column: str = "lang") -> DataFrame:
     """After the top-k cut, on purpose: the list shrinks and is not filled up again."""
     return candidates if language is None else candidates.where(F.col(column) == language)
