@@ -9,12 +9,18 @@ from pyspark.sql import functions as F
 
 from quernstone.functions import sentences as S
 from quernstone.functions import text as T
+from quernstone.operators import assembly as M
 from quernstone.operators import blocks as B
 from quernstone.operators import chunk as C
+from quernstone.operators import contract as K
+from quernstone.operators import encode as E
 from quernstone.operators import graph as G
+from quernstone.operators import layout as L
 from quernstone.operators import relational as R
 from quernstone.operators import retrieval as V
 from quernstone.session import table
+from quernstone.sources import artefacts as A
+from quernstone.sources import inventory as I
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -328,9 +334,10 @@ def duplicate_texts(spark, sf_dir):
 @query("SELECT doc_id, md5(text) AS code FROM documents")
 def encode_once_reuse(spark, sf_dir):
     """Each distinct text is encoded once and the code joined back (here a digest stands for the encoder)."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.xxhash64("text").alias("h"))
-    codes = docs.select("h", "text").distinct().select("h", F.col("text").alias("t"), F.md5(F.col("text").cast("binary")).alias("code"))
-    return docs.join(codes, (docs["h"] == codes["h"]) & (docs["text"] == codes["t"])).select("doc_id", "code")
+    keys = (F.xxhash64("text").alias("k1"), F.hash("text", F.length("text")).alias("k2"))  # 96 bits tell texts apart; rows carry no text
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", *keys)
+    codes = docs.groupBy("k1", "k2").agg(F.first("text").alias("text")).select("k1", "k2", F.md5(F.col("text").cast("binary")).alias("code"))
+    return docs.select("doc_id", "k1", "k2").join(codes, ["k1", "k2"]).select("doc_id", "code")
 
 
 @query("SELECT conv_id, min(turn) AS turn, count(*) AS n FROM conversations GROUP BY conv_id, lower(trim(regexp_replace(text, '\\s+', ' ', 'g')))")
@@ -426,11 +433,27 @@ def sentence_split(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.size(cut).cast("long").alias("n"), F.md5(F.array_join(cut, "|").cast("binary")).alias("digest"))
 
 
-@query()
+def _sentences_sql() -> str:
+    """Pieces are cut as in ``_PIECES``, each cut is judged by its neighbours, and pieces that run on are joined."""
+    never = set(f"{S.COMMON} {S.OWN['en']}".split()) - set(S.AMBIGUOUS.split())
+    mark = "[\"'»”’)\\]]"
+    # A cut after a closing mark stands only before an upper-case letter or an opening mark.
+    cut = f"regexp_replace(regexp_replace({normal('text')}, '([.!?…])\\s+', '\\1' || chr(1), 'g'), '([.!?…]{mark.replace(chr(39), chr(39) * 2)})\\s+([\\p{{Lu}}¿¡«\"“‘])', '\\1' || chr(1) || '\\2', 'g')"
+    ends = mark.replace("'", "''")
+    return f"""WITH p AS (SELECT doc_id, list_filter(string_split({cut}, chr(1)), lambda x: x <> '') AS s, {normal('text')} AS t FROM documents),
+    e AS (SELECT doc_id, unnest(s) AS l, unnest(list_append(s[2:], NULL)) AS r, generate_subscripts(s, 1) AS i FROM p),
+    w AS (SELECT *, regexp_extract(l, '([^ ]+)$', 1) AS last, regexp_matches(r, '^\\p{{Ll}}') AS low, regexp_matches(r, '^\\p{{Lu}}') AS up FROM e),
+    j AS (SELECT doc_id, i, l || CASE WHEN r IS NULL THEN '' WHEN last IN {_in(sorted(never))} OR regexp_matches(last, '^([A-ZÁÉÍÓÚÑÜÇ]{{1,3}}\\.){{2,}}$|^[A-ZÁÉÍÓÚÑÜÇ]\\.$')
+        OR (last IN {_in(S.AMBIGUOUS)} AND NOT up) OR (last NOT IN {_in(S.AMBIGUOUS)} AND low AND (NOT regexp_matches(last, '[.!?…]{ends}*$') OR regexp_matches(last, '(\\.\\.\\.|…){ends}*$'))) THEN ' ' ELSE chr(1) END AS x FROM w)
+    SELECT doc_id, coalesce(len(string_split(m, chr(1))), 0)::BIGINT AS n, md5(coalesce(replace(m, chr(1), '|'), '')) AS digest, coalesce(replace(m, chr(1), ' '), '') = t AS lossless
+    FROM p LEFT JOIN (SELECT doc_id, string_agg(x, '' ORDER BY i) AS m FROM j GROUP BY 1) USING (doc_id)"""
+
+
+@query(_sentences_sql())
 def sentences(spark, sf_dir):
     clean = T.normalised(F.col("text"))
-    rows = table(spark, sf_dir, "documents").select("doc_id", clean.alias("t"), S.sentences(clean, "en").alias("s"))
-    return rows.select("doc_id", F.size("s").cast("long").alias("n"), (F.array_join("s", " ") == F.col("t")).alias("lossless"))
+    found = lambda t: T.once(S.sentences(t, "en"), lambda s: F.struct(F.size(s).cast("long").alias("n"), F.md5(F.array_join(s, "|").cast("binary")).alias("digest"), (F.array_join(s, " ") == t).alias("lossless")))
+    return table(spark, sf_dir, "documents").select("doc_id", T.once(clean, found).alias("f")).select("doc_id", "f.*")
 
 
 _PACK = f"""l AS (SELECT doc_id, pos + 1 AS i, {words(normal('line'))} AS w FROM {LINES}),
@@ -571,6 +594,178 @@ def partial_merge_equals_direct(spark, sf_dir):
     return G.merged(*(_edges(spark, sf_dir, f"doc_id % 3 = {k}") for k in range(3)))
 
 
+# Layout, identity, reports, graph tables -----------------------------------------
+
+
+@query(f"SELECT doc_id::VARCHAR AS doc_id, pos // 60 AS page, (row_number() OVER (PARTITION BY doc_id, pos // 60 ORDER BY pos) - 1)::BIGINT AS line, md5({normal('line')}) AS digest FROM {LINES} WHERE {normal('line')} <> ''")
+def layout_lines(spark, sf_dir):
+    """Words of the texts set 60 lines a page; the lines that their places give are those of the texts."""
+    words_of = F.split(T.normalised(F.col("line")), " ")
+    placed = lines_of(spark, sf_dir).select("doc_id", F.expr("pos div 60").alias("page"), (12.0 * (F.col("pos") % 60)).alias("top"), F.posexplode(words_of).alias("k", "text")).where("text <> ''")
+    x = 10.0 * F.col("k")
+    words = placed.select("doc_id", "page", F.lit(0.0).alias("width"), "text", x.alias("x0"), (x + 8).alias("x1"), "top", (F.col("top") + 9).alias("bottom"), F.lit(9.0).alias("size"))
+    return L.page_lines(words).select("doc_id", F.col("page").cast("long").alias("page"), F.col("line").cast("long").alias("line"), F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+_LETTERS = "len(list_filter(w, lambda x: regexp_matches(x, '" + L.LETTER + "')))"
+
+
+@query(f"SELECT doc_id, count(*) AS n_lines, count_if(len(w) > 0 AND {_LETTERS} / len(w) > {L.LETTER_SHARE})::BIGINT AS illegible, sum(length(array_to_string(list_filter(w, lambda x: NOT regexp_matches(x, '{L.LETTER}')), ' ')))::BIGINT AS useful FROM (SELECT doc_id, list_filter(string_split({normal('line')}, ' '), lambda x: x <> '') AS w FROM {LINES}) GROUP BY 1")
+def illegible_lines(spark, sf_dir):
+    """Lines judged as pages are: lone letters make one illegible, and say nothing."""
+    clean = lines_of(spark, sf_dir).select("doc_id", T.normalised(F.col("line")).alias("t"))
+    return clean.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if(L.is_illegible(F.col("t"))).alias("illegible"), F.sum(F.length(L.useful_text(F.col("t")))).cast("long").alias("useful"))
+
+
+@query(f"SELECT doc_id, count_if(t)::BIGINT AS titles, round(100.0 * count_if(t) / count(*), 1) AS share FROM (SELECT doc_id, {words(normal('line'))} BETWEEN 1 AND {L.TITLE_WORDS} AS t FROM {LINES}) GROUP BY 1")
+def title_like_lines(spark, sf_dir):
+    n = lines_of(spark, sf_dir).groupBy("doc_id").agg(F.count_if(L.looks_like_title(F.col("line"))).alias("titles"), F.count("*").alias("n"))
+    return n.select("doc_id", "titles", K.percentage(F.col("titles"), F.col("n")).alias("share"))
+
+
+_PATHS = "(SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'F2_data/' WHEN 1 THEN 'x/f3-' || lang || '/' WHEN 2 THEN 'Fenómeno 1/F2_y/' WHEN 3 THEN 'F4_none/fenomeno/' ELSE '' END || source || '/' || doc_id || '.txt' AS path FROM documents)"
+
+
+@query(f"SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 2 THEN 1 ELSE 0 END::BIGINT AS phenomenon FROM {_PATHS}")
+def folder_phenomenon(spark, sf_dir):
+    path = F.expr("concat(CASE doc_id % 5 WHEN 0 THEN 'F2_data/' WHEN 1 THEN concat('x/f3-', lang, '/') WHEN 2 THEN 'Fenómeno 1/F2_y/' WHEN 3 THEN 'F4_none/fenomeno/' ELSE '' END, source, '/', doc_id, '.txt')")
+    return table(spark, sf_dir, "documents").select("doc_id", F.coalesce(I.folder_phenomenon(path), F.lit(0)).cast("long").alias("phenomenon"))
+
+
+@query("SELECT d.doc_id, coalesce('F1-AB-' || l.doc_id, 'derived') AS id, coalesce(l.quality + 1, CASE WHEN d.doc_id % 2 = 0 THEN 3 END, 1)::BIGINT AS phenomenon, CASE WHEN l.doc_id IS NOT NULL THEN 'indice' WHEN d.doc_id % 2 = 0 THEN 'carpeta' ELSE 'defecto' END AS origin FROM documents d LEFT JOIN labels l USING (doc_id)")
+def file_identity(spark, sf_dir):
+    """Documents as files: labelled ones are the inventory, even ids lie in a folder that states a phenomenon."""
+    relative = F.expr("concat(IF(doc_id % 2 = 0, 'F3_x/', 'x/'), doc_id, '.txt')").alias("relative")
+    files = table(spark, sf_dir, "documents").select("doc_id", relative).select(F.col("doc_id").alias("number"), "relative", F.element_at(F.split("relative", "/"), -1).alias("name"))
+    index = table(spark, sf_dir, "labels").select(relative, F.expr("concat('F1-AB-', doc_id)").alias("doc_id"), (F.col("quality") + 1).alias("phenomenon"), F.lit("O").alias("observatory"), F.lit("O").alias("observatory_code"))
+    found = I.identities(files, index)
+    return found.select(F.col("number").alias("doc_id"), F.when(F.col("id_origin") == "indice", F.col("doc_id")).otherwise("derived").alias("id"), F.col("phenomenon").cast("long").alias("phenomenon"), F.col("phenomenon_origin").alias("origin"))
+
+
+def _typed(spark, sf_dir):
+    """Documents in the contract's form: a line a block, the language as it is, odd ones without errors."""
+    block = lambda x: F.struct(x.alias("text"), F.lit("paragraph").alias("kind"), F.lit(None).cast("int").alias("level"), F.array().cast("array<string>").alias("path"), F.lit(None).cast("int").alias("page"), F.lit(False).alias("atomic"), F.create_map().cast("map<string,string>").alias("data"))
+    errors = F.when(F.col("doc_id") % 10 == 0, F.array(F.concat(F.lit("odd: "), F.col("doc_id").cast("string")))).otherwise(F.array().cast("array<string>"))
+    blocks = F.when(F.col("doc_id") % 20 == 0, F.array().cast("array<struct<text:string,kind:string,level:int,path:array<string>,page:int,atomic:boolean,data:map<string,string>>>")).otherwise(F.transform(F.split("text", "\n"), block))
+    return table(spark, sf_dir, "documents").select(F.expr("concat('F1-AB-', doc_id)").alias("doc_id"), "source", F.lit("txt").alias("format"), (F.col("doc_id") % 4).cast("int").alias("phenomenon"), F.col("lang").alias("language"), blocks.alias("blocks"), F.create_map(F.lit("observatorio"), F.col("lang")).alias("meta"), errors.alias("errors"))
+
+
+_TYPED = f"""b AS (SELECT doc_id, line, pos FROM {LINES} WHERE doc_id % 20 <> 0), d AS (SELECT doc_id, 'F1-AB-' || doc_id AS id, lang, source, count(line) AS n, coalesce(sum(length(line)), 0)::BIGINT AS chars FROM documents LEFT JOIN b USING (doc_id) GROUP BY ALL)"""
+
+
+@query(f"WITH {_TYPED} SELECT id AS doc_id, n AS n_blocks, chars AS n_chars, (doc_id % 10 = 0)::BIGINT AS n_errors, lang AS observatory FROM d")
+def manifest_entries(spark, sf_dir):
+    rows = A.manifest_rows(_typed(spark, sf_dir))
+    return rows.select("doc_id", F.col("n_blocks").cast("long").alias("n_blocks"), "n_chars", F.col("n_errors").cast("long").alias("n_errors"), "observatory")
+
+
+@query(f"WITH {_TYPED} SELECT 'txt' AS format, count(*) AS docs, sum(n)::BIGINT AS blocks, sum(chars)::BIGINT AS chars FROM d")
+def extraction_summary(spark, sf_dir):
+    return K.extraction_summary(_typed(spark, sf_dir))
+
+
+@query("SELECT 'odd' AS reason, count(*) AS n FROM documents WHERE doc_id % 20 = 0 HAVING count(*) > 0")
+def failure_reasons(spark, sf_dir):
+    return K.failure_reasons(_typed(spark, sf_dir))
+
+
+@query(
+    f"""WITH v AS (SELECT doc_id, count_if(c = '') AS empty, count_if(c <> '' AND c <> line) AS raw FROM (SELECT doc_id, line, {normal('line')} AS c FROM {LINES} WHERE doc_id % 20 <> 0) GROUP BY 1)
+    SELECT * FROM (SELECT 'F1-AB-' || doc_id AS doc_id, coalesce(empty, 0)::BIGINT AS empty, coalesce(raw, 0)::BIGINT AS raw, (doc_id % 4 = 0)::BIGINT + (lang NOT IN ('es', 'en', 'pt'))::BIGINT AS own FROM documents LEFT JOIN v USING (doc_id)) WHERE empty + raw + own > 0"""
+)
+def document_contract(spark, sf_dir):
+    found = K.document_violations(_typed(spark, sf_dir))
+    n = lambda end: F.size(F.filter("violations", lambda m: m.endswith(end))).cast("long")
+    return found.select("doc_id", n("text is empty").alias("empty"), n("text is not normalised").alias("raw"), F.size(F.filter("violations", lambda m: m.startswith("unknown"))).cast("long").alias("own"))
+
+
+def _mentions(spark, sf_dir):
+    chats = table(spark, sf_dir, "conversations")
+    line = (F.col("conv_id") * 100000 + F.col("turn")).alias("line")
+    return chats.select(line, F.col("conv_id").cast("string").alias("doc_id"), F.concat_ws("-", "conv_id", "turn").alias("chunk_id"), (F.col("turn") % 3).cast("int").alias("phenomenon"), F.lit(0).alias("pos"), F.col("role").alias("name"), F.lit("TEMA").alias("kind"), F.lit("dictionary").alias("origin"))
+
+
+_NODE_ROWS = """SELECT lower(role) AS node, count(*) AS mentions, count(DISTINCT (conv_id, turn)) AS n_chunks, count(DISTINCT conv_id) AS n_docs, CASE WHEN count_if(turn % 3 = 2) > count_if(turn % 3 = 1) THEN '2,1' WHEN count_if(turn % 3 = 1) = 0 THEN '' WHEN count_if(turn % 3 = 2) = 0 THEN '1' ELSE '1,2' END AS phenomena,
+    array_to_string(list(conv_id || '-' || turn ORDER BY conv_id, turn)[1:20], ',') AS chunk_ids FROM conversations GROUP BY 1"""
+
+
+def _node_rows(partial):
+    return M.node_table(partial).select("node", "mentions", "n_chunks", "n_docs", F.array_join(F.transform("phenomena", lambda p: p.cast("string")), ",").alias("phenomena"), F.array_join("chunk_ids", ",").alias("chunk_ids"))
+
+
+@query(_NODE_ROWS)
+def node_aggregate(spark, sf_dir):
+    return _node_rows(M.partial_nodes(_mentions(spark, sf_dir)))
+
+
+@query(_NODE_ROWS)
+def partial_nodes_merge(spark, sf_dir):
+    """The same graph from two batches: partial sums merge without loss."""
+    own = _mentions(spark, sf_dir)
+    none = M.partial_edges(spark.createDataFrame([], "line long, doc_id string, chunk_id string, phenomenon int, a string, relation string, b string"))
+    facts = spark.createDataFrame([], "what string, kind string, n long")
+    parts = [(M.partial_nodes(own.where(f"line % 2 = {k}")), none, facts) for k in (0, 1)]
+    return _node_rows(M.merge(*parts)[0])
+
+
+@query(f"SELECT doc_id, count(*) AS n, max(b)::BIGINT + 1 AS batches FROM (SELECT doc_id, sum(cut) OVER (PARTITION BY doc_id ORDER BY pos) AS b FROM (SELECT doc_id, pos, (pos > 0 AND pos % 4 = 0)::INT AS cut FROM {LINES})) GROUP BY 1")
+def batches_by_cost(spark, sf_dir):
+    """Lines of a document in batches of at most four, as all their costs are within the budget."""
+    config = E.EncoderConfig(batch=4, attention=1 << 62)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            sizes = [list(E.batches_by_cost(x, config)) for x in batch.column("lengths").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([sum(map(len, b)) for b in sizes], pa.int64()), pa.array([len(b) for b in sizes], pa.int64())], names=["doc_id", "n", "batches"])
+
+    lengths = F.transform(F.split("text", "\n"), F.length)
+    return table(spark, sf_dir, "documents").select("doc_id", lengths.alias("lengths")).mapInArrow(run, "doc_id long, n long, batches long")
+
+
+def _letters(texts):
+    """An encoder for queries and tests: how often each letter stands in a text, and that there is one."""
+    import numpy as np
+
+    out = np.zeros((len(texts), 128))
+    for row, t in zip(out, texts, strict=True):
+        row[:26] = [t.count(chr(97 + k)) for k in range(26)]
+        row[127] = 1
+    return out
+
+
+@query("SELECT item_id, 1 + length(text) - length(replace(text, 'e', '')) AS e_and_one, round(sqrt(1 + " + " + ".join(f"(length(text) - length(replace(text, '{chr(97 + k)}', ''))) ** 2" for k in range(26)) + "), 6) AS norm FROM benchmark")
+def index_vectors(spark, sf_dir):
+    """Vectors of the benchmark's texts by a letter count; the length before normalisation is read off them."""
+    rows = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("row_id"), F.col("text").alias("enriched"))
+    made = E.build_index(rows, _letters, E.EncoderConfig(dimension=128), len)
+    one = 1 / F.get("vec", F.lit(127))
+    return made.select(F.col("row_id").alias("item_id"), (1 + F.round(F.get("vec", F.lit(4)) * one)).cast("long").alias("e_and_one"), F.round(one, 6).alias("norm"))
+
+
+@query("SELECT count(*) AS n_vectors, count(*) - count(DISTINCT text) AS n_reused, max(length(text))::BIGINT AS tokens_max, quantile_disc(length(text), 0.95)::BIGINT AS tokens_p95, 0::BIGINT AS n_truncated FROM benchmark")
+def index_report(spark, sf_dir):
+    rows = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("row_id"), F.col("text").alias("enriched"), F.lit(1).alias("phenomenon"), F.lit("txt").alias("format"))
+    config = E.EncoderConfig(dimension=128)
+    report = E.index_report(E.build_index(rows, _letters, config, len), rows, config)
+    return report.select("n_vectors", "n_reused", F.col("tokens_max").cast("long").alias("tokens_max"), "tokens_p95", "n_truncated")
+
+
+@query(
+    f"""WITH {_TOP.format(k=50)}, docs AS (SELECT query_id, label, max(score) AS score, count(*) AS n FROM hits GROUP BY ALL),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, label) AS place FROM docs)
+    SELECT query_id::VARCHAR AS query_id, string_agg(label || ':' || n, ',' ORDER BY place) AS documents, max(round(score, 6)) AS best FROM placed WHERE place <= 3 GROUP BY 1"""
+)
+def result_record(spark, sf_dir):
+    """Nested answers of three documents each."""
+    best = V.best_documents(_candidates(spark, sf_dir, 50), "label").select(F.col("query_id").cast("string").alias("query_id"), "place", F.col("label").cast("string").alias("doc_id"), "score", F.col("n").alias("n_fragments"))
+    queries = best.select("query_id", F.col("query_id").alias("query")).distinct()
+    rows = A.result_rows(queries, best)
+    said = F.array_join(F.transform("documentos", lambda d: F.concat_ws(":", d["doc_id"], d["n_fragmentos"].cast("string"))), ",")
+    return rows.select("query_id", said.alias("documents"), F.array_max(F.transform("documentos", lambda d: d["score"])).alias("best"))
+
+
 @query()
 def entity_triples(spark, sf_dir):
     return G.triples(G.recognise(table(spark, sf_dir, "documents"), DICTIONARY))
