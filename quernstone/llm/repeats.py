@@ -4,70 +4,95 @@ A byte of a document goes where it is covered by a string of ``LENGTH`` bytes
 that also starts in a document of smaller id. Sorting every suffix of a corpus
 would move each byte many times over, so places that can match are found first:
 
-1. Anchors. Every window of LENGTH bytes picks the k-mer of least hash in it (the
-   leftmost on ties); equal windows pick equal k-mers. One shuffle of (hash,
-   document) shows which k-mers occur in several documents.
-2. Contexts. Around each such anchor the stretch of windows that picked it is
-   cut out and sent to the anchor's bucket: all windows that could be equal meet.
-3. Repeats. A bucket's distinct contexts form a suffix array of the suffixes long
-   enough, with common-prefix lengths. A stack scan walks its interval tree; an
-   interval whose suffixes are preceded by different bytes is a maximal repeat,
-   with all its occurrences. Occurrences in documents above the smallest of the
-   group are removed. Spans of all buckets are joined per document.
-
-Equal anchors and equal contexts within one block of a task are merged before
-they are shuffled, so a passage in very many documents sends a few rows a task.
+1. Contexts. Every window of LENGTH bytes picks the k-mer of least hash in it (the
+   leftmost on ties), its anchor; the windows that pick one anchor form a context.
+   Equal windows pick equal anchors. One shuffle of (anchor, digest of the
+   context, document, place), some 25 bytes each, brings equal anchors together.
+   Occurrences of one context are an interval of the suffix tree whose common
+   prefix is the whole context; those above its smallest document go.
+2. Repeats. Where an anchor has several contexts, parts of them may be equal. The
+   bytes of one occurrence of each are cut out, and an anchor's contexts form a
+   suffix array of the suffixes long enough, with common-prefix lengths. A stack
+   scan walks its interval tree; an interval whose suffixes are preceded by
+   different bytes is a maximal repeat, with all its occurrences. Those above the
+   smallest document of the group go.
+3. Removal. All spans meet their documents.
+
+What a task has read is merged before it is shuffled: of equal contexts the
+smallest document is sent, the others are repeats for certain; places that
+overlap are one run, so a periodic text is a few rows. An anchor with more than
+``WIDE`` contexts is never gathered: its windows themselves are the keys of a
+grouped minimum, a level of the tree deep enough for the question. Anchors that a
+sample shows to be so common are spread by context from the start.
 """
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+import zstandard
+from numpy.lib.stride_tricks import sliding_window_view
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.tokens import byte_blocks, mix
-from quernstone.session import materialise
+from quernstone.llm.columns import spare
+from quernstone.llm.tokens import byte_blocks, mix, power
+from quernstone.session import Written, let_go, materialise
 
 #: Fixed value: the length of a string that counts as repeated.
 LENGTH = 50
-#: k-mer length, bytes scanned at once, bytes of contexts sorted at once.
-KMER, BLOCK, CHUNK = 16, 2 << 20, 1 << 20
+#: k-mer length, bytes scanned at once, bytes of a piece of a long text, bytes of contexts sorted at once.
+KMER, BLOCK, PIECE, CHUNK = 16, 1 << 20, 1 << 21, 1 << 19
+#: Contexts merged before they are sent, and contexts a bucket should have.
+FLUSH, BUCKET = 1 << 19, 1 << 18
+#: Contexts of one anchor that one task takes; the sample that looks for common anchors.
+WIDE, SAMPLE_BYTES, SAMPLE_EVERY = 1 << 13, 256 << 20, 32
 #: Where null ids stand: above all others.
 LAST = (1 << 63) - 1
+#: Low bits of a hash that give way to a place; the same in every block.
+_PLACE = np.uint64((1 << 26) - 1)
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, text, first window and end of the last of each anchor of some texts.
+class Contexts(NamedTuple):
+    """Contexts of some texts: anchor, digest, number of the text, place in it, size."""
+
+    hash: np.ndarray
+    digest: np.ndarray
+    text: np.ndarray
+    at: np.ndarray
+    size: np.ndarray
+
 
-    Windows lie inside texts. Each anchor's windows are consecutive; its context
-    runs from the first window's start to the last one's end.
+def contexts_of(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> Contexts:
+    """The contexts of the texts whose bytes stand in ``data`` between ``offsets``.
+
+    Windows lie inside texts. A digest is a polynomial of the context's hashed
+    k-mers, so equal contexts have equal ones wherever they stand; its 48 bits stand
+    beside the 64 of the anchor.
     """
     n, none = len(data), np.zeros(0, np.int64)
-    if n < length or n >= 1 << 26:
-        if n >= 1 << 26:  # one huge text: overlapping pieces, so that no window is lost
-            parts, step = [], (1 << 25)
-            for t in range(len(offsets) - 1):
-                for a in range(offsets[t], max(offsets[t + 1] - length + 1, offsets[t] + 1), step):
-                    z = min(a + step + length - 1, offsets[t + 1])
-                    h, _, s, e = anchors(data[a:z], np.array([0, z - a]), length)
-                    parts.append((h, np.full(len(h), t), s + a, e + a))
-            return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (none.astype(np.uint64), none, none, none)
-        return none.astype(np.uint64), none, none, none
+    if n >= 2 * PIECE:  # long texts: overlapping pieces, so that no window is lost
+        parts = []
+        for t in range(len(offsets) - 1):
+            for a in range(offsets[t], max(offsets[t + 1] - length + 1, offsets[t] + 1), PIECE):
+                z = min(a + PIECE + length - 1, offsets[t + 1])
+                c = contexts_of(data[a:z], np.array([0, z - a]), length)
+                parts.append(c._replace(text=np.full(len(c.hash), t), at=c.at + (a - offsets[t])))
+        return Contexts(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+    if n < length:
+        return Contexts(none.astype(np.uint64), none.astype(np.uint64), none, none, none)
     raw = np.ascontiguousarray(data)
     eight = np.empty(n - 7, dtype=np.uint64)
     for o in range(8):
-        part = raw[o : o + (n - o) // 8 * 8].view("<u8")
-        eight[o::8] = part
-    hashes = eight[: n - KMER + 1] * np.uint64(0x9E3779B97F4A7C15) + eight[KMER - 8 :] * np.uint64(0xC2B2AE3D27D4EB4F)
-    hashes = mix(hashes)
-    low = np.uint64((1 << n.bit_length()) - 1)
-    least = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
+        eight[o::8] = raw[o : o + (n - o) // 8 * 8].view("<u8")
+    hashes = mix(eight[: n - KMER + 1] * np.uint64(0x9E3779B97F4A7C15) + eight[KMER - 8 :] * np.uint64(0xC2B2AE3D27D4EB4F))
+    least = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
     span, want = 1, length - KMER + 1
     while 2 * span <= want:
         least = np.minimum(least[:-span], least[span:])
@@ -79,11 +104,20 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tupl
     valid = starts + length <= offsets[text + 1]
     starts, text = starts[valid], text[valid]
     if not len(starts):
-        return none.astype(np.uint64), none, none, none
-    place = (least[valid] & low).astype(np.int64)
+        return Contexts(none.astype(np.uint64), none.astype(np.uint64), none, none, none)
+    place = (least[valid] & _PLACE).astype(np.int64)
     first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-    last = np.r_[first[1:], len(place)] - 1
-    return hashes[place[first]], text[first], starts[first], starts[last] + length
+    a, z = starts[first], starts[np.r_[first[1:], len(place)] - 1] + length
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * power("up", len(hashes)), out=sums[1:], dtype=np.uint64)
+    digest = mix((sums[z - KMER + 1] - sums[a]) * power("down", len(hashes))[a] + (z - a).astype(np.uint64)) >> np.uint64(16)
+    return Contexts(hashes[place[first]], digest, text[first], a - offsets[text[first]], z - a)
+
+
+def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, text, start and end in ``data`` of each context."""
+    c = contexts_of(data, offsets, length)
+    return c.hash, c.text, offsets[c.text] + c.at, offsets[c.text] + c.at + c.size
 
 
 def suffix_array(contexts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -95,18 +129,19 @@ def suffix_array(contexts: list[bytes], length: int = LENGTH) -> tuple[np.ndarra
     each = size - length + 1
     owner = np.repeat(np.arange(len(contexts)), each)
     place = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-    longest = int(size.max())
-    data = np.frombuffer(b"".join(contexts) + bytes(longest), dtype=np.uint8)
-    base = np.cumsum(size) - size
+    wide = -(-int(size.max()) // 8) * 8
+    data = np.frombuffer(b"".join(contexts) + bytes(wide), dtype=np.uint8)
     left = size[owner] - place
-    rows = data[(base[owner] + place)[:, None] + np.arange(longest)]
-    rows[np.arange(longest) >= left[:, None]] = 0
-    by_size = np.argsort(left, kind="stable")
-    keys = np.ascontiguousarray(rows[by_size]).view(f"S{longest}").ravel()
-    order = by_size[np.argsort(keys, kind="stable")]
-    owner, place, left, rows = owner[order], place[order], left[order], rows[order]
-    differ = rows[1:] != rows[:-1]
-    common = np.where(differ.any(axis=1), differ.argmax(axis=1), longest)
+    rows = sliding_window_view(data, wide)[(np.cumsum(size) - size)[owner] + place]
+    rows[np.arange(wide) >= left[:, None]] = 0
+    # Eight bytes are one number that orders as they do; a suffix that ends first comes first.
+    words = rows.view(">u8").astype(np.uint64)
+    order = np.lexsort((left, *words.T[::-1]))
+    owner, place, left, words = owner[order], place[order], left[order], words[order]
+    differ = words[1:] ^ words[:-1]
+    at = np.where((differ != 0).any(axis=1), (differ != 0).argmax(axis=1), wide // 8 - 1)
+    first = np.take_along_axis(differ, at[:, None], axis=1)[:, 0]
+    common = 8 * at + sum(first < np.uint64(1 << 8 * k) for k in range(8))
     lcp = np.r_[0, np.minimum(common, np.minimum(left[1:], left[:-1]))]
     return owner, place, left, lcp
 
@@ -143,225 +178,407 @@ def maximal_repeats(lcp: np.ndarray, before: np.ndarray, length: int = LENGTH) -
                     stack.append([value, first, byte])
 
 
-def repeated_parts(contexts: list[bytes], least: np.ndarray, length: int = LENGTH) -> list[list[tuple[int, int]]]:
-    """For each distinct context, the stretches shared with a context of smaller ``least``."""
-    out: list[list[tuple[int, int]]] = [[] for _ in contexts]
+def repeated_parts(contexts: list[bytes], least: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, start, end) of the stretches that contexts share with one of smaller ``least``, merged.
+
+    A suffix counts with the deepest interval that has a smaller document; deeper
+    intervals come first.
+    """
     owner, place, _, lcp = suffix_array(contexts, length)
     base = np.cumsum([0] + [len(c) for c in contexts[:-1]])
     data = np.frombuffer(b"".join(contexts), dtype=np.uint8)
     before = np.where(place > 0, data[np.maximum(base[owner] + place - 1, 0)].astype(np.int64), -1 - np.arange(len(place)))
-    for depth, first, end in maximal_repeats(lcp, before, length):
-        who = owner[first:end]
-        docs = least[who]
-        smallest = docs.min()
-        for k in np.flatnonzero(docs > smallest):
-            at = int(place[first + k])
-            out[who[k]].append((at, at + depth))
-    return out
+    docs, depth = least[owner], np.zeros(len(owner), np.int64)
+    for common, first, end in maximal_repeats(lcp, before, length):
+        own, known = docs[first:end], depth[first:end]
+        known[(own > own.min()) & (known == 0)] = common
+    found = np.flatnonzero(depth)
+    found = found[np.lexsort((place[found], owner[found]))]
+    who, at = owner[found], place[found]
+    span = np.int64(1 << 32)
+    upto = np.maximum.accumulate(who * span + at + depth[found]) if len(found) else at
+    run, ends = merged_runs(who, at=who * span + at, upto=upto)
+    return who[run], at[run], ends - who[run] * span
+
+
+def merged_runs(*keys: np.ndarray, at: np.ndarray, upto: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first row, end) of each union of touching stretches; rows sorted by keys and ``at``, ends ascending."""
+    new = np.ones(len(at), bool)
+    if len(at):
+        new[1:] = at[1:] > upto[:-1]
+        for k in keys:
+            new[1:] |= k[1:] != k[:-1]
+    first = np.flatnonzero(new)
+    return first, upto[np.r_[first[1:], len(at)] - 1] if len(at) else upto
+
+
+def packed(*columns: np.ndarray) -> bytes:
+    """64-bit columns, byte plane by byte plane, compressed; the first, if ascending, as differences."""
+    n = len(columns[0])
+    columns = (np.diff(columns[0], prepend=columns[0].dtype.type(0)), *columns[1:])
+    planes = b"".join(np.ascontiguousarray(c).view(np.uint8).reshape(n, 8).T.tobytes() for c in columns)
+    return n.to_bytes(4, "little") + zstandard.compress(planes, 1)
+
+
+def unpacked(blob: bytes) -> list[np.ndarray]:
+    n = int.from_bytes(blob[:4], "little")
+    planes = np.frombuffer(zstandard.decompress(blob[4:]), np.uint8).reshape(-1, 8, n)
+    first, *rest = (np.ascontiguousarray(p.T).view(np.int64).ravel() for p in planes)
+    return [np.cumsum(first), *rest]
+
+
+#: Repeated ids of which a table is sent to every task; with more, all rows carry a hash.
+REPEATED_IDS = 1 << 20
 
 
 def _known(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
-        F.xxhash64("text").alias("text_hash"),
-        F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("data"),
+    """(doc, tie, data): the id, and a hash of the text that tells rows of one id apart.
+
+    Most ids are unique, and their rows need no hash: tie is 0 there.
+    """
+    known = docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64("text").bitwiseAND(0xFFFFFFFF).alias("tie"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("data")
     )
+    twice = Written(known.groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc").alias("twice")), "repeated-ids", n=F.count("*"))
+    if not twice.taken["n"]:  # no literal, which the optimiser would take out of join keys and so undo their partitioning
+        return known.withColumn("tie", F.col("doc").bitwiseAND(0))
+    if twice.taken["n"] > REPEATED_IDS:
+        return known
+    marked = known.join(F.broadcast(twice.read()), F.col("doc") == F.col("twice"), "left")
+    return marked.select("doc", F.when(F.col("twice").isNull(), F.lit(0).cast("long")).otherwise(F.col("tie")).alias("tie"), "data")
+
+
+def _batch(columns: list, schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}
+    names, types = zip(*(c.split() for c in schema.split(", ")), strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(x, kinds[t]) for x, t in zip(columns, types, strict=True)], names=list(names))
 
 
-def repeated_anchors(known: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc, hashes): of each document the anchors that other documents have too."""
+def common_anchors(known: DataFrame, every: int, length: int = LENGTH, wide: int = WIDE) -> np.ndarray:
+    """Anchors that by one document in ``every`` have far more than ``wide`` contexts: where rows go, not what comes out."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, data, offsets in byte_blocks(batch.column("data"), BLOCK):
+                c = contexts_of(data, offsets, length)
+                once = np.unique(np.stack([c.hash, c.digest]), axis=1)[0]
+                found, n = np.unique(once, return_counts=True)
+                yield _batch([found.view(np.int64), n], "hash long, n long")
+
+    sample = known.where(F.pmod(F.xxhash64("doc", "tie"), F.lit(every)) == 0)
+    sums = sample.mapInArrow(count, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    most = F.greatest(F.lit(16), F.lit(16 * wide // every))
+    rows = sums.where(F.col("n") >= most).orderBy(F.desc("n"), "hash").limit(1 << 16).collect()  # bounded
+    return np.array(sorted(r["hash"] for r in rows), np.int64).view(np.uint64)
+
+
+SPAN, ASK, ASK_WIDE, HELD = range(4)
+FOUND = "kind int, hash long, digest long, doc long, tie long, at int, last int, size int, more boolean"
+
+
+def context_rows(known: DataFrame, buckets: int, hot: np.ndarray, length: int = LENGTH) -> DataFrame:
+    """(bucket, kind, blob): merged contexts of a task by bucket; spans that are certain."""
+    held_hot = known.sparkSession.sparkContext.broadcast(hot)
+
+    def sent(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        value, digest, doc, tie, at, size = (np.concatenate(x) for x in zip(*parts, strict=True))
+        common = np.isin(value, held_hot.value) if len(held_hot.value) else np.zeros(len(value), bool)
+        order = np.lexsort((at, tie, doc, digest, value))
+        value, digest, doc, tie, at, size, common = (x[order] for x in (value, digest, doc, tie, at, size, common))
+        new = np.ones(len(value), bool)
+        new[1:] = (value[1:] != value[:-1]) | (digest[1:] != digest[:-1])
+        first = np.flatnonzero(new)
+        least = np.repeat(doc[first], np.diff(np.r_[first, len(doc)]))
+        sure = np.flatnonzero(doc > least)
+        if len(sure):
+            sure = sure[np.lexsort((at[sure], tie[sure], doc[sure]))]
+            d, t, a = doc[sure], tie[sure], at[sure]
+            run, upto = merged_runs(d, t, at=a, upto=a + size[sure])
+            yield _batch([[int(value[0] % np.uint64(buckets))], [SPAN], [packed(d[run], t[run], a[run], upto)]], "bucket long, kind int, blob binary")
+        rest = np.flatnonzero(doc == least)
+        value, digest, doc, tie, at, size, common = (x[rest] for x in (value, digest, doc, tie, at, size, common))
+        # Places of one context in one text that overlap are a run.
+        run, last = merged_runs(value, digest, tie, at=at, upto=at + length)
+        value, digest, doc, tie, at, size, common = (x[run] for x in (value, digest, doc, tie, at, size, common))
+        for wide in (False, True):
+            own = np.flatnonzero(common == wide)
+            if not len(own):
+                continue
+            bucket = ((mix(value[own] ^ mix(digest[own])) if wide else value[own]) % np.uint64(buckets)).astype(np.int64)
+            own = own[np.argsort(bucket, kind="stable")]
+            bucket = np.sort(bucket)
+            cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            columns = [value.view(np.int64), digest.view(np.int64), doc, tie, at, last - length, size]
+            blobs = [packed(*(c[own[a:z]] for c in columns)) for a, z in zip(cuts, np.r_[cuts[1:], len(bucket)], strict=True)]
+            yield _batch([bucket[cuts], [ASK_WIDE if wide else ASK] * len(blobs), blobs], "bucket long, kind int, blob binary")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, n = [], 0
         for batch in batches:
-            ids = batch.column("doc").to_numpy()
+            ids, ties = batch.column("doc").to_numpy(), batch.column("tie").to_numpy()
             for row, data, offsets in byte_blocks(batch.column("data"), BLOCK):
-                found, text, _, _ = anchors(data, offsets, length)
-                doc = ids[row + text]
-                order = np.lexsort((doc, found))
-                found, doc = found[order], doc[order]
-                once = np.r_[True, (found[1:] != found[:-1]) | (doc[1:] != doc[:-1])] if len(found) else np.zeros(0, bool)
-                found, doc = found[once], doc[once]
-                if not len(found):
-                    continue
-                head = np.r_[True, found[1:] != found[:-1]]
-                several = np.repeat(np.add.reduceat(np.ones(len(found), np.int64), np.flatnonzero(head)) > 1, np.diff(np.r_[np.flatnonzero(head), len(found)]))
-                # Known to be repeated: past the hash's own partition.
-                aside = mix(found[several] ^ mix(doc[several].astype(np.uint64)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.r_[found[head], aside].view(np.int64)),
-                        pa.array(np.r_[found[head], found[several]].view(np.int64)),
-                        pa.array(np.r_[doc[head], doc[several]]),
-                    ],
-                    names=["deal", "hash", "doc"],
-                )
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last row, whose follower is not known yet: deal, hash, doc, whether taken
+                c = contexts_of(data, offsets, length)
+                parts.append((c.hash, c.digest, ids[row + c.text], ties[row + c.text], c.at, c.size))
+                n += len(c.hash)
+                if n >= FLUSH:
+                    yield from sent(parts)
+                    parts, n = [], 0
+        if n:
+            yield from sent(parts)
+
+    return known.mapInArrow(scan, "bucket long, kind int, blob binary")
+
+
+def met_contexts(rows: DataFrame, most: int = WIDE) -> DataFrame:
+    """FOUND rows of all buckets.
+
+    Spans that are certain (SPAN, from at to last); the first occurrences of each
+    context of an anchor with several (ASK, with over ``most`` ASK_WIDE: they begin
+    from at to last), and whether there are more; those (HELD), in the smallest
+    document of the context.
+    """
+
+    def settle(blobs: list[bytes], wide: bool) -> Iterator[pa.RecordBatch]:
+        columns = [np.concatenate(x) for x in zip(*map(unpacked, blobs), strict=True)]
+        if not wide:  # anchors that occur once meet nobody
+            order = np.argsort(columns[0], kind="stable")
+            value = columns[0][order]
+            same = value[1:] == value[:-1]
+            order = order[np.r_[False, same] | np.r_[same, False]]
+            columns = [c[order] for c in columns]
+        value, digest, doc, tie, at, last, size = columns
+        if not len(value):
+            return
+        order = np.lexsort((at, tie, doc, digest, value))
+        value, digest, doc, tie, at, last, size = (x[order] for x in (value, digest, doc, tie, at, last, size))
+        new_value = np.r_[True, value[1:] != value[:-1]]
+        new = new_value | np.r_[True, digest[1:] != digest[:-1]]
+        anchor, context = np.cumsum(new_value) - 1, np.cumsum(new) - 1
+        least = doc[new]
+        lowest, n_contexts = np.minimum.reduceat(doc, np.flatnonzero(new_value)), np.bincount(anchor[new])
+        highest = np.maximum.reduceat(doc, np.flatnonzero(new_value))
+
+        def out(kind: int, rows: np.ndarray, *columns: np.ndarray | pa.Array) -> pa.RecordBatch:
+            none = pa.nulls(len(rows), pa.int64())
+            return _batch([np.full(len(rows), kind), *((none, none) if kind == SPAN else (value[rows], digest[rows])), doc[rows], tie[rows], at[rows], *columns], FOUND)
+
+        sure = np.flatnonzero(doc > least[context])
+        empty = lambda rows, kind: pa.nulls(len(rows), kind)
+        yield out(SPAN, sure, (last + size)[sure], empty(sure, pa.int32()), empty(sure, pa.bool_()))
+        several = (n_contexts > 1) & (highest > lowest)
+        taken = np.ones(len(value), bool) if wide else several[anchor]
+        many = np.ones(len(value), bool) if wide else (n_contexts > most)[anchor]
+        # What the smallest document of all shares is no repeat.
+        other = taken & ~new & (doc == least[context]) & (wide | (doc > lowest[anchor]))
+        more = np.bincount(context[other], minlength=len(least)) > 0
+        for kind, own in ((ASK, np.flatnonzero(new & taken & ~many)), (ASK_WIDE, np.flatnonzero(new & taken & many)), (HELD, np.flatnonzero(other))):
+            if len(own):
+                yield out(kind, own, last[own], size[own], more[context[own]] if kind != HELD else empty(own, pa.bool_()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[bytes]] = {ASK: [], ASK_WIDE: []}
+        now = None
         for batch in batches:
-            deal, value, doc = (batch.column(c).to_numpy() for c in ("deal", "hash", "doc"))
-            if held is not None:
-                deal, value, doc = np.r_[held[0], deal], np.r_[held[1], value], np.r_[held[2], doc]
-            if not len(deal):
-                continue
-            meets = (deal[1:] == deal[:-1]) & (value[1:] == value[:-1]) & (doc[1:] != doc[:-1])
-            take = (deal != value) | np.r_[held is not None and held[3], meets] | np.r_[meets, False]
-            done = slice(0, -1)
-            yield pa.RecordBatch.from_arrays([pa.array(doc[done][take[done]]), pa.array(value[done][take[done]])], names=["doc", "hash"])
-            held = deal[-1:], value[-1:], doc[-1:], bool(take[-1])
-        if held is not None and held[3]:
-            yield pa.RecordBatch.from_arrays([pa.array(held[2]), pa.array(held[1])], names=["doc", "hash"])
+            for bucket, kind, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "kind", "blob")), strict=True):
+                if bucket != now:
+                    for k, blobs in held.items():
+                        if blobs:
+                            yield from settle(blobs, k == ASK_WIDE)
+                    held, now = {ASK: [], ASK_WIDE: []}, bucket
+                if kind == SPAN:
+                    doc, tie, at, upto = unpacked(blob)
+                    n = len(doc)
+                    yield _batch([np.full(n, SPAN), *[pa.nulls(n, pa.int64())] * 2, doc, tie, at, upto, pa.nulls(n, pa.int32()), pa.nulls(n, pa.bool_())], FOUND)
+                else:
+                    held[kind].append(blob)
+        for k, blobs in held.items():
+            if blobs:
+                yield from settle(blobs, k == ASK_WIDE)
 
-    rows = known.select("doc", "data").mapInArrow(scan, "deal long, hash long, doc long")
-    rows = rows.repartition("deal").sortWithinPartitions("deal", "hash", "doc")
-    return rows.mapInArrow(pick, "doc long, hash long").groupBy("doc").agg(F.collect_set("hash").alias("hashes"))
+    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, FOUND)
 
 
-CONTEXT = "deal long, hash long, doc long, text_hash long, at array<int>, upto array<int>, context binary"
+CONTEXT = "key long, low long, doc long, tie long, at int, last int, hash long, digest long, a int, more boolean, context binary"
+REPEAT = "kind int, hash long, digest long, doc long, tie long, at int, upto int"
 
 
-def _batch(columns: list, schema: str) -> pa.RecordBatch:
-    names = [c.split()[0] for c in schema.split(", ")]
-    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}
-    return pa.RecordBatch.from_arrays([pa.array(x, kinds[c.split()[1]]) for x, c in zip(columns, schema.split(", "), strict=True)], names=names)
+def _partitions(df: DataFrame) -> int:
+    """Partitions of a shuffle by document; texts and what joins them take the same, so neither moves twice."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def anchor_contexts(marked: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Contexts of the repeated anchors of (doc, text_hash, data, hashes).
+def _asked(known: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc, tie, data, asks): documents with the contexts to cut from them."""
+    n = _partitions(known)
+    wide = (F.col("kind") == ASK_WIDE).alias("wide")
+    asks = found.where(F.col("kind").isin(ASK, ASK_WIDE)).select("doc", "tie", F.struct("hash", "digest", "at", "last", "size", "more", wide).alias("ask"))
+    asks = asks.repartition(n, "doc", "tie").groupBy("doc", "tie").agg(F.collect_list("ask").alias("asks"))
+    return known.repartition(n, "doc", "tie").join(asks, ["doc", "tie"]).select("doc", "tie", "data", "asks")
 
-    Equal contexts of a block give one row for the smallest document, with all
-    their places; in larger documents they are repeats for certain, so each such
-    document gets one row of merged spans (context null).
-    """
+
+def context_bytes(asked: DataFrame, length: int = LENGTH) -> DataFrame:
+    """CONTEXT rows: contexts with their bytes, by anchor; of very common anchors their windows, by content."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, digests, lists = batch.column("doc").to_numpy(), batch.column("text_hash").to_numpy(), batch.column("hashes")
-            bounds = np.asarray(lists.offsets).astype(np.int64)
-            bounds -= bounds[0]
-            wanted = lists.flatten().to_numpy().view(np.uint64)
-            for row, data, offsets in byte_blocks(batch.column("data"), BLOCK):
-                found, text, start, end = anchors(data, offsets, length)
-                own = wanted[bounds[row] : bounds[row + len(offsets) - 1]]
-                keep = np.isin(found, own)
-                found, text, start, end = found[keep], text[keep], start[keep], end[keep]
-                whole = data.tobytes()
-                held: dict[tuple[int, bytes, int], list[int]] = {}
-                lowest: dict[tuple[int, bytes], int] = {}
-                spans: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
-                doc, digest, base = ids[row + text], digests[row + text], offsets[text]
-                order = np.lexsort((start, digest, doc))
-                columns = (found.view(np.int64), doc, digest, start, end, base)
-                for value, d, th, s, e, o in zip(*(c[order].tolist() for c in columns), strict=True):
-                    context = whole[s:e]
-                    if lowest.setdefault((value, context), d) == d:
-                        held.setdefault((value, context, th), []).append(s - o)
-                        continue
-                    at, upto = spans.setdefault((d, th), ([], []))
-                    if upto and s - o <= upto[-1]:
-                        upto[-1] = max(upto[-1], e - o)
-                    else:
-                        at.append(s - o)
-                        upto.append(e - o)
-                rows = [(v, v, lowest[v, c], th, at, [], c) for (v, c, th), at in held.items()]
-                rows += [(hash(k), 0, *k, at, upto, None) for k, (at, upto) in spans.items()]
-                if rows:
-                    yield _batch(list(zip(*rows, strict=True)), CONTEXT)
-
-    return marked.select("doc", "text_hash", "data", "hashes").mapInArrow(cut, CONTEXT)
-
-
-SPAN = "doc long, text_hash long, at int, upto int"
-
-
-def repeated_spans(contexts: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc, text_hash, at, upto): stretches that start in a smaller document too."""
-
-    def settle(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        """All rows of some anchors: spans to remove."""
-        place: dict[tuple[int, bytes], int] = {}
-        least: list[int] = []
-        for value, doc, _, _, context in rows:
-            k = place.setdefault((value, context), len(least))
-            if k == len(least):
-                least.append(doc)
-            elif doc < least[k]:
-                least[k] = doc
-        variants: dict[int, int] = {}
-        for value, _ in place:
-            variants[value] = variants.get(value, 0) + 1
-        # A context alone under its anchor has no other to share a part with.
-        mixed = [(c, k) for (value, c), k in place.items() if variants[value] > 1]
-        parts = {}
-        if mixed:
-            found = repeated_parts([c for c, _ in mixed], np.array([least[k] for _, k in mixed]), length)
-            parts = {k: p for (_, k), p in zip(mixed, found, strict=True)}
-        out: list[list] = [[], [], [], []]
-        for value, doc, digest, places, context in rows:
-            k = place[value, context]
-            for a, z in [(0, len(context))] if doc > least[k] else parts.get(k, ()):
-                out[0] += [doc] * len(places)
-                out[1] += [digest] * len(places)
-                out[2] += [at + a for at in places]
-                out[3] += [at + z for at in places]
-        if out[0]:
-            yield _batch(out, SPAN)
+            for doc, tie, data, asks in zip(batch.column("doc").to_pylist(), batch.column("tie").to_pylist(), batch.column("data"), batch.column("asks"), strict=True):
+                whole, asks = data.as_buffer(), asks.values
+                value, digest, at, last, size, wide = (asks.field(c).to_numpy(zero_copy_only=False) for c in ("hash", "digest", "at", "last", "size", "wide"))
+                more = asks.field("more").to_numpy(zero_copy_only=False)
+                own = np.flatnonzero(~wide)
+                if len(own):
+                    texts = [whole[a:z].to_pybytes() for a, z in zip(at[own].tolist(), (at + size)[own].tolist(), strict=True)]
+                    n, zero = len(own), np.zeros(len(own), np.int64)
+                    yield _batch([value[own], zero, np.full(n, doc), np.full(n, tie), at[own], last[own], value[own], digest[own], zero, more[own], texts], CONTEXT)
+                for k in np.flatnonzero(wide).tolist():
+                    n, a = int(size[k]) - length + 1, int(at[k])
+                    keys = np.frombuffer(b"".join(xxhash.xxh3_128_digest(whole[a + i : a + i + length]) for i in range(n)), np.int64).reshape(n, 2)
+                    shift = np.arange(n)
+                    yield _batch([keys[:, 0], keys[:, 1], np.full(n, doc), np.full(n, tie), a + shift, int(last[k]) + shift, np.full(n, value[k]), np.full(n, digest[k]), shift, np.full(n, more[k]), pa.nulls(n, pa.binary())], CONTEXT)
+
+    return asked.mapInArrow(cut, CONTEXT)
+
+
+def repeated_in_contexts(contexts: DataFrame, length: int = LENGTH) -> DataFrame:
+    """REPEAT rows: spans (SPAN: doc, tie, at, upto) that a smaller document shares.
+
+    Of contexts with more occurrences also the stretch itself (HELD: hash, digest,
+    from at to upto).
+    """
+
+    def told(rows: dict[str, np.ndarray], who: np.ndarray, a: np.ndarray, z: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Stretches a to z of the contexts in rows ``who``."""
+        if not len(who):
+            return
+        n, more = pa.nulls(len(who), pa.int64()), np.flatnonzero(rows["more"][who])
+        yield _batch([np.full(len(who), SPAN), n, n, rows["doc"][who], rows["tie"][who], rows["at"][who] + a, rows["last"][who] + z], REPEAT)
+        if len(more):
+            n, own = pa.nulls(len(more), pa.int64()), who[more]
+            yield _batch([np.full(len(more), HELD), rows["hash"][own], rows["digest"][own], n, n, a[more], z[more]], REPEAT)
+
+    names = ("key", "low", "doc", "tie", "at", "last", "hash", "digest", "a", "more")
+
+    def settle(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(parts)
+        rows = {c: table.column(c).to_numpy() for c in names}
+        once = np.unique(np.stack([rows["hash"], rows["digest"]]), axis=1, return_index=True)[1]  # a document may be there twice
+        who, a, z = repeated_parts(table.column("context").take(pa.array(once)).to_pylist(), rows["doc"][once], length)
+        yield from told(rows, once[who], a, z)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
+        parts: list[pa.RecordBatch] = []
         size, last = 0, None
+        window: tuple[int, int] | None = None  # the open group of windows, and its smallest document
+        smallest = 0
         for batch in batches:
-            plain = batch.column("context").is_null().to_numpy(zero_copy_only=False)
-            if plain.any():
-                known = batch.filter(pa.array(plain))
-                row = pc.list_parent_indices(known.column("at"))
-                yield pa.RecordBatch.from_arrays(
-                    [known.column("doc").take(row), known.column("text_hash").take(row), known.column("at").flatten(), known.column("upto").flatten()],
-                    names=["doc", "text_hash", "at", "upto"],
-                )
-            rest = batch.filter(pa.array(~plain))
-            for value, doc, digest, at, context in zip(*(rest.column(c).to_pylist() for c in ("hash", "doc", "text_hash", "at", "context")), strict=True):
-                if value != last and size >= CHUNK:
-                    yield from settle(rows)
-                    rows, size = [], 0
-                last = value
-                rows.append((value, doc, digest, at, context))
-                size += len(context) + 4 * len(at) + 40
-        if rows:
-            yield from settle(rows)
-
-    dealt = contexts.repartition("deal").sortWithinPartitions("deal", "hash", "doc")
-    return dealt.mapInArrow(run, SPAN)
-
-
-def _let_go(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
-def removed_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc, text_hash, spans): of each document that loses bytes, its stretches to remove."""
-    known = _known(docs)
-    lists = materialise(repeated_anchors(known, length), "repeated-anchors")
-    _let_go(docs.sparkSession)
-    spans = materialise(repeated_spans(anchor_contexts(known.join(lists, "doc"), length), length), "repeated-spans")
-    _let_go(docs.sparkSession)
-    return spans.groupBy("doc", "text_hash").agg(F.array_sort(F.collect_set(F.struct("at", "upto"))).alias("spans"))
-
+            windows = batch.column("context").is_null()
+            wide = batch.filter(windows)
+            if wide.num_rows:
+                rows = {c: wide.column(c).to_numpy(zero_copy_only=False) for c in names}
+                key, low, doc = rows["key"], rows["low"], rows["doc"]
+                new = np.ones(len(key), bool)
+                new[1:] = (key[1:] != key[:-1]) | (low[1:] != low[:-1])
+                new[0] = (key[0], low[0]) != window
+                first = np.flatnonzero(new)
+                least = np.r_[smallest, doc[first]][np.cumsum(new)]
+                who = np.flatnonzero(doc > least)
+                yield from of_windows(rows, who)
+                window, smallest = (key[-1], low[-1]), int(least[-1])
+            rest = batch.filter(pc.invert(windows))
+            if not rest.num_rows:
+                continue
+            key = rest.column("key").to_numpy()
+            cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
+            if key[0] != last and size >= CHUNK:
+                yield from settle(parts)
+                parts, size = [], 0
+            for a, z in zip(np.r_[0, cuts].tolist(), np.r_[cuts, len(key)].tolist(), strict=True):
+                if a and size >= CHUNK:
+                    yield from settle(parts)
+                    parts, size = [], 0
+                parts.append(rest.slice(a, z - a))
+                size += 80 * (z - a)
+            last = key[-1]
+        if parts:
+            yield from settle(parts)
+
+    def of_windows(rows: dict[str, np.ndarray], who: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """As ``told`` for windows, whose stretch starts at their shift in the context."""
+        n, more = pa.nulls(len(who), pa.int64()), who[rows["more"][who]]
+        yield _batch([np.full(len(who), SPAN), n, n, rows["doc"][who], rows["tie"][who], rows["at"][who], rows["last"][who] + length], REPEAT)
+        n = pa.nulls(len(more), pa.int64())
+        yield _batch([np.full(len(more), HELD), rows["hash"][more], rows["digest"][more], n, n, rows["a"][more], rows["a"][more] + length], REPEAT)
+
+    return contexts.repartition("key", "low").sortWithinPartitions("key", "low", "doc", "digest").mapInArrow(run, REPEAT)
+
+
+def merged_spans(spans: DataFrame) -> DataFrame:
+    """(doc, tie, spans) of (doc, tie, at, upto): touching stretches are one."""
 
-def deduplicate(docs: DataFrame, length: int = LENGTH, keep_text: bool = True) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("spans")
+            row = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(lists.offsets)))
+            flat = lists.flatten()
+            at, upto = (flat.field(c).to_numpy().astype(np.int64) for c in ("at", "upto"))
+            order = np.lexsort((at, row))
+            row, at = row[order], at[order]
+            span = np.int64(1 << 32)
+            first, ends = merged_runs(row, at=row * span + at, upto=np.maximum.accumulate(row * span + upto[order]))
+            cut = np.searchsorted(row[first], np.arange(batch.num_rows + 1))
+            made = pa.StructArray.from_arrays([pa.array(at[first], pa.int32()), pa.array(ends - row[first] * span, pa.int32())], names=["at", "upto"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("tie"), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), made)], names=["doc", "tie", "spans"])
+
+    grouped = spans.groupBy("doc", "tie").agg(F.collect_set(F.struct("at", "upto")).alias("spans"))
+    return grouped.mapInArrow(run, "doc long, tie long, spans array<struct<at: int, upto: int>>")
+
+
+def removed_spans(known: DataFrame, length: int = LENGTH, wide: int = WIDE) -> DataFrame:
+    """(doc, tie, spans): of each document (doc, tie, data) that loses bytes, its stretches to remove."""
+    spark = known.sparkSession
+    total = known.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    expected = 2 * total // (length - KMER + 2)
+    buckets = max(2 * _partitions(known), expected // BUCKET)
+    hot = common_anchors(known, max(SAMPLE_EVERY, total // SAMPLE_BYTES), length, wide)
+    count = lambda *kinds: F.count_if(F.col("kind").isin(*kinds))
+    met = Written(met_contexts(context_rows(known, buckets, hot, length), wide), "contexts-met", asks=count(ASK, ASK_WIDE), held=count(HELD))
+    let_go(spark)
+    found, repeats = met.read(), None
+    spans = found.where(F.col("kind") == SPAN).select("doc", "tie", "at", F.col("last").alias("upto"))
+    if met.taken["asks"]:
+        repeats = Written(repeated_in_contexts(context_bytes(_asked(known, found), length), length), "repeats", parts=count(HELD))
+        let_go(spark)
+        told = repeats.read()
+        spans = spans.union(told.where(F.col("kind") == SPAN).select("doc", "tie", "at", "upto"))
+        if met.taken["held"] and repeats.taken["parts"]:
+            parts = told.where(F.col("kind") == HELD).select("hash", "digest", F.col("at").alias("a"), F.col("upto").alias("z"))
+            held = found.where(F.col("kind") == HELD).select("hash", "digest", "doc", "tie", "at", "last").join(parts, ["hash", "digest"])
+            spans = spans.union(held.select("doc", "tie", F.col("at") + F.col("a"), F.col("last") + F.col("z")))
+    spans = materialise(merged_spans(spans), "repeated-spans")
+    for table in (met, repeats):
+        if table:
+            table.delete()
+    let_go(spark)
+    return spans
+
+
+def deduplicate(docs: DataFrame, length: int = LENGTH, keep_text: bool = True, wide: int = WIDE) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked, kept (binary).
 
     Strings are judged on the input, whatever else goes. A null text is empty. A
     null id stands above all others, and equal ids are not smaller than each
-    other, so rows that share one lose nothing to each other. Cuts may fall
-    inside a character: ``kept`` is bytes. An empty table gives no rows.
+    other, so rows that share one lose nothing to each other; repeated rows lose
+    the same. Texts of any length are taken whole, in pieces that overlap. Cuts may
+    fall inside a character: ``kept`` is bytes. Only doc_id and text are read, so
+    other columns cannot clash. An empty table gives no rows.
     """
-    spans = removed_spans(docs, length).withColumnsRenamed({"doc": "_doc", "text_hash": "_hash"})
     kind = dict(docs.dtypes)["doc_id"]
-    known = _known(docs).withColumn("doc_id", F.when(F.col("doc") < LAST, F.col("doc")).cast(kind))
-    joined = known.join(spans, (F.col("doc") == F.col("_doc")) & (F.col("text_hash") == F.col("_hash")), "left").select("doc_id", "data", "spans")
+    known = _known(docs)
+    ident = spare("doc_id", known)
+    known = known.withColumn(ident, F.when(F.col("doc") < LAST, F.col("doc")).cast(kind))
+    n = _partitions(known)
+    spans = removed_spans(known.drop(ident), length, wide).repartition(n, "doc", "tie")
+    joined = known.repartition(n, "doc", "tie").join(spans, ["doc", "tie"], "left").select(ident, "data", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

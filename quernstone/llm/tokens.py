@@ -36,7 +36,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
-def _power(way: str, n: int) -> np.ndarray:
+def power(way: str, n: int) -> np.ndarray:
+    """The first ``n`` powers of a fixed odd base modulo 2**64 ("up"), or of its inverse ("down")."""
     if len(_powers[way]) < n:
         size = 1 << (n - 1).bit_length()
         base = np.full(size, _BASE if way == "up" else _UNBASE, dtype=np.uint64)
@@ -60,7 +61,7 @@ class Words(NamedTuple):
         return self._hash(np.minimum(self.ends, self.starts + length))
 
     def _hash(self, ends: np.ndarray) -> np.ndarray:
-        down = _power("down", len(self.sums))
+        down = power("down", len(self.sums))
         return mix((self.sums[ends] - self.sums[self.starts]) * down[self.starts])
 
 
@@ -69,7 +70,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
     n = len(data)
     letters = _CLASS[data]
     sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(letters.astype(np.uint64) * _power("up", n) if n else letters, out=sums[1:], dtype=np.uint64)
+    np.cumsum(letters.astype(np.uint64) * power("up", n) if n else letters, out=sums[1:], dtype=np.uint64)
     inside = np.zeros(n + 2, dtype=bool)
     inside[1:-1] = letters > 0
     first, last = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]

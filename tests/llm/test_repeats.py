@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from quernstone.llm import repeats
 from quernstone.llm.queries import op7_repeats
 from quernstone.llm.repeats import anchors, deduplicate, maximal_repeats, suffix_array
 
@@ -82,6 +83,38 @@ def test_against_brute_force(spark):
     assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, str(r.doc_id)) for r in got) == sorted((*want[r], str(r[0])) for r in rows)
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in got)
     assert deduplicate(df.limit(0)).count() == 0
+    # The same where every anchor with several contexts is too wide for one task, and where common ones are spread.
+    for every in (1 << 20, 1):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(repeats, "SAMPLE_EVERY", every)
+            patch.setattr(repeats, "REPEATED_IDS", every - 1)  # the second time all rows carry a hash
+            again = deduplicate(df.union(df.where("doc_id < 0")), wide=1).collect()
+        assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, str(r.doc_id)) for r in again) == sorted((*want[r], str(r[0])) for r in rows)
+
+
+def test_common_anchors_are_spread(spark):
+    """A stretch with other words around it in each document is common in the sample."""
+    rng = random.Random(3)
+    stretch = "".join(rng.choice("abcdefgh ") for _ in range(30))
+    rows = [(i, "".join(rng.choice("mnopqrst ") for _ in range(40)) + stretch + "".join(rng.choice("uvwxyz ") for _ in range(rng.choice((40, 2))))) for i in range(300)]
+    rows += [(1000 + i, rows[i][1][rng.randint(0, 30) :]) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(repeats.common_anchors(repeats._known(df), 1, wide=2)) > 0
+    want = brute(rows)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(repeats, "SAMPLE_EVERY", 1)
+        got = deduplicate(df, wide=2).collect()
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(want[r] for r in rows)
+
+
+def test_long_text(spark):
+    """A text of several pieces, whole in another document; periods inside."""
+    rng = np.random.default_rng(1)
+    text = rng.integers(97, 123, 9_000_000).astype(np.uint8).tobytes().decode() + "=" * 200_000
+    rows = {r.doc_id: r for r in deduplicate(spark.createDataFrame([(1, "head " + text), (2, "tail" + text), (3, "=" * 70)], "doc_id long, text string"), keep_text=False).collect()}
+    assert (rows[1].n_removed, rows[1].n_spans) == (0, 0)
+    assert (rows[2].n_removed, rows[2].n_spans) == (len(text), 1)
+    assert (rows[3].n_removed, rows[3].n_spans) == (70, 1)
 
 
 def test_query(spark, sf_dir):
