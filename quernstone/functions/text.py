@@ -51,20 +51,20 @@ def once(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
+def composed(text: Column) -> Column:
+    """NFC, on the JVM: Spark ships the library that knows how, for its collations."""
+    return F.when(F.isnotnull(text), F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(False)))
+
+
 def normalised(text: Column) -> Column:
-    """Canonical text: any white space to one space, controls and invisibles out, trimmed.
+    """Canonical text: any white space to one space, controls and invisibles out, trimmed, NFC.
 
-    Null stays null. Composition to NFC has no built-in; where input may be
-    decomposed, apply :func:`composed` after.
+    Null stays null. Texts whose characters all lie below U+0300 are composed as
+    they are and skip that step.
     """
     spaced = F.regexp_replace(text, r"[\t\n\r\f\x0B\p{Zs}\p{Zl}\p{Zp}]", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(spaced, r"[\p{Cc}\p{Cf}]", ""), " +", " "))
-
-
-@F.pandas_udf(StringType())
-def composed(text: pd.Series) -> pd.Series:
-    """NFC, in Python workers."""
-    return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
+    clean = F.trim(F.regexp_replace(F.regexp_replace(spaced, r"[\p{Cc}\p{Cf}]", ""), " +", " "))
+    return F.when(text.rlike(r"[^\x{0}-\x{2FF}]"), composed(clean)).otherwise(clean)
 
 
 @F.pandas_udf(StringType())

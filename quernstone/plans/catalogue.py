@@ -42,7 +42,7 @@ def _in(words: str | list[str]) -> str:
     return "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in sorted(set(words.split() if isinstance(words, str) else words))) + ")"
 
 
-NORMAL = r"""trim(regexp_replace(regexp_replace(regexp_replace({0}, '[\t\n\r\f\x0B\p{{Zs}}\p{{Zl}}\p{{Zp}}]', ' ', 'g'), '[\p{{Cc}}\p{{Cf}}]', '', 'g'), ' +', ' ', 'g'))"""
+NORMAL = r"""nfc_normalize(trim(regexp_replace(regexp_replace(regexp_replace({0}, '[\t\n\r\f\x0B\p{{Zs}}\p{{Zl}}\p{{Zp}}]', ' ', 'g'), '[\p{{Cc}}\p{{Cf}}]', '', 'g'), ' +', ' ', 'g')))"""
 LINES = "(SELECT doc_id, lang, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents)"
 
 

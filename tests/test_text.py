@@ -21,6 +21,12 @@ def test_normalised(spark):
     assert [X.clean(v) for v in odd[:-1]] == once[:-1]
 
 
+def test_normalised_composes(spark):
+    raw = ["e\u0301a  \u212b", "e\u200b\u0301", "\u1100\u1161\u11a8", "\ufeff  a\tb\u00a0", "o\u0328\u0301 \u2009x", "가 — ok", None, ""]
+    extract = pytest.importorskip("quernstone.sources.extract")
+    assert each(spark, raw, T.normalised(F.col("v"))) == [None if t is None else extract.clean(t) for t in raw]
+
+
 def test_composed_and_ids(spark):
     assert each(spark, ["é", None], T.composed("v")) == [unicodedata.normalize("NFC", "é"), None]
     assert each(spark, ["a.pdf"], T.document_id("v")) == [__import__("hashlib").blake2b(b"a.pdf", digest_size=8).hexdigest()]
@@ -95,3 +101,22 @@ def test_sentences_lose_nothing(spark):
     texts = [t for _, t, _ in SENTENCES] + ["a.b. C. d? e!  f", "... !!! ??", "1. 2. 3."]
     clean = each(spark, texts, T.normalised(F.col("v")))
     assert [" ".join(s) for s in each(spark, clean, S.sentences(F.col("v")))] == clean
+
+
+def test_sentences_by_kind(spark):
+    """A case for each thing that is no end of a sentence, and for each that is."""
+    cases = {
+        "es": [
+            ["El Art. 9 rige el uso del suelo.", "Se revisa en mayo."], ["La N.A.S.A. y la O.N.U. firmaron ayer."], ["Hay mapas, datos, etc.", "El resto falta."], ["Hay mapas, etc. y planos en el anexo."],
+            ["Subió 2,5 puntos en 2021.", "Nadie lo vio."], ["Dijo: «Es tarde.»", "Luego se fue."], ["Quiso ir, pero... la puerta no abrió.", "Volvió."], ["Cayó (ver el cuadro C.) y se rompió."], ["¿Qué es esto?", "Un ensayo."], ["La obra de M. L. Ruiz sigue viva.", "Es de 1990."], ["Índice"],
+        ],
+        "en": [
+            ["Mr. Hall spoke first.", "Dr. Wu came later."], ["The U.S. team left."], ["It went to Star Systems Inc.", "The award stood."], ["It went to Star Systems Inc. and two others."], ["“Stop!” she said.", "Then it was quiet."], ["He waited, and... nothing came.", "He left."],
+            ["See [4].", "It is old."], ["The text ends here."],
+        ],
+        "pt": [["O Art. 2 vale desde ontem.", "A revisão é anual."], ["Foi em Pedras Ltda.", "A obra parou."], ["Os órgãos, p.ex. o INPE, vieram.", "O custo é alto."]],
+    }
+    for language, rows in cases.items():
+        got = each(spark, [" ".join(r) for r in rows], S.sentences(T.normalised(F.col("v")), language))
+        assert got == rows
+    assert each(spark, ["", None], S.sentences(T.normalised(F.col("v")), "en")) == [[], None]
