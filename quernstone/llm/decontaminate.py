@@ -31,8 +31,14 @@ class Config:
     """``window`` words a passage, ``rank`` latent dimensions, thresholds of both tests.
 
     An item is found where ``share`` of its words stand in order in the words
-    around a candidate, or ``weak_share`` and ``answer_share`` of its answer.
-    ``benchmark_bytes`` bounds the benchmark, which every task holds.
+    around a candidate, or ``weak_share`` and ``answer_share`` of its answer. Around
+    are the item's number of benchmark words to each side, so that the reach grows
+    where other words stand between them, up to ``spread`` times the item's length.
+    A passage is a candidate if its energy (the sum of its squared weights) is
+    ``gate`` of the lightest item's at least and its cosine ``cosine``: an item so
+    thinned out that 24 words hold less of it is not found. ``benchmark_bytes``
+    bounds the benchmark, which every task holds. A pass over the corpus sums one
+    sparse matrix a task; ``gather`` partitions make a task, at least ``fit_tasks``.
     """
 
     window: int = 24
@@ -46,7 +52,9 @@ class Config:
     share: float = 0.8
     weak_share: float = 0.6
     answer_share: float = 0.9
+    spread: int = 5
     fit_tasks: int = 256
+    gather: int = 16
     benchmark_bytes: int = 64 << 20
     seed: int = 2
 
@@ -209,26 +217,39 @@ def _back(passage: np.ndarray, f: np.ndarray, w: np.ndarray, y: np.ndarray, n: i
     return out
 
 
-def _summed(table: DataFrame, shape: tuple[int, int], part: Callable[[Batch], np.ndarray], tasks: int) -> np.ndarray:
-    """The sum of ``part`` over all batches: one matrix a task, added up in two steps."""
-    size = shape[0] * shape[1]
+#: Rows of a matrix that are summed as one.
+_ROWS = 1024
+
+
+def _summed(table: DataFrame, shape: tuple[int, int], part: Callable[[Batch], np.ndarray], config: Config) -> np.ndarray:
+    """The sum of ``part`` over all batches.
+
+    A task sends its matrix in runs of rows, without those that are zero; equal
+    runs are added up in tasks of their own, so none holds all.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(shape)
         for batch in batches:
             for _, _, b in Batch.each(batch):
                 total += part(b)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["m"])
+        for at in range(0, shape[0], _ROWS):
+            rows = total[at : at + _ROWS]
+            if rows.any():
+                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([rows.tobytes()], pa.binary())], names=["at", "m"])
 
     def add(rows: pa.Table) -> pa.Table:
-        total = np.zeros(size)
+        total = np.zeros(min(_ROWS, shape[0] - rows.column("at")[0].as_py()) * shape[1])
         for m in rows.column("m"):
             total += np.frombuffer(m.as_buffer(), dtype=np.float64)
-        return pa.table({"m": pa.array([total.tobytes()], pa.binary())})
+        return pa.table({"at": rows.column("at").slice(0, 1), "m": pa.array([total.tobytes()], pa.binary())})
 
-    each = table.select("at", "word").coalesce(tasks).mapInArrow(run, "m binary")
-    few = each.groupBy(F.pmod(F.monotonically_increasing_id().bitwiseXOR(F.shiftright(F.monotonically_increasing_id(), 33)), F.lit(8)).alias("g")).applyInArrow(add, "m binary")
-    return sum((np.frombuffer(r[0], dtype=np.float64) for r in few.toLocalIterator()), np.zeros(size)).reshape(shape)
+    tasks = max(config.fit_tasks, table.rdd.getNumPartitions() // config.gather)
+    each = table.select("at", "word").coalesce(tasks).mapInArrow(run, "at long, m binary")
+    out = np.zeros(shape)
+    for r in each.groupBy("at").applyInArrow(add, "at long, m binary").toLocalIterator():
+        out[r["at"] : r["at"] + _ROWS] = np.frombuffer(r["m"], dtype=np.float64).reshape(-1, shape[1])
+    return out
 
 
 def _item_batch(items: Items) -> Batch:
@@ -245,7 +266,7 @@ def fit_space(table: DataFrame, items: Items, config: Config) -> Space:
         df = np.bincount(once % n_words, minlength=n_words)
         return np.r_[df, len(b.first) - 1][:, None].astype(float)
 
-    counts = _summed(table, (n_words + 1, 1), counted, config.fit_tasks)[:, 0]
+    counts = _summed(table, (n_words + 1, 1), counted, config)[:, 0]
     df, n_docs = counts[:-1], counts[-1]
     idf = np.log((n_docs + 1) / (df + 1)) + 1e-6
     usable = df <= config.max_df * n_docs
@@ -272,7 +293,7 @@ def fit_space(table: DataFrame, items: Items, config: Config) -> Space:
         _, _, p, g, v = s.windows(b)
         return np.r_[_back(p, g, v, _project(p, g, v, o), s.n_features), np.full((1, o.shape[1]), len(np.unique(p)))]
 
-    sketch = _summed(table, (n + 1, width), sketched, config.fit_tasks)
+    sketch = _summed(table, (n + 1, width), sketched, config)
     # The benchmark's passages weigh so many times all the corpus's together.
     level = config.benchmark_weight * max(1.0, sketch[-1, 0]) / len(bench)
     q, _ = np.linalg.qr(sketch[:-1] + level * _back(passage, f, w, bench, n))
@@ -286,7 +307,7 @@ def fit_space(table: DataFrame, items: Items, config: Config) -> Space:
         return (y.T @ y).astype(np.float64)
 
     y = _project(passage, f, w, q).astype(np.float64)
-    small = _summed(table, (width, width), squared, config.fit_tasks) + level * y.T @ y
+    small = _summed(table, (width, width), squared, config) + level * y.T @ y
     _, vectors = np.linalg.eigh(small)
     space.basis = (q @ vectors[:, ::-1][:, : config.rank]).astype(np.float32)
     z = _project(passage, f, w, space.basis)
@@ -307,12 +328,15 @@ def judge(item: list[int], around: list[int], config: Config) -> tuple[float, bo
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, config: Config = Config()) -> DataFrame:  # noqa: B008
-    """Per row of ``docs``: doc_id, text_hash, contaminated, item_id, share, n_candidates.
-
-    item_id and share are of the item best found (ties: the smaller id), null and
-    0 where no passage was a candidate. Null and empty texts hold no words; null
-    and empty items are no items. A repeated item counts once for each id. The
-    benchmark is gathered, so its size is checked against ``benchmark_bytes``.
+    """Per row of ``docs``: doc_id, text_hash, contaminated, item_id, share, n_candidates, item_ids.
+
+    item_ids lists every item found, in order. item_id and share are of the item
+    best found, one that is a leak before others (ties: the smaller id), null and 0
+    where no passage was a candidate. Null and empty texts hold no words; null and
+    empty items are no items. A repeated item counts once for each id. Repeated rows
+    are judged each, long texts whole; an empty table gives no rows. Other columns
+    are not read. The benchmark is gathered, so its size is checked against
+    ``benchmark_bytes``.
     """
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     if size > config.benchmark_bytes:
@@ -320,9 +344,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, config: Config = Config())
     rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select("item_id", "text").collect()
     items = Items.of(sorted((r[0], r[1]) for r in rows))
     kind = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, text_hash long, contaminated boolean, item_id long, share double, n_candidates int"
+    schema = f"doc_id {kind}, text_hash long, contaminated boolean, item_id long, share double, n_candidates int, item_ids array<long>"
     if not items.ids:
-        return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.lit(False).alias("contaminated"), F.lit(None).cast("long").alias("item_id"), F.lit(0.0).alias("share"), F.lit(0).alias("n_candidates"))
+        return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.lit(False).alias("contaminated"), F.lit(None).cast("long").alias("item_id"), F.lit(0.0).alias("share"), F.lit(0).alias("n_candidates"), F.array().cast("array<long>").alias("item_ids"))
     table = materialise(benchmark_words(docs, items), "benchmark-words")
     space = fit_space(table, items, config)
     held = docs.sparkSession.sparkContext.broadcast((space, items))
@@ -346,21 +370,31 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, config: Config = Config())
                     met.setdefault((r, item), []).append(s)
         n = batch.num_rows
         bad, best, share, count = np.zeros(n, bool), np.full(n, -1), np.zeros(n), np.zeros(n, np.int32)
+        found: list[list[int]] = [[] for _ in range(n)]
         for (r, item), places in sorted(met.items()):
             count[r] += 1
             own = slice(b.first[r], b.first[r + 1])
             at, word = b.at[own], b.word[own]
-            reach = len(words[item])
+            reach, far = len(words[item]), space.config.spread * len(words[item])
+            leaks, top, seen = False, 0.0, (0, 0)
             for s in sorted(set(places)):
-                lo, hi = np.searchsorted(at, (s - reach, s + space.config.window + reach))
+                near = np.searchsorted(at, (s, s + space.config.window))
+                bounds = np.searchsorted(at, (s - far, s + space.config.window + far))
+                lo, hi = max(near[0] - reach, bounds[0]), min(near[1] + reach, bounds[1])
+                if lo >= seen[0] and hi <= seen[1]:  # part of what was judged before
+                    continue
+                seen = (lo, hi)
                 got, leak = judge(words[item], word[lo:hi].tolist(), space.config)
-                bad[r] |= leak
-                if got > share[r]:
-                    share[r], best[r] = got, item
+                leaks, top = leaks or leak, max(top, got)
+            if leaks:
+                found[r].append(items.ids[item])
+            if (leaks, top) > (bool(bad[r]), share[r]):
+                share[r], best[r] = top, item
+            bad[r] |= leaks
         names = np.array(items.ids)
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text_hash"), pa.array(bad), pa.array(names[np.maximum(best, 0)].astype(np.int64), mask=best < 0), pa.array(share), pa.array(count)],
-            names=["doc_id", "text_hash", "contaminated", "item_id", "share", "n_candidates"],
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array(bad), pa.array(names[np.maximum(best, 0)].astype(np.int64), mask=best < 0), pa.array(share), pa.array(count), pa.array([sorted(x) for x in found], pa.list_(pa.int64()))],
+            names=["doc_id", "text_hash", "contaminated", "item_id", "share", "n_candidates", "item_ids"],
         )
 
     return table.mapInArrow(run, schema)

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from quernstone.llm.decontaminate import Config, common_subsequence, find_leaks
+from quernstone.llm.decontaminate import Config, common_subsequence, drop_leaks, find_leaks
 from quernstone.llm.queries import op2_decontamination
 
 
@@ -61,6 +61,62 @@ def test_odd_rows(spark, planted):
         find_leaks(docs, bench, Config(benchmark_bytes=10))
 
 
+def exhaustive(docs, items, spread=5):
+    """Every item in every document by plain dynamic programming over all stretches that could hold it."""
+    cut = lambda t: "".join(c if c.isalnum() and c.isascii() or ord(c) > 127 else " " for c in t.lower()).split()
+    wanted = {i: cut(t) for i, t in items if t and cut(t)}
+    found = {}
+    for d, t in docs:
+        words = cut(t or "")
+        for i, item in wanted.items():
+            best = 0
+            for s in range(0, max(1, len(words) - len(item) // 2), max(1, len(item) // 2)):
+                best = max(best, common_subsequence(item, words[s : s + (spread + 1) * len(item)]))
+            if best >= 0.8 * len(item):
+                found.setdefault(d, set()).add(i)
+    return found
+
+
+@pytest.mark.parametrize("fillers", [0, 1, 2])
+def test_recall_of_diluted_and_paraphrased_leaks(spark, fillers):
+    """Against the search of all stretches: nine of ten leaks at least, with up to two words between any two."""
+    rng = random.Random(fillers)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(15, 50)))) for i in range(25)]
+    docs = []
+    for d in range(200):
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(20, 200))]
+        if d % 2 == 0:
+            leak = items[d // 2 % 25][1].split()
+            for k in rng.sample(range(len(leak)), len(leak) // 10):
+                leak[k] = rng.choice(vocabulary)
+            thin = [w for x in leak for w in (x, *(f"filler{rng.randint(0, 900)}" for _ in range(fillers)))]
+            at = rng.randint(0, len(words))
+            words[at:at] = thin
+        docs.append((d, " ".join(words)))
+    truth = exhaustive(docs, items)
+    rows = find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {r.doc_id: set(r.item_ids) for r in rows if r.contaminated}
+    assert all(r.contaminated == bool(r.item_ids) for r in rows)
+    pairs = {(d, i) for d, own in truth.items() for i in own}
+    assert len(pairs) >= 95 and len(pairs & {(d, i) for d, own in got.items() for i in own}) >= 0.9 * len(pairs)
+    assert set(got) <= set(truth)
+
+
+def test_two_items_in_a_document(spark, planted):
+    _, items, _ = planted
+    docs = [(1, f"{items[2][1]} and then {items[5][1]}"), (2, None)]
+    rows = {r.doc_id: r for r in find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert rows[1].item_ids == [2, 5] and rows[1].item_id in (2, 5) and rows[2].item_ids == []
+
+
+def test_stage_keeps_clashing_columns(spark, planted):
+    docs, items, truth = planted
+    odd = spark.createDataFrame([(d, t, 1, 2, 3) for d, t, _ in docs[:40]], "doc_id long, text string, _id int, _hash int, share int")
+    kept = drop_leaks(odd, spark.createDataFrame(items, "item_id long, text string"))
+    assert kept.columns == odd.columns and not {r.doc_id for r in kept.collect()} & set(truth)
+
+
 def test_query(spark, sf_dir):
     words = lambda t: f" {' '.join(''.join(c if c.isalnum() else ' ' for c in t.lower()).split())} "
     docs = {r.doc_id: words(r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
