@@ -17,9 +17,9 @@ import hashlib
 import posixpath
 import uuid
 import zlib
-from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -35,6 +35,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2000-01-01T00:00:00Z"
 #: Payloads of fewer bytes are always written out.
 LEAST_SHARED = 1000
+#: About what a record takes besides its payload.
+RECORD_BYTES = 800
 _SPACE = uuid.UUID("6f1bca0e-0a0b-5c3e-9d54-6f1f6d0c7a11")
 
 
@@ -114,15 +116,19 @@ class _Roller:
 MANIFEST = "shard int, file string, temporary string, records long, bytes long, sha256 string"
 
 
-def _shards(slim: DataFrame, shard_records: int, sample: int) -> list[int]:
-    """Least ids of all shards but the first, from about ``sample`` ids picked by hash."""
-    total = slim.count()
-    n = max(1, -(-total // shard_records))
-    if n == 1:
-        return []
-    every = max(1, total // max(sample, 20 * n))
+def _shards(slim: DataFrame, shard_bytes: int, most: int, sample: int) -> tuple[list[int], int]:
+    """Least ids of all shards but the first, and the number of shards.
+
+    A shard gets about ``shard_bytes`` of payloads, more where that would make over
+    ``most`` shards. Bounds come from some ``sample`` ids a shard, picked by hash.
+    """
+    total, size = slim.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    n = min(most, total, -(-(size + RECORD_BYTES * total) // shard_bytes))
+    if n <= 1:
+        return [], 1
+    every = max(1, total // (sample * n))
     ids = sorted(r[0] for r in slim.where("id IS NOT NULL").where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).select("id").collect())
-    return sorted({ids[len(ids) * k // n] for k in range(1, n)}) if ids else []
+    return sorted({ids[len(ids) * k // n] for k in range(1, n)}) if ids else [], n
 
 
 def write_archives(
@@ -132,9 +138,10 @@ def write_archives(
     url_col: str = "url",
     payload_col: str = "html",
     least_shared: int = LEAST_SHARED,
-    shard_records: int = 4000,
+    shard_bytes: int = 16 << 20,
     file_bytes: int = 64 << 20,
-    sample: int = 20_000,
+    most_shards: int = 1 << 16,
+    sample: int = 20,
 ) -> DataFrame:
     """Write one record per row of ``pages`` under ``out``; the manifest of files.
 
@@ -142,9 +149,12 @@ def write_archives(
     the largest id is a response and the others are revisits to it; of repeated
     rows of that id the first written is the response. A null payload is empty,
     a null url gets a name of our own, a null id is kept: such a row is a revisit
-    where a row with an id has its payload, else a response. Ids must be
-    integers. Payloads are shuffled once, to their shards; the choice of
-    responses travels as (id, digest) rows. An empty table writes no file.
+    where a row with an id has its payload, else a response. Rows without an id are
+    dealt to shards by their payload. Ids must be integers. Payloads of any length
+    are written whole, one at a time. Other columns are not read. Payloads are
+    shuffled once, to their shards; the choice of responses travels as (id, digest)
+    rows. The driver holds a bound a shard and ``sample`` ids each. An empty table
+    writes no file.
     """
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
@@ -153,18 +163,21 @@ def write_archives(
     groups = shared.groupBy("digest").agg(F.max("id").alias("to"), F.count("*").alias("n")).where("n > 1 AND to IS NOT NULL")
     choices = shared.join(groups, "digest").select("id", "to", "digest").distinct()
 
-    bounds = _shards(slim, shard_records, sample)
+    bounds, n_shards = _shards(slim, shard_bytes, most_shards, sample)
+    least = np.array(bounds, dtype=np.int64)
 
     @F.pandas_udf(IntegerType())
     def shard_of(ids: pd.Series) -> pd.Series:
-        return ids.map(lambda i: 0 if pd.isna(i) else bisect_right(bounds, i)).astype("int32")
+        return pd.Series(np.searchsorted(least, ids.fillna(0).to_numpy(np.int64), side="right").astype(np.int32))
 
     # One shuffle: a shard's choices and rows meet sorted, choices of an id first.
     none = lambda kind, name: F.lit(None).cast(kind).alias(name)
     both = choices.select("id", "to", "digest", none("string", "url"), none("binary", "payload")).unionByName(
         rows.select("id", none("long", "to"), none("binary", "digest"), "url", "payload")
     )
-    dealt = both.withColumn("shard", shard_of("id")).repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", "id", F.col("digest").isNull(), "digest", "url", "payload")
+    by_payload = F.pmod(F.xxhash64(F.coalesce("digest", F.unhex(F.sha1("payload")))), F.lit(n_shards)).cast("int")
+    shard = F.when(F.col("id").isNull(), by_payload).otherwise(shard_of("id"))
+    dealt = both.withColumn("shard", shard).repartitionById(n_shards, "shard").sortWithinPartitions("shard", "id", F.col("digest").isNull(), "digest", "url", "payload")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller, at, chosen, written = None, None, {}, set()

@@ -31,13 +31,13 @@ def test_copies_rolling_and_bytes(spark, tmp_path):
     rows = [(i, f"http://h/{i}", html[i % 6] if i % 7 else f"{i} " * 600, 1) for i in range(-20, 180)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, file int")
     one, two = f"file://{tmp_path}/one", f"file://{tmp_path}/two"
-    manifest = write_archives(df, one, shard_records=40, file_bytes=2000)
+    manifest = write_archives(df, one, shard_bytes=60_000, file_bytes=2000)
     got = read_archives(manifest, one).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     assert sorted(map(tuple, got.collect())) == expected([(r[0], r[2]) for r in rows])
     listed = manifest.collect()
     assert len({r.shard for r in listed}) >= 4 and len(listed) > len({r.shard for r in listed})
     assert all(r.bytes < 2000 + 6000 for r in listed) and sum(r.records for r in listed) == 200
-    again = write_archives(df.repartition(7), two, shard_records=40, file_bytes=2000).collect()
+    again = write_archives(df.repartition(7), two, shard_bytes=60_000, file_bytes=2000).collect()
     plain = lambda m: sorted((r.file, r.records, r.bytes, r.sha256) for r in m)
     assert plain(listed) == plain(again)
     for r in listed:
