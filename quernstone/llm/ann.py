@@ -7,7 +7,10 @@ a vector, in which parts its neighbours lie. Every vector is filed under its mos
 probable part; a query is sent to several parts, as many as reach the stated
 recall for sample vectors held out of the fit, and all their vectors are scored
 exactly. Parts that turn out large are dealt in blocks, queries likewise, so no
-task holds more than a block of each.
+task holds more than a block of each. A table too large for ``max_parts`` parts of
+the wanted size gets a second level: each part has a router of its own, fitted on
+a bounded sample of the part in a task of its own. Hits are merged in steps, at
+most ``fan`` lists at a time.
 
 Equal vectors score equally and ties go to the smaller id, so of each distinct
 vector only the ``k + 1`` smallest ids can be among anyone's ``k`` nearest: they
@@ -16,6 +19,7 @@ are kept by a ranked cut before any search. Equal queries are searched once.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,16 +33,20 @@ from quernstone.session import materialise
 
 @dataclass(frozen=True)
 class Config:
-    """``sample`` bounds the vectors fitted on; a part should hold ``part_rows`` rows.
+    """``sample`` bounds the vectors that a router is fitted on; a part should hold ``part_rows`` rows.
 
-    ``held`` vectors of the sample choose the number of parts to search, so that
-    ``recall`` of their neighbours is met.
+    There are at least ``least_parts`` parts, fewer only where there are not four
+    distinct vectors for each, and at most ``max_parts`` a level. ``held`` vectors
+    of the sample choose the number of parts to search, so that ``recall`` of their
+    neighbours is met.
     """
 
     k: int = 20
     sample: int = 6000
     part_rows: int = 2048
+    least_parts: int = 8
     max_parts: int = 256
+    fan: int = 64
     recall: float = 0.95
     held: int = 600
     neighbours: int = 15
@@ -207,6 +215,52 @@ def nearest_in_block(queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray,
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+def fitted(sample: np.ndarray, total: int, config: Config, recall: float) -> tuple[Router, int]:
+    """A router of distinct vectors of a table of ``total`` rows, and the parts to search for ``recall``."""
+    sample = np.unique(sample, axis=0)
+    sample = sample[np.random.default_rng(config.seed).permutation(len(sample))]
+    n_held = min(config.held, len(sample) // 10)
+    wanted = 1 << max(0, round(np.log2(max(1, total / config.part_rows))))
+    router = fit_router(sample[n_held:], min(config.max_parts, max(config.least_parts, wanted)), config)
+    # The k nearest of all rows are about this many of the sample's.
+    k_sample = max(1, round(config.k * len(sample) / max(1, total)))
+    return router, probes_for(router, sample[n_held:], sample[:n_held], k_sample, recall)
+
+
+def second_level(filed: DataFrame, dim: int, sizes: dict[int, int], config: Config) -> dict[int, tuple[Router, int]]:
+    """A router and a number of parts to search for each part of (part, id, vector), fitted in a task each.
+
+    A part sends at most ``config.sample`` vectors, those of the smallest hash.
+    """
+    first = Window.partitionBy("part").orderBy(F.xxhash64("id"), "id")
+    sample = filed.withColumn("r", F.row_number().over(first)).where(F.col("r") <= config.sample).select("part", "vector")
+
+    def fit(rows: pa.Table) -> pa.Table:
+        part = rows.column("part")[0].as_py()
+        made = fitted(_matrix(rows.column("vector"), dim), sizes[part], config, config.recall**0.5)
+        return pa.table({"part": pa.array([part], pa.int32()), "made": pa.array([pickle.dumps(made)], pa.binary())})
+
+    rows = sample.groupBy("part").applyInArrow(fit, "part int, made binary").collect()  # at most max_parts routers of fixed size
+    return {r["part"]: pickle.loads(r["made"]) for r in rows}
+
+
+def _routed_again(df: DataFrame, routers: dict[int, tuple[Router, int]], several: bool, dim: int, key: str, width: int) -> DataFrame:
+    """(part, key, vector) under parts of the second level: the most probable, or as many as the router searches."""
+    held = df.sparkSession.sparkContext.broadcast(routers)  # at most max_parts routers of fixed size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part, x = batch.column("part").to_numpy(), _matrix(batch.column("vector"), dim)
+            for p in np.unique(part).tolist():
+                own = np.flatnonzero(part == p)
+                router, probes = held.value[p]
+                found = router.parts(x[own], probes if several else 1)
+                taken = batch.take(pa.array(np.repeat(own, found.shape[1])))
+                yield pa.RecordBatch.from_arrays([pa.array((p * width + found).ravel().astype(np.int32)), taken.column(key), taken.column("vector")], names=["part", key, "vector"])
+
+    return df.mapInArrow(run, f"part int, {key} long, vector array<double>")
+
+
 def _routed(df: DataFrame, router: Router, n: int, dim: int, key: str) -> DataFrame:
     """(part, key, vector): each row under its ``n`` most probable parts."""
     held = df.sparkSession.sparkContext.broadcast(router)  # of fixed size: hidden x (dim + parts)
@@ -242,51 +296,61 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_
     own = raw.where(F.size("vector") == dim)
     every = max(1, total // config.sample)
     sample = _matrix(pa.table(own.where(F.pmod(F.xxhash64("id"), F.lit(every)) == 0).select("vector").limit(2 * config.sample).toArrow()).column("vector"), dim)
-    n_parts = min(config.max_parts, 1 << max(0, round(np.log2(max(1, total / config.part_rows)))))
-    sample = np.unique(sample, axis=0) if len(sample) else np.vstack([np.zeros(dim), np.ones(dim)])
-    sample = sample[np.random.default_rng(config.seed).permutation(len(sample))]
-    n_held = min(config.held, len(sample) // 10)
-    router = fit_router(sample[n_held:], n_parts, config)
-    n_parts = len(router.b2)
-    # The k nearest of all rows are about this many of the sample's.
-    k_sample = max(1, round(k * len(sample) / max(1, total)))
-    probes = probes_for(router, sample[n_held:], sample[:n_held], k_sample, config.recall)
+    # Two levels where even the most parts of one would be four times too large.
+    deep = total > 4 * config.part_rows * config.max_parts
+    router, probes = fitted(sample if len(sample) else np.vstack([np.zeros(dim), np.ones(dim)]), total, config, config.recall**0.5 if deep else config.recall)
 
     rank = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
     base = own.select("id", "vector").distinct().withColumn("r", rank).where(F.col("r") <= k + 1).drop("r")
     asked = own.where("asks").select("id", "vector").distinct()
     once = asked.groupBy("vector").agg(F.min("id").alias("qkey"))
     base = materialise(_routed(base, router, 1, dim, "id"), "filed")
-    once = materialise(_routed(once, router, probes, dim, "qkey"), "asked")
+    once = _routed(once, router, probes, dim, "qkey")
+    if deep:
+        routers = second_level(base, dim, {r["part"]: r["count"] for r in base.groupBy("part").count().collect()}, config)
+        base = materialise(_routed_again(base, routers, False, dim, "id", config.max_parts), "filed-again")
+        once = _routed_again(once.where(F.col("part").isin(*routers)), routers, True, dim, "qkey", config.max_parts)
+    once = materialise(once, "asked")
 
     # Blocks: as many as the part's rows need; queries and rows meet in each.
     sizes = base.groupBy("part").count().collect()
     asks = once.groupBy("part").count().collect()
     blocks = {r["part"]: -(-r["count"] // config.block) for r in sizes}
     ask_blocks = {r["part"]: -(-r["count"] // config.block) for r in asks}
-    listed = lambda d: F.array(*(F.lit(d.get(p, 1)) for p in range(n_parts)))
-    at = F.col("part") + 1
-    every_of = lambda d: F.explode(F.sequence(F.lit(0), F.element_at(listed(d), at) - 1))
-    one_of = lambda key, d: F.pmod(F.xxhash64(key), F.element_at(listed(d), at).cast("long")).cast("int")
-    left = once.withColumn("b", every_of(blocks)).withColumn("a", one_of("qkey", ask_blocks))
-    right = base.withColumn("a", every_of(ask_blocks)).withColumn("b", one_of("id", blocks))
+    counts = spark.createDataFrame([(p, blocks.get(p, 1), ask_blocks.get(p, 1)) for p in sorted({*blocks, *ask_blocks})] or [(0, 1, 1)], "part int, rows_in int, asks_in int")
+    counts = F.broadcast(counts)  # at most max_parts squared rows
+    every_of = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    one_of = lambda key, c: F.pmod(F.xxhash64(key), F.col(c).cast("long")).cast("int")
+    left = once.join(counts, "part").withColumn("b", every_of("rows_in")).withColumn("a", one_of("qkey", "asks_in")).select("part", "a", "b", "qkey", "vector")
+    right = base.join(counts, "part").withColumn("a", every_of("asks_in")).withColumn("b", one_of("id", "rows_in")).select("part", "a", "b", "id", "vector")
 
     hits = pa.list_(pa.struct([("loss", pa.float64()), ("vec_id", pa.int64())]))
 
     def search(ask: pa.Table, file: pa.Table) -> pa.Table:
         if not ask.num_rows or not file.num_rows:
-            return pa.table({"qkey": pa.array([], pa.int64()), "hits": pa.array([], hits)})
+            return pa.table({"qkey": pa.array([], pa.int64()), "part": pa.array([], pa.int32()), "b": pa.array([], pa.int32()), "hits": pa.array([], hits)})
         rows, ids, score = nearest_in_block(_matrix(ask.column("vector"), dim), file.column("id").to_numpy(), _matrix(file.column("vector"), dim), k + 1)
         first = np.r_[np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]), len(rows)]
         flat = pa.StructArray.from_arrays([pa.array(-score), pa.array(ids)], names=["loss", "vec_id"])
         lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), flat)
-        return pa.table({"qkey": pa.array(ask.column("qkey").to_numpy()[rows[first[:-1]]]), "hits": lists})
+        here = {c: pa.array(np.full(len(lists), ask.column(c)[0].as_py()), pa.int32()) for c in ("part", "b")}
+        return pa.table({"qkey": pa.array(ask.column("qkey").to_numpy()[rows[first[:-1]]]), **here, "hits": lists})
+
+    def merged(df: DataFrame, *by: str) -> DataFrame:
+        return df.groupBy(*by).agg(F.slice(F.array_sort(F.flatten(F.collect_list("hits"))), 1, k + 1).alias("hits"))
 
-    # A block gives one row per query, its nearest in a list; the lists of all blocks are merged.
+    # A block gives one row per query, its nearest in a list; lists are merged in steps.
     keys = ["part", "a", "b"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "qkey long, hits array<struct<loss: double, vec_id: long>>")
-    merged = found.groupBy("qkey").agg(F.slice(F.array_sort(F.flatten(F.collect_list("hits"))), 1, k + 1).alias("hits"))
-    found = merged.select("qkey", F.inline("hits")).select("qkey", "vec_id", (-F.col("loss")).alias("score"))
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "qkey long, part int, b int, hits array<struct<loss: double, vec_id: long>>")
+    lists = max(blocks.values(), default=1)
+    while lists > config.fan:
+        found = merged(found.withColumn("b", F.expr(f"b div {config.fan}").cast("int")), "qkey", "part", "b")
+        lists = -(-lists // config.fan)
+    if lists > 1:
+        found = merged(found, "qkey", "part")
+    if deep:
+        found = merged(found.withColumn("part", F.expr(f"part div {config.max_parts}").cast("int")), "qkey", "part")
+    found = merged(found, "qkey").select("qkey", F.inline("hits")).select("qkey", "vec_id", (-F.col("loss")).alias("score"))
     keyed = asked.join(asked.groupBy("vector").agg(F.min("id").alias("qkey")), "vector").select(F.col("id").alias("query_id"), "qkey")
     spread = keyed.join(found, "qkey").where("vec_id <> query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

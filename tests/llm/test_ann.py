@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quernstone.llm.ann import Config, balanced_parts, inner_products, nearest, neighbour_graph
+from quernstone.llm.ann import Config, balanced_parts, fitted, inner_products, nearest, neighbour_graph
 from quernstone.llm.queries import op10_ann
 
 SMALL = Config(k=5, sample=800, part_rows=64, block=50, epochs=15)
@@ -29,14 +29,30 @@ def test_balanced_cut():
     assert all(len(set(part[i * 50 : i * 50 + 50])) == 1 for i in range(4))
 
 
-@pytest.mark.parametrize("clusters", [1, 30])
-def test_recall_and_exact_scores(spark, clusters):
+DEEP = Config(k=5, sample=800, part_rows=8, max_parts=8, block=20, epochs=15, fan=2)
+
+
+def test_parts_at_every_size():
+    """At least eight parts where there are four vectors for each; clusters need few of them."""
+    rng = np.random.default_rng(3)
+    clustered = (rng.normal(size=(40, 32)) * 3)[rng.integers(0, 40, 2000)] + rng.normal(size=(2000, 32))
+    for n, parts in ((10, 2), (36, 8), (500, 8), (2000, 8)):
+        router, _ = fitted(clustered[:n], n, Config(), 0.95)
+        assert len(router.b2) >= parts
+    router, probes = fitted(clustered, 2000, Config(), 0.95)
+    assert len(router.b2) == 8 and 2 * probes <= 8
+    router, probes = fitted(clustered, 60_000, Config(), 0.95)
+    assert len(router.b2) == 32 and 2 * probes <= 32
+
+
+@pytest.mark.parametrize(("clusters", "config"), [(1, SMALL), (30, SMALL), (30, DEEP), (1, DEEP)])
+def test_recall_and_exact_scores(spark, clusters, config):
     rng = np.random.default_rng(1)
     x = (rng.normal(size=(clusters, 16)) * 2 * (clusters > 1))[rng.integers(0, clusters, 1500)] + rng.normal(size=(1500, 16))
     x = x.astype(np.float32).astype(np.float64)
     ids = rng.permutation(5000)[:1500]
     truth = brute(ids, x, [int(i) for i in ids if i % 20 == 0], 5)
-    rows = nearest(frame(spark, ids, x), F.col("vec_id") % 20 == 0, config=SMALL).collect()
+    rows = nearest(frame(spark, ids, x), F.col("vec_id") % 20 == 0, config=config).collect()
     assert {(r.query_id, r.rank) for r in rows} == {(q, k) for q in truth for k in range(1, 6)}
     met = sum(r.vec_id in {v for v, _ in truth[r.query_id]} for r in rows) / len(rows)
     assert met >= 0.9
