@@ -75,7 +75,7 @@ STAGES = [
     ("secret_scans", secret_scans),
     ("bpe", bpe),
 ]
-#: A classifier, a decomposition and a tokenizer are no SQL; tests compare with brute force.
+#: A classifier, a decomposition and a tokenizer are no SQL; the tests judge every stage.
 ORACLE_SQL = None
 
 

@@ -24,7 +24,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quernstone.llm.decontaminate import find_leaks
 
     leaks = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return leaks.select("doc_id", "contaminated", "item_id", "share")
+    return leaks.select("doc_id", "contaminated", "item_id", "share", "item_ids")
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,5 +110,20 @@ def _secrets_sql() -> str:
     FROM t LEFT JOIN spans USING (rid) GROUP BY rid, doc_id"""
 
 
-#: The other operators are hashes, iterations or models: they are tested by brute force.
-ORACLES: dict[str, str] = {"op3_secrets": _secrets_sql()}
+#: Windows of 50 bytes with the smallest document of each; what they cover is cut out.
+_REPEATS_SQL = """WITH t AS (SELECT row_number() OVER () AS rid, coalesce(doc_id, 9223372036854775807) AS doc, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT rid, doc, p, array_slice(b, p + 1, p + 50) AS s FROM (SELECT rid, doc, b, unnest(range(0, greatest(octet_length(b) - 49, 0))) AS p FROM t)),
+least AS (SELECT s, min(doc) AS first FROM w GROUP BY s HAVING min(doc) < max(doc)),
+hit AS (SELECT rid, p FROM w JOIN least USING (s) WHERE doc > first),
+run AS (SELECT rid, p, sum(fresh) OVER (PARTITION BY rid ORDER BY p) AS k FROM (SELECT rid, p, (p > coalesce(lag(p) OVER (PARTITION BY rid ORDER BY p) + 50, -1))::INT AS fresh FROM hit)),
+span AS (SELECT rid, min(p) AS a, max(p) + 50 AS z FROM run GROUP BY rid, k),
+kept AS (SELECT rid, a, z, coalesce(lag(z) OVER (PARTITION BY rid ORDER BY a), 0) AS before FROM span),
+cut AS (SELECT t.rid, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(hex(array_slice(b, before + 1, a)), '' ORDER BY a) || hex(array_slice(any_value(b), max(z) + 1, any_value(octet_length(b)))) AS h FROM kept JOIN t USING (rid) GROUP BY t.rid)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(coalesce(from_hex(h), b)) AS kept_sha256 FROM t LEFT JOIN cut USING (rid)"""
+#: The response of equal payloads is their largest page.
+_WARC_SQL = """WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages), g AS (SELECT d, max(page_id) AS top FROM p WHERE n >= 1000 GROUP BY d)
+SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest, CASE WHEN n >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+CASE WHEN n >= 1000 AND page_id < top THEN top END AS refers_to FROM p LEFT JOIN g USING (d)"""
+#: SQL has no tokenizer, no such hash, no iteration to a model: the others are tested by
+#: brute force, exact round trips or held-out accuracy.
+ORACLES: dict[str, str] = {"op1_warc": _WARC_SQL, "op3_secrets": _secrets_sql(), "op7_repeats": _REPEATS_SQL}

@@ -1,10 +1,12 @@
+import math
 import random
 import zlib
 
 import pytest
 
+from quernstone.llm import tokens
 from quernstone.llm.queries import op9_toxicity
-from quernstone.llm.toxicity import Config, classify_documents, fit, score_documents
+from quernstone.llm.toxicity import Config, classify_documents, fit, labelled_sample, score_documents
 
 SMALL = Config(buckets=1 << 12, sample=1200, epochs=6)
 
@@ -54,3 +56,45 @@ def test_nulls_empty_and_clashing(spark, planted):
 
 def test_query_covers_all(spark, sf_dir):
     assert op9_toxicity(spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+
+
+def test_scores_against_a_plain_forward_pass(spark):
+    """Every word's vector, every filter at every place and the largest values, in loops over Python numbers."""
+    texts = ["vile scum went home", "a fine day", "", "one", "Vile? vile! grub7 and grub9 in the long, long evening"]
+    model = fit([f"vile w{i} w{i + 1}" for i in range(40)] + [f"w{i} w{i + 2} fine" for i in range(80)], [1] * 40 + [0] * 80, ["en"] * 120, SMALL)
+    c = model.config
+    base, inverse, mask = tokens._BASE, tokens._UNBASE, (1 << 64) - 1
+
+    def mixed(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & mask
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & mask
+        return x ^ (x >> 31)
+
+    def hashed(word):
+        return mixed(sum(b * pow(int(base), k, 1 << 64) for k, b in enumerate(word)) & mask)
+
+    def score(text):
+        words = ["".join(ch for ch in w) for w in "".join(ch.lower() if ch.isalnum() else " " for ch in text).split()]
+        vectors = []
+        for w in words:
+            data = w.encode()
+            places = [hashed(data)] + [(hashed(data[:p]) + p) & mask for p in c.prefixes]
+            vectors.append([sum(float(model.embed[h % c.buckets][d]) for h in places) for d in range(c.dim)])
+        top = []
+        for k, width in enumerate(c.widths):
+            for f in range(c.filters):
+                values = [sum(vectors[a + i][d] * float(model.filters[k][i * c.dim + d][f]) for i in range(width) for d in range(c.dim)) for a in range(len(vectors) - width + 1)]
+                top.append(max(0.0, max(values) + float(model.bias[k * c.filters + f])) if values else 0.0)
+        z = model.scale[0] * (sum(t * float(o) for t, o in zip(top, model.out[:-1], strict=True)) + float(model.out[-1])) + model.scale[1]
+        return 1 / (1 + math.exp(-z))
+
+    assert pow(int(base), -1, 1 << 64) == int(inverse)
+    rows = score_documents(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), model).orderBy("doc_id").collect()
+    assert [r.score for r in rows] == pytest.approx([score(t) for t in texts], abs=1e-4)
+
+
+def test_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(i, "x" * 100 if i else "y" * 5000, "en") for i in range(50)] + [(3, "z" * 40, "de")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
+    rows = labelled_sample(docs, labels, Config(sample=20, sample_bytes=1000)).collect()
+    assert 0 < len(rows) <= 10 and sum(len(r.text) for r in rows) <= 1000 and len({r.doc_id for r in rows}) == len(rows)
