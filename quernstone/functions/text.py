@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import unicodedata
 from collections.abc import Callable
 
@@ -51,20 +52,46 @@ def once(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
+def _compositions() -> tuple[str, str, str]:
+    """By rule from the character database: pairs that compose, as JSON; characters that stand for another one, and those."""
+    pairs, old, new = {}, "", ""
+    for code in range(0xC0, 0x3000):
+        c = chr(code)
+        parts = unicodedata.decomposition(c).split()
+        if not parts or parts[0].startswith("<"):
+            continue
+        if len(parts) == 1:
+            old, new = old + c, new + unicodedata.normalize("NFC", c)
+        elif unicodedata.normalize("NFC", c) == c:
+            pairs["".join(chr(int(x, 16)) for x in parts)] = c
+    return json.dumps(pairs), old, new
+
+
+_PAIRS, _SINGLE, _SINGLE_NEW = _compositions()
+_COMPOSABLE = rf"[\p{{M}}{_SINGLE}]"
+
+
 def composed(text: Column) -> Column:
-    """NFC, on the JVM: Spark ships the library that knows how, for its collations."""
-    return F.when(F.isnotnull(text), F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(False)))
+    """NFC of letters and marks below U+3000 in their usual order; three marks on one letter at most.
+
+    Each distinct pair of a text is looked up once. Spark has no such function, and
+    calls by reflection count as random. Conjoining jamo stay apart.
+    """
+    table = F.from_json(F.lit(_PAIRS), "map<string,string>")  # folded to a literal
+    met = lambda t: F.array_distinct(F.regexp_extract_all(t, F.lit(r"(?s)(.\p{M})"), F.lit(1)))
+    step = lambda t: F.aggregate(met(t), t, lambda done, pair: F.replace(done, pair, F.coalesce(F.element_at(table, pair), pair)))
+    return once(F.translate(text, _SINGLE, _SINGLE_NEW), lambda t: once(step(t), lambda u: once(step(u), step)))
 
 
 def normalised(text: Column) -> Column:
     """Canonical text: any white space to one space, controls and invisibles out, trimmed, NFC.
 
-    Null stays null. Texts whose characters all lie below U+0300 are composed as
-    they are and skip that step.
+    Null stays null. Texts without marks and without characters that stand for
+    another one are composed as they are and skip that step.
     """
     spaced = F.regexp_replace(text, r"[\t\n\r\f\x0B\p{Zs}\p{Zl}\p{Zp}]", " ")
     clean = F.trim(F.regexp_replace(F.regexp_replace(spaced, r"[\p{Cc}\p{Cf}]", ""), " +", " "))
-    return F.when(text.rlike(r"[^\x{0}-\x{2FF}]"), composed(clean)).otherwise(clean)
+    return F.when(text.rlike(_COMPOSABLE), composed(clean)).otherwise(clean)
 
 
 @F.pandas_udf(StringType())

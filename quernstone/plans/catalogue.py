@@ -21,6 +21,7 @@ from quernstone.operators import retrieval as V
 from quernstone.session import table
 from quernstone.sources import artefacts as A
 from quernstone.sources import inventory as I
+from quernstone.sources import queries as Q
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -594,6 +595,57 @@ def partial_merge_equals_direct(spark, sf_dir):
     return G.merged(*(_edges(spark, sf_dir, f"doc_id % 3 = {k}") for k in range(3)))
 
 
+# Names, lines, queries ---------------------------------------------------------
+
+
+@query(f"SELECT doc_id, count_if({normal('line')} <> '')::BIGINT AS useful FROM {LINES} GROUP BY 1")
+def useful_lines(spark, sf_dir):
+    return lines_of(spark, sf_dir).groupBy("doc_id").agg(F.count_if(T.is_useful(F.col("line"))).alias("useful"))
+
+
+_EDGE_SET = "[\"''“”‘’()\\[\\]{}.,;:!¡?¿\\-–—…«»|/\\\\ \t\n]+"
+_NAMED = "(SELECT conv_id, turn, trim(regexp_replace(regexp_replace('«' || role || ' ' || text || '».', '\\s+', ' ', 'g'), '^" + _EDGE_SET + "|" + _EDGE_SET + "$', '', 'g')) AS n FROM conversations)"
+
+
+@query(
+    f"""SELECT conv_id, turn, md5(lower(strip_accents(name))) AS digest, length(name) >= 8 AND doubled * 3 > length(replace(name, ' ', '')) AS doubled FROM (SELECT *, {' + '.join(f"len(regexp_extract_all(name, '{c}{c}'))" for c in 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ')} AS doubled FROM
+    (SELECT conv_id, turn, CASE WHEN contains(n, ' ') AND lower(string_split(n, ' ')[1]) IN {_in(T.ARTICLES)} THEN trim(n[strpos(n, ' ') + 1:]) ELSE n END AS name FROM {_NAMED}))"""
+)
+def entity_names(spark, sf_dir):
+    """Turns of a chat as names: edges and articles off, keys without accents, doubled glyphs."""
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", T.entity_name(F.concat(F.lit("«"), "role", F.lit(" "), "text", F.lit("»."))).alias("name"))
+    return said.select("conv_id", "turn", F.md5(T.entity_key(F.col("name")).cast("binary")).alias("digest"), T.has_doubled_glyphs(F.col("name")).alias("doubled"))
+
+
+@query("SELECT doc_id, pos::BIGINT AS pos, md5(line) AS digest, round(avg(c), 4) AS conf FROM (SELECT doc_id, pos, line, unnest(list_transform(string_split(line, ' '), lambda w: (length(w) * 17 % 100)::DOUBLE)) AS c FROM " + LINES + ") GROUP BY doc_id, pos, line HAVING avg(c) >= 60")
+def recognised_lines(spark, sf_dir):
+    """Words of the lines with confidences from their lengths; lines of enough confidence."""
+    words_of = lines_of(spark, sf_dir).select("doc_id", F.col("pos").cast("long").alias("at"), F.posexplode(F.split("line", " ")).alias("pos", "text"))
+    rated = words_of.withColumn("conf", (F.length("text") * 17 % 100).cast("double"))
+    found = B.recognised_lines(rated, ["doc_id", "at"])
+    return found.select("doc_id", F.col("at").alias("pos"), F.md5(F.col("text").cast("binary")).alias("digest"), F.round("conf", 4).alias("conf"))
+
+
+@query(f"SELECT conv_id, turn FROM (SELECT conv_id, turn, {_LEVEL} AS level, count(CASE WHEN {_LEVEL} IS NOT NULL THEN 1 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS open, min({_LEVEL}) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS shallow FROM conversations) WHERE open > 0 AND (level IS NULL OR shallow < level)")
+def heading_path_checks(spark, sf_dir):
+    """Turns that state no heading above them although there is one."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.expr(_LEVEL).alias("level"), F.lit("t").alias("t"), F.array().cast("array<string>").alias("path"))
+    return B.path_violations(rows, doc="conv_id", pos="turn", level="level", text="t").select("conv_id", "turn")
+
+
+@query("SELECT 'q' || lpad(item_id::VARCHAR, 3, '0') AS query_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS query FROM benchmark")
+def marked_queries(spark, sf_dir):
+    """A query file made of the benchmark, each text on two lines behind its mark."""
+    part = F.concat(F.lit("q"), F.lpad(F.col("item_id").cast("string"), 3, "0"), F.lit(". "), F.regexp_replace("text", " ", "\n "))
+    file = table(spark, sf_dir, "benchmark").groupBy().agg(F.array_join(F.collect_list(part), "\n\n").alias("value"))  # a dimension of some hundred rows
+    return Q.queries_of_text(file)
+
+
+@query("SELECT c_custkey, c_name FROM customer")
+def unique_keys(spark, sf_dir):
+    return R.require_unique(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey")
+
+
 # Layout, identity, reports, graph tables -----------------------------------------
 
 
