@@ -113,20 +113,17 @@ def is_useful(text: Column) -> Column:
 
 def is_page_noise(text: Column) -> Column:
     """Empty once normalised, or a page number by shape."""
-    clean = F.coalesce(normalised(text), F.lit(""))
-    return (clean == "") | _any(clean, PAGE_NOISE, "(?iuU)")
+    return once(F.coalesce(normalised(text), F.lit("")), lambda clean: (clean == "") | _any(clean, PAGE_NOISE, "(?iuU)"))
 
 
 def is_natural(text: Column) -> Column:
     """Has a letter and none of the shapes of lone identifiers."""
-    clean = F.coalesce(normalised(text), F.lit(""))
-    return clean.rlike(r"\p{L}") & ~_any(clean, NOT_TEXT, "(?iuU)")
+    return once(F.coalesce(normalised(text), F.lit("")), lambda clean: clean.rlike(r"\p{L}") & ~_any(clean, NOT_TEXT, "(?iuU)"))
 
 
 def is_opaque(value: Column) -> Column:
     """Says nothing even with its column name; numbers and dates do."""
-    clean = F.coalesce(normalised(value), F.lit(""))
-    return (clean == "") | _any(clean, OPAQUE, "(?iuU)")
+    return once(F.coalesce(normalised(value), F.lit("")), lambda clean: (clean == "") | _any(clean, OPAQUE, "(?iuU)"))
 
 
 def serialised(*columns: tuple[str, Column]) -> Column:

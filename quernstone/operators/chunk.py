@@ -213,7 +213,9 @@ class Chunker:
 
 def _cut(docs: DataFrame, language: str) -> DataFrame:
     """(doc_id, blocks, observatory, title) with normalised blocks, the empty ones dropped, and their sentences."""
-    clean = F.filter(F.transform("blocks", lambda b: b.withField("text", T.normalised(b["text"]))), lambda b: F.length(b["text"]) > 0)
+    # A block's own fields; others, such as the data kept with a row, take no part.
+    slim = lambda b, t: F.struct(t.alias("text"), *(b[c].alias(c) for c in ("kind", "level", "path", "page", "atomic")))
+    clean = F.filter(F.transform("blocks", lambda b: slim(b, T.normalised(b["text"]))), lambda b: F.length(b["text"]) > 0)
     cut = F.transform(clean, lambda b: b.withField("sentences", rules.sentences(b["text"], language)))
     return docs.select(F.col("doc_id").cast("string").alias("doc_id"), cut.alias("blocks"), "observatory", "title")
 

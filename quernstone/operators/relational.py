@@ -62,8 +62,7 @@ def half_even_rank(df: DataFrame, keys: list[str], value: str, percent: int, int
     """
     tallied = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
     w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = tallied.groupBy(*keys).agg(F.sum("_n").alias("_total"))
-    ranked = tallied.withColumn("_upto", F.sum("_n").over(w)).join(total, keys)
+    ranked = tallied.withColumn("_upto", F.sum("_n").over(w)).withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
     place = F.greatest(F.lit(1), F.least(F.col("_total"), F.bround(F.lit(float(percent)) * F.col("_total") / 100.0 + 0.5).cast("long")))
     return ranked.where(F.col("_upto") >= place).groupBy(*keys).agg(F.min(value).alias(into))
 
