@@ -39,10 +39,13 @@ class ChunkConfig:
 BLOCKS = "array<struct<text: string, kind: string, level: int, path: array<string>, page: int, atomic: boolean, sentences: array<string>>>"
 FRAGMENT = (
     "chunk_id string, position int, n_tokens int, text string, enriched string, section array<string>, page int, "
-    "n_words int, unit string, overlaps boolean, n_sentences int"
+    "n_words int, unit string, overlaps boolean, n_sentences int, data array<map<string,string>>"
 )
 
 
+FRAGMENT_NAMES = "chunk_id position n_tokens text enriched section page n_words unit overlaps n_sentences data".split()
+
+
 def pack_words(sizes: Column, target: int = 190, most: int = 240) -> Column:
     """Group number of each item of an array of word counts, packed greedily in order.
 
@@ -188,24 +191,25 @@ class Chunker:
             crumb = section["crumb"]
             prefix = " · ".join(p for p in ((observatory or "").strip(), (title or "").strip(), " > ".join(crumb)) if p)
             budget = max(1, c.max_tokens - c.tokens(prefix)) if prefix else c.max_tokens
-            found: list[tuple[list[_Sentence], bool, str]] = []
+            found: list[tuple[list[_Sentence], bool, str, list]] = []
             if section["atomic"]:
                 for rows in self.records(section):
                     text = " · ".join(b["text"] for b in rows)
                     whole = self.cut([text], rows[0]["page"], False) if len(text.split()) <= c.max_words else self.cut([s for b in rows for s in b["sentences"]], rows[0]["page"], False)
-                    found += [(g, False, "atomic") for g in ([whole] if len(text.split()) <= c.max_words else self.pack(whole, budget))]
+                    aside = [b["data"] for b in rows if b.get("data")]
+                    found += [(g, False, "atomic", aside) for g in ([whole] if len(text.split()) <= c.max_words else self.pack(whole, budget))]
             else:
                 items = [s for b in section["blocks"] for s in self.cut(b["sentences"], b["page"], b["kind"] == "title")]
                 groups = self.mend(self.pack(items, budget), budget)
                 lone = len(groups) == 1 and all(s.title for s in groups[0])
-                found += [(g, o, "orphan_title" if lone else "prose") for g, o in self.overlapped(groups, budget)]
-            for group, overlaps, unit in found:
+                found += [(g, o, "orphan_title" if lone else "prose", []) for g, o in self.overlapped(groups, budget)]
+            for group, overlaps, unit, aside in found:
                 text = " ".join(s.text for s in group)
                 out.append(
                     {
                         "chunk_id": f"{doc}-c{len(out):04d}", "position": len(out), "n_tokens": c.tokens(text), "text": text,
                         "enriched": f"{prefix}\n{text}" if prefix else text, "section": crumb, "page": next((s.page for s in group if s.page is not None), None),
-                        "n_words": len(text.split()), "unit": unit, "overlaps": overlaps, "n_sentences": len(group),
+                        "n_words": len(text.split()), "unit": unit, "overlaps": overlaps, "n_sentences": len(group), "data": aside,
                     }
                 )
         return out
@@ -213,8 +217,9 @@ class Chunker:
 
 def _cut(docs: DataFrame, language: str) -> DataFrame:
     """(doc_id, blocks, observatory, title) with normalised blocks, the empty ones dropped, and their sentences."""
-    # A block's own fields; others, such as the data kept with a row, take no part.
-    slim = lambda b, t: F.struct(t.alias("text"), *(b[c].alias(c) for c in ("kind", "level", "path", "page", "atomic")))
+    kept = "data" in docs.schema["blocks"].dataType.elementType.names
+    data = lambda b: b["data"] if kept else F.lit(None).cast("map<string,string>")
+    slim = lambda b, t: F.struct(t.alias("text"), *(b[c].alias(c) for c in ("kind", "level", "path", "page", "atomic")), data(b).alias("data"))
     clean = F.filter(F.transform("blocks", lambda b: slim(b, T.normalised(b["text"]))), lambda b: F.length(b["text"]) > 0)
     cut = F.transform(clean, lambda b: b.withField("sentences", rules.sentences(b["text"], language)))
     return docs.select(F.col("doc_id").cast("string").alias("doc_id"), cut.alias("blocks"), "observatory", "title")
@@ -223,14 +228,15 @@ def _cut(docs: DataFrame, language: str) -> DataFrame:
 def fragment_documents(docs: DataFrame, config: ChunkConfig = ChunkConfig(), language: str = "es") -> DataFrame:  # noqa: B008
     """Fragments of (doc_id, blocks, observatory, title): one row each, FRAGMENT columns.
 
-    ``blocks`` is an array of (text, kind, level, path, page, atomic). Texts are
+    ``blocks`` is an array of (text, kind, level, path, page, atomic), and data where
+    rows keep some: it goes along with the fragments of atomic rows. Texts are
     normalised and empty blocks dropped; sentences are cut in the plan, folds run
     in one Arrow pass over whole documents. A document without blocks gives none.
     """
     ready = _cut(docs, language)
     schema = "doc_id string, " + FRAGMENT
-    names = [c.strip().split(" ")[0] for c in schema.split(", ")]
-    kinds = {"position": pa.int32(), "n_tokens": pa.int32(), "section": pa.list_(pa.string()), "page": pa.int32(), "n_words": pa.int32(), "overlaps": pa.bool_(), "n_sentences": pa.int32()}
+    names = ["doc_id", *FRAGMENT_NAMES]
+    kinds = {"position": pa.int32(), "n_tokens": pa.int32(), "section": pa.list_(pa.string()), "page": pa.int32(), "n_words": pa.int32(), "overlaps": pa.bool_(), "n_sentences": pa.int32(), "data": pa.list_(pa.map_(pa.string(), pa.string()))}
     arrow = pa.schema([(n, kinds.get(n, pa.string())) for n in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -69,6 +69,12 @@ def test_fragments_of_a_corpus(spark):
         assert all(json.dumps(r.violations) for r in found.collect())
 
 
+def test_rows_keep_their_data(spark):
+    rows = [("Name: a", "row", None, [], None, True, {"id": "7"}), ("Name: b", "row", None, [], None, True, {})]
+    made = K.fragment_corpus(spark.createDataFrame([doc(rows)], SCHEMA)).first()
+    assert (made.unit, made.text, made.data) == ("atomic", "Name: a · Name: b", [{"id": "7"}])
+
+
 def test_percentage(spark):
     r = spark.range(1).select(K.percentage(F.lit(1), F.lit(3)).alias("a"), K.percentage(F.lit(1), F.lit(0)).alias("b")).first()
     assert (r.a, r.b) == (33.3, 0.0)
