@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Paths listed of a name that several share.
+SHOWN = 20
+
+
 def split_by_index(files: DataFrame, index: DataFrame | None, key: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Listed files, files outside the index, index rows without a file. No index lists all."""
     if index is None:
@@ -28,9 +32,12 @@ def require_unique(df: DataFrame, key: str) -> DataFrame:
 
 
 def ambiguous(df: DataFrame, name: Column, path: str) -> DataFrame:
-    """(name, n_paths, paths) of names that several paths share."""
-    found = df.select(name.alias("name"), path).distinct().groupBy("name").agg(F.count("*").alias("n_paths"), F.array_sort(F.collect_list(path)).alias("paths"))
-    return found.where("n_paths > 1")
+    """(name, n_paths, paths) of names that several paths share; of a name's paths the first SHOWN."""
+    pairs = df.select(name.alias("name"), path).distinct()
+    counted = pairs.groupBy("name").agg(F.count("*").alias("n_paths")).where("n_paths > 1")
+    w = Window.partitionBy("name").orderBy(path)
+    first = pairs.join(counted.select("name"), "name", "left_semi").withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= SHOWN)
+    return counted.join(first.groupBy("name").agg(F.array_sort(F.collect_list(path)).alias("paths")), "name")
 
 
 def repeated_lines(lines: DataFrame, group: str, unit: str, line: str, share: float = 0.6, least_units: int = 3) -> DataFrame:

@@ -3,8 +3,9 @@
 Each extractor takes a file's bytes and gives (blocks, meta, errors); one Arrow
 pass over Spark's ``binaryFile`` rows runs them, so files are read by Spark from
 whatever store they are in. A file that cannot be read gives a document without
-blocks and the reason, never an exception. PDF files (no library here) and images
-(no recogniser; their header's facts are kept) give such a document.
+blocks and the reason, never an exception. Text in images needs a recogniser, which
+is a parameter: images keep their header's facts, PDF pages that cannot be read are
+counted.
 """
 
 from __future__ import annotations
@@ -21,8 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quernstone.functions import text as T
+from quernstone.operators import layout as L
 from quernstone.operators.blocks import LEVELS
+from quernstone.session import materialise
 from quernstone.sources.images import header, recogniser
+from quernstone.sources.pdf import pages as pdf_pages
 from quernstone.sources.sheets import cell_text, sheets
 from quernstone.sources.tiles import FEATURE_CAP, NEGATIVE, OSM_MARK, in_order, layers, place_of
 
@@ -350,12 +354,8 @@ def from_image(data: bytes, name: str) -> Extracted:
     return [], facts | {"needs_recognition": "true"}, ["a recogniser is installed but none is wired in" if recogniser() else "no text recogniser is installed"]
 
 
-def _absent(data: bytes, name: str) -> Extracted:
-    return [], {}, ["no library for this format is installed"]
-
-
-#: Format -> extractor; add one to support a format.
-EXTRACTORS: dict[str, Callable[[bytes, str], Extracted]] = {"txt": from_text, "csv": from_csv, "xlsx": from_xlsx, "json": from_json, "pdf": _absent, "imagen": from_image, "pbf": from_tile}
+#: Format -> extractor; add one to support a format. PDF files go through their words, see :func:`pdf_documents`.
+EXTRACTORS: dict[str, Callable[[bytes, str], Extracted]] = {"txt": from_text, "csv": from_csv, "xlsx": from_xlsx, "json": from_json, "imagen": from_image, "pbf": from_tile}
 
 
 def scan_files(spark: SparkSession, root: str) -> DataFrame:
@@ -377,7 +377,61 @@ def scan_files(spark: SparkSession, root: str) -> DataFrame:
     return kept.withColumns({"relative": relative, "format": formats[F.lower(F.regexp_extract("name", r"\.([^.]+)$", 1))]})
 
 
-def extract_files(spark: SparkSession, root: str) -> DataFrame:
+#: What a file's unreadable pages are given to: (doc_id, page) -> lines (doc_id, page, line, text, conf).
+Recogniser = Callable[[DataFrame], DataFrame]
+WORDS = "doc_id string, page int, width double, text string, x0 double, x1 double, top double, bottom double, size double, error string"
+
+
+def pdf_words(files: DataFrame) -> DataFrame:
+    """WORDS of PDF files (doc_id, content): a row a word, one without a word for a blank page, one with an error for a file."""
+    names = [c.split()[0] for c in WORDS.split(", ")]
+    schema = pa.schema([(n, {"page": pa.int32(), "doc_id": pa.string(), "text": pa.string(), "error": pa.string()}.get(n, pa.float64())) for n in names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ident, data in zip(batch.column("doc_id").to_pylist(), batch.column("content"), strict=True):
+                try:
+                    for page, width, words in pdf_pages(data.as_py()):
+                        rows = [{"doc_id": ident, "page": page, "width": width, **w} for w in words or [{}]]
+                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                except Exception as e:  # a file must not stop the others
+                    yield pa.RecordBatch.from_pylist([{"doc_id": ident, "error": f"{type(e).__name__}: {e}"}], schema=schema)
+
+    return files.select("doc_id", "content").mapInArrow(run, WORDS)
+
+
+def pdf_documents(files: DataFrame, recognise: Recogniser | None = None) -> DataFrame:
+    """(path, source, format, blocks, meta, errors) of PDF files (relative, name, content).
+
+    Words become lines, paragraphs and titles by ``operators.layout``. Pages that
+    cannot be read go to ``recognise`` where there is one; without one the document
+    says how many there are.
+    """
+    keyed = files.withColumn("doc_id", F.col("relative"))
+    words = materialise(pdf_words(keyed), "pdf-words")
+    pages = words.where("page IS NOT NULL").select("doc_id", "page").distinct()
+    lines = materialise(L.page_lines(words.where("text IS NOT NULL")), "pdf-lines")
+    bad = L.unreadable_pages(lines, pages)
+    if recognise is not None:
+        lines, facts = L.with_recognised(lines, pages, recognise(bad))
+        lines = materialise(lines, "pdf-lines-recognised")
+        bad = facts.select("doc_id", F.explode("pages_not_bettered").alias("page"))
+    block = F.struct("text", "kind", F.col("level").cast("int").alias("level"), "path", "page", F.lit(False).alias("atomic"))
+    ordered = L.document_blocks(lines).groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", block.alias("b")))), lambda x: x["b"].withField("data", F.create_map().cast("map<string,string>"))).alias("blocks"))
+    counted = pages.groupBy("doc_id").agg(F.count("*").alias("n_pages")).join(bad.groupBy("doc_id").agg(F.count("*").alias("n_bad")), "doc_id", "left")
+    failed = words.where("error IS NOT NULL").groupBy("doc_id").agg(F.min("error").alias("error"))
+    rows = keyed.select("doc_id", "name").join(ordered, "doc_id", "left").join(counted, "doc_id", "left").join(failed, "doc_id", "left")
+    none = F.coalesce(F.size("blocks"), F.lit(0)) < 1
+    why = F.array(
+        F.col("error"),
+        F.when(F.col("n_bad") > 0, F.concat(F.col("n_bad").cast("string"), F.lit(" pages without readable text" + ("" if recognise else ", and no recogniser")))),
+        F.when(none & F.col("error").isNull() & F.col("n_bad").isNull(), F.lit("no text in the file")),
+    )
+    meta = F.map_filter(F.create_map(F.lit("n_pages"), F.col("n_pages").cast("string"), F.lit("needs_recognition"), F.when(F.col("n_bad") > 0, "true")), lambda _, v: v.isNotNull())
+    return rows.select(F.col("doc_id").alias("path"), F.col("name").alias("source"), F.lit("pdf").alias("format"), F.coalesce("blocks", F.array().cast(ordered.schema["blocks"].dataType)).alias("blocks"), meta.alias("meta"), F.filter(why, lambda e: e.isNotNull()).alias("errors"))
+
+
+def extract_files(spark: SparkSession, root: str, recognise: Recogniser | None = None) -> DataFrame:
     """A document for each file of a supported format below ``root`` (DOCUMENT columns)."""
     listed = scan_files(spark, root).where("format IS NOT NULL").select("path", "relative", "name", "format")
     content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "content")
@@ -402,7 +456,9 @@ def extract_files(spark: SparkSession, root: str) -> DataFrame:
             )
 
     schema = ", ".join(c for c in DOCUMENT.split(", ", 5)[5:])
-    docs = rows.select("content", "relative", "name", "format").mapInArrow(run, "path string, source string, format string, " + schema)
+    docs = rows.where("format <> 'pdf'").select("content", "relative", "name", "format").mapInArrow(run, "path string, source string, format string, " + schema)
+    if not listed.where("format = 'pdf'").isEmpty():
+        docs = docs.unionByName(pdf_documents(rows.where("format = 'pdf'").select("relative", "name", "content"), recognise))
     head = F.substring(F.array_join(F.transform("blocks", lambda b: b["text"]), " "), 1, 4000)
     bounds = T.tile_bounds(*(F.col("meta")[k].cast("int") for k in ("zoom", "tile_x", "tile_y")))
     box = F.when(F.col("meta")["tile_y"].isNotNull(), F.to_json(F.array(*(bounds[k] for k in ("west", "south", "east", "north")))))

@@ -28,7 +28,15 @@ def queries_of_text(texts: DataFrame) -> DataFrame:
 
 
 def read_queries(spark: SparkSession, path: str) -> DataFrame:
-    """Queries of a ``.jsonl`` or text file; a repeated id or a missing text raises."""
+    """Queries of a ``.jsonl``, ``.pdf`` or text file; a repeated id or a missing text raises."""
+    if path.lower().endswith(".pdf"):
+        from quernstone.operators.layout import page_lines
+        from quernstone.sources.extract import pdf_words
+
+        file = spark.read.format("binaryFile").load(path).select(F.lit("queries").alias("doc_id"), "content")
+        lines = page_lines(pdf_words(file).where("text IS NOT NULL"))
+        listed = F.array_sort(F.collect_list(F.struct("page", "line", "text")))
+        return queries_of_text(lines.groupBy().agg(F.array_join(F.transform(listed, lambda x: x["text"]), "\n").alias("value")))  # one file
     if not path.endswith(".jsonl"):
         return queries_of_text(spark.read.text(path, wholetext=True))
     rows = spark.read.json(path, schema=", ".join(f"{k} string" for k in (*ID_KEYS, *TEXT_KEYS)), mode="FAILFAST")

@@ -2,7 +2,7 @@
 
 An extra beside the batch operators: a stream of document rows goes through
 ``foreachBatch``; each batch is merged by key into a Parquet table that is
-swapped in as a new version, so a replayed batch changes nothing.
+swapped in as a new version, so a replayed batch changes nothing; old versions go.
 """
 
 from __future__ import annotations
@@ -14,6 +14,10 @@ from pyspark.sql.streaming import StreamingQuery
 from quernstone.operators.relational import upsert
 
 
+#: Versions kept besides the newest.
+KEPT = 2
+
+
 def version_path(root: str, version: int) -> str:
     return f"{root}/v{version:08d}"
 
@@ -24,6 +28,9 @@ def merge_batch(spark: SparkSession, root: str, batch: DataFrame, version: int,
     changed = batch.withColumn("_r", newest).where("_r = 1").drop("_r")
     merged = upsert(spark.read.parquet(version_path(root, version - 1)), changed, key) if version else changed
     merged.write.mode("overwrite").parquet(version_path(root, version))
+    if version > KEPT:  # a reader of the version before may still be at work
+        old = spark._jvm.org.apache.hadoop.fs.Path(version_path(root, version - KEPT - 1))
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
 
 def ingest(stream: DataFrame, root: str, checkpoint: str, key: str, order: str) -> StreamingQuery:
