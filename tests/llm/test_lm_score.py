@@ -1,5 +1,6 @@
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -67,6 +68,31 @@ def test_query(spark, sf_dir):
     assert all(np.isfinite(r.score) for r in rows)
 
 
+def test_query_against_plain_counts(spark, sf_dir):
+    """Every document of the table, from counts of its words and pairs as bytes; the document's own are taken out."""
+    docs = {r.doc_id: re.findall(rb"[0-9a-z\x80-\xff]+", (r.text or "").encode().lower()) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    good = {r.doc_id for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect() if r.quality == 1}
+    c, models = Config(), []
+    size = len({w for x in docs.values() for w in x})
+    for m in (0, 1):
+        own = [x for d, x in docs.items() if m == 0 or d in good]
+        uni, big = Counter(w for x in own for w in x), Counter(p for x in own for p in zip([None, *x], x, strict=False))
+        uni[None] = sum(1 for x in own if x)
+        models.append((uni, big, sum(map(len, own))))
+    for r in op8_lm_score(spark, sf_dir).collect():
+        words, losses = docs[r.doc_id], []
+        for m, (uni, big, total) in enumerate(models):
+            own, pairs = (Counter(words), Counter(zip([None, *words], words, strict=False))) if m == 0 or r.doc_id in good else (Counter(), Counter())
+            n, loss = sum(own.values()), 0.0
+            own[None] = int(bool(own))
+            for v, w in zip([None, *words], words, strict=False):
+                before = uni[v] - own[v]
+                weight = c.weight if before else 0
+                loss -= math.log(weight * (big[v, w] - pairs[v, w]) / max(before, 1) + (1 - weight) * (uni[w] - own[w] + c.alpha) / (total - n + c.alpha * size))
+            losses.append(loss / len(words) if words else None)
+        assert (r.n_tokens, r.background_loss, r.target_loss) == pytest.approx((len(words), *losses))
+
+
 def exact(texts, target, c):
     """Scores from counts of the words and word pairs themselves, nothing hashed."""
     docs = [t.split() for t in texts]
