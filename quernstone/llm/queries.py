@@ -81,7 +81,7 @@ QUERIES = {"op1_warc": op1_warc, "op2_decontamination": op2_decontamination, "op
 
 
 def _secrets_sql() -> str:
-    """DuckDB SQL for op3_secrets: the same patterns, positions and linking by windows."""
+    """DuckDB SQL for op3_secrets: the same patterns, positions and linking by running extremes."""
     from quernstone.llm import secrets as rules
 
     patterns = dict(zip(rules.KINDS, (rules.ASSIGN, rules.ACCESS, rules.HEX, rules.IDENT, rules.MIXED, rules.ENDPOINT), strict=True))
@@ -96,15 +96,15 @@ def _secrets_sql() -> str:
         f"(SELECT rid, ms, gs, unnest(range(1, len(ms) + 1)) AS i FROM (SELECT rid, regexp_extract_all(text, {p}) AS ms, string_split_regex(text, {p}) AS gs FROM t))"
         for k, (n, p) in enumerate(quoted.items())
     )
-    near = f"OVER (PARTITION BY rid ORDER BY start RANGE BETWEEN {rules.SCOPE} PRECEDING AND {rules.SCOPE} FOLLOWING)"
+    near = lambda kinds: rules.near(kinds, rules.SCOPE).replace("`end`", "stop")
     names = "[" + ", ".join(f"'{k}'" for k in rules.KINDS) + "]"
     listed = f"string_agg({names}[kind + 1] || ':' || start || ':' || stop, ',' ORDER BY start, kind)"
     return f"""WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents), found AS ({found}),
     placed AS (SELECT rid, kind, keep, length(m) AS size, (sum(skip + length(m)) OVER (PARTITION BY rid, kind ORDER BY i))::BIGINT - length(m) AS start FROM found),
     kept AS (SELECT rid, kind, start, start + size AS stop FROM placed WHERE keep),
     marked AS (SELECT *, kind = 4 AND coalesce(max(CASE WHEN kind <= 2 THEN stop END) OVER (PARTITION BY rid ORDER BY start, kind ROWS UNBOUNDED PRECEDING) > start, false) AS covered FROM kept),
-    linked AS (SELECT *, count(*) FILTER (WHERE kind IN (1, 3)) {near} AS n_ids, count(*) FILTER (WHERE kind IN (0, 2, 4)) {near} AS n_secrets FROM marked WHERE NOT covered),
-    spans AS (SELECT * FROM linked WHERE kind <= 2 OR (kind = 3 AND n_secrets > 0) OR (kind = 4 AND n_ids > 0) OR (kind = 5 AND n_ids > 0 AND n_secrets > 0))
+    linked AS (SELECT *, {near(rules.IDS)} AS by_id, {near(rules.SECRETS)} AS by_secret FROM marked WHERE NOT covered),
+    spans AS (SELECT * FROM linked WHERE kind <= 2 OR (kind = 3 AND by_secret) OR (kind = 4 AND by_id) OR (kind = 5 AND by_id AND by_secret))
     SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access, count(*) FILTER (WHERE kind = 2) AS n_hex,
     sha256(coalesce({listed} FILTER (WHERE kind <= 2), '')) AS base_sha256, coalesce({listed}, '') AS spans
     FROM t LEFT JOIN spans USING (rid) GROUP BY rid, doc_id"""

@@ -3,11 +3,12 @@
 A credential has up to three parts: an identifier, a secret and an endpoint.
 Strong patterns are reported wherever they match. Weak patterns (account names,
 long mixed tokens, addresses) are common in clean text, so they are reported
-only where complementary parts stand within one scope, that is, where the spans
-start at most ``scope`` characters apart: a weak identifier beside a secret, a
+only where complementary parts stand within one scope, that is, where at most
+``scope`` characters lie between the spans: a weak identifier beside a secret, a
 weak secret beside an identifier, an endpoint beside both. This interval
-semi-join is a range-framed count over each text's spans in order of position,
-so no pairs are made. Positions are code points, ends are exclusive.
+semi-join asks for the furthest end among the parts before a span and the first
+start among those after it, two running extremes over each text's spans in order
+of position, so no pairs are made. Positions are code points, ends are exclusive.
 
 Only spans are shuffled, never texts. Matches come from ``regexp_extract_all``,
 the stretches between them from ``split``; their lengths give positions by a
@@ -24,6 +25,8 @@ from quernstone.llm.columns import spare
 SCOPE = 300
 #: Kinds in order: three strong ones, then those that linking may add.
 KINDS = ("assign", "access", "hex", "ident", "secret", "endpoint")
+#: Kinds that identify, and kinds that are secret.
+IDS, SECRETS = "(1, 3)", "(0, 2, 4)"
 #: The strong patterns. Those of access and hex hold the least
 #: length; that of assign must not (a short value is dropped with its match).
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -51,6 +54,14 @@ def _matches(kind: str, pattern: str, guard: str, keep: str = "true") -> str:
     return f"CASE WHEN {guard} THEN {numbered} ELSE array() END"
 
 
+def near(kinds: str, scope: int) -> str:
+    """SQL for whether a part of ``kinds`` lies within ``scope`` of a span."""
+    over = "OVER (PARTITION BY rid ORDER BY start {} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    before = f"max(CASE WHEN kind IN {kinds} THEN `end` END) {over.format('ASC')}"
+    after = f"min(CASE WHEN kind IN {kinds} THEN start END) {over.format('DESC')}"
+    return f"coalesce({before} >= start - {scope}, false) OR coalesce({after} <= `end` + {scope}, false)"
+
+
 def find_spans(docs: DataFrame, text_col: str = "text", scope: int = SCOPE) -> DataFrame:
     """(rid, doc_id, text_hash, kind, start, end): every reported span of every row.
 
@@ -93,15 +104,10 @@ def find_spans(docs: DataFrame, text_col: str = "text", scope: int = SCOPE) -> D
     placed = placed.selectExpr("rid", "doc_id", "text_hash", "IF(keep, kind, NULL) AS kind", "start", "start + size AS end")
     # A weak secret inside a strong span is that span, not a second part.
     covered = "max(IF(kind <= 2, end, NULL)) OVER (PARTITION BY rid ORDER BY start, kind ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    near = f"OVER (PARTITION BY rid ORDER BY start RANGE BETWEEN {scope} PRECEDING AND {scope} FOLLOWING)"
     parts = placed.selectExpr("*", f"kind = 4 AND coalesce({covered} > start, false) AS inner")
     parts = parts.selectExpr("rid", "doc_id", "text_hash", "IF(inner, NULL, kind) AS kind", "start", "end")
-    linked = parts.selectExpr(
-        "*",
-        f"count_if(kind IN (1, 3)) {near} AS n_ids",
-        f"count_if(kind IN (0, 2, 4)) {near} AS n_secrets",
-    )
-    reported = "kind <= 2 OR (kind = 3 AND n_secrets > 0) OR (kind = 4 AND n_ids > 0) OR (kind = 5 AND n_ids > 0 AND n_secrets > 0)"
+    linked = parts.selectExpr("*", *(f"{near(kinds, scope)} AS {name}" for name, kinds in (("by_id", IDS), ("by_secret", SECRETS))))
+    reported = "kind <= 2 OR (kind = 3 AND by_secret) OR (kind = 4 AND by_id) OR (kind = 5 AND by_id AND by_secret)"
     return linked.selectExpr(
         "rid", "doc_id", "text_hash", *(f"IF({reported}, {c}, NULL) AS {c}" for c in ("kind", "start", "end"))
     )
