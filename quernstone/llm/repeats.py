@@ -10,8 +10,11 @@ would move each byte many times over, so places that can match are found first:
    context, document, place), some 25 bytes each, brings equal anchors together.
    Occurrences of one context are an interval of the suffix tree whose common
    prefix is the whole context; those above its smallest document go.
-2. Repeats. Where an anchor has several contexts, parts of them may be equal. The
-   bytes of one occurrence of each are cut out, and an anchor's contexts form a
+2. Repeats. Where an anchor has several contexts, parts of them may be equal. A
+   string that two of them share holds the anchor at one place, so they also agree
+   in one of three stretches about it (``stretches``); contexts whose hashes of them
+   meet no other document's go no further. The bytes of one occurrence of each
+   of the others are cut out, and an anchor's contexts form a
    suffix array of the suffixes long enough, with common-prefix lengths. A stack
    scan walks its interval tree; an interval whose suffixes are preceded by
    different bytes is a maximal repeat, with all its occurrences. Those above the
@@ -57,24 +60,39 @@ WIDE, SAMPLE_BYTES, SAMPLE_EVERY = 1 << 13, 256 << 20, 32
 LAST = (1 << 63) - 1
 #: Low bits of a hash that give way to a place; the same in every block.
 _PLACE = np.uint64((1 << 26) - 1)
+#: Bits of a stretch's hash.
+_SIDE = 21
 
 
 class Contexts(NamedTuple):
-    """Contexts of some texts: anchor, digest, number of the text, place in it, size."""
+    """Contexts of some texts: anchor, digest, hashes of the stretches, number of the text, place in it, size."""
 
     hash: np.ndarray
     digest: np.ndarray
+    sides: np.ndarray
     text: np.ndarray
     at: np.ndarray
     size: np.ndarray
 
 
+def stretches(length: int = LENGTH) -> list[tuple[int, int]]:
+    """Bytes before and after the anchor of three stretches, one of which lies in any string of ``length`` bytes that picks it.
+
+    A string with o bytes before its anchor has ``length - KMER - o`` behind it; each
+    stretch stands for a third of the values of o.
+    """
+    places = length - KMER + 1
+    cuts = [-(-k * places // 3) for k in range(4)]
+    return [(a, places - z) for a, z in zip(cuts, cuts[1:], strict=False)]
+
+
 def contexts_of(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> Contexts:
     """The contexts of the texts whose bytes stand in ``data`` between ``offsets``.
 
     Windows lie inside texts. A digest is a polynomial of the context's hashed
     k-mers, so equal contexts have equal ones wherever they stand; its 48 bits stand
-    beside the 64 of the anchor.
+    beside the 64 of the anchor. The hashes of the three stretches have 21 bits each, 0
+    where the context is too short for one.
     """
     n, none = len(data), np.zeros(0, np.int64)
     if n >= 2 * PIECE:  # long texts: overlapping pieces, so that no window is lost
@@ -86,7 +104,7 @@ def contexts_of(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) ->
                 parts.append(c._replace(text=np.full(len(c.hash), t), at=c.at + (a - offsets[t])))
         return Contexts(*(np.concatenate(x) for x in zip(*parts, strict=True)))
     if n < length:
-        return Contexts(none.astype(np.uint64), none.astype(np.uint64), none, none, none)
+        return Contexts(*[none.astype(np.uint64)] * 3, none, none, none)
     raw = np.ascontiguousarray(data)
     eight = np.empty(n - 7, dtype=np.uint64)
     for o in range(8):
@@ -104,14 +122,21 @@ def contexts_of(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) ->
     valid = starts + length <= offsets[text + 1]
     starts, text = starts[valid], text[valid]
     if not len(starts):
-        return Contexts(none.astype(np.uint64), none.astype(np.uint64), none, none, none)
+        return Contexts(*[none.astype(np.uint64)] * 3, none, none, none)
     place = (least[valid] & _PLACE).astype(np.int64)
     first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
     a, z = starts[first], starts[np.r_[first[1:], len(place)] - 1] + length
     sums = np.zeros(len(hashes) + 1, np.uint64)
     np.cumsum(hashes * power("up", len(hashes)), out=sums[1:], dtype=np.uint64)
-    digest = mix((sums[z - KMER + 1] - sums[a]) * power("down", len(hashes))[a] + (z - a).astype(np.uint64)) >> np.uint64(16)
-    return Contexts(hashes[place[first]], digest, text[first], a - offsets[text[first]], z - a)
+    down = power("down", len(hashes))
+    digest = mix((sums[z - KMER + 1] - sums[a]) * down[a] + (z - a).astype(np.uint64)) >> np.uint64(16)
+    sides, anchor = np.zeros(len(a), np.uint64), place[first]
+    for k, (left, right) in enumerate(stretches(length)):
+        own = np.flatnonzero((anchor - left >= a) & (anchor + KMER + right <= z))
+        at = anchor[own]
+        value = mix((sums[at + right + 1] - sums[at - left]) * down[at - left]) >> np.uint64(64 - _SIDE)
+        sides[own] |= np.maximum(value, np.uint64(1)) << np.uint64(_SIDE * k)
+    return Contexts(hashes[anchor], digest, sides, text[first], a - offsets[text[first]], z - a)
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -276,15 +301,31 @@ SPAN, ASK, ASK_WIDE, HELD = range(4)
 FOUND = "kind int, hash long, digest long, doc long, tie long, at int, last int, size int, more boolean"
 
 
+def sharing(anchor: np.ndarray, sides: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Which contexts agree in one of the stretches with one of their anchor and of another document."""
+    shared = np.zeros(len(anchor), bool)
+    for k in range(3):
+        value = (sides.view(np.uint64) >> np.uint64(_SIDE * k)) & np.uint64((1 << _SIDE) - 1)
+        own = np.flatnonzero(value)
+        key = (anchor[own].astype(np.uint64) << np.uint64(_SIDE)) | value[own]
+        order = np.argsort(key, kind="stable")
+        own, key = own[order], key[order]
+        if len(own):
+            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            several = np.minimum.reduceat(least[own], first) < np.maximum.reduceat(least[own], first)
+            shared[own[np.repeat(several, np.diff(np.r_[first, len(own)]))]] = True
+    return shared
+
+
 def context_rows(known: DataFrame, buckets: int, hot: np.ndarray, length: int = LENGTH) -> DataFrame:
     """(bucket, kind, blob): merged contexts of a task by bucket; spans that are certain."""
     held_hot = known.sparkSession.sparkContext.broadcast(hot)
 
     def sent(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        value, digest, doc, tie, at, size = (np.concatenate(x) for x in zip(*parts, strict=True))
+        value, digest, sides, doc, tie, at, size = (np.concatenate(x) for x in zip(*parts, strict=True))
         common = np.isin(value, held_hot.value) if len(held_hot.value) else np.zeros(len(value), bool)
         order = np.lexsort((at, tie, doc, digest, value))
-        value, digest, doc, tie, at, size, common = (x[order] for x in (value, digest, doc, tie, at, size, common))
+        value, digest, sides, doc, tie, at, size, common = (x[order] for x in (value, digest, sides, doc, tie, at, size, common))
         new = np.ones(len(value), bool)
         new[1:] = (value[1:] != value[:-1]) | (digest[1:] != digest[:-1])
         first = np.flatnonzero(new)
@@ -296,10 +337,10 @@ def context_rows(known: DataFrame, buckets: int, hot: np.ndarray, length: int =
             run, upto = merged_runs(d, t, at=a, upto=a + size[sure])
             yield _batch([[int(value[0] % np.uint64(buckets))], [SPAN], [packed(d[run], t[run], a[run], upto)]], "bucket long, kind int, blob binary")
         rest = np.flatnonzero(doc == least)
-        value, digest, doc, tie, at, size, common = (x[rest] for x in (value, digest, doc, tie, at, size, common))
+        value, digest, sides, doc, tie, at, size, common = (x[rest] for x in (value, digest, sides, doc, tie, at, size, common))
         # Places of one context in one text that overlap are a run.
         run, last = merged_runs(value, digest, tie, at=at, upto=at + length)
-        value, digest, doc, tie, at, size, common = (x[run] for x in (value, digest, doc, tie, at, size, common))
+        value, digest, sides, doc, tie, at, size, common = (x[run] for x in (value, digest, sides, doc, tie, at, size, common))
         for wide in (False, True):
             own = np.flatnonzero(common == wide)
             if not len(own):
@@ -308,7 +349,7 @@ def context_rows(known: DataFrame, buckets: int, hot: np.ndarray, length: int =
             own = own[np.argsort(bucket, kind="stable")]
             bucket = np.sort(bucket)
             cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-            columns = [value.view(np.int64), digest.view(np.int64), doc, tie, at, last - length, size]
+            columns = [value.view(np.int64), digest.view(np.int64), sides.view(np.int64), doc, tie, at, last - length, size]
             blobs = [packed(*(c[own[a:z]] for c in columns)) for a, z in zip(cuts, np.r_[cuts[1:], len(bucket)], strict=True)]
             yield _batch([bucket[cuts], [ASK_WIDE if wide else ASK] * len(blobs), blobs], "bucket long, kind int, blob binary")
 
@@ -318,7 +359,7 @@ def context_rows(known: DataFrame, buckets: int, hot: np.ndarray, length: int =
             ids, ties = batch.column("doc").to_numpy(), batch.column("tie").to_numpy()
             for row, data, offsets in byte_blocks(batch.column("data"), BLOCK):
                 c = contexts_of(data, offsets, length)
-                parts.append((c.hash, c.digest, ids[row + c.text], ties[row + c.text], c.at, c.size))
+                parts.append((c.hash, c.digest, c.sides, ids[row + c.text], ties[row + c.text], c.at, c.size))
                 n += len(c.hash)
                 if n >= FLUSH:
                     yield from sent(parts)
@@ -333,9 +374,9 @@ def met_contexts(rows: DataFrame, most: int = WIDE) -> DataFrame:
     """FOUND rows of all buckets.
 
     Spans that are certain (SPAN, from at to last); the first occurrences of each
-    context of an anchor with several (ASK, with over ``most`` ASK_WIDE: they begin
-    from at to last), and whether there are more; those (HELD), in the smallest
-    document of the context.
+    context that agrees in a stretch with another of its anchor (ASK, with over
+    ``most`` of them at an anchor ASK_WIDE: they begin from at to last), and whether
+    there are more; those (HELD), in the smallest document of the context.
     """
 
     def settle(blobs: list[bytes], wide: bool) -> Iterator[pa.RecordBatch]:
@@ -346,17 +387,16 @@ def met_contexts(rows: DataFrame, most: int = WIDE) -> DataFrame:
             same = value[1:] == value[:-1]
             order = order[np.r_[False, same] | np.r_[same, False]]
             columns = [c[order] for c in columns]
-        value, digest, doc, tie, at, last, size = columns
+        value, digest, sides, doc, tie, at, last, size = columns
         if not len(value):
             return
         order = np.lexsort((at, tie, doc, digest, value))
-        value, digest, doc, tie, at, last, size = (x[order] for x in (value, digest, doc, tie, at, last, size))
+        value, digest, sides, doc, tie, at, last, size = (x[order] for x in (value, digest, sides, doc, tie, at, last, size))
         new_value = np.r_[True, value[1:] != value[:-1]]
         new = new_value | np.r_[True, digest[1:] != digest[:-1]]
         anchor, context = np.cumsum(new_value) - 1, np.cumsum(new) - 1
         least = doc[new]
-        lowest, n_contexts = np.minimum.reduceat(doc, np.flatnonzero(new_value)), np.bincount(anchor[new])
-        highest = np.maximum.reduceat(doc, np.flatnonzero(new_value))
+        lowest = np.minimum.reduceat(doc, np.flatnonzero(new_value))
 
         def out(kind: int, rows: np.ndarray, *columns: np.ndarray | pa.Array) -> pa.RecordBatch:
             none = pa.nulls(len(rows), pa.int64())
@@ -365,9 +405,10 @@ def met_contexts(rows: DataFrame, most: int = WIDE) -> DataFrame:
         sure = np.flatnonzero(doc > least[context])
         empty = lambda rows, kind: pa.nulls(len(rows), kind)
         yield out(SPAN, sure, (last + size)[sure], empty(sure, pa.int32()), empty(sure, pa.bool_()))
-        several = (n_contexts > 1) & (highest > lowest)
-        taken = np.ones(len(value), bool) if wide else several[anchor]
-        many = np.ones(len(value), bool) if wide else (n_contexts > most)[anchor]
+        taken = many = np.ones(len(value), bool)
+        if not wide:
+            shared = sharing(anchor[new], sides[new], least)
+            taken, many = shared[context], (np.bincount(anchor[new], weights=shared) > most)[anchor]
         # What the smallest document of all shares is no repeat.
         other = taken & ~new & (doc == least[context]) & (wide | (doc > lowest[anchor]))
         more = np.bincount(context[other], minlength=len(least)) > 0

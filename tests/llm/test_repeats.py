@@ -107,6 +107,30 @@ def test_common_anchors_are_spread(spark):
     assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(want[r] for r in rows)
 
 
+def test_stretches_lie_in_every_string():
+    for length in (16, 17, 20, 31, 50, 51):
+        rest = length - repeats.KMER
+        for before in range(rest + 1):
+            assert any(a <= before and b <= rest - before for a, b in repeats.stretches(length))
+    assert all(a + b >= 22 for a, b in repeats.stretches(50))
+
+
+def test_only_contexts_that_may_share_are_asked(spark):
+    """Phrases that recur in other company give common anchors, but no bytes are cut for them."""
+    rng = random.Random(5)
+    phrase = "".join(rng.choice("abcdefgh ") for _ in range(24))
+    other = lambda n: "".join(rng.choice("ijklmnopqrstuvwxyz") for _ in range(n))
+    rows = [(i, other(40) + phrase + other(40)) for i in range(200)]
+    rows += [(200 + i, "<" + rows[i][1][10 + i : 60 + i] + ">") for i in range(30)]  # exactly one string of 50 bytes each
+    known = repeats._known(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = repeats.met_contexts(repeats.context_rows(known, 4, np.zeros(0, np.uint64))).where("kind <> 0").select("doc").distinct()
+    assert {r.doc for r in found.collect()} == {*range(30), *range(200, 230)}
+    want = brute(rows)
+    for wide in (repeats.WIDE, 1):
+        got = deduplicate(known.selectExpr("doc as doc_id", "cast(data as string) as text"), wide=wide).collect()
+        assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == {k[0]: v for k, v in want.items()}
+
+
 def test_long_text(spark):
     """A text of several pieces, whole in another document; periods inside."""
     rng = np.random.default_rng(1)
