@@ -370,8 +370,8 @@ def context_rows(known: DataFrame, buckets: int, hot: np.ndarray, length: int =
     return known.mapInArrow(scan, "bucket long, kind int, blob binary")
 
 
-def met_contexts(rows: DataFrame, most: int = WIDE) -> DataFrame:
-    """FOUND rows of all buckets.
+def met_contexts(rows: DataFrame, most: int = WIDE, parts: int | None = None) -> DataFrame:
+    """FOUND rows of all buckets, dealt to ``parts`` tasks (by default as many as Spark chooses).
 
     Spans that are certain (SPAN, from at to last); the first occurrences of each
     context that agrees in a stretch with another of its anchor (ASK, with over
@@ -420,23 +420,24 @@ def met_contexts(rows: DataFrame, most: int = WIDE) -> DataFrame:
         held: dict[int, list[bytes]] = {ASK: [], ASK_WIDE: []}
         now = None
         for batch in batches:
-            for bucket, kind, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "kind", "blob")), strict=True):
+            for bucket, kind, blob in zip(batch.column("bucket").to_pylist(), batch.column("kind").to_pylist(), batch.column("blob"), strict=True):
                 if bucket != now:
                     for k, blobs in held.items():
                         if blobs:
                             yield from settle(blobs, k == ASK_WIDE)
                     held, now = {ASK: [], ASK_WIDE: []}, bucket
                 if kind == SPAN:
-                    doc, tie, at, upto = unpacked(blob)
+                    doc, tie, at, upto = unpacked(blob.as_py())
                     n = len(doc)
                     yield _batch([np.full(n, SPAN), *[pa.nulls(n, pa.int64())] * 2, doc, tie, at, upto, pa.nulls(n, pa.int32()), pa.nulls(n, pa.bool_())], FOUND)
                 else:
-                    held[kind].append(blob)
+                    held[kind].append(blob.as_py())
         for k, blobs in held.items():
             if blobs:
                 yield from settle(blobs, k == ASK_WIDE)
 
-    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, FOUND)
+    dealt = rows.repartition(parts, "bucket") if parts else rows.repartition("bucket")
+    return dealt.sortWithinPartitions("bucket").mapInArrow(run, FOUND)
 
 
 CONTEXT = "key long, low long, doc long, tie long, at int, last int, hash long, digest long, a int, more boolean, context binary"
@@ -580,9 +581,10 @@ def removed_spans(known: DataFrame, length: int = LENGTH, wide: int = WIDE) -> D
     total = known.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     expected = 2 * total // (length - KMER + 2)
     buckets = max(2 * _partitions(known), expected // BUCKET)
+    parts = buckets // 2 if buckets > 2 * _partitions(known) else None  # a task takes two buckets, however large the corpus
     hot = common_anchors(known, max(SAMPLE_EVERY, total // SAMPLE_BYTES), length, wide)
     count = lambda *kinds: F.count_if(F.col("kind").isin(*kinds))
-    met = Written(met_contexts(context_rows(known, buckets, hot, length), wide), "contexts-met", asks=count(ASK, ASK_WIDE), held=count(HELD))
+    met = Written(met_contexts(context_rows(known, buckets, hot, length), wide, parts), "contexts-met", asks=count(ASK, ASK_WIDE), held=count(HELD))
     let_go(spark)
     found, repeats = met.read(), None
     spans = found.where(F.col("kind") == SPAN).select("doc", "tie", "at", F.col("last").alias("upto"))

@@ -131,6 +131,24 @@ def test_only_contexts_that_may_share_are_asked(spark):
         assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == {k[0]: v for k, v in want.items()}
 
 
+def test_tasks_grow_with_the_corpus(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(60)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(60))) for i in range(60)]
+    rows += [(100 + i, rows[i][1][20:200] + "!") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    known = repeats._known(df)
+    dealt = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(repeats, "BUCKET", 20)
+        inner = repeats.met_contexts
+        patch.setattr(repeats, "met_contexts", lambda *a: dealt.append(inner(*a)) or dealt[-1])
+        got = deduplicate(df).collect()
+    assert dealt[0].rdd.getNumPartitions() > 2 * repeats._partitions(known)
+    want = brute(rows)
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted((k[0], *v) for k, v in want.items())
+
+
 def test_long_text(spark):
     """A text of several pieces, whole in another document; periods inside."""
     rng = np.random.default_rng(1)
