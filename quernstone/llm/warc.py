@@ -168,7 +168,7 @@ def write_archives(
 
     @F.pandas_udf(IntegerType())
     def shard_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(least, ids.fillna(0).to_numpy(np.int64), side="right").astype(np.int32))
+        return pd.Series(np.searchsorted(least, ids.to_numpy(np.int64), side="right").astype(np.int32))
 
     # One shuffle: a shard's choices and rows meet sorted, choices of an id first.
     none = lambda kind, name: F.lit(None).cast(kind).alias(name)
@@ -176,7 +176,8 @@ def write_archives(
         rows.select("id", none("long", "to"), none("binary", "digest"), "url", "payload")
     )
     by_payload = F.pmod(F.xxhash64(F.coalesce("digest", F.unhex(F.sha1("payload")))), F.lit(n_shards)).cast("int")
-    shard = F.when(F.col("id").isNull(), by_payload).otherwise(shard_of("id"))
+    # Without nulls, which would make pandas round large ids.
+    shard = F.when(F.col("id").isNull(), by_payload).otherwise(shard_of(F.coalesce("id", F.lit(0))))
     dealt = both.withColumn("shard", shard).repartitionById(n_shards, "shard").sortWithinPartitions("shard", "id", F.col("digest").isNull(), "digest", "url", "payload")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,7 +271,8 @@ def read_archives(manifest: DataFrame, out: str, payloads: bool = False) -> Data
 
     payload_bytes and payload_digest (hex SHA-1) are of the full payload, for
     revisits too. ``payloads`` adds the payload (null for revisits). Files are
-    streamed: a record at a time is held.
+    streamed: a record at a time is held. An empty manifest gives no rows; columns
+    other than ``file`` are not read.
     """
     schema = RECORD + (", payload binary" if payloads else "")
     n_files = max(1, manifest.count())
@@ -305,6 +307,12 @@ def _batch(rows: list[list], payloads: bool) -> pa.RecordBatch:
 
 
 def archive_pages(pages: DataFrame, out: str | None = None, **options: int) -> DataFrame:
-    """Write ``pages`` as archives in the shared folder (or ``out``) and read them back."""
+    """Write ``pages`` as archives in the shared folder (or ``out``) and read them back.
+
+    One row per row of ``pages``, under the choices of :func:`write_archives`: null
+    payloads are empty, null ids and repeated rows are kept, ties of the largest id
+    go to the first written, long payloads are whole, only page_id, url and html are
+    read (others may have any name), an empty table gives no rows.
+    """
     out = out or fresh_dir(pages.sparkSession, "warc")
     return read_archives(write_archives(pages, out, **options), out)

@@ -65,3 +65,16 @@ def test_broken_record_is_noticed():
     assert parse_record(data)["payload"] == b"payload"
     with pytest.raises(ValueError):
         parse_record(data.replace(b"payload\r\n\r\n", b"pAyload\r\n\r\n"))
+
+
+def test_large_ids_beside_null_ids_in_many_shards(spark):
+    big = 1 << 60
+    rows = [(big + k, f"http://h/{k}", f"{k % 300:05d} " * 300) for k in range(1500)]
+    rows += [(None, "http://none", f"{k % 400:05d} " * 300) for k in range(0, 400, 7)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = archive_pages(df, shard_bytes=20_000).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    assert sorted(tuple(r) for r in got if r.page_id is not None) == expected([(r[0], r[2]) for r in rows if r[0] is not None])
+    last = {hashlib.sha1(r[2].encode()).hexdigest(): r[0] for r in rows if r[0] is not None}
+    for r in got:
+        if r.page_id is None:
+            assert (r.record_type, r.refers_to) == (("revisit", last[r.payload_digest]) if r.payload_digest in last else ("response", None))
