@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 import xxhash
 import zstandard
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.llm.columns import spare
@@ -254,22 +254,39 @@ def unpacked(blob: bytes) -> list[np.ndarray]:
 
 #: Repeated ids of which a table is sent to every task; with more, all rows carry a hash.
 REPEATED_IDS = 1 << 20
+#: Hashes tried to tell texts of one id apart.
+SEEDS = 8
+
+
+def _tie(seed: int) -> Column:
+    """A hash of the text that is not negative."""
+    return F.xxhash64(F.lit(seed), "text").bitwiseAND(F.lit((1 << 63) - 1))
 
 
 def _known(docs: DataFrame) -> DataFrame:
     """(doc, tie, data): the id, and a hash of the text that tells rows of one id apart.
 
-    Most ids are unique, and their rows need no hash: tie is 0 there.
+    Most ids are unique, and their rows need no hash: tie is 0 there. Where two texts
+    of one id have equal ties, by a second hash of 64 bits, another seed is taken.
     """
-    known = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64("text").bitwiseAND(0xFFFFFFFF).alias("tie"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("data")
-    )
-    twice = Written(known.groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc").alias("twice")), "repeated-ids", n=F.count("*"))
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc")
+    data = F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("data")
+    twice = Written(docs.select(doc).groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc").alias("twice")), "repeated-ids", n=F.count("*"))
     if not twice.taken["n"]:  # no literal, which the optimiser would take out of join keys and so undo their partitioning
-        return known.withColumn("tie", F.col("doc").bitwiseAND(0))
-    if twice.taken["n"] > REPEATED_IDS:
+        return docs.select(doc, data).withColumn("tie", F.col("doc").bitwiseAND(0)).select("doc", "tie", "data")
+    few = twice.taken["n"] <= REPEATED_IDS
+    repeated = F.broadcast(twice.read()) if few else twice.read()
+    for seed in range(SEEDS):
+        other = F.xxhash64(F.lit(-1 - seed), "text").alias("other")
+        held = docs.select(doc, _tie(seed).alias("tie"), other).join(repeated, F.col("doc") == F.col("twice"), "left_semi")
+        if not held.groupBy("doc", "tie").agg((F.min("other") != F.max("other")).alias("met")).where("met").limit(1).count():
+            break
+    else:
+        raise RuntimeError("texts of one id cannot be told apart")
+    known = docs.select(doc, _tie(seed).alias("tie"), data)
+    if not few:
         return known
-    marked = known.join(F.broadcast(twice.read()), F.col("doc") == F.col("twice"), "left")
+    marked = known.join(repeated, F.col("doc") == F.col("twice"), "left")
     return marked.select("doc", F.when(F.col("twice").isNull(), F.lit(0).cast("long")).otherwise(F.col("tie")).alias("tie"), "data")
 
 

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quernstone.llm import repeats
 from quernstone.llm.queries import op7_repeats
@@ -163,3 +164,19 @@ def test_query(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     want = {k[0]: v for k, v in brute(rows).items()}
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in op7_repeats(spark, sf_dir).collect()} == want
+
+
+@pytest.mark.parametrize("most", [1 << 20, 0])
+def test_texts_of_one_id_whose_hashes_are_equal(spark, monkeypatch, most):
+    passage = "".join(chr(97 + (k * k) % 23) for k in range(73))
+    rows = [(1, passage), (None, "q" * 12 + passage), (None, passage + "z" * 30), (None, None), (7, "other"), (7, "v" * 40)]
+    plain = repeats._tie
+    monkeypatch.setattr(repeats, "REPEATED_IDS", most)
+    # The first two hashes are of no use, as if all texts collided.
+    monkeypatch.setattr(repeats, "_tie", lambda seed: F.lit(5).cast("long") if seed < 2 else plain(seed))
+    got = repeats.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
+    kept = sorted((r.doc_id or 0, bytes(r.kept).decode(), r.n_removed) for r in got.collect())
+    assert kept == sorted([(1, passage, 0), (0, "q" * 12, 73), (0, "z" * 30, 73), (0, "", 0), (7, "other", 0), (7, "v" * 40, 0)])
+    monkeypatch.setattr(repeats, "_tie", lambda seed: F.lit(5).cast("long"))
+    with pytest.raises(RuntimeError):
+        repeats.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
