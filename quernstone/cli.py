@@ -19,6 +19,7 @@ from quernstone.session import materialise
 from quernstone.sources import artefacts as A
 from quernstone.sources import inventory
 from quernstone.sources.extract import extract_files
+from quernstone.sources.lines import read_line_index, write_line_index
 from quernstone.sources.queries import read_queries
 
 
@@ -92,8 +93,8 @@ def index(spark: SparkSession, chunks: str, output: str, config: encode.EncoderC
     rows = materialise(A.read_fragments(spark, chunks), "fragments")
     made = encode.build_index(rows, encoder, config, count)
     made.write.mode("overwrite").parquet(f"{output}/vectors")
-    rows.write.mode("overwrite").parquet(f"{output}/rows")
     A.write_metadata(rows, f"{output}/{A.METADATA}")
+    write_line_index(spark, f"{output}/{A.METADATA}", f"{output}/lines")
     report = encode.index_report(spark.read.parquet(f"{output}/vectors"), rows, config).first().asDict(recursive=True)
     A.write_report(spark, report, f"{output}/{A.REPORT}")
     return report
@@ -106,7 +107,7 @@ def answer(spark: SparkSession, folder: str, queries: str, results: str, config:
     vectors = encode.encode_queries(asked, encoder, config, count).select(F.xxhash64("query_id").alias("query_id"), "qvec")
     hits = V.top_k(spark.read.parquet(f"{folder}/vectors"), vectors, k).withColumnRenamed("query_id", "number")
     columns = ["doc_id", "chunk_id", "source", "relative", "phenomenon", "observatory", "page", "text", "language"]
-    named_hits = A.metadata_of(hits, spark.read.parquet(f"{folder}/rows"), columns).join(numbered.select("number", "query_id"), "number").drop("number")
+    named_hits = A.metadata_of(materialise(hits, "hits"), read_line_index(spark, f"{folder}/lines"), columns).join(numbered.select("number", "query_id"), "number").drop("number")
     filtered = materialise(V.language_filter(named_hits, language, "language"), "hits")
     unique = materialise(V.distinct_texts(filtered, ["query_id", "doc_id"], "text", ["rank"]), "unique-hits")
     best = V.best_documents(unique, "doc_id", top).withColumnRenamed("n", "n_fragments")

@@ -10,11 +10,12 @@ from __future__ import annotations
 import json
 from xml.sax.saxutils import escape, quoteattr
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quernstone.functions import text as T
 from quernstone.operators.relational import require_unique
+from quernstone.sources.lines import line_index, line_range, lines_at, numbered_lines
 
 #: Fields of a document file and of its blocks, with the frame's names; those a block may lack.
 DOCUMENT_FIELDS = {"doc_id": "doc_id", "fuente": "source", "formato": "format", "fenomeno": "phenomenon", "idioma": "language", "bloques": "blocks", "meta": "meta", "errores": "errors"}
@@ -42,19 +43,6 @@ def _named(column: Column, names: dict[str, str], back: bool = False) -> Column:
     return F.coalesce(F.create_map(*(F.lit(x) for p in pairs for x in p))[column], column)
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line, value): lines of one text file with their numbers from 0, in file order.
-
-    Spark reads the parts of a file in order, so a running number within parts and
-    the counts of the parts before give the line, without one task for all.
-    """
-    raw = spark.read.text(path).withColumn("_id", F.monotonically_increasing_id())
-    part = F.shiftright("_id", 33)
-    counts = raw.groupBy(part.alias("p")).agg(F.count("*").alias("n"))
-    before = counts.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row a part
-    return raw.join(F.broadcast(before), part == F.col("p")).select((F.col("before") + F.col("_id").bitwiseAND((1 << 33) - 1)).alias("line"), "value")
-
-
 def _need(value: Column, json_text: Column, names: list[str], what: str) -> Column:
     """``value``; raises where the JSON object lacks a field."""
     missing = F.array_except(F.array(*map(F.lit, names)), F.json_object_keys(json_text))
@@ -110,7 +98,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
         raise ValueError(f"no such folder: {folder}")
     files = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True).withColumn("_file", F.regexp_extract(F.input_file_name(), r"([^/]+)\.json$", 1))
     if exists(spark, f"{folder}/{MANIFEST}"):
-        lines = _lines(spark, f"{folder}/{MANIFEST}").where(F.trim("value") != "")
+        lines = numbered_lines(spark, f"{folder}/{MANIFEST}").where(F.trim("value") != "")
         order = lines.select(F.get_json_object("value", "$.doc_id").alias("_file"), F.col("line").alias("place"))
         joined = order.join(files, "_file", "left")
         files = joined.withColumn("value", F.when(F.col("value").isNull(), F.raise_error(F.concat(F.lit("the manifest lists a document without a file: "), F.col("_file")))).otherwise(F.col("value")))
@@ -183,26 +171,36 @@ def write_fragments(fragments: DataFrame, path: str, order: tuple[str, ...] = ("
     fragments.orderBy(*order).select(_fragment_json(fragments).alias("value")).write.mode("overwrite").text(path)
 
 
+def _typed_fragments(lines: DataFrame) -> DataFrame:
+    """Fragments of JSON texts (row_id, value); bad ones raise, absent fields are null."""
+    parsed = F.from_json("value", fragment_schema(), {"mode": "FAILFAST"})
+    rows = lines.select("row_id", parsed.alias("f")).select("row_id", "f.*").withColumnsRenamed(FRAGMENT_FIELDS)
+    return rows.withColumns({"unit": _named(F.col("unit"), UNITS), "format": _named(F.col("format"), FORMATS)})
+
+
 def read_fragments(spark: SparkSession, path: str) -> DataFrame:
-    """Fragments of JSON lines with ``row_id``, their line; bad lines, a missing enriched text and an empty file raise."""
-    lines = _lines(spark, path).where(F.trim("value") != "")
+    """Fragments of JSON lines with ``row_id``, their place among the lines that are not blank.
+
+    The lines of a folder are those of its parts in the order of their names. Bad
+    lines, a missing enriched text and an empty file raise.
+    """
+    lines = numbered_lines(spark, path, blank=False).withColumnRenamed("line", "row_id")
     if lines.isEmpty():
         raise ValueError(f"{path} holds no fragments")
-    rows = lines.select(F.col("line").alias("row_id"), F.from_json("value", fragment_schema(), {"mode": "FAILFAST"}).alias("f")).select("row_id", "f.*").withColumnsRenamed(FRAGMENT_FIELDS)
-    named = rows.withColumns({"unit": _named(F.col("unit"), UNITS), "format": _named(F.col("format"), FORMATS)})
     bad = F.coalesce(F.col("enriched"), F.lit("")) == ""
-    return named.withColumn("enriched", F.when(bad, F.raise_error(F.concat(F.lit("a fragment without the text to encode, line "), F.col("row_id").cast("string")))).otherwise(F.col("enriched")))
+    return _typed_fragments(lines).withColumn("enriched", F.when(bad, F.raise_error(F.concat(F.lit("a fragment without the text to encode, row "), F.col("row_id").cast("string")))).otherwise(F.col("enriched")))
 
 
-def scan_fragments(spark: SparkSession, path: str, first: int = 0, end: int | None = None, most: int | None = None) -> DataFrame:
+def scan_fragments(spark: SparkSession, path: str, first: int = 0, end: int | None = None, most: int | None = None, index: DataFrame | None = None) -> DataFrame:
     """Fragments for graphs (doc_id, chunk_id, source, phenomenon, text, language, line) of lines ``first`` to ``end``.
 
-    Lines that are no JSON and empty texts are passed over, absent fields are empty
-    or 0. ``most`` keeps the first rows, which is the feature.
+    A range is read by byte offsets, from ``index`` (see ``lines.line_index``) or one
+    made for it; all lines by one scan. Lines that are no JSON and empty texts are
+    passed over, absent fields are empty or 0. ``most`` keeps the first rows, which
+    is the feature.
     """
-    lines = _lines(spark, path).where(F.col("line") >= first)
-    if end is not None:
-        lines = lines.where(F.col("line") < end)
+    whole = first == 0 and end is None
+    lines = numbered_lines(spark, path) if whole else line_range(line_index(spark, path) if index is None else index, first, end)
     f = F.from_json("value", "doc_id string, chunk_id string, fuente string, fenomeno int, texto string, idioma string")
     rows = lines.select("line", f.alias("f")).where(F.coalesce("f.texto", F.lit("")) != "")
     said = lambda c: F.coalesce(f"f.{c}", F.lit(""))
@@ -220,9 +218,14 @@ def documents_with_vectors(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.json(path, schema="doc_id string").where(F.length("doc_id") > 0).distinct()
 
 
-def metadata_of(hits: DataFrame, metadata: DataFrame, columns: list[str]) -> DataFrame:
-    """``hits`` with columns of the metadata, looked up after the cut: only those columns and rows are read."""
-    return hits.join(metadata.select("row_id", *columns), "row_id", "left")
+def metadata_of(hits: DataFrame, index: DataFrame, columns: list[str]) -> DataFrame:
+    """``hits`` with columns of the metadata lines that their ``row_id`` numbers, looked up after the cut.
+
+    ``index`` is the metadata's (``lines.line_index``): only the runs of lines that
+    hold a hit are read, each once.
+    """
+    found = lines_at(index, hits, "row_id").withColumnRenamed("line", "row_id")
+    return hits.join(_typed_fragments(found).select("row_id", *columns), "row_id", "left")
 
 
 # Answers ----------------------------------------------------------------------

@@ -43,9 +43,3 @@ def read_queries(spark: SparkSession, path: str) -> DataFrame:
     text = F.coalesce(*TEXT_KEYS)
     checked = F.when(text.isNull(), F.raise_error(F.lit("a query without text"))).otherwise(_tidy(text))
     return require_unique(rows.select(F.coalesce(*ID_KEYS).alias("query_id"), checked.alias("query")), "query_id")
-
-
-def read_fragments(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Fragments from JSON lines; bad lines and a missing enriched text raise."""
-    rows = spark.read.json(path, schema=schema, mode="FAILFAST")
-    return rows.withColumn("enriched", F.when(F.col("enriched").isNull(), F.raise_error(F.lit("a fragment without enriched text"))).otherwise(F.col("enriched")))

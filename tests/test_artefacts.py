@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from quernstone.operators import chunk as C
 from quernstone.sources import artefacts as A
+from quernstone.sources import lines as L
 
 
 def document(doc_id="d1", **changed):
@@ -75,7 +76,7 @@ def test_fragments_round_trip(spark, tmp_path):
     A.write_metadata(A.read_fragments(spark, f"{tmp_path}/chunks"), f"{tmp_path}/meta")
     assert "texto_enriquecido" not in json.loads(spark.read.text(f"{tmp_path}/meta").first()[0])
     assert [r.doc_id for r in A.documents_with_vectors(spark, f"{tmp_path}/meta").collect()] == ["a"]
-    hit = A.metadata_of(spark.createDataFrame([("q1", 1)], "query_id string, row_id long"), A.read_fragments(spark, f"{tmp_path}/chunks"), ["chunk_id"])
+    hit = A.metadata_of(spark.createDataFrame([("q1", 1)], "query_id string, row_id long"), L.line_index(spark, f"{tmp_path}/meta"), ["chunk_id"])
     assert hit.first().chunk_id == "a-c0001"
     (tmp_path / "bad.jsonl").write_text('{"doc_id": "a"}\n', encoding="utf-8")
     with pytest.raises(Exception, match="without the text to encode"):
@@ -134,3 +135,63 @@ def test_small_files(spark, tmp_path):
     assert A.bundle(spark, {"x.jsonl": f"{tmp_path}/x.jsonl"}, f"{tmp_path}/d") == {"x.jsonl": 2}
     with pytest.raises(ValueError):
         A.bundle(spark, {"y": f"{tmp_path}/y"}, f"{tmp_path}/d")
+
+
+def uneven(folder, sizes):
+    """Parts whose sizes rise, so that Spark packs them in another order than their names'."""
+    folder.mkdir()
+    lines, at = [], 0
+    for part, n in enumerate(sizes):
+        own = [json.dumps({"doc_id": f"d{at + k}", "chunk_id": f"c{at + k}", "texto": f"t{at + k} " + "é" * (part * 40), "texto_enriquecido": "e", "posicion": at + k}, ensure_ascii=False) for k in range(n)]
+        (folder / f"part-{part:05d}").write_text("".join(f"{x}\n" for x in own), encoding="utf-8")
+        lines += own
+        at += n
+    return lines
+
+
+def test_lines_of_uneven_parts_are_in_name_order(spark, tmp_path):
+    lines = uneven(tmp_path / "parts", (3, 40, 5, 300, 120, 1))
+    for size in ("512", "4096", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got = L.numbered_lines(spark, f"{tmp_path}/parts").orderBy("line").collect()
+            assert [(r.line, r.value) for r in got] == list(enumerate(lines))
+            index = L.line_index(spark, f"{tmp_path}/parts", 700)
+            entries = index.orderBy("first").collect()
+            assert sum(e.lines for e in entries) == len(lines) and all(a["first"] + a["lines"] == b["first"] for a, b in zip(entries, entries[1:], strict=False))
+            some = spark.createDataFrame([(0,), (2,), (3,), (3,), (47,), (48,), (468,), (469,), (-1,), (None,)], "line long")
+            assert sorted(map(tuple, L.lines_at(index, some).collect())) == [(k, lines[k]) for k in (0, 2, 3, 47, 48, 468)]
+            assert [tuple(r) for r in L.line_range(index, 40, 350).orderBy("line").collect()] == [(k, lines[k]) for k in range(40, 350)]
+            frame = A.read_fragments(spark, f"{tmp_path}/parts")
+            assert frame.where("row_id <> position OR doc_id <> concat('d', row_id)").count() == 0 and frame.count() == len(lines)
+            assert [r.doc_id for r in A.scan_fragments(spark, f"{tmp_path}/parts", 41, 45).orderBy("line").collect()] == ["d41", "d42", "d43", "d44"]
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_few_lines_are_read_by_few_bytes(spark, tmp_path, monkeypatch):
+    uneven(tmp_path / "parts", (200, 3000))
+    index = L.line_index(spark, f"{tmp_path}/parts", 2000)
+    wanted = spark.createDataFrame([(7,), (8,), (2900,)], "row_id long")
+    read = []
+    monkeypatch.setattr(L, "_lines_of", lambda entries: read.extend(entries.collect()))
+    L.lines_at(index, wanted, "row_id")
+    assert len(read) == 2 and sum(r["bytes"] for r in read) < 2 * 3000 and sorted(n for r in read for n in r["wanted"]) == [7, 8, 2900]
+
+
+def test_blank_and_carriage_returned_lines(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_bytes("x\r\n\r\n \té\n\nlast".encode())
+    assert [tuple(r) for r in L.numbered_lines(spark, f"{tmp_path}/a.jsonl").orderBy("line").collect()] == [(0, "x"), (1, ""), (2, " \té"), (3, ""), (4, "last")]
+    assert [tuple(r) for r in L.numbered_lines(spark, f"{tmp_path}/a.jsonl", blank=False).orderBy("line").collect()] == [(0, "x"), (1, " \té"), (2, "last")]
+    assert [tuple(r) for r in L.line_range(L.line_index(spark, f"{tmp_path}/a.jsonl"), 0).orderBy("line").collect()] == [(0, "x"), (1, ""), (2, " \té"), (3, ""), (4, "last")]
+    (tmp_path / "none.jsonl").write_bytes(b"")
+    assert L.line_index(spark, f"{tmp_path}/none.jsonl").count() == 0
+
+
+def test_manifest_of_several_parts_keeps_its_order(spark, tmp_path):
+    names = [f"n{(k * 37) % 101:03d}" for k in range(101)]
+    write(tmp_path, [document(n) for n in names])
+    (tmp_path / A.MANIFEST).mkdir()
+    for part, (a, z) in enumerate(((0, 2), (2, 60), (60, 64), (64, 101))):
+        (tmp_path / A.MANIFEST / f"part-{part}").write_text("".join(json.dumps({"doc_id": n}) + "\n" for n in names[a:z]))
+    assert [r.doc_id for r in A.read_documents(spark, str(tmp_path)).orderBy("place").collect()] == names
