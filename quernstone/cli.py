@@ -103,11 +103,10 @@ def index(spark: SparkSession, chunks: str, output: str, config: encode.EncoderC
 def answer(spark: SparkSession, folder: str, queries: str, results: str, config: encode.EncoderConfig, encoder: encode.Encoder, count, k: int = V.CANDIDATES, top: int = V.TOP_DOCUMENTS, fragments: int = V.TOP_FRAGMENTS, language: str | None = None) -> dict:
     """Answers of an index to a query file; gives counts of short answers and repeats."""
     asked = materialise(read_queries(spark, queries), "queries")
-    numbered = asked.withColumn("number", F.xxhash64("query_id"))
-    vectors = encode.encode_queries(asked, encoder, config, count).select(F.xxhash64("query_id").alias("query_id"), "qvec")
-    hits = V.top_k(spark.read.parquet(f"{folder}/vectors"), vectors, k).withColumnRenamed("query_id", "number")
+    vectors = materialise(encode.encode_queries(asked, encoder, config, count).select("query_id", "qvec"), "query-vectors")
+    hits = V.top_k(spark.read.parquet(f"{folder}/vectors"), vectors, k)
     columns = ["doc_id", "chunk_id", "source", "relative", "phenomenon", "observatory", "page", "text", "language"]
-    named_hits = A.metadata_of(materialise(hits, "hits"), read_line_index(spark, f"{folder}/lines"), columns).join(numbered.select("number", "query_id"), "number").drop("number")
+    named_hits = A.metadata_of(materialise(hits, "hits"), read_line_index(spark, f"{folder}/lines"), columns)
     filtered = materialise(V.language_filter(named_hits, language, "language"), "hits")
     unique = materialise(V.distinct_texts(filtered, ["query_id", "doc_id"], "text", ["rank"]), "unique-hits")
     best = V.best_documents(unique, "doc_id", top).withColumnRenamed("n", "n_fragments")

@@ -6,11 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bytes of query vectors a task holds, scores computed at once; larger query sets are searched in blocks.
-QUERY_BYTES, SCORES = 32 << 20, 1 << 22
+#: Bytes of queries and of rows that a cell of the grid holds, vectors a block, pairs multiplied at once.
+QUERY_BYTES, ROW_BYTES, BLOCK, PAIRS = 32 << 20, 128 << 20, 1 << 10, 1 << 12
 #: Documents and fragments delivered, candidates asked for.
 TOP_DOCUMENTS, TOP_FRAGMENTS, CANDIDATES = 3, 10, 50
 
@@ -31,67 +32,132 @@ def truncated(vector: Column, dimension: int) -> Column:
     return F.when(F.size(vector) < dimension, F.raise_error(F.lit("too few components"))).when(F.size(vector) == dimension, vector.cast("array<double>")).otherwise(unit(F.slice(vector, 1, dimension)))
 
 
-def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
-
-
-def _best(score: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each line's ``k`` largest scores, ties to smaller rows: a partition finds the k-th, then few are sorted."""
-    if score.shape[1] > 2 * k:
-        kth = -np.partition(-score, k - 1, axis=1)[:, k - 1 : k]
-        # Scores above the k-th, and of equals to it the smallest rows.
-        rank = np.where(score > kth, -1, np.where(score == kth, row, np.iinfo(np.int64).max))
-        keep = np.argpartition(rank, k - 1, axis=1)[:, :k]
-        score, row = np.take_along_axis(score, keep, 1), np.take_along_axis(row, keep, 1)
-    order = np.lexsort((row, -score), axis=1)[:, :k]
-    return np.take_along_axis(score, order, 1), np.take_along_axis(row, order, 1)
+def _packed(df: DataFrame, ident: str, vector: str, dim: int, most: int) -> DataFrame:
+    """(block, ids, matrix, top): runs of at most ``most`` vectors, the longest first, as one binary each; ``top`` is the greatest length."""
+    kind = dict(df.dtypes)[ident]
+    length = F.when(F.size(vector) == dim, F.col(vector).cast("array<double>")).otherwise(F.raise_error(F.lit(f"a vector is not of length {dim}")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            matrix = batch.column("vec").flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+            size = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))
+            order = np.argsort(-size, kind="stable")
+            for a in range(0, len(order), most):
+                own = order[a : a + most]
+                ids = batch.column("id").take(pa.array(own))
+                ends = pa.array([0, len(own)], pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.ListArray.from_arrays(ends, ids), pa.array([matrix[own].tobytes()], pa.binary()), pa.array([size[own[0]]])], names=["block", "ids", "matrix", "top"])
+                block += 1
+
+    return df.select(F.col(ident).alias("id"), length.alias("vec")).mapInArrow(run, f"block long, ids array<{kind}>, matrix binary, top double")
+
+
+class Nearest:
+    """The ``k`` best rows so far of each query of a block, by double-precision products."""
+
+    def __init__(self, queries: np.ndarray, k: int):
+        self.q, self.k = queries, k
+        self.cut = queries.shape[1] // 2
+        self.length = np.sqrt(np.einsum("ij,ij->i", queries, queries))
+        self.rest = np.sqrt(np.einsum("ij,ij->i", queries[:, self.cut :], queries[:, self.cut :]))
+        self.score = np.full((len(queries), 0), -np.inf)
+        self.row = np.zeros((len(queries), 0), np.int64)
+        self.skipped = self.halved = 0
+
+    def floor(self) -> np.ndarray:
+        """What a row must reach, ties included."""
+        return self.score[:, -1] if self.score.shape[1] == self.k else np.full(len(self.q), -np.inf)
+
+    def add(self, x: np.ndarray, rows: np.ndarray, top: float) -> None:
+        """Rows ``x``, numbered ``rows``, none longer than ``top``.
+
+        A block goes where no query times ``top`` reaches its floor. The first half
+        of the components and the lengths of the second (Cauchy-Schwarz) leave few
+        of the others; only these are multiplied whole.
+        """
+        slack = 1e-9 * (1 + self.length * top)
+        floor = self.floor() - slack
+        if (self.length * top < floor).all():
+            self.skipped += 1
+            return
+        c = self.cut
+        first = self.q[:, :c] @ x[:, :c].T
+        far = np.sqrt(np.einsum("ij,ij->i", x[:, c:], x[:, c:]))
+        near = (first + self.rest[:, None] * far[None] >= floor[:, None]).any(axis=0)
+        if not near.all():
+            self.halved += int((~near).sum())
+            if not near.any():
+                return
+            first, x, rows = first[:, near], x[near], rows[near]
+        rough = first + self.q[:, c:] @ x[:, c:].T
+        if rough.shape[1] > self.k:
+            floor = np.maximum(floor, -np.partition(-rough, self.k - 1, axis=1)[:, self.k - 1] - slack)
+        # Scores of pairs are sums in one order, so equal vectors have equal scores wherever they lie.
+        q_at, x_at = np.nonzero(rough >= floor[:, None])
+        width = np.bincount(q_at, minlength=len(self.q))
+        score = np.full((len(self.q), int(width.max(initial=0))), -np.inf)
+        row = np.full(score.shape, np.iinfo(np.int64).max)
+        place = np.arange(len(q_at)) - (np.cumsum(width) - width)[q_at]
+        for a in range(0, len(q_at), PAIRS):
+            cut = slice(a, a + PAIRS)
+            score[q_at[cut], place[cut]] = np.einsum("ij,ij->i", self.q[q_at[cut]], x[x_at[cut]])
+        row[q_at, place] = rows[x_at]
+        score, row = np.hstack([self.score, score]), np.hstack([self.row, row])
+        order = np.lexsort((row, -score), axis=1)[:, : self.k]
+        self.score, self.row = np.take_along_axis(score, order, 1), np.take_along_axis(row, order, 1)
+
+
+def grid(n_rows: int, n_queries: int, dim: int, tasks: int) -> tuple[int, int]:
+    """Parts of the rows and of the queries: within ROW_BYTES and QUERY_BYTES, the rows' at least as many as keep ``tasks`` busy."""
+    columns = max(1, -(-n_queries * dim * 8 // QUERY_BYTES))
+    least = min(-(-tasks // columns), -(-n_rows // BLOCK))
+    return max(1, least, -(-n_rows * dim * 8 // ROW_BYTES)), columns
 
 
 def top_k(index: DataFrame, queries: DataFrame, k: int = CANDIDATES) -> DataFrame:
     """(query_id, rank, row_id, score): the ``k`` rows of largest inner product of each query.
 
-    ``index`` has (row_id, vec), ``queries`` (query_id, qvec), all of one length;
-    ties go to the smaller row_id. A task scores each Arrow batch with one matrix
-    product of at most SCORES numbers at a time and keeps k rows a query, so tasks
-    x queries x k rows are shuffled. Queries go to tasks in blocks of at most
-    QUERY_BYTES. Row ids are not negative.
+    ``index`` has (row_id, vec), ``queries`` (query_id, qvec), all of one length (else
+    an error); ties go to the smaller row_id. Rows and queries are packed into blocks
+    and dealt to the cells of a grid, by cogroup: a cell holds at most about ROW_BYTES
+    of rows and QUERY_BYTES of queries, and each block of queries meets each of rows
+    once. A cell gives k rows a query. Nothing but counts passes through the driver.
     """
     spark = index.sparkSession
-    ask = queries.select(F.col("query_id").cast("long"), F.col("qvec").cast("array<double>")).orderBy("query_id")
-    first = ask.head()
-    if first is None:
-        return spark.createDataFrame([], "query_id long, rank int, row_id long, score double")
-    dim = len(first["qvec"])
-    per_block = max(1, QUERY_BYTES // (8 * dim))
-    found = None
-    held: list[tuple[int, list[float]]] = []
-
-    def search(block: list[tuple[int, list[float]]]) -> DataFrame:
-        ids = np.array([i for i, _ in block], dtype=np.int64)
-        own = spark.sparkContext.broadcast((ids, np.array([v for _, v in block])))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, q = own.value
-            best_score, best_row = np.full((len(q), 0), -np.inf), np.zeros((len(q), 0), np.int64)
-            step = max(k, SCORES // max(1, len(q)))
-            for batch in batches:
-                for at in range(0, batch.num_rows, step):
-                    part = batch.slice(at, step)
-                    score = np.hstack([best_score, q @ _matrix(part.column("vec"), dim).T])
-                    row = np.hstack([best_row, np.broadcast_to(part.column("row_id").to_numpy(), (len(q), part.num_rows))])
-                    best_score, best_row = _best(score, row, k)
-            n = best_row.shape[1]
-            if n:
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, n)), pa.array(best_row.ravel()), pa.array(best_score.ravel())], names=["query_id", "row_id", "score"])
-
-        return index.select(F.col("row_id").cast("long"), F.col("vec").cast("array<double>")).mapInArrow(run, "query_id long, row_id long, score double")
-
-    for r in ask.toLocalIterator():
-        held.append((r["query_id"], r["qvec"]))
-        if len(held) == per_block:
-            found, held = search(held) if found is None else found.union(search(held)), []
-    if held:
-        found = search(held) if found is None else found.union(search(held))
+    n_queries, dim = queries.agg(F.count("*"), F.max(F.size("qvec"))).first()
+    kind = dict(queries.dtypes)["query_id"]
+    if not n_queries:
+        return spark.createDataFrame([], f"query_id {kind}, rank int, row_id long, score double")
+    n_rows = index.count()
+    down, across = grid(n_rows, n_queries, dim, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    part = lambda n: F.pmod(F.xxhash64("block"), F.lit(n)).cast("int")
+    rows = _packed(index.select(F.col("row_id").cast("long").alias("row_id"), "vec"), "row_id", "vec", dim, BLOCK)
+    asked = _packed(queries, "query_id", "qvec", dim, BLOCK)
+    dealt = rows.select("*", part(down).alias("r"), every(across).alias("c"))
+    asked = asked.select("*", part(across).alias("c"), every(down).alias("r"))
+
+    def cell(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        found: list[list] = [[], [], []]
+        numbers = [x.values.to_numpy() for x in rows.column("ids")]
+        blocks = [np.frombuffer(m.as_buffer(), np.float64).reshape(-1, dim) for m in rows.column("matrix")]
+        tops = rows.column("top").to_numpy()
+        for at in range(asked.num_rows):
+            nearest = Nearest(np.frombuffer(asked.column("matrix")[at].as_buffer(), np.float64).reshape(-1, dim), k)
+            for b in np.argsort(-tops, kind="stable").tolist():
+                nearest.add(blocks[b], numbers[b], tops[b])
+            held = np.isfinite(nearest.score) | (nearest.row < np.iinfo(np.int64).max)
+            q_at, place = np.nonzero(held)
+            found[0].append(asked.column("ids")[at].values.take(pa.array(q_at)))
+            found[1].append(nearest.row[q_at, place])
+            found[2].append(nearest.score[q_at, place])
+        ids = pa.concat_arrays(found[0]) if found[0] else pa.array([], asked.schema.field("ids").type.value_type)
+        return pa.table({"query_id": ids, "row_id": np.concatenate([np.zeros(0, np.int64), *found[1]]), "score": np.concatenate([np.zeros(0), *found[2]])})
+
+    found = dealt.groupBy("r", "c").cogroup(asked.groupBy("r", "c")).applyInArrow(cell, f"query_id {kind}, row_id long, score double")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "row_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "row_id", "score")
 

@@ -113,8 +113,9 @@ def test_top_k(spark, monkeypatch):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "row_id long, vec array<double>").repartition(5)
     ask = spark.createDataFrame([(i, x[i].tolist()) for i in range(7)], "query_id long, qvec array<double>")
     want = {i: np.lexsort((np.arange(300), -(x[i] @ x.T)))[:4].tolist() for i in range(7)}
-    for size in (V.QUERY_BYTES, 3 * 64):
-        monkeypatch.setattr(V, "QUERY_BYTES", size)
+    for size, rows, block in ((V.QUERY_BYTES, V.ROW_BYTES, V.BLOCK), (3 * 64, 50 * 64, 7), (64, V.ROW_BYTES, 16)):
+        for name, value in (("QUERY_BYTES", size), ("ROW_BYTES", rows), ("BLOCK", block), ("PAIRS", 5)):
+            monkeypatch.setattr(V, name, value)
         got = V.top_k(df, ask, 4).orderBy("query_id", "rank").collect()
         assert {i: [r.row_id for r in got if r.query_id == i] for i in range(7)} == want
     assert V.top_k(df, ask.limit(0), 4).count() == 0
@@ -122,6 +123,38 @@ def test_top_k(spark, monkeypatch):
         spark.createDataFrame([([0.0, 0.0],)], "v array<double>").select(V.unit(F.col("v"))).collect()
 
 
+def test_top_k_of_few_rows_ties_and_odd_vectors(spark):
+    rows = [(k, [1.0, 0.5, float(k % 2)]) for k in range(40)] + [(100, [9.0, 9.0, 9.0])]
+    index = spark.createDataFrame(rows, "row_id long, vec array<float>").repartition(7)
+    ask = spark.createDataFrame([("a", [1.0, 0.0, 0.0]), ("b", [0.0, 0.0, -1.0])], "query_id string, qvec array<double>")
+    got = {q: [(r.row_id, r.score) for r in V.top_k(index, ask, 5).where(F.col("query_id") == q).orderBy("rank").collect()] for q in "ab"}
+    assert got == {"a": [(100, 9.0), (0, 1.0), (1, 1.0), (2, 1.0), (3, 1.0)], "b": [(0, 0.0), (2, 0.0), (4, 0.0), (6, 0.0), (8, 0.0)]}
+    assert V.top_k(index.where("row_id < 3"), ask, 5).count() == 6 and V.top_k(index.limit(0), ask, 5).count() == 0
+    with pytest.raises(Exception, match="not of length"):
+        V.top_k(index.withColumn("vec", F.array(F.lit(1.0))), ask, 5).collect()
+
+
+def test_blocks_and_halves_that_cannot_reach_are_skipped():
+    rng = np.random.default_rng(1)
+    q = rng.normal(size=(6, 16))
+    blocks = [rng.normal(size=(200, 16)) * scale for scale in (3.0, 1.0, 0.2, 0.1)]
+    near = V.Nearest(q, 3)
+    for b, x in enumerate(blocks):
+        near.add(x, np.arange(200) + 200 * b, float(np.linalg.norm(x, axis=1).max()))
+    every = np.concatenate(blocks)
+    assert near.row.tolist() == [np.lexsort((np.arange(800), -(every @ v)))[:3].tolist() for v in q]
+    assert near.skipped == 2 and near.halved > 50
+
+
+def test_work_grows_with_the_grid_not_with_the_driver():
+    mb = 1 << 20
+    assert V.grid(1000, 10, 64, 8) == (1, 1)
+    assert V.grid(10 * mb, 100, 128, 200) == (200, 1)
+    rows, columns = V.grid(1000 * mb, 10 * mb, 128, 200)
+    more_rows, more_columns = V.grid(100_000 * mb, 10 * mb, 128, 200)
+    assert (rows, columns) == (8000, 320) and (more_rows, more_columns) == (100 * rows, columns)
+
+
 def test_metrics_by_hand(spark):
     hits = spark.createDataFrame([(1, 1, "a"), (1, 2, "x"), (1, 3, "b"), (2, 1, "q")], "query_id int, rank int, item string")
     rel = spark.createDataFrame([(1, "a", 1.0), (1, "b", 1.0), (1, "c", 1.0), (2, "r", 1.0), (3, "s", 1.0)], "query_id int, item string, gain double")
