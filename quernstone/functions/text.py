@@ -196,8 +196,34 @@ def entity_name(name: Column) -> Column:
     return F.trim(F.when(clean.contains(" ") & first.isin(ARTICLES), rest).otherwise(clean))
 
 
+def _foldings() -> tuple[str, str, dict[str, str]]:
+    """By rule from the character database: lower-case characters that fold to another one, those, and what others become."""
+    one, to, more = "", "", {}
+    for code in range(0x80, 0x10000):
+        low = chr(code).lower()
+        fold = low.casefold()
+        if len(low) != 1 or fold == low or 0xD800 <= code < 0xE000:
+            continue
+        if len(fold) == 1:
+            one, to = one + low, to + fold
+        else:
+            more[low] = fold
+    return one, to, more
+
+
+_FOLD, _FOLD_NEW, _FOLD_MORE = _foldings()
+_FOLDABLE = "[" + "".join(_FOLD_MORE) + "]"
+
+
+def casefolded(text: Column) -> Column:
+    """Full case folding: sharp s is ss, final sigma is sigma; few texts have characters that become several."""
+    table = F.create_map(*(F.lit(x) for p in _FOLD_MORE.items() for x in p))
+    several = lambda t: F.aggregate(F.array_distinct(F.regexp_extract_all(t, F.lit(f"({_FOLDABLE})"), F.lit(1))), t, lambda done, c: F.replace(done, c, F.element_at(table, c)))
+    return once(F.translate(F.lower(text), _FOLD, _FOLD_NEW), lambda t: F.when(t.rlike(_FOLDABLE), several(t)).otherwise(t))
+
+
 def entity_key(name: Column) -> Column:
-    return F.lower(without_accents(name))
+    return casefolded(without_accents(name))
 
 
 def has_doubled_glyphs(name: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quernstone.functions import text as T
+from quernstone.operators.automaton import Forms
 
 #: Relations in order of precedence, each with the word starts that show it.
 RELATIONS = {
@@ -86,10 +87,8 @@ class Recogniser:
     """Passes over a text in order of trust; a later span never overlaps an earlier one."""
 
     def __init__(self, d: Dictionary):
-        whole = lambda forms, flags=0: re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(forms, key=len, reverse=True)))})(?!\w)", flags) if forms else None
         self.d = d
-        self.folded = {k.casefold(): v for k, v in d.insensitive.items()}
-        self.sensitive, self.insensitive = whole(d.sensitive), whole(self.folded, re.IGNORECASE)
+        self.sensitive, self.insensitive = Forms(d.sensitive), Forms(d.insensitive, fold=True)
         self.acronym, self.name, self.link = re.compile(ACRONYM), re.compile(NAME), re.compile(_LINK + "$")
 
     def label(self, text: str, end: int) -> bool:
@@ -118,28 +117,26 @@ class Recogniser:
         )
 
     def entities(self, text: str) -> list[dict]:
-        found: list[dict] = []  # in order of place; spans never overlap
-        starts: list[int] = []
-
-        def take(m: re.Match, name: str, kind: str, origin: str) -> None:
-            at = bisect.bisect_left(starts, m.end())
-            if not at or found[at - 1]["end"] <= m.start():
-                starts.insert(at, m.start())
-                found.insert(at, {"name": name, "kind": kind, "start": m.start(), "end": m.end(), "origin": origin})
-
-        for pattern, of in ((self.sensitive, self.d.sensitive.get), (self.insensitive, lambda s: self.folded.get(s.casefold()))):
-            for m in pattern.finditer(text) if pattern else ():
-                if entry := of(m[0]):
-                    take(m, *entry, "dictionary")
+        found: list[dict] = []
+        taken = bytearray(len(text))  # characters of the spans so far
+
+        def take(start: int, end: int, name: str, kind: str, origin: str) -> None:
+            if taken.find(1, start, end) < 0:
+                taken[start:end] = b"\x01" * (end - start)
+                found.append({"name": name, "kind": kind, "start": start, "end": end, "origin": origin})
+
+        for forms in (self.sensitive, self.insensitive):
+            for start, end, entry in forms.spans(text):
+                take(start, end, *entry, "dictionary")
         for m in self.acronym.finditer(text):
             a = m[1]
             if len(a) >= 3 and a not in self.d.noise_acronyms and a.lower() not in self.d.noise_words and not self.label(text, m.end()):
-                take(m, a, "SIGLA", "acronym")
+                take(m.start(), m.end(), a, "SIGLA", "acronym")
         for m in self.name.finditer(text) if self.d.use_names else ():
             name = self.plain_name(m[1])
             if not self.label(text, m.end()) and not self.rejects(name, m.start()):
-                take(m, name, "NOMBRE", "name")
-        return found
+                take(m.start(), m.end(), name, "NOMBRE", "name")
+        return sorted(found, key=lambda f: f["start"])
 
 
 def recognise(texts: DataFrame, dictionary: Dictionary, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -153,8 +150,10 @@ def recognise(texts: DataFrame, dictionary: Dictionary, key: str = "doc_id", tex
     kinds = dict(texts.dtypes)
     schema = ", ".join([f"{key} {kinds[key]}", f"pos int, {ENTITIES}, sentence int, between array<string>", *(f"{c} {kinds[c]}" for c in keep)])
 
+    held = texts.sparkSession.sparkContext.broadcast(Recogniser(dictionary))  # as large as the dictionary
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, start = Recogniser(dictionary), re.compile(SENTENCE_START)
+        own, start = held.value, re.compile(SENTENCE_START)
         for batch in batches:
             rows = []
             for ident, t, *kept in zip(*(batch.column(c).to_pylist() for c in (key, text, *keep)), strict=True):

@@ -120,3 +120,9 @@ def test_sentences_by_kind(spark):
         got = each(spark, [" ".join(r) for r in rows], S.sentences(T.normalised(F.col("v")), language))
         assert got == rows
     assert each(spark, ["", None], S.sentences(T.normalised(F.col("v")), "en")) == [[], None]
+
+
+def test_case_folding(spark):
+    odd = ["Straße", "STRASSE", "ſtark", "ΟΔΟΣ", "οδος", "ﬁnal", "ŉa", "ẞ", "plain Ñandú", "", None, "µ", "ΐ"]
+    assert each(spark, odd, T.casefolded(F.col("v"))) == [None if t is None else t.casefold() for t in odd]
+    assert each(spark, ["Maß", "MASS", "mass"], T.entity_key(F.col("v"))) == ["mass"] * 3
