@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quernstone.operators.quantiles import half_even_place, selected
+
 
 #: Paths listed of a name that several share.
 SHOWN = 20
@@ -58,20 +60,17 @@ def histogram(df: DataFrame, value: str, width: int = 25) -> DataFrame:
 
 
 def nearest_rank(value: str, percent: int) -> Column:
-    """Nearest-rank percentile as an aggregate; 0 for no rows."""
+    """Nearest-rank percentile as an aggregate; 0 for no rows.
+
+    It holds a group's distinct values: for counts of words and the like. Where they
+    may be many, ``quantiles.selected`` finds the same in bounded memory.
+    """
     return F.coalesce(F.expr(f"percentile_disc({percent / 100}) WITHIN GROUP (ORDER BY {value})").cast("long"), F.lit(0))
 
 
 def half_even_rank(df: DataFrame, keys: list[str], value: str, percent: int, into: str) -> DataFrame:
-    """The percentile at place round-half-even(p·n/100 + 0.5), over value counts.
-
-    Distinct values are counted first, so what a group gathers is its values, not its rows.
-    """
-    tallied = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    w = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = tallied.withColumn("_upto", F.sum("_n").over(w)).withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
-    place = F.greatest(F.lit(1), F.least(F.col("_total"), F.bround(F.lit(float(percent)) * F.col("_total") / 100.0 + 0.5).cast("long")))
-    return ranked.where(F.col("_upto") >= place).groupBy(*keys).agg(F.min(value).alias(into))
+    """(keys, into): the percentile at place round-half-even(p·n/100 + 0.5)."""
+    return selected(df, keys, value, {into: half_even_place(F.col("n"), percent)})
 
 
 def capped(df: DataFrame, keys: list[str], order: list[str], cap: int) -> DataFrame:

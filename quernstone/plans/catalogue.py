@@ -18,6 +18,7 @@ from quernstone.operators import graph as G
 from quernstone.operators import layout as L
 from quernstone.operators import relational as R
 from quernstone.operators import retrieval as V
+from quernstone.operators.quantiles import nearest_place, selected
 from quernstone.session import table
 from quernstone.sources import artefacts as A
 from quernstone.sources import inventory as I
@@ -276,7 +277,7 @@ def word_histogram(spark, sf_dir):
 
 @query(f"SELECT lang, quantile_disc(w, 0.5)::BIGINT AS p50, quantile_disc(w, 0.95)::BIGINT AS p95 FROM {_WORDS} GROUP BY 1")
 def percentiles_nearest_rank(spark, sf_dir):
-    return _counted(spark, sf_dir).groupBy("lang").agg(R.nearest_rank("w", 50).alias("p50"), R.nearest_rank("w", 95).alias("p95"))
+    return selected(_counted(spark, sf_dir), ["lang"], "w", {"p50": nearest_place(F.col("n"), 50), "p95": nearest_place(F.col("n"), 95)})
 
 
 @query(f"SELECT lang, list_sort(list(w))[greatest(1, least(count(*), round_even(95.0::DOUBLE * count(*) / 100.0 + 0.5, 0)::BIGINT))]::BIGINT AS p95 FROM {_WORDS} GROUP BY 1")

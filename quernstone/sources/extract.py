@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quernstone.functions import text as T
+from quernstone.functions.language import LanguageModel, guess
 from quernstone.operators import layout as L
 from quernstone.operators.blocks import LEVELS
 from quernstone.session import materialise
@@ -431,8 +432,12 @@ def pdf_documents(files: DataFrame, recognise: Recogniser | None = None) -> Data
     return rows.select(F.col("doc_id").alias("path"), F.col("name").alias("source"), F.lit("pdf").alias("format"), F.coalesce("blocks", F.array().cast(ordered.schema["blocks"].dataType)).alias("blocks"), meta.alias("meta"), F.filter(why, lambda e: e.isNotNull()).alias("errors"))
 
 
-def extract_files(spark: SparkSession, root: str, recognise: Recogniser | None = None) -> DataFrame:
-    """A document for each file of a supported format below ``root`` (DOCUMENT columns)."""
+def extract_files(spark: SparkSession, root: str, recognise: Recogniser | None = None, languages: LanguageModel | None = None) -> DataFrame:
+    """A document for each file of a supported format below ``root`` (DOCUMENT columns).
+
+    The language is that of the text's head, by ``languages`` where given, else by
+    function words.
+    """
     listed = scan_files(spark, root).where("format IS NOT NULL").select("path", "relative", "name", "format")
     content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "content")
     rows = content.join(listed, "path")
@@ -463,7 +468,8 @@ def extract_files(spark: SparkSession, root: str, recognise: Recogniser | None =
     bounds = T.tile_bounds(*(F.col("meta")[k].cast("int") for k in ("zoom", "tile_x", "tile_y")))
     box = F.when(F.col("meta")["tile_y"].isNotNull(), F.to_json(F.array(*(bounds[k] for k in ("west", "south", "east", "north")))))
     docs = docs.withColumn("meta", F.when(box.isNotNull(), F.map_concat("meta", F.create_map(F.lit("bbox"), box))).otherwise(F.col("meta")))
-    return docs.select(T.document_id(F.col("path")).alias("doc_id"), "path", "source", "format", T.function_word_language(head).alias("language"), "blocks", "meta", "errors")
+    docs = guess(docs.withColumn("head", head), languages, "head") if languages else docs.withColumn("language", T.function_word_language(head))
+    return docs.select(T.document_id(F.col("path")).alias("doc_id"), "path", "source", "format", "language", "blocks", "meta", "errors")
 
 
 def manifest(docs: DataFrame) -> DataFrame:
