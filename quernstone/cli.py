@@ -41,7 +41,8 @@ def extract_corpus(spark: SparkSession, root: str, output: str, index: str | Non
 
     Spark retries lost tasks; a file that cannot be read is a document with its
     reason. ``retry`` extracts the documents again that have errors in the manifest
-    of the run before and keeps the others; it cannot go with ``clean``.
+    of the run before and rewrites only the buckets that hold them; it cannot go with
+    ``clean``.
     """
     if retry and clean:
         raise ValueError("retry keeps what clean would delete")
@@ -51,27 +52,29 @@ def extract_corpus(spark: SparkSession, root: str, output: str, index: str | Non
     identity = coverage.identity
     if notice := inventory.collision_notice(identity):
         _say(notice)
-    old = materialise(A.document_of_json(spark.read.text(f"{output}/documents")), "documents-before") if retry else None
-    if old is not None:
-        failed = A.read_manifest(spark, f"{output}/manifest").where("n_errors > 0").select("doc_id")
+    before = materialise(A.read_manifest(spark, f"{output}/manifest"), "manifest-before") if retry else None
+    if before is not None:
+        failed = before.where("n_errors > 0").select("doc_id")
         gone = failed.join(identity, "doc_id", "left_anti").count()
         if gone:
             _say(f"{gone} documents to retry are not in the corpus any more")
         identity = identity.join(failed, "doc_id", "left_semi")
     names = identity.select("relative")
     fresh = inventory.with_identity(extract_files(spark, root).join(names, F.col("path") == F.col("relative"), "left_semi"), identity)
-    fresh = fresh.select("doc_id", "source", "format", "phenomenon", "language", "blocks", "meta", "errors")
-    docs = fresh if old is None else upsert(old.select(*fresh.columns), fresh, "doc_id")
-    docs = materialise(docs, "documents")
-    A.write_documents(docs, f"{output}/documents")
-    A.write_manifest(A.manifest_rows(docs), f"{output}/manifest", ["source", "doc_id"])
+    docs = materialise(fresh.select("doc_id", "source", "format", "phenomenon", "language", "blocks", "meta", "errors"), "documents")
+    lines = docs.select("doc_id", A.document_json(docs).alias("value"))
+    table = A.document_table(spark, output)
+    table.replace(lines) if before is None else table.upsert(lines)
+    rows = A.manifest_rows(docs)
+    A.write_manifest(rows if before is None else upsert(before.select(*rows.columns), rows, "doc_id"), f"{output}/manifest", ["source", "doc_id"])
     return coverage
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents of JSON lines below ``folder``/documents, or of one JSON file each in ``folder``."""
-    if A.exists(spark, f"{folder}/documents"):
-        return A.document_of_json(spark.read.text(f"{folder}/documents"))
+    """Documents of the table below ``folder``, or of one JSON file each in ``folder``."""
+    table = A.document_table(spark, folder)
+    if table.versions():
+        return A.document_of_json(table.read().select("value"))
     return A.read_documents(spark, folder).drop("place")
 
 

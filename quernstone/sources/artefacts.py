@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quernstone.functions import text as T
 from quernstone.operators.relational import require_unique
+from quernstone.sources.keyed import KeyedTable
 from quernstone.sources.lines import line_index, line_range, lines_at, numbered_lines
 
 #: Fields of a document file and of its blocks, with the frame's names; those a block may lack.
@@ -115,6 +116,11 @@ def write_documents(docs: DataFrame, folder: str, place: str = "doc_id") -> None
     docs.orderBy(place).select(document_json(docs).alias("value")).write.mode("overwrite").text(folder)
 
 
+def document_table(spark: SparkSession, folder: str) -> KeyedTable:
+    """The table of a folder's documents by id: lines of JSON, rewritten only where they change."""
+    return KeyedTable(spark, f"{folder}/documents", "doc_id", text_key=F.get_json_object("value", "$.doc_id"))
+
+
 def write_document_files(docs: DataFrame, folder: str) -> None:
     """A folder of its own for each document, keys sorted, indented; what was there is replaced."""
     docs.select("doc_id", document_json(docs, True).alias("value")).write.mode("overwrite").partitionBy("doc_id").text(folder)
@@ -340,5 +346,6 @@ def bundle(spark: SparkSession, parts: dict[str, str], target: str) -> dict[str,
     if missing:
         raise ValueError(f"the delivery lacks {missing}")
     for name, path in parts.items():
-        spark.read.text(path).write.mode("overwrite").text(f"{target}/{name}")
+        table = KeyedTable(spark, path, "key", text_key=F.lit(None))
+        (table.read().select("value") if table.versions() else spark.read.text(path)).write.mode("overwrite").text(f"{target}/{name}")
     return {name: spark.read.text(f"{target}/{name}").count() for name in parts}

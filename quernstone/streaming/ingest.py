@@ -1,44 +1,25 @@
 """Incremental ingest: new and changed documents replace their earlier rows.
 
 An extra beside the batch operators: a stream of document rows goes through
-``foreachBatch``; each batch is merged by key into a Parquet table that is
-swapped in as a new version, so a replayed batch changes nothing; old versions go.
+``foreachBatch`` into a keyed table. A batch rewrites the buckets of its keys only,
+and a replayed batch changes nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from quernstone.operators.relational import upsert
+from quernstone.sources.keyed import KeyedTable
 
 
-#: Versions kept besides the newest.
-KEPT = 2
-
-
-def version_path(root: str, version: int) -> str:
-    return f"{root}/v{version:08d}"
-
-
-def merge_batch(spark: SparkSession, root: str, batch: DataFrame, version: int, key: str, order: str) -> None:
-    """Version ``version`` of the table: the last one with the batch's newest rows put in."""
-    newest = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order)))
-    changed = batch.withColumn("_r", newest).where("_r = 1").drop("_r")
-    merged = upsert(spark.read.parquet(version_path(root, version - 1)), changed, key) if version else changed
-    merged.write.mode("overwrite").parquet(version_path(root, version))
-    if version > KEPT:  # a reader of the version before may still be at work
-        old = spark._jvm.org.apache.hadoop.fs.Path(version_path(root, version - KEPT - 1))
-        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
-
-
-def ingest(stream: DataFrame, root: str, checkpoint: str, key: str, order: str) -> StreamingQuery:
-    """Run the merge over all that the stream has now; the caller awaits the query."""
+def ingest(stream: DataFrame, table: KeyedTable, checkpoint: str, order: str) -> StreamingQuery:
+    """Merge all that the stream has now, of each key the newest row; the caller awaits the query."""
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(lambda batch, n: merge_batch(batch.sparkSession, root, batch, n, key, order))
+        .foreachBatch(lambda batch, n: table.upsert(batch, batch=n, order=order))
         .start()
     )
 

@@ -6,7 +6,8 @@ import pytest
 
 from quernstone.sources import extract as X
 from quernstone.sources.queries import queries_of_text, read_queries
-from quernstone.streaming.ingest import ingest, version_path
+from quernstone.sources.keyed import KeyedTable
+from quernstone.streaming.ingest import ingest
 
 
 def texts(found):
@@ -94,5 +95,7 @@ def test_incremental_ingest(spark, tmp_path):
     schema = "k int, v string, at int"
     for rows in ([(1, "a", 1), (2, "b", 1)], [(2, "c", 2), (2, "d", 3), (3, "e", 1)]):
         spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
-        ingest(spark.readStream.schema(schema).parquet(source), root, check, "k", "at").awaitTermination()
-    assert sorted(map(tuple, spark.read.parquet(version_path(root, 1)).collect())) == [(1, "a", 1), (2, "d", 3), (3, "e", 1)]
+        table = KeyedTable(spark, root, "k", 8)
+        ingest(spark.readStream.schema(schema).parquet(source), table, check, "at").awaitTermination()
+    assert table.versions() == [1, 2] and sorted(map(tuple, table.read(1).collect())) == [(1, "a", 1), (2, "b", 1)]
+    assert sorted(map(tuple, table.read().collect())) == [(1, "a", 1), (2, "d", 3), (3, "e", 1)]
