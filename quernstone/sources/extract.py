@@ -46,10 +46,9 @@ TABLES = {
 #: Lists of an article kept as metadata, by the keys that feed each; collections that are only counted.
 LISTS = {"authors": ("authors",), "tags": ("keywords", "tags", "topics", "categories")}
 COUNTED = ("images", "links", "pdf_links", "doc_links", "science_links", "external_links", "internal_links")
-DOCUMENT = (
-    "doc_id string, path string, source string, format string, language string, "
-    "blocks array<struct<text: string, kind: string, level: int, path: array<string>, page: int, atomic: boolean, data: map<string, string>>>, meta map<string, string>, errors array<string>"
-)
+#: What an extractor gives, as columns; a document's columns.
+EXTRACTED = "blocks array<struct<text: string, kind: string, level: int, path: array<string>, page: int, atomic: boolean, data: map<string, string>>>, meta map<string, string>, errors array<string>"
+DOCUMENT = f"doc_id string, path string, source string, format string, language string, {EXTRACTED}"
 
 
 def clean(text: object) -> str:
@@ -359,6 +358,50 @@ def from_image(data: bytes, name: str) -> Extracted:
 EXTRACTORS: dict[str, Callable[[bytes, str], Extracted]] = {"txt": from_text, "csv": from_csv, "xlsx": from_xlsx, "json": from_json, "imagen": from_image, "pbf": from_tile}
 
 
+_BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("kind", pa.string()), ("level", pa.int32()), ("path", pa.list_(pa.string())), ("page", pa.int32()), ("atomic", pa.bool_()), ("data", pa.map_(pa.string(), pa.string()))]))
+
+
+def format_of(name: str) -> str | None | bool:
+    """The format of a file by its name; None where no extractor is registered, False for system files."""
+    if name.lower() in SYSTEM_FILES or name.startswith("._"):
+        return False
+    return FORMATS.get(name.rpartition(".")[2].lower()) if "." in name else None
+
+
+def extracted(files: list[tuple[bytes, str, str, str]]) -> list[pa.Array]:
+    """EXTRACTED columns of files (content, name, format, path below the root); what fails is a reason, never an exception."""
+    found = []
+    for data, name, kind, relative in files:
+        try:
+            blocks, meta, errors = EXTRACTORS[kind](data, name)
+            if kind == "pbf" and (place := place_of(relative)):
+                meta |= {k: str(v) for k, v in zip(("zoom", "tile_x", "tile_y"), place, strict=True) if v is not None}
+            found.append((blocks, meta, errors))
+        except Exception as e:  # a file must not stop the others
+            found.append(([], {}, [f"{type(e).__name__}: {e}"]))
+    return [
+        pa.array([[b | {"data": list(b["data"].items())} for b in x[0]] for x in found], _BLOCKS),
+        pa.array([list(x[1].items()) for x in found], pa.map_(pa.string(), pa.string())),
+        pa.array([x[2] for x in found], pa.list_(pa.string())),
+    ]
+
+
+def _described(files: DataFrame, root: str) -> DataFrame:
+    """Files (path, ...) with relative, name and format, all from the path; without system files."""
+    name = F.element_at(F.split("path", "/"), -1)
+    formats = F.create_map(*(F.lit(x) for p in FORMATS.items() for x in p))
+    kept = files.withColumn("name", name).where(~F.lower("name").isin(*SYSTEM_FILES) & ~F.col("name").startswith("._"))
+    base = re.sub(r"^[a-z]+:/*", "/", root).rstrip("/")
+    relative = F.regexp_replace(F.regexp_replace("path", "^[a-z]+:/*", "/"), "^" + re.escape(base) + "/", "")
+    return kept.withColumns({"relative": relative, "format": formats[F.lower(F.regexp_extract("name", r"\.([^.]+)$", 1))]})
+
+
+def _glob(formats: set[str]) -> str:
+    """A pattern of the extensions of formats, in either case."""
+    either = lambda e: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in e)
+    return "*.{" + ",".join(either(e) for e, f in FORMATS.items() if f in formats) + "}"
+
+
 def scan_files(spark: SparkSession, root: str) -> DataFrame:
     """(path, relative, name, format, length) of a folder's files without system files.
 
@@ -370,12 +413,7 @@ def scan_files(spark: SparkSession, root: str) -> DataFrame:
     if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         raise ValueError(f"no such folder: {root}")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length")
-    name = F.element_at(F.split("path", "/"), -1)
-    formats = F.create_map(*(F.lit(x) for p in FORMATS.items() for x in p))
-    kept = files.withColumn("name", name).where(~F.lower("name").isin(*SYSTEM_FILES) & ~F.col("name").startswith("._"))
-    base = re.sub(r"^[a-z]+:/*", "/", root).rstrip("/")
-    relative = F.regexp_replace(F.regexp_replace("path", "^[a-z]+:/*", "/"), "^" + re.escape(base) + "/", "")
-    return kept.withColumns({"relative": relative, "format": formats[F.lower(F.regexp_extract("name", r"\.([^.]+)$", 1))]})
+    return _described(files, root)
 
 
 #: What a file's unreadable pages are given to: (doc_id, page) -> lines (doc_id, page, line, text, conf).
@@ -438,32 +476,22 @@ def extract_files(spark: SparkSession, root: str, recognise: Recogniser | None =
     The language is that of the text's head, by ``languages`` where given, else by
     function words.
     """
-    listed = scan_files(spark, root).where("format IS NOT NULL").select("path", "relative", "name", "format")
-    content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "content")
-    rows = content.join(listed, "path")
-    blocks = pa.list_(pa.struct([("text", pa.string()), ("kind", pa.string()), ("level", pa.int32()), ("path", pa.list_(pa.string())), ("page", pa.int32()), ("atomic", pa.bool_()), ("data", pa.map_(pa.string(), pa.string()))]))
-    names = ["path", "source", "format", "blocks", "meta", "errors"]
+    scan_files(spark, root)  # raises where there is no such folder
+
+    def contents(formats: set[str]) -> DataFrame:
+        """The files of some formats: the listing picks them, so each file is read once and no content is shuffled."""
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", _glob(formats)).load(root)
+        return _described(files.select("path", "content"), root).where("format IS NOT NULL")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for data, name, kind, relative in zip(batch.column("content"), *(batch.column(c).to_pylist() for c in ("name", "format", "relative")), strict=True):
-                try:
-                    blocks_, meta, errors = EXTRACTORS[kind](data.as_py(), name)
-                    if kind == "pbf" and (place := place_of(relative)):
-                        meta |= {k: str(v) for k, v in zip(("zoom", "tile_x", "tile_y"), place, strict=True) if v is not None}
-                    found.append((blocks_, meta, errors))
-                except Exception as e:  # a file must not stop the others
-                    found.append(([], {}, [f"{type(e).__name__}: {e}"]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("relative"), batch.column("name"), batch.column("format"), pa.array([[b | {"data": list(b["data"].items())} for b in x[0]] for x in found], blocks), pa.array([list(x[1].items()) for x in found], pa.map_(pa.string(), pa.string())), pa.array([x[2] for x in found], pa.list_(pa.string()))],
-                names=names,
-            )
-
-    schema = ", ".join(c for c in DOCUMENT.split(", ", 5)[5:])
-    docs = rows.where("format <> 'pdf'").select("content", "relative", "name", "format").mapInArrow(run, "path string, source string, format string, " + schema)
-    if not listed.where("format = 'pdf'").isEmpty():
-        docs = docs.unionByName(pdf_documents(rows.where("format = 'pdf'").select("relative", "name", "content"), recognise))
+            name, kind, relative = (batch.column(c).to_pylist() for c in ("name", "format", "relative"))
+            made = extracted([(data.as_py(), n, k, r) for data, n, k, r in zip(batch.column("content"), name, kind, relative, strict=True)])
+            yield pa.RecordBatch.from_arrays([batch.column("relative"), batch.column("name"), batch.column("format"), *made], names=["path", "source", "format", "blocks", "meta", "errors"])
+
+    docs = contents(set(FORMATS.values()) - {"pdf"}).select("content", "relative", "name", "format").mapInArrow(run, f"path string, source string, format string, {EXTRACTED}")
+    if not scan_files(spark, root).where("format = 'pdf'").isEmpty():
+        docs = docs.unionByName(pdf_documents(contents({"pdf"}).select("relative", "name", "content"), recognise))
     head = F.substring(F.array_join(F.transform("blocks", lambda b: b["text"]), " "), 1, 4000)
     bounds = T.tile_bounds(*(F.col("meta")[k].cast("int") for k in ("zoom", "tile_x", "tile_y")))
     box = F.when(F.col("meta")["tile_y"].isNotNull(), F.to_json(F.array(*(bounds[k] for k in ("west", "south", "east", "north")))))
