@@ -7,6 +7,9 @@ sentences give the text again; were that ever to fail, the text is one sentence.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,3 +67,36 @@ def sentences(clean: Column, language: str = "es") -> Column:
         return F.when(text.isNull(), F.lit(None)).when(text == "", F.array().cast("array<string>")).when(whole, F.split(marked, _MARK)).otherwise(F.array(text))
 
     return once(clean, lambda text: once(once(pieces(text), joined), lambda marked: cut(text, marked)))
+
+
+_SPLIT = regex.compile(_CUT)
+_SHAPE = regex.compile(r"^(?:[A-ZÁÉÍÓÚÑÜÇ]{1,3}\.){2,}$|^[A-ZÁÉÍÓÚÑÜÇ]\.$")
+_ENDS, _TRAILS = regex.compile(r"[.!?…][\"'»”’\)\]]*$"), regex.compile(r"(?:\.\.\.|…)[\"'»”’\)\]]*$")
+
+
+@lru_cache
+def _never(language: str) -> frozenset[str]:
+    return frozenset(f"{COMMON} {OWN.get(language, OWN['es'])}".split()) - frozenset(AMBIGUOUS.split())
+
+
+def _runs_on(left: str, right: str, language: str) -> bool:
+    """:func:`is_false_cut` of two pieces, for Python workers."""
+    last = left.rpartition(" ")[2]
+    if last in _never(language) or _SHAPE.search(last):
+        return True
+    if last in AMBIGUOUS.split():
+        return not regex.match(r"\p{Lu}", right)
+    return bool(regex.match(r"\p{Ll}", right)) and (not _ENDS.search(last) or bool(_TRAILS.search(last)))
+
+
+def sentences_of(clean: str, language: str = "es") -> list[str]:
+    """:func:`sentences` of one normalised text, for Python workers."""
+    parts = [p for p in _SPLIT.split(clean) if p]
+    out: list[list[str]] = []
+    for k, p in enumerate(parts):
+        if k and _runs_on(parts[k - 1], p, language):
+            out[-1].append(p)
+        else:
+            out.append([p])
+    made = [" ".join(p) for p in out]
+    return made if " ".join(made) == clean else [clean]

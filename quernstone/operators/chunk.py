@@ -121,7 +121,11 @@ class Chunker:
         return out
 
     def fits(self, group: list[_Sentence], budget: int) -> bool:
-        return sum(s.words for s in group) <= self.config.max_words and self.config.tokens(" ".join(s.text for s in group)) <= budget
+        words = sum(s.words for s in group)
+        if words > self.config.max_words:
+            return False
+        # The estimate needs the words alone; a tokenizer needs the text.
+        return (self.config.tokens(" ".join(s.text for s in group)) if self.config.count_tokens else math.ceil(words * T.TOKENS_PER_WORD)) <= budget
 
     def pack(self, items: list[_Sentence], budget: int) -> list[list[_Sentence]]:
         groups: list[list[_Sentence]] = [[]]
