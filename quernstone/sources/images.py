@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import shutil
 import struct
+from collections.abc import Iterator
 
 #: Tags of the date taken and of the place, colour types of PNG, components of JPEG.
 DATE_TAG, SUB_TAG, PLACE_TAG = 36867, 34665, 34853
 PNG_MODES = {0: "L", 2: "RGB", 3: "P", 4: "LA", 6: "RGBA"}
 JPEG_MODES = {1: "L", 3: "RGB", 4: "CMYK"}
+AVIF_BRANDS = (b"avif", b"avis")
 
 
 def recogniser() -> str | None:
@@ -42,6 +44,82 @@ def noted(data: bytes) -> dict[str, str]:
         return {}
 
 
+def boxes(data: bytes, at: int, end: int) -> Iterator[tuple[bytes, int, int]]:
+    """Kind, start and end of the content of each box; a size of 0 runs to the end, of 1 has eight more bytes."""
+    while at + 8 <= end:
+        size, kind = struct.unpack_from(">I4s", data, at)
+        head = 8
+        if size == 1:
+            size, head = struct.unpack_from(">Q", data, at + 8)[0], 16
+        size = size or end - at
+        if size < head or at + size > end:
+            raise ValueError("a box beyond its file")
+        yield kind, at + head, at + size
+        at += size
+
+
+def _avif(data: bytes) -> dict[str, str]:
+    """Facts of the primary item: its properties are boxes that associations number; the tags are an item of their own."""
+    top = {k: (a, z) for k, a, z in boxes(data, 0, len(data))}
+    if b"meta" not in top:
+        raise ValueError("an AVIF without its items")
+    meta = {k: (a, z) for k, a, z in boxes(data, top[b"meta"][0] + 4, top[b"meta"][1])}
+    number = lambda at, wide: struct.unpack_from(">I" if wide else ">H", data, at)[0]
+    primary = number(meta[b"pitm"][0] + 4, data[meta[b"pitm"][0]] > 0)
+    inside = {k: (a, z) for k, a, z in boxes(data, *meta[b"iprp"])}
+    properties = list(boxes(data, *inside[b"ipco"]))
+    at, _ = inside[b"ipma"]
+    version, large = data[at], data[at + 3] & 1
+    own: list[int] = []
+    count, at = number(at + 4, True), at + 8
+    for _ in range(count):
+        item, at = number(at, version > 0), at + (4 if version else 2)
+        n, at = data[at], at + 1
+        for _ in range(n):
+            index, at = (number(at, False) & 0x7FFF, at + 2) if large else (data[at] & 0x7F, at + 1)
+            if item == primary:
+                own.append(index)
+    said = {properties[k - 1][0]: properties[k - 1][1] for k in own if 0 < k <= len(properties)}
+    if b"ispe" not in said:
+        raise ValueError("an AVIF without a size")
+    w, h = struct.unpack_from(">II", data, said[b"ispe"] + 4)
+    channels = data[said[b"pixi"] + 4] if b"pixi" in said else 3
+    out = {"width": str(w), "height": str(h), "image_format": "AVIF", "mode": {1: "L", 4: "RGBA"}.get(channels, "RGB")}
+    return out | (_item_tags(data, meta) if b"iinf" in meta and b"iloc" in meta else {})
+
+
+def _item_tags(data: bytes, meta: dict[bytes, tuple[int, int]]) -> dict[str, str]:
+    """What :func:`noted` gives of the item that holds tags."""
+    at, end = meta[b"iinf"]
+    wide = data[at] > 0
+    tagged = set()
+    for kind, a, _ in boxes(data, at + (8 if wide else 6), end):
+        if kind == b"infe" and data[a] >= 2:
+            size = 4 if data[a] > 2 else 2
+            if data[a + 6 + size : a + 10 + size] == b"Exif":
+                tagged.add(int.from_bytes(data[a + 4 : a + 4 + size], "big"))
+    at, _ = meta[b"iloc"]
+    version, sizes = data[at], struct.unpack_from(">H", data, at + 4)[0]
+    widths = [sizes >> 12 & 15, sizes >> 8 & 15, sizes >> 4 & 15, sizes & 15 if version else 0]  # offset, length, base, index
+    at += 6
+    take = lambda n: (int.from_bytes(data[at : at + n], "big"), at + n)
+    count, at = take(4 if version > 1 else 2)
+    for _ in range(count):
+        item, at = take(4 if version > 1 else 2)
+        at += 4 if version else 2  # how it is built, and in which file
+        base, at = take(widths[2])
+        extents, at = take(2)
+        for k in range(extents):
+            at += widths[3]
+            offset, at = take(widths[0])
+            length, at = take(widths[1])
+            if item in tagged and k == 0:
+                start = base + offset
+                body = data[start : start + length]
+                return noted(body[4 + int.from_bytes(body[:4], "big") :])
+    return {}
+
+
 def header(data: bytes) -> dict[str, str]:
     """width, height, image_format, mode and what :func:`noted` gives; raises on an unknown or broken file."""
     said = lambda w, h, name, mode: {"width": str(w), "height": str(h), "image_format": name, "mode": mode}
@@ -73,6 +151,8 @@ def header(data: bytes) -> dict[str, str]:
         main = _directory(data, struct.unpack_from(order + "I", data, 4)[0], order)
         number = lambda tag, none: none if tag not in main else struct.unpack(order + ("H2x" if main[tag][0] == 3 else "I"), main[tag][2])[0]
         return said(number(256, 0), number(257, 0), "TIFF", {1: "L", 3: "RGB", 4: "RGBA"}.get(number(277, 1), "?")) | noted(data)
+    if data[4:8] == b"ftyp" and any(data[k : k + 4] in AVIF_BRANDS for k in (8, *range(16, min(len(data), struct.unpack_from(">I", data)[0]), 4))):
+        return _avif(data)
     if data[:4] == b"RIFF" and data[8:12] == b"WEBP":
         kind = data[12:16]
         if kind == b"VP8X":

@@ -1,10 +1,11 @@
 """Words with places and sizes out of PDF files, by the standard's own structures.
 
-Reads objects wherever they stand (so a damaged cross-reference table does not
-matter), object streams, Flate streams, the page tree, text operators, simple and
+Follows the cross-reference chain to the live objects, or reads objects wherever they
+stand where it is damaged; object streams, filters and predictors, files encrypted
+with RC4 under the empty password, the page tree, text operators, simple and
 composite fonts with their widths and Unicode maps. A code without a known
-character comes out as ``(cid:n)``. Encrypted files and other filters are refused
-with a reason; drawings, forms and annotations are left aside.
+character comes out as ``(cid:n)``. Other encryption and filters of images are
+refused with a reason; drawings, forms and annotations are left aside.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ import re
 import zlib
 from collections.abc import Iterator
 
+from quernstone.sources.pdf_streams import Security, unfiltered
+
 #: Gap in points that parts words, share of the size that stands above the base line, nested objects followed.
 GAP, ASCENT, DEPTH = 3.0, 1.0, 40
 _SPACE, _STOP = b"\0\t\n\f\r ", b"()<>[]{}/%"
@@ -109,20 +112,31 @@ class Reader:
 
 
 class File:
-    """The objects of a file by number."""
+    """The objects of a file by number.
+
+    The cross-reference chain says where each live object stands. Where it is missing
+    or wrong, objects are read wherever they stand and the last of a number counts.
+    """
 
     def __init__(self, data: bytes):
         if b"%PDF-" not in data[:1024]:
             raise ValueError("not a PDF file")
-        if re.search(rb"/Encrypt\s+\d+\s+\d+\s+R", data):
-            raise ValueError("an encrypted file")
+        self.data = data
         self.objects: dict[int, object] = {}
         self.streams: dict[int, tuple[dict, bytes]] = {}
-        spans = [(int(m[1]), m.end()) for m in re.finditer(rb"(?<![0-9])(\d+)\s+\d+\s+obj\b", data)]
-        for number, at in spans:
-            reader = Reader(data, at)
+        self.generation: dict[int, int] = {}
+        self.security: Security | None = None
+        try:
+            self.trailer, places, inside = self.references()
+        except (ValueError, KeyError, IndexError, TypeError, AttributeError, zlib.error):
+            self.trailer, places, inside = {}, None, None
+        for m in re.finditer(rb"(?<![0-9])(\d+)\s+(\d+)\s+obj\b", data):
+            number = int(m[1])
+            if places is not None and places.get(number) != m.start():
+                continue
+            reader = Reader(data, m.end())
             value = reader.value()
-            self.objects[number] = value
+            self.objects[number], self.generation[number] = value, int(m[2])
             self.streams.pop(number, None)
             reader.blank()
             if isinstance(value, dict) and data.startswith(b"stream", reader.at):
@@ -131,15 +145,80 @@ class File:
                 self.streams[number] = (value, (start, data))
         for number in list(self.streams):
             head, (start, whole) = self.streams[number]
-            size = self.get(head.get("Length"))
-            end = start + size if isinstance(size, int) and whole[start + size : start + size + 20].lstrip().startswith(b"endstream") else whole.find(b"endstream", start)
-            self.streams[number] = (head, whole[start : end if end >= 0 else len(whole)])
+            self.streams[number] = (head, self.body(head, start, whole))
+        if not self.trailer and (m := re.search(rb"/Encrypt\s+(\d+)\s+\d+\s+R", data)):
+            ident = re.search(rb"/ID\s*\[", data)
+            self.trailer = {"Encrypt": Ref(int(m[1])), "ID": Reader(data, ident.end() - 1).value() if ident else []}
+        if "Encrypt" in self.trailer:
+            given, ident = self.get(self.trailer["Encrypt"]), self.get(self.trailer.get("ID")) or [b""]
+            if not isinstance(given, dict):
+                raise ValueError("an encrypted file")
+            self.security = Security({k: self.get(v) for k, v in given.items()}, ident[0])
         for number in [k for k, (h, _) in self.streams.items() if h.get("Type") == "ObjStm"]:
             head, body = self.streams[number][0], self.decoded(number)
             reader = Reader(body)
             pairs = [(reader.value(), reader.value()) for _ in range(self.get(head["N"]))]
             for own, at in pairs:
-                self.objects.setdefault(own, Reader(body, self.get(head["First"]) + at).value())
+                if inside is None or inside.get(own) == number:
+                    self.objects.setdefault(own, Reader(body, self.get(head["First"]) + at).value())
+
+    def body(self, head: dict, start: int, whole: bytes) -> bytes:
+        size = self.get(head.get("Length"))
+        sound = isinstance(size, int) and whole[start + size : start + size + 20].lstrip().startswith(b"endstream")
+        end = start + size if sound else whole.find(b"endstream", start)
+        return whole[start : end if end >= 0 else len(whole)]
+
+    def references(self) -> tuple[dict, dict[int, int], dict[int, int]]:
+        """The trailer, the place of every live object, and the stream of those that stand in one; raises where the chain is damaged.
+
+        The newest part of the chain comes first, and what it says of a number holds.
+        """
+        data = self.data
+        at = int(re.search(rb"startxref\s+(\d+)(?!.*startxref)", data[-2048:], re.S)[1])
+        trailer: dict = {}
+        said: dict[int, tuple[int, int]] = {}  # number -> kind, place or stream
+        seen: set[int] = set()
+        todo = [at]
+        while todo:
+            at = todo.pop(0)
+            if at in seen:
+                continue
+            seen.add(at)
+            reader = Reader(data, at)
+            first = reader.value()
+            if first == "xref":
+                while isinstance(start := reader.value(), int):
+                    count = reader.value()
+                    for k in range(count):
+                        place, _, kind = reader.value(), reader.value(), reader.value()
+                        said.setdefault(start + k, (1 if kind == "n" else 0, place))
+                own = reader.value()
+            else:
+                if reader.value() is None or reader.value() != "obj":
+                    raise ValueError("no cross-reference at its place")
+                own = reader.value()
+                reader.blank()
+                start = data.index(b"stream", reader.at) + 6
+                start += 2 if data.startswith(b"\r\n", start) else 1
+                body = self.content(own, self.body(own, start, data))
+                widths, index = own["W"], own.get("Index") or [0, own["Size"]]
+                numbers = [n for a, c in zip(index[::2], index[1::2], strict=True) for n in range(a, a + c)]
+                step = sum(widths)
+                for k, number in enumerate(numbers):
+                    row, values = body[k * step : (k + 1) * step], []
+                    for w in widths:
+                        values.append(int.from_bytes(row[:w], "big"))
+                        row = row[w:]
+                    said.setdefault(number, (values[0] if widths[0] else 1, values[1]))
+            trailer = {**own, **trailer}
+            todo += [own[k] for k in ("XRefStm", "Prev") if isinstance(own.get(k), int)]
+        places = {n: p for n, (kind, p) in said.items() if kind == 1}
+        for number, place in places.items():
+            if not re.compile(rb"%d\s+\d+\s+obj\b" % number).match(data, place):
+                raise ValueError("a cross-reference to another place")
+        if not isinstance(trailer.get("Root"), Ref):
+            raise ValueError("a trailer without a root")
+        return trailer, places, {n: p for n, (kind, p) in said.items() if kind == 2}
 
     def get(self, value: object) -> object:
         for _ in range(DEPTH):
@@ -148,14 +227,19 @@ class File:
             value = self.objects.get(int(value))
         return None
 
+    def content(self, head: dict, body: bytes) -> bytes:
+        """A stream's body through its filters."""
+        listed = lambda v: v if isinstance(v, list) else [] if v is None else [v]
+        filters = [self.get(f) for f in listed(self.get(head.get("Filter")))]
+        parms = [self.get(p) or {} for p in listed(self.get(head.get("DecodeParms")))]
+        plain = [{k: self.get(v) for k, v in p.items()} for p in parms] + [{}] * (len(filters) - len(parms))
+        return unfiltered(body, filters, plain[: len(filters)])
+
     def decoded(self, number: int) -> bytes:
         head, body = self.streams[number]
-        filters = self.get(head.get("Filter")) or []
-        for f in filters if isinstance(filters, list) else [filters]:
-            if self.get(f) not in ("FlateDecode", "Fl"):
-                raise ValueError(f"a stream with filter {f}")
-            body = zlib.decompressobj().decompress(body)
-        return body
+        if self.security is not None and head.get("Type") != "XRef":
+            body = self.security.opened(body, number, self.generation.get(number, 0))
+        return self.content(head, body)
 
     def stream(self, value: object) -> bytes:
         """The bytes of a stream or of several in a row; what cannot be read is empty."""
@@ -166,7 +250,9 @@ class File:
 
     def pages(self) -> Iterator[dict]:
         """Page dictionaries in order, with what they inherit."""
-        root = next((o for o in self.objects.values() if isinstance(o, dict) and o.get("Type") == "Catalog"), None)
+        root = self.get(self.trailer.get("Root"))
+        if not isinstance(root, dict) or "Pages" not in root:
+            root = next((o for o in reversed(self.objects.values()) if isinstance(o, dict) and o.get("Type") == "Catalog"), None)
         if root is None:
             raise ValueError("a file without a catalogue")
         todo, seen = [(root.get("Pages"), {})], set()

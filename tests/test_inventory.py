@@ -172,3 +172,41 @@ def test_rows_keep_what_is_not_indexed(spark, tmp_path):
     (tmp_path / "p.csv").write_text("PMID,Title,Authors,Citation,Journal/Book,Publication Year\n7,A title,An author,Cited,A journal,2020\n", encoding="utf-8")
     block = extract_files(spark, str(tmp_path)).select(F.explode("blocks").alias("b")).first().b
     assert block.text == "Title: A title | Authors: An author | Journal/Book: A journal | Publication Year: 2020" and block.data == {"PMID": "7", "Citation": "Cited"}
+
+
+def box(kind, *parts):
+    body = b"".join(parts)
+    return (8 + len(body)).to_bytes(4, "big") + kind + body
+
+
+def avif(exif=b"", large=False, primary=2):
+    """Two items: a thumbnail and the primary one; properties 1 to 3; tags as an item where given."""
+    full = lambda kind, version, flags, *parts: box(kind, bytes([version]) + flags.to_bytes(3, "big"), *parts)
+    short = lambda n: n.to_bytes(2, "big")
+    long = lambda n: n.to_bytes(4, "big")
+    ispe = lambda w, h: full(b"ispe", 0, 0, long(w), long(h))
+    number = short if large else lambda n: bytes([n])
+    ipma = full(b"ipma", 0, int(large), long(2), short(1), b"\x01", number(1), short(2), b"\x02", number(2 | (0x8000 if large else 0x80)), number(3))
+    iprp = box(b"iprp", box(b"ipco", ispe(16, 12), ispe(640, 480), full(b"pixi", 0, 0, b"\x04\x08\x08\x08\x08")), ipma)
+    infe = lambda n, kind: full(b"infe", 2, 0, short(n), short(0), kind, b"\0")
+    items = [infe(1, b"av01"), infe(2, b"av01"), *([infe(3, b"Exif")] if exif else [])]
+    start = box(b"ftyp", b"mif1", long(0), b"avif", b"miaf")
+    payload = long(0) + exif
+
+    def meta(at):
+        iloc = full(b"iloc", 0, 0, b"\x44\x00", short(1 if exif else 0), *([short(3), short(0), short(1), long(at), long(len(payload))] if exif else []))
+        return full(b"meta", 0, 0, full(b"pitm", 0, 0, short(primary)), full(b"iinf", 0, 0, short(len(items)), *items), iloc, iprp)
+
+    return start + meta(len(start) + len(meta(0)) + 8) + box(b"mdat", payload)
+
+
+def test_avif_boxes():
+    tags = b"MM\0*\0\0\0\x08\0\x02" + b"\x87\x69\0\x04\0\0\0\x01\0\0\0\x26" + b"\x88\x25\0\x04\0\0\0\x01\0\0\0\x00" + b"\0\0\0\0" + b"\0\x01" + b"\x90\x03\0\x02\0\0\0\x14\0\0\0\x38" + b"\0\0\0\0" + b"2024:01:02 03:04:05\0"
+    for large in (False, True):
+        assert images.header(avif(large=large)) == {"width": "640", "height": "480", "image_format": "AVIF", "mode": "RGBA"}
+        assert images.header(avif(tags, large)) == {"width": "640", "height": "480", "image_format": "AVIF", "mode": "RGBA", "captured": "2024:01:02 03:04:05", "has_place": "true"}
+    assert images.header(avif(primary=1))["width"] == "16"
+    with pytest.raises(ValueError):
+        images.header(avif()[:60])
+    with pytest.raises(ValueError):
+        images.header(box(b"ftyp", b"heic", bytes(4)))
