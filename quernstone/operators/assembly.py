@@ -8,7 +8,7 @@ graph of all at once is the same thing with one part.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quernstone.functions import text as T
@@ -141,10 +141,21 @@ def assemble(nodes: DataFrame, edges: DataFrame, facts: DataFrame, least_mention
     return kept, lines, statistics
 
 
-def dictionary_summary(dictionary: G.Dictionary) -> dict[str, int]:
-    """Entities of a dictionary by kind, and totals of entities and of surface forms."""
+def dictionary_forms(spark: SparkSession, dictionary: G.Dictionary) -> DataFrame:
+    """(form, name, kind): a dictionary as a table, a row a surface form; a form by case goes before the same one without."""
     forms = {**dictionary.insensitive, **dictionary.sensitive}
-    kinds: dict[str, int] = {}
-    for _, kind in sorted(set(forms.values())):
-        kinds[kind] = kinds.get(kind, 0) + 1
-    return kinds | {"_total_entidades": len(set(forms.values())), "_total_variantes": len(dictionary.insensitive) + len(dictionary.sensitive)}
+    return spark.createDataFrame([(f, *entry) for f, entry in forms.items()], "form string, name string, kind string")
+
+
+def dictionary_totals(forms: DataFrame) -> DataFrame:
+    """(kind, is_total, n_entities, n_forms) of a dictionary table: a row a kind, and one of all, from one pass."""
+    sums = forms.rollup("kind").agg(F.grouping_id().alias("g"), F.count_distinct(F.struct("name", "kind")).alias("n_entities"), F.count("*").alias("n_forms"))
+    return sums.select("kind", (F.col("g") == 1).alias("is_total"), "n_entities", "n_forms")
+
+
+def dictionary_summary(forms: DataFrame) -> dict[str, int]:
+    """Entities of a dictionary table by kind, and totals of entities and of surface forms."""
+    rows = dictionary_totals(forms).orderBy("is_total", "kind").collect()  # a row a kind
+    out = {r["kind"]: r["n_entities"] for r in rows if not r["is_total"]}
+    total = next((r for r in rows if r["is_total"]), None)
+    return out | {"_total_entidades": total["n_entities"] if total else 0, "_total_variantes": total["n_forms"] if total else 0}

@@ -153,10 +153,16 @@ def fragment_corpus(docs: DataFrame, config: ChunkConfig = ChunkConfig()) -> Dat
     return complete_fragments(out, docs)
 
 
+def extraction_totals(docs: DataFrame) -> DataFrame:
+    """(format, is_total, docs, blocks, chars) of extracted documents: a row a format, and one of all, from one pass."""
+    chars = F.aggregate("blocks", F.lit(0).cast("long"), lambda a, b: a + F.length(b["text"]))
+    sums = docs.rollup("format").agg(F.grouping_id().alias("g"), F.count("*").alias("docs"), F.sum(F.size("blocks")).cast("long").alias("blocks"), F.sum(chars).alias("chars"))
+    return sums.select("format", (F.col("g") == 1).alias("is_total"), "docs", "blocks", "chars")
+
+
 def extraction_summary(docs: DataFrame) -> DataFrame:
     """(format, docs, blocks, chars) of extracted documents."""
-    chars = F.aggregate("blocks", F.lit(0).cast("long"), lambda a, b: a + F.length(b["text"]))
-    return docs.groupBy("format").agg(F.count("*").alias("docs"), F.sum(F.size("blocks")).cast("long").alias("blocks"), F.sum(chars).alias("chars"))
+    return extraction_totals(docs).where(~F.col("is_total")).drop("is_total")
 
 
 def failure_reasons(docs: DataFrame) -> DataFrame:

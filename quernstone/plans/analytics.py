@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quernstone.functions import language as N
+from quernstone.functions import table_functions
+from quernstone.operators import assembly as M
+from quernstone.operators import contract as K
 from quernstone.operators.automaton import match_forms
 from quernstone.operators.quantiles import half_even_place, nearest_place, selected
-from quernstone.plans.catalogue import query
+from quernstone.plans.catalogue import ORACLES, query
 from quernstone.session import table
 
 #: Runs of three letters by language, their weights, and the sums of each document.
@@ -63,3 +66,38 @@ def price_quantiles(spark, sf_dir):
     n = F.col("n")
     places = {"p50": nearest_place(n, 50), "p95": nearest_place(n, 95), "p99": half_even_place(n, 99)}
     return selected(table(spark, sf_dir, "lineitem").withColumn("l_extendedprice", F.col("l_extendedprice").cast("double")), ["l_returnflag", "l_linestatus"], "l_extendedprice", places)
+
+
+@query(
+    """WITH f AS (SELECT DISTINCT array_to_string(string_split(text, ' ')[1:n], ' ') AS form, n FROM documents, (VALUES (1), (2), (3)) v(n) WHERE text <> ''),
+    d AS (SELECT form, any_value(lower(form)) AS name, max(n)::VARCHAR AS kind FROM f GROUP BY form)
+    SELECT coalesce(kind, '') AS kind, grouping(kind) = 1 AS is_total, count(DISTINCT (name, kind)) AS n_entities, count(*) AS n_forms FROM d GROUP BY ROLLUP (kind)"""
+)
+def dictionary_totals(spark, sf_dir):
+    """The heads of all documents as a dictionary: one to three words, by case; entities without it."""
+    words = F.split("text", " ")
+    heads = table(spark, sf_dir, "documents").where("text <> ''").select(F.explode(F.array(*(F.struct(F.array_join(F.slice(words, 1, n), " ").alias("form"), F.lit(n).alias("n")) for n in (1, 2, 3)))).alias("h"))
+    forms = heads.groupBy("h.form").agg(F.max("h.n").cast("string").alias("kind")).withColumn("name", F.lower("form"))
+    return M.dictionary_totals(forms).na.fill("", ["kind"])
+
+
+@query(
+    """SELECT coalesce(source, '') AS format, grouping(source) = 1 AS is_total, count(*) AS docs, sum(len(string_split(text, chr(10))))::BIGINT AS blocks, sum(length(replace(text, chr(10), '')))::BIGINT AS chars
+    FROM documents WHERE text IS NOT NULL GROUP BY ROLLUP (source)"""
+)
+def extraction_totals(spark, sf_dir):
+    """Documents as extracted ones, a line a block, their source as the format; totals from the same pass."""
+    docs = table(spark, sf_dir, "documents").where("text IS NOT NULL")
+    blocks = F.transform(F.split("text", "\n"), lambda t: F.struct(t.alias("text")))
+    return K.extraction_totals(docs.select(F.col("source").alias("format"), blocks.alias("blocks"))).na.fill("", ["format"])
+
+
+@query(f"SELECT doc_id, n, digest FROM ({ORACLES['sentences']})")
+def sentences_by_sql(spark, sf_dir):
+    """Sentences by the table function, called from SQL text."""
+    table_functions.register(spark)
+    table(spark, sf_dir, "documents").createOrReplaceTempView("sentences_by_sql_documents")
+    return spark.sql(
+        """SELECT doc_id, count(sentence) AS n, md5(array_join(transform(array_sort(collect_list(named_struct('pos', pos, 's', sentence))), x -> x.s), '|')) AS digest
+        FROM sentences_by_sql_documents LEFT JOIN LATERAL sentences(text, 'en') GROUP BY doc_id"""
+    )

@@ -2,13 +2,13 @@
 
 Names in the files are the fixed ones of their formats; in frames they are this
 library's. Files of many rows are JSON lines or Parquet folders that Spark reads
-and writes in parallel; only graphs in GraphML and small reports are one file.
+and writes in parallel, GraphML is ordered parts; only small reports are one file.
 """
 
 from __future__ import annotations
 
 import json
-from xml.sax.saxutils import escape, quoteattr
+from xml.sax.saxutils import quoteattr
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +36,8 @@ FRAGMENT_TYPES = {"phenomenon": "int", "position": "int", "n_tokens": "int", "se
 #: Fields that the index's metadata leaves out, and file names.
 ENCODED_ONLY = ("enriched",)
 MANIFEST, CHUNKS, REPORT, METADATA, RESULTS = "manifiesto.jsonl", "chunks.jsonl", "reporte.json", "metadata.jsonl", "resultados.jsonl"
+#: The list of the parts of one logical file.
+PARTS = "parts.json"
 
 
 def _named(column: Column, names: dict[str, str], back: bool = False) -> Column:
@@ -297,26 +299,84 @@ def read_partial(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
     return tuple(spark.read.parquet(f"{folder}/{name}") for name in ("nodes", "edges", "facts"))
 
 
-def graphml(nodes: DataFrame, edges: DataFrame, most: int = 1 << 20) -> str:
-    """The graph in GraphML, for viewers; it is one string, so a graph of over ``most`` rows raises: use Parquet."""
-    n = nodes.count() + edges.count()
-    if n > most:
-        raise ValueError(f"a graph of {n} rows is no single file; write its tables")
-    kind = lambda t: {"bigint": "long", "int": "int", "double": "double"}.get(t, "string")
-    columns = [("node", c, kind(t)) for c, t in nodes.dtypes if c not in ("node", "name")] + [("edge", c, kind(t)) for c, t in edges.dtypes if c not in ("a", "b")]
+def _escaped(value: Column) -> Column:
+    out = value
+    for c, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+        out = F.replace(out, F.lit(c), F.lit(entity))
+    return out
+
+
+def graphml_lines(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(section, k1, k2, k3, value): the lines of the graph in GraphML, in the order of the first four.
+
+    Nodes are in the order of their keys, edges in that of their ends; an end that is
+    no node goes by its key. Lists are joined by commas, nulls are left out.
+    """
+    spark = nodes.sparkSession
+    kinds = {"bigint": "long", "int": "int", "double": "double"}
+    columns = [("node", c, kinds.get(t, "string")) for c, t in nodes.dtypes if c not in ("node", "name")] + [("edge", c, kinds.get(t, "string")) for c, t in edges.dtypes if c not in ("a", "b")]
     key = {(of, c): f"d{k}" for k, (of, c, _) in enumerate(columns)}
-    text = lambda v: escape(",".join(map(str, v)) if isinstance(v, list) else str(v))
-    data = lambda of, row: "".join(f'<data key="{key[of, c]}">{text(row[c])}</data>' for o, c, _ in columns if o == of and row[c] is not None)
-    out = ['<?xml version="1.0" encoding="utf-8"?>', '<graphml xmlns="http://graphml.graphdrawing.org/xmlns">']
-    out += [f'<key id="{key[of, c]}" for="{of}" attr.name={quoteattr(c)} attr.type="{t}"/>' for of, c, t in columns]
-    out.append('<graph edgedefault="directed">')
-    name = {}
-    for r in nodes.orderBy("node").toLocalIterator():
-        name[r["node"]] = r["name"]
-        out.append(f"<node id={quoteattr(r['name'])}>{data('node', r)}</node>")
-    for r in edges.orderBy("a", "relation", "b").toLocalIterator():
-        out.append(f"<edge source={quoteattr(name.get(r['a'], r['a']))} target={quoteattr(name.get(r['b'], r['b']))}>{data('edge', r)}</edge>")
-    return "\n".join([*out, "</graph>", "</graphml>"])
+    head = ['<?xml version="1.0" encoding="utf-8"?>', '<graphml xmlns="http://graphml.graphdrawing.org/xmlns">']
+    head += [f'<key id="{key[of, c]}" for="{of}" attr.name={quoteattr(c)} attr.type="{t}"/>' for of, c, t in columns] + ['<graph edgedefault="directed">']
+
+    def data(of: str, df: DataFrame) -> Column:
+        text = lambda c: F.array_join(F.col(c).cast("array<string>"), ",") if dict(df.dtypes)[c].startswith("array") else F.col(c).cast("string")
+        return F.concat(F.lit(""), *(F.coalesce(F.concat(F.lit(f'<data key="{key[of, c]}">'), _escaped(text(c)), F.lit("</data>")), F.lit("")) for o, c, _ in columns if o == of))
+
+    line = lambda k, *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts)).alias("value")
+    node = nodes.select(F.lit(1).alias("section"), F.col("node").alias("k1"), F.lit("").alias("k2"), F.lit("").alias("k3"), line(1, '<node id="', _escaped(F.col("name")), '">', data("node", nodes), "</node>"))
+    ends = edges
+    for end in ("a", "b"):
+        names = nodes.select(F.col("node").alias(end), F.col("name").alias(f"_{end}"))
+        ends = ends.join(names, end, "left")
+    said = lambda end: _escaped(F.coalesce(f"_{end}", end))
+    edge = ends.select(F.lit(2).alias("section"), F.col("a").alias("k1"), F.col("relation").alias("k2"), F.col("b").alias("k3"), line(2, '<edge source="', said("a"), '" target="', said("b"), '">', data("edge", ends), "</edge>"))
+    rim = [(0, f"{k:06d}", "", "", v) for k, v in enumerate(head)] + [(3, f"{k}", "", "", v) for k, v in enumerate(("</graph>", "</graphml>"))]
+    return node.unionByName(edge).unionByName(spark.createDataFrame(rim, "section int, k1 string, k2 string, k3 string, value string"))
+
+
+def write_graphml(nodes: DataFrame, edges: DataFrame, folder: str) -> dict:
+    """The graph as one logical file in ordered parts below ``folder``; gives the manifest, which is written last.
+
+    A range sort places the lines, so any size is written by all tasks and parts in the
+    order of their names are the file. A folder without its manifest is unfinished.
+    """
+    spark = nodes.sparkSession
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{PARTS}"), False)
+    graphml_lines(nodes, edges).orderBy("section", "k1", "k2", "k3").select("value").write.mode("overwrite").text(f"{folder}/parts")
+    files = system.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/parts"))
+    parts = sorted((f.getPath().getName(), f.getLen()) for f in files if f.getPath().getName().startswith("part-") and f.getLen())
+    manifest = {"parts": [{"name": n, "bytes": size} for n, size in parts], "bytes": sum(size for _, size in parts)}
+    write_small(spark, json.dumps(manifest), f"{folder}/{PARTS}")
+    return manifest
+
+
+def join_parts(spark: SparkSession, folder: str, target: str) -> int:
+    """The parts below ``folder`` as one file, copied from stream to stream in the manifest's order; its bytes.
+
+    A missing manifest or a part of another size raises.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    source = path(f"{folder}/{PARTS}")
+    system = source.getFileSystem(conf)
+    if not system.exists(source):
+        raise ValueError(f"no finished file in {folder}")
+    stream = system.open(source)
+    manifest = json.loads(bytes(stream.readAllBytes()).decode())
+    stream.close()
+    out = path(target).getFileSystem(conf).create(path(target), True)
+    for part in manifest["parts"]:
+        own = path(f"{folder}/parts/{part['name']}")
+        if system.getFileStatus(own).getLen() != part["bytes"]:
+            raise ValueError(f"part {part['name']} is not as it was written")
+        stream = system.open(own)
+        spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 16, False)
+        stream.close()
+    out.close()
+    return manifest["bytes"]
 
 
 def write_small(spark: SparkSession, text: str, path: str) -> None:

@@ -125,10 +125,10 @@ def test_small_files(spark, tmp_path):
     assert (tmp_path / "r.json").read_text(encoding="utf-8") == '{\n  "a": "é",\n  "b": 1\n}\n'
     nodes = spark.createDataFrame([("a", "A & B", "ORG", 3)], "node string, name string, kind string, mentions long")
     edges = spark.createDataFrame([("a", "firma", "a", 2)], "a string, relation string, b string, weight long")
-    xml = A.graphml(nodes, edges)
+    A.write_graphml(nodes, edges, f"{tmp_path}/g")
+    A.join_parts(spark, f"{tmp_path}/g", f"{tmp_path}/g.xml")
+    xml = (tmp_path / "g.xml").read_text(encoding="utf-8")
     assert '<node id="A &amp; B">' in xml and ">2</data></edge>" in xml
-    with pytest.raises(ValueError):
-        A.graphml(nodes, edges, 1)
     A.write_partial(nodes, edges, nodes.limit(0), f"{tmp_path}/p")
     assert A.read_partial(spark, f"{tmp_path}/p")[1].first().weight == 2
     (tmp_path / "x.jsonl").write_text("1\n2\n", encoding="utf-8")
@@ -195,3 +195,27 @@ def test_manifest_of_several_parts_keeps_its_order(spark, tmp_path):
     for part, (a, z) in enumerate(((0, 2), (2, 60), (60, 64), (64, 101))):
         (tmp_path / A.MANIFEST / f"part-{part}").write_text("".join(json.dumps({"doc_id": n}) + "\n" for n in names[a:z]))
     assert [r.doc_id for r in A.read_documents(spark, str(tmp_path)).orderBy("place").collect()] == names
+
+
+def test_graphml_in_ordered_parts(spark, tmp_path):
+    import xml.etree.ElementTree as tree
+
+    nodes = spark.range(3000).select(F.format_string("n%05d", "id").alias("node"), F.format_string('N "%d" <é>', "id").alias("name"), F.when(F.col("id") % 2 == 0, "ORG").alias("kind"), F.array(F.lit(1), F.lit(2)).alias("phenomena"))
+    edges = spark.range(2999).select(F.format_string("n%05d", "id").alias("a"), F.lit("firma").alias("relation"), F.format_string("n%05d", F.col("id") + 1).alias("b"), (F.col("id") * 2).alias("weight"))
+    edges = edges.unionByName(spark.createDataFrame([("n00000", "apoya", "gone", 1)], edges.schema))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = A.write_graphml(nodes.repartition(5), edges.repartition(3), f"{tmp_path}/g")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(manifest["parts"]) > 2
+    assert A.join_parts(spark, f"{tmp_path}/g", f"{tmp_path}/g.xml") == manifest["bytes"] == (tmp_path / "g.xml").stat().st_size
+    space = "{http://graphml.graphdrawing.org/xmlns}"
+    graph = tree.parse(tmp_path / "g.xml").getroot().find(f"{space}graph")
+    names = [n.get("id") for n in graph.iter(f"{space}node")]
+    assert names == [f'N "{k}" <é>' for k in range(3000)] and [len(n) for n in graph.iter(f"{space}node")][:2] == [2, 1]
+    ends = [(e.get("source"), e.get("target")) for e in graph.iter(f"{space}edge")]
+    assert ends[0] == (names[0], "gone") and ends[1:] == list(zip(names, names[1:], strict=False))
+    (tmp_path / "g" / A.PARTS).unlink()
+    with pytest.raises(ValueError, match="no finished file"):
+        A.join_parts(spark, f"{tmp_path}/g", f"{tmp_path}/again.xml")

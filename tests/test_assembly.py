@@ -46,5 +46,5 @@ def test_no_fragments(spark):
     assert {r.what: r.n for r in stats.collect()}["fragments"] == 0
 
 
-def test_dictionary_summary():
-    assert S.dictionary_summary(DICTIONARY) == {"ORG": 2, "_total_entidades": 2, "_total_variantes": 3}
+def test_dictionary_summary(spark):
+    assert S.dictionary_summary(S.dictionary_forms(spark, DICTIONARY)) == {"ORG": 2, "_total_entidades": 2, "_total_variantes": 3}
