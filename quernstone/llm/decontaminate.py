@@ -37,7 +37,9 @@ class Config:
     A passage is a candidate if its energy (the sum of its squared weights) is
     ``gate`` of the lightest item's at least and its cosine ``cosine``: an item so
     thinned out that 24 words hold less of it is not found. ``benchmark_bytes``
-    bounds the benchmark, which every task holds. A pass over the corpus sums one
+    bounds the benchmark, which every task holds, ``space_bytes`` the matrix of its
+    words and the latent dimensions, which the driver holds too, and ``scores`` the
+    similarities computed at once. A pass over the corpus sums one
     sparse matrix a task; ``gather`` partitions make a task, at least ``fit_tasks``.
     """
 
@@ -47,7 +49,7 @@ class Config:
     oversample: int = 32
     max_df: float = 0.1
     least_features: int = 6
-    gate: float = 0.45
+    gate: float = 0.3
     cosine: float = 0.45
     share: float = 0.8
     weak_share: float = 0.6
@@ -56,6 +58,8 @@ class Config:
     fit_tasks: int = 256
     gather: int = 16
     benchmark_bytes: int = 64 << 20
+    space_bytes: int = 256 << 20
+    scores: int = 1 << 20
     seed: int = 2
 
 
@@ -284,6 +288,8 @@ def fit_space(table: DataFrame, items: Items, config: Config) -> Space:
     space.gate = float(config.gate * best.min())
 
     width = min(n, config.rank + config.oversample)
+    if 8 * n * width > config.space_bytes:
+        raise ValueError(f"{n} benchmark words in {width} dimensions are more than {config.space_bytes} bytes; give the benchmark in parts")
     omega = np.random.default_rng(config.seed).normal(size=(n, width)).astype(np.float32)
     bench = _project(passage, f, w, omega)
     held = table.sparkSession.sparkContext.broadcast((space, omega))
@@ -336,7 +342,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, config: Config = Config())
     empty items are no items. A repeated item counts once for each id. Repeated rows
     are judged each, long texts whole; an empty table gives no rows. Other columns
     are not read. The benchmark is gathered, so its size is checked against
-    ``benchmark_bytes``.
+    ``benchmark_bytes`` and that of its latent space against ``space_bytes``.
     """
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     if size > config.benchmark_bytes:
@@ -364,8 +370,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, config: Config = Config())
         if len(row):
             z = _project(passage, f, w, space.basis)
             z /= np.sqrt(np.bincount(passage, w.astype(np.float64) ** 2))[:, None].astype(np.float32)
-            for a in range(0, len(z), 2048):
-                p, i = np.nonzero(z[a : a + 2048] @ space.item_latent.T >= space.config.cosine)
+            step = max(1, space.config.scores // len(space.item_latent))
+            for a in range(0, len(z), step):
+                p, i = np.nonzero(z[a : a + step] @ space.item_latent.T >= space.config.cosine)
                 for r, s, item in zip(row[a + p].tolist(), place[a + p].tolist(), space.item_of[i].tolist(), strict=True):
                     met.setdefault((r, item), []).append(s)
         n = batch.num_rows

@@ -59,6 +59,8 @@ def test_odd_rows(spark, planted):
     assert [r.contaminated for r in find_leaks(docs, bench.limit(0)).collect()] == [False] * 5
     with pytest.raises(ValueError):
         find_leaks(docs, bench, Config(benchmark_bytes=10))
+    with pytest.raises(ValueError, match="in parts"):
+        find_leaks(docs, bench, Config(space_bytes=1000))
 
 
 def exhaustive(docs, items, spread=5):
@@ -77,9 +79,9 @@ def exhaustive(docs, items, spread=5):
     return found
 
 
-@pytest.mark.parametrize("fillers", [0, 1, 2])
+@pytest.mark.parametrize("fillers", [0, 1, 2, 3])
 def test_recall_of_diluted_and_paraphrased_leaks(spark, fillers):
-    """Against the search of all stretches: nine of ten leaks at least, with up to two words between any two."""
+    """Against the search of all stretches: nine of ten leaks at least, with up to three words between any two."""
     rng = random.Random(fillers)
     vocabulary = [f"w{i}" for i in range(4000)]
     items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(15, 50)))) for i in range(25)]
@@ -125,3 +127,11 @@ def test_query(spark, sf_dir):
     rows = op2_decontamination(spark, sf_dir).collect()
     assert len(rows) == len(docs)
     assert verbatim <= {r.doc_id for r in rows if r.contaminated}
+
+
+def test_query_against_the_search_of_all_stretches(spark, sf_dir):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    pairs = {(d, i) for d, own in exhaustive(docs, items).items() for i in own}
+    got = {(r.doc_id, i) for r in op2_decontamination(spark, sf_dir).collect() for i in r.item_ids}
+    assert pairs and len(pairs & got) >= 0.9 * len(pairs)
