@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from quernstone.llm.columns import spare
 from quernstone.llm.components import connected_components
+from quernstone.llm.hot import join_back
 from quernstone.session import materialise
 
 #: The seed of the shingle hash and the distance that links.
@@ -122,16 +123,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     whole.
     """
     base = materialise(fingerprints(docs, shingle), "fingerprints")
-    owners = base.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    owners = base.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
     owners = materialise(owners, "distinct-fingerprints")
     reached = connected_components(linked_fingerprints(owners.select("fp")), "simhash-links")
     names = reached.join(owners, F.col("node") == F.col("fp")).groupBy("component").agg(F.min("first_id").alias("component_id"))
     moved = reached.join(names, "component").select(F.col("node").alias("fp"), "component", "component_id")
     of_fp = owners.join(moved, "fp", "left").select(
-        "fp", F.coalesce("component", "fp").alias("root"), F.when(F.col("component").isNotNull(), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id")
+        "fp", "n", F.coalesce("component", "fp").alias("root"), F.when(F.col("component").isNotNull(), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id")
     )
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return base.join(of_fp, "fp").select("doc_id", "text_hash", "root", text.alias("fingerprint"), "component_id")
+    return join_back(base, materialise(of_fp, "named-fingerprints"), ["fp"], "n").select("doc_id", "text_hash", "root", text.alias("fingerprint"), "component_id")
 
 
 def row_key(ident: Column, digest: Column) -> Column:
