@@ -168,36 +168,68 @@ class Space:
     item_of: np.ndarray | None = None
     item_latent: np.ndarray | None = None
 
-    def windows(self, b: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Passages heavy enough: (row, first place) each; then (passage, feature, weight) entries.
-
-        Passages start every half window; entries come in order of passage.
-        """
+    def passages(self, b: Batch) -> Passages:
+        """The passages heavy enough; one starts every half window and covers two cells of that length."""
         half = self.config.window // 2
         f = self.feature[b.word]
         own = np.flatnonzero(f >= 0)
-        row, f, cell = b.row[own], f[own], b.at[own] // half
-        w = self.weight[b.word[own]]
-        # Each word lies in the passage that starts at its half and in the one before.
-        row, f, w = np.tile(row, 2), np.tile(f, 2), np.tile(w, 2)
-        cell = np.concatenate((cell, cell - 1))
-        inside = cell >= 0
-        row, f, w, cell = row[inside], f[inside], w[inside], cell[inside]
-        key = row * (np.int64(1) << 32) + cell
+        key = b.row[own] * (np.int64(1) << 32) + b.at[own] // half
         order = np.argsort(key, kind="stable")
-        key, f, w = key[order], f[order], w[order]
+        key, f, w = key[order], f[own][order], self.weight[b.word[own]][order]
         start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+        cells = key[start]
+        energy = np.append(np.add.reduceat(w.astype(np.float64) ** 2, start) if len(key) else np.zeros(0), 0.0)
+        starts = np.union1d(cells, cells[(cells & 0xFFFFFFFF) > 0] - 1)
+        covered = []
+        for k in (starts, starts + 1):
+            at = np.minimum(np.searchsorted(cells, k), max(len(cells) - 1, 0))
+            covered.append(np.where(cells[at] == k, at, -1) if len(cells) else np.zeros(0, np.int64))
+        sums = energy[covered[0]] + energy[covered[1]]
+        heavy = sums >= self.gate
+        low, high = covered[0][heavy], covered[1][heavy]
+        # Cells that no such passage covers go, the others are numbered anew.
+        used = np.zeros(len(cells) + 1, bool)
+        used[low] = used[high] = True
+        used[-1] = False
+        number = np.where(used, np.cumsum(used) - 1, -1)
         size = np.diff(np.r_[start, len(key)])
-        energy = np.add.reduceat(w * w, start) if len(key) else np.zeros(0)
-        heavy = energy >= self.gate
-        entry = np.repeat(heavy, size)
-        passage = np.repeat(np.cumsum(heavy) - 1, size)[entry]
-        chosen = key[start[heavy]]
-        return chosen >> 32, (chosen & 0xFFFFFFFF) * half, passage, f[entry], w[entry]
+        entry = np.repeat(used[:-1], size)
+        chosen = starts[heavy]
+        return Passages(chosen >> 32, (chosen & 0xFFFFFFFF) * half, number[low], number[high], np.repeat(number[:-1], size)[entry], f[entry], w[entry], sums[heavy])
+
+
+@dataclass
+class Passages:
+    """Row and first place of each passage, its two cells (-1: none) and energy; (cell, feature, weight) entries in order of cell.
+
+    A passage is the sum of its cells, so each word is multiplied once.
+    """
+
+    row: np.ndarray
+    place: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    cell: np.ndarray
+    feature: np.ndarray
+    weight: np.ndarray
+    energy: np.ndarray
+
+    def times(self, onto: np.ndarray) -> np.ndarray:
+        """Rows of the passage matrix times ``onto``."""
+        z = _project(self.cell, self.feature, self.weight, onto)
+        z = np.concatenate((z, np.zeros((1, onto.shape[1]), z.dtype)))
+        return z[self.low] + z[self.high]
+
+    def back(self, y: np.ndarray, n: int) -> np.ndarray:
+        """The transposed passage matrix of ``n`` features times ``y``."""
+        total = np.zeros((int(self.cell[-1]) + 2 if len(self.cell) else 1, y.shape[1]), y.dtype)
+        for of in (self.low, self.high):
+            total[of[of >= 0]] += y[of >= 0]
+        return _back(self.cell, self.feature, self.weight, total, n)
 
 
 def _project(passage: np.ndarray, f: np.ndarray, w: np.ndarray, onto: np.ndarray) -> np.ndarray:
-    """Rows of the passage matrix times ``onto``; every passage has an entry."""
+    """Rows of a sparse matrix, given by entries in order, times ``onto``; every row has an entry."""
     if not len(passage):
         return np.zeros((0, onto.shape[1]), onto.dtype)
     start = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
@@ -211,7 +243,7 @@ def _project(passage: np.ndarray, f: np.ndarray, w: np.ndarray, onto: np.ndarray
 
 
 def _back(passage: np.ndarray, f: np.ndarray, w: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
-    """The transposed passage matrix times ``y``."""
+    """The transposed sparse matrix times ``y``."""
     out = np.zeros((n, y.shape[1]))
     order = np.argsort(f, kind="stable")
     for a in range(0, len(order), 1 << 13):
@@ -281,8 +313,8 @@ def fit_space(table: DataFrame, items: Items, config: Config) -> Space:
     n = int(usable.sum())
     space = Space(config, feature, idf.astype(np.float32), 0.0, n)
     own = _item_batch(items)
-    row, _, passage, f, w = space.windows(own)
-    energy = np.bincount(passage, w.astype(np.float64) ** 2)
+    whole = space.passages(own)
+    row, energy = whole.row, whole.energy
     best = np.zeros(len(items.words))
     np.maximum.at(best, row, energy)
     space.gate = float(config.gate * best.min())
@@ -291,32 +323,31 @@ def fit_space(table: DataFrame, items: Items, config: Config) -> Space:
     if 8 * n * width > config.space_bytes:
         raise ValueError(f"{n} benchmark words in {width} dimensions are more than {config.space_bytes} bytes; give the benchmark in parts")
     omega = np.random.default_rng(config.seed).normal(size=(n, width)).astype(np.float32)
-    bench = _project(passage, f, w, omega)
+    bench = whole.times(omega)
     held = table.sparkSession.sparkContext.broadcast((space, omega))
 
     def sketched(b: Batch) -> np.ndarray:
         s, o = held.value
-        _, _, p, g, v = s.windows(b)
-        return np.r_[_back(p, g, v, _project(p, g, v, o), s.n_features), np.full((1, o.shape[1]), len(np.unique(p)))]
+        p = s.passages(b)
+        return np.r_[p.back(p.times(o), s.n_features), np.full((1, o.shape[1]), len(p.row))]
 
     sketch = _summed(table, (n + 1, width), sketched, config)
     # The benchmark's passages weigh so many times all the corpus's together.
     level = config.benchmark_weight * max(1.0, sketch[-1, 0]) / len(bench)
-    q, _ = np.linalg.qr(sketch[:-1] + level * _back(passage, f, w, bench, n))
+    q, _ = np.linalg.qr(sketch[:-1] + level * whole.back(bench, n))
     q = q.astype(np.float32)
     turned = table.sparkSession.sparkContext.broadcast((space, q))
 
     def squared(b: Batch) -> np.ndarray:
         s, o = turned.value
-        _, _, p, g, v = s.windows(b)
-        y = _project(p, g, v, o)
+        y = s.passages(b).times(o)
         return (y.T @ y).astype(np.float64)
 
-    y = _project(passage, f, w, q).astype(np.float64)
+    y = whole.times(q).astype(np.float64)
     small = _summed(table, (width, width), squared, config) + level * y.T @ y
     _, vectors = np.linalg.eigh(small)
     space.basis = (q @ vectors[:, ::-1][:, : config.rank]).astype(np.float32)
-    z = _project(passage, f, w, space.basis)
+    z = whole.times(space.basis)
     space.item_of = row
     # Scaled so that a benchmark passage has similarity 1 with itself, however
     # much of it the latent space keeps.
@@ -365,11 +396,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, config: Config = Config())
                 yield judged(space, items, words, batch.slice(first, end - first), b)
 
     def judged(space: Space, items: Items, words: list[list[int]], batch: pa.RecordBatch, b: Batch) -> pa.RecordBatch:
-        row, place, passage, f, w = space.windows(b)
+        whole = space.passages(b)
+        row, place = whole.row, whole.place
         met: dict[tuple[int, int], list[int]] = {}
         if len(row):
-            z = _project(passage, f, w, space.basis)
-            z /= np.sqrt(np.bincount(passage, w.astype(np.float64) ** 2))[:, None].astype(np.float32)
+            z = whole.times(space.basis)
+            z /= np.sqrt(whole.energy)[:, None].astype(np.float32)
             step = max(1, space.config.scores // len(space.item_latent))
             for a in range(0, len(z), step):
                 p, i = np.nonzero(z[a : a + step] @ space.item_latent.T >= space.config.cosine)
