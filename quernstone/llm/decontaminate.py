@@ -36,7 +36,8 @@ class Config:
     where other words stand between them, up to ``spread`` times the item's length.
     A passage is a candidate if its energy (the sum of its squared weights) is
     ``gate`` of the lightest item's at least and its cosine ``cosine``: an item so
-    thinned out that 24 words hold less of it is not found. ``benchmark_bytes``
+    thinned out that 24 words hold less of it is not found. The latent space is fitted
+    on the corpus's passages of ``fit_gate``. ``benchmark_bytes``
     bounds the benchmark, which every task holds, ``space_bytes`` the matrix of its
     words and the latent dimensions, which the driver holds too, and ``scores`` the
     similarities computed at once. A pass over the corpus sums one
@@ -50,6 +51,7 @@ class Config:
     max_df: float = 0.1
     least_features: int = 6
     gate: float = 0.3
+    fit_gate: float = 0.45
     cosine: float = 0.45
     share: float = 0.8
     weak_share: float = 0.6
@@ -317,7 +319,7 @@ def fit_space(table: DataFrame, items: Items, config: Config) -> Space:
     row, energy = whole.row, whole.energy
     best = np.zeros(len(items.words))
     np.maximum.at(best, row, energy)
-    space.gate = float(config.gate * best.min())
+    space.gate = float(config.fit_gate * best.min())
 
     width = min(n, config.rank + config.oversample)
     if 8 * n * width > config.space_bytes:
@@ -348,6 +350,7 @@ def fit_space(table: DataFrame, items: Items, config: Config) -> Space:
     _, vectors = np.linalg.eigh(small)
     space.basis = (q @ vectors[:, ::-1][:, : config.rank]).astype(np.float32)
     z = whole.times(space.basis)
+    space.gate = float(config.gate * best.min())
     space.item_of = row
     # Scaled so that a benchmark passage has similarity 1 with itself, however
     # much of it the latent space keeps.
