@@ -197,14 +197,15 @@ class Space:
         size = np.diff(np.r_[start, len(key)])
         entry = np.repeat(used[:-1], size)
         chosen = starts[heavy]
-        return Passages(chosen >> 32, (chosen & 0xFFFFFFFF) * half, number[low], number[high], np.repeat(number[:-1], size)[entry], f[entry], w[entry], sums[heavy])
+        return Passages(chosen >> 32, (chosen & 0xFFFFFFFF) * half, number[low], number[high], np.repeat(number[:-1], size)[entry], f[entry], sums[heavy])
 
 
 @dataclass
 class Passages:
-    """Row and first place of each passage, its two cells (-1: none) and energy; (cell, feature, weight) entries in order of cell.
+    """Row and first place of each passage, its two cells (-1: none) and energy; (cell, feature) entries in order of cell.
 
-    A passage is the sum of its cells, so each word is multiplied once.
+    A passage is the sum of its cells, so each word is met once. A feature has one
+    weight: who multiplies scales the other matrix by the weights beforehand.
     """
 
     row: np.ndarray
@@ -213,24 +214,23 @@ class Passages:
     high: np.ndarray
     cell: np.ndarray
     feature: np.ndarray
-    weight: np.ndarray
     energy: np.ndarray
 
     def times(self, onto: np.ndarray) -> np.ndarray:
-        """Rows of the passage matrix times ``onto``."""
-        z = _project(self.cell, self.feature, self.weight, onto)
+        """Rows of the passage matrix times a matrix, given scaled by the features' weights."""
+        z = _project(self.cell, self.feature, onto)
         z = np.concatenate((z, np.zeros((1, onto.shape[1]), z.dtype)))
         return z[self.low] + z[self.high]
 
     def back(self, y: np.ndarray, n: int) -> np.ndarray:
-        """The transposed passage matrix of ``n`` features times ``y``."""
+        """The transposed passage matrix of ``n`` features times ``y``, still to be scaled by the weights."""
         total = np.zeros((int(self.cell[-1]) + 2 if len(self.cell) else 1, y.shape[1]), y.dtype)
         for of in (self.low, self.high):
             total[of[of >= 0]] += y[of >= 0]
-        return _back(self.cell, self.feature, self.weight, total, n)
+        return _back(self.cell, self.feature, total, n)
 
 
-def _project(passage: np.ndarray, f: np.ndarray, w: np.ndarray, onto: np.ndarray) -> np.ndarray:
+def _project(passage: np.ndarray, f: np.ndarray, onto: np.ndarray) -> np.ndarray:
     """Rows of a sparse matrix, given by entries in order, times ``onto``; every row has an entry."""
     if not len(passage):
         return np.zeros((0, onto.shape[1]), onto.dtype)
@@ -240,18 +240,18 @@ def _project(passage: np.ndarray, f: np.ndarray, w: np.ndarray, onto: np.ndarray
     for a in range(0, len(start), 512):
         z = min(a + 512, len(start))
         lo, hi = start[a], ends[z - 1]
-        out[a:z] = np.add.reduceat(onto[f[lo:hi]] * w[lo:hi, None], start[a:z] - lo, axis=0)
+        out[a:z] = np.add.reduceat(onto[f[lo:hi]], start[a:z] - lo, axis=0)
     return out
 
 
-def _back(passage: np.ndarray, f: np.ndarray, w: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
+def _back(passage: np.ndarray, f: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
     """The transposed sparse matrix times ``y``."""
     out = np.zeros((n, y.shape[1]))
     order = np.argsort(f, kind="stable")
     for a in range(0, len(order), 1 << 13):
         o = order[a : a + (1 << 13)]
         start = np.flatnonzero(np.r_[True, f[o][1:] != f[o][:-1]])
-        out[f[o][start]] += np.add.reduceat(y[passage[o]] * w[o, None], start, axis=0)
+        out[f[o][start]] += np.add.reduceat(y[passage[o]], start, axis=0)
     return out
 
 
@@ -324,7 +324,8 @@ def fit_space(table: DataFrame, items: Items, config: Config) -> Space:
     width = min(n, config.rank + config.oversample)
     if 8 * n * width > config.space_bytes:
         raise ValueError(f"{n} benchmark words in {width} dimensions are more than {config.space_bytes} bytes; give the benchmark in parts")
-    omega = np.random.default_rng(config.seed).normal(size=(n, width)).astype(np.float32)
+    scale = space.weight[usable][:, None]
+    omega = np.random.default_rng(config.seed).normal(size=(n, width)).astype(np.float32) * scale
     bench = whole.times(omega)
     held = table.sparkSession.sparkContext.broadcast((space, omega))
 
@@ -336,8 +337,8 @@ def fit_space(table: DataFrame, items: Items, config: Config) -> Space:
     sketch = _summed(table, (n + 1, width), sketched, config)
     # The benchmark's passages weigh so many times all the corpus's together.
     level = config.benchmark_weight * max(1.0, sketch[-1, 0]) / len(bench)
-    q, _ = np.linalg.qr(sketch[:-1] + level * whole.back(bench, n))
-    q = q.astype(np.float32)
+    q, _ = np.linalg.qr((sketch[:-1] + level * whole.back(bench, n)) * scale)
+    q = q.astype(np.float32) * scale
     turned = table.sparkSession.sparkContext.broadcast((space, q))
 
     def squared(b: Batch) -> np.ndarray:
