@@ -609,7 +609,7 @@ _NAMED = "(SELECT conv_id, turn, trim(regexp_replace(regexp_replace('«' || role
 
 
 @query(
-    f"""SELECT conv_id, turn, md5(lower(strip_accents(name))) AS digest, length(name) >= 8 AND doubled * 3 > length(replace(name, ' ', '')) AS doubled FROM (SELECT *, {' + '.join(f"len(regexp_extract_all(name, '{c}{c}'))" for c in 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ')} AS doubled FROM
+    f"""SELECT conv_id, turn, md5(replace(lower(strip_accents(name)), 'ß', 'ss')) AS digest, length(name) >= 8 AND doubled * 3 > length(replace(name, ' ', '')) AS doubled FROM (SELECT *, {' + '.join(f"len(regexp_extract_all(name, '{c}{c}'))" for c in 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ')} AS doubled FROM
     (SELECT conv_id, turn, CASE WHEN contains(n, ' ') AND lower(string_split(n, ' ')[1]) IN {_in(T.ARTICLES)} THEN trim(n[strpos(n, ' ') + 1:]) ELSE n END AS name FROM {_NAMED}))"""
 )
 def entity_names(spark, sf_dir):
