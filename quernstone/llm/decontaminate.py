@@ -140,7 +140,7 @@ class Batch:
     first: np.ndarray
 
     @classmethod
-    def each(cls, batch: pa.RecordBatch, words: int = 1 << 16) -> Iterator[tuple[int, int, Batch]]:
+    def each(cls, batch: pa.RecordBatch, words: int = 1 << 15) -> Iterator[tuple[int, int, Batch]]:
         """(first row, end, batch): runs of rows of about ``words`` words, long rows alone."""
         ends, a = np.asarray(batch.column("at").offsets)[1:].astype(np.int64), 0
         while a < batch.num_rows:
@@ -222,12 +222,12 @@ class Passages:
         z = np.concatenate((z, np.zeros((1, onto.shape[1]), z.dtype)))
         return z[self.low] + z[self.high]
 
-    def back(self, y: np.ndarray, n: int) -> np.ndarray:
-        """The transposed passage matrix of ``n`` features times ``y``, still to be scaled by the weights."""
+    def back(self, y: np.ndarray, out: np.ndarray) -> np.ndarray:
+        """``out``, to which the transposed passage matrix times ``y`` is added, still to be scaled by the weights."""
         total = np.zeros((int(self.cell[-1]) + 2 if len(self.cell) else 1, y.shape[1]), y.dtype)
         for of in (self.low, self.high):
             total[of[of >= 0]] += y[of >= 0]
-        return _back(self.cell, self.feature, total, n)
+        return _back(self.cell, self.feature, total, out)
 
 
 def _project(passage: np.ndarray, f: np.ndarray, onto: np.ndarray) -> np.ndarray:
@@ -244,9 +244,8 @@ def _project(passage: np.ndarray, f: np.ndarray, onto: np.ndarray) -> np.ndarray
     return out
 
 
-def _back(passage: np.ndarray, f: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
-    """The transposed sparse matrix times ``y``."""
-    out = np.zeros((n, y.shape[1]))
+def _back(passage: np.ndarray, f: np.ndarray, y: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """``out`` with the transposed sparse matrix times ``y`` added."""
     order = np.argsort(f, kind="stable")
     for a in range(0, len(order), 1 << 13):
         o = order[a : a + (1 << 13)]
@@ -259,8 +258,8 @@ def _back(passage: np.ndarray, f: np.ndarray, y: np.ndarray, n: int) -> np.ndarr
 _ROWS = 1024
 
 
-def _summed(table: DataFrame, shape: tuple[int, int], part: Callable[[Batch], np.ndarray], config: Config) -> np.ndarray:
-    """The sum of ``part`` over all batches.
+def _summed(table: DataFrame, shape: tuple[int, int], part: Callable[[Batch, np.ndarray], None], config: Config) -> np.ndarray:
+    """The sum of what ``part`` adds to a matrix for each batch.
 
     A task sends its matrix in runs of rows, without those that are zero; equal
     runs are added up in tasks of their own, so none holds all.
@@ -270,7 +269,7 @@ def _summed(table: DataFrame, shape: tuple[int, int], part: Callable[[Batch], np
         total = np.zeros(shape)
         for batch in batches:
             for _, _, b in Batch.each(batch):
-                total += part(b)
+                part(b, total)
         for at in range(0, shape[0], _ROWS):
             rows = total[at : at + _ROWS]
             if rows.any():
@@ -299,10 +298,10 @@ def fit_space(table: DataFrame, items: Items, config: Config) -> Space:
     """Weights, gate and latent basis from the whole corpus and the benchmark."""
     n_words = len(items.vocabulary)
 
-    def counted(b: Batch) -> np.ndarray:
+    def counted(b: Batch, total: np.ndarray) -> None:
         once = np.unique(b.row * np.int64(n_words) + b.word)
         df = np.bincount(once % n_words, minlength=n_words)
-        return np.r_[df, len(b.first) - 1][:, None].astype(float)
+        total[:, 0] += np.r_[df, len(b.first) - 1]
 
     counts = _summed(table, (n_words + 1, 1), counted, config)[:, 0]
     df, n_docs = counts[:-1], counts[-1]
@@ -329,22 +328,23 @@ def fit_space(table: DataFrame, items: Items, config: Config) -> Space:
     bench = whole.times(omega)
     held = table.sparkSession.sparkContext.broadcast((space, omega))
 
-    def sketched(b: Batch) -> np.ndarray:
+    def sketched(b: Batch, total: np.ndarray) -> None:
         s, o = held.value
         p = s.passages(b)
-        return np.r_[p.back(p.times(o), s.n_features), np.full((1, o.shape[1]), len(p.row))]
+        p.back(p.times(o), total[:-1])
+        total[-1] += len(p.row)
 
     sketch = _summed(table, (n + 1, width), sketched, config)
     # The benchmark's passages weigh so many times all the corpus's together.
     level = config.benchmark_weight * max(1.0, sketch[-1, 0]) / len(bench)
-    q, _ = np.linalg.qr((sketch[:-1] + level * whole.back(bench, n)) * scale)
+    q, _ = np.linalg.qr((sketch[:-1] + level * whole.back(bench, np.zeros((n, width)))) * scale)
     q = q.astype(np.float32) * scale
     turned = table.sparkSession.sparkContext.broadcast((space, q))
 
-    def squared(b: Batch) -> np.ndarray:
+    def squared(b: Batch, total: np.ndarray) -> None:
         s, o = turned.value
         y = s.passages(b).times(o)
-        return (y.T @ y).astype(np.float64)
+        total += y.T @ y
 
     y = whole.times(q).astype(np.float64)
     small = _summed(table, (width, width), squared, config) + level * y.T @ y
