@@ -1,7 +1,8 @@
 """The corpus pipeline: toxicity, near-duplicates, decontamination, secrets, tokens.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each
-result as Parquet in the shared folder and reads it back for the next.
+result as Parquet in the shared folder and reads it back for the next. What a stage
+writes on its way is deleted when its result is written, and so is its input then.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from quernstone.llm.near_copies import keep_one
 from quernstone.llm.queries import vocabulary_file
 from quernstone.llm.secrets import redact_documents
 from quernstone.llm.toxicity import drop_toxic, fit_on
-from quernstone.session import materialise, table
+from quernstone.session import Written, scratch, table
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,10 +81,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = materialise(docs, f"stage-{name}")
-    return docs
+    """All stages over ``documents``; the last one's input is the only table that stays."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        with scratch():
+            done = Written(stage(spark, docs, sf_dir), f"stage-{name}", stays=True)
+        if before:
+            before.delete()
+        docs, before = done.read(), done
+    return STAGES[-1][1](spark, docs, sf_dir)

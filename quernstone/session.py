@@ -6,6 +6,9 @@ import gc
 import tempfile
 import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -64,16 +67,44 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
-    This cuts the lineage: a lost executor costs a re-read, not a re-run.
+    This cuts the lineage: a lost executor costs a re-read, not a re-run. The files
+    stay until the ``scratch`` around the call ends, if there is one.
     """
     return Written(df, name).read()
 
 
+#: The tables written in the open ``scratch``.
+_held: ContextVar[list[Written] | None] = ContextVar("held", default=None)
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Delete at the end, errors included, every table that was written inside.
+
+    Frames that come out of it read those tables and must not be used afterwards:
+    write what is to stay, to a path or by ``Written(..., stays=True)``, before it ends. An inner scratch
+    deletes its own tables only.
+    """
+    held: list[Written] = []
+    token = _held.set(held)
+    try:
+        yield
+    finally:
+        _held.reset(token)
+        for written in held:
+            written.delete()
+
+
 class Written:
-    """A table written in the shared folder, with aggregates taken while it was written."""
+    """A table written in the shared folder, with aggregates taken while it was written.
+
+    One that ``stays`` outlives the ``scratch`` it is made in.
+    """
 
-    def __init__(self, df: DataFrame, name: str, **taken: Column):
+    def __init__(self, df: DataFrame, name: str, stays: bool = False, **taken: Column):
         self.spark, self.schema, self.path = df.sparkSession, df.schema, fresh_dir(df.sparkSession, name)
+        if not stays and (held := _held.get()) is not None:
+            held.append(self)
         seen = Observation() if taken else None
         (df.observe(seen, *(c.alias(k) for k, c in taken.items())) if seen else df).write.parquet(self.path)
         self.taken = seen.get if seen else {}
