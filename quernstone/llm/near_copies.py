@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernstone.llm.simhash import bit_majority, linked_fingerprints, only
+from quernstone.llm.simhash import bit_majority, groups_for, linked_fingerprints, only
 from quernstone.llm.tokens import mix
 from quernstone.session import Written, let_go, materialise
 
@@ -116,10 +116,10 @@ def _sets(docs: DataFrame) -> DataFrame:
     return slim.mapInArrow(run, f"doc_id {dict(slim.dtypes)['doc_id']}, text_hash long, key long, fp long, buckets array<long>, signature binary, members binary")
 
 
-def _buckets(owners: DataFrame) -> DataFrame:
-    """(node, bucket): fingerprints alike or within 3 bits, and bands of minima."""
+def _buckets(owners: DataFrame, n: int) -> DataFrame:
+    """(node, bucket): fingerprints alike or within 3 bits, and bands of minima, of ``n`` rows."""
     prints = owners.select("fp", "node").where("size(buckets) > 0")
-    pairs = linked_fingerprints(prints.select("fp").distinct())
+    pairs = linked_fingerprints(prints.select("fp").distinct(), groups_for(n))
     ends = pairs.select(F.xxhash64("u", "v").alias("bucket"), F.explode(F.array("u", "v")).alias("fp"))
     near = prints.join(ends, "fp").select("node", "bucket")
     alike = prints.select("node", F.xxhash64("fp").alias("bucket"))
@@ -187,8 +187,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     base = materialise(_sets(docs), "shingles")
     node = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     # Equal word sequences meet first; one of them goes on.
-    owners = materialise(base.groupBy("key").agg(F.min(node).alias("node"), F.min("fp").alias("fp"), F.min("buckets").alias("buckets")), "distinct-texts")
-    member = materialise(_buckets(owners), "buckets")
+    distinct = Written(base.groupBy("key").agg(F.min(node).alias("node"), F.min("fp").alias("fp"), F.min("buckets").alias("buckets")), "distinct-texts", n=F.count("*"))
+    owners = distinct.read()
+    member = materialise(_buckets(owners, distinct.taken["n"]), "buckets")
     shared = member.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     open_ones = Written(member.join(shared, "bucket"), "shared-buckets", n=F.count("*"))
     member = open_ones.read()

@@ -8,11 +8,17 @@ distance 1. Each half is a point of an integer grid, and a range join at radius
 1 is an equality join of each point with itself and with its neighbours one step
 up (a pair one step apart is met from its lower end). Candidates pass the bound
 over the whole vector, then the exact Hamming distance.
+
+A half has some 24 bits of entropy, so in a large corpus too many strangers share a
+cell. The other half lies within distance 3: cut into g groups of coordinates, all but
+three agree, so each choice of g - 3 groups, taken exactly, refines the cell. With g = 3
+nothing is taken; g grows with the number of fingerprints and changes no result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +29,7 @@ from pyspark.sql import functions as F
 from quernstone.llm.columns import spare
 from quernstone.llm.components import connected_components
 from quernstone.llm.hot import join_back
-from quernstone.session import materialise
+from quernstone.session import Written, materialise
 
 #: The seed of the shingle hash and the distance that links.
 SEED, MAX_DISTANCE = 42, 3
@@ -85,22 +91,49 @@ def _manhattan(a: Column, b: Column) -> Column:
     return F.bit_count(unary(a).bitwiseXOR(unary(b)))
 
 
-def linked_fingerprints(distinct: DataFrame) -> DataFrame:
-    """Pairs (u, v), u < v, of distinct fingerprints (column fp) within 3 bits."""
+def refinements(groups: int) -> list[int]:
+    """Masks of 16 packed coordinates that keep all but three of ``groups`` groups of them, one for each choice."""
+    cuts = [16 * g // groups for g in range(groups + 1)]
+    parts = [sum(3 << 2 * c for c in range(a, z)) for a, z in zip(cuts, cuts[1:], strict=False)]
+    return [sum(chosen) for chosen in combinations(parts, groups - MAX_DISTANCE)]
+
+
+def groups_for(n: int) -> int:
+    """The fewest groups, up to 8, with which a cell of ``n`` even fingerprints holds at most 8 strangers.
+
+    Two counts of two bits agree with a chance of 0.375.
+    """
+    for groups in range(MAX_DISTANCE, 8):
+        kept = min(m.bit_count() // 2 for m in refinements(groups))
+        if n * 0.375 ** (16 + kept) <= 8:
+            return groups
+    return 8
+
+
+def linked_fingerprints(distinct: DataFrame, groups: int = MAX_DISTANCE) -> DataFrame:
+    """Pairs (u, v), u < v, of distinct fingerprints (column fp) within 3 bits, whatever ``groups`` is."""
     low, high = F.col("fp").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("fp", 32)
     embedded = distinct.select("fp", _popcounts(low).alias("c0"), _popcounts(high).alias("c1"))
-    points = embedded.select("*", F.inline(F.array(*(F.struct(F.lit(s).cast("byte").alias("side"), F.col(f"c{s}").alias("cell")) for s in (0, 1)))))
+    masks = refinements(groups)
+    # A way is a half and a choice of groups of the other; these stand above the cell's 32 bits.
+    ways = [
+        F.struct(F.lit(len(masks) * s + k).cast("byte").alias("way"), F.col(f"c{s}").alias("cell"), F.shiftleft(F.col(f"c{1 - s}").bitwiseAND(mask), 32).alias("rest"))
+        for s in (0, 1)
+        for k, mask in enumerate(masks)
+    ]
+    ways = embedded.select("*", F.inline(F.array(*ways)))
+    points = ways.select("fp", "c0", "c1", "way", (F.col("cell") + F.col("rest")).alias("cell"))
     steps = F.filter(
         F.transform(F.sequence(F.lit(0), F.lit(30), F.lit(2)), lambda i: F.when(F.call_function("shiftright", F.col("cell"), i).bitwiseAND(3) < 2, F.call_function("shiftleft", F.lit(1).cast("long"), i))),
         lambda x: x.isNotNull(),
     )
-    probes = points.select("fp", "c0", "c1", "side", "cell", F.explode(F.concat(F.array(F.lit(0).cast("long")), steps)).alias("step"))
-    probes = probes.select("side", (F.col("cell") + F.col("step")).alias("cell"), "step", F.col("fp").alias("p"), F.col("c0").alias("p0"), F.col("c1").alias("p1"))
+    probes = points.select("fp", "c0", "c1", "way", "cell", F.explode(F.concat(F.array(F.lit(0).cast("long")), steps)).alias("step"))
+    probes = probes.select("way", (F.col("cell") + F.col("step")).alias("cell"), "step", F.col("fp").alias("p"), F.col("c0").alias("p0"), F.col("c1").alias("p1"))
     bound = _manhattan(F.col("c0"), F.col("p0")) + _manhattan(F.col("c1"), F.col("p1"))
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("p")))
     met = points.alias("a").join(
         probes.alias("b"),
-        (F.col("a.side") == F.col("b.side"))
+        (F.col("a.way") == F.col("b.way"))
         & (F.col("a.cell") == F.col("b.cell"))
         & ((F.col("step") > 0) | (F.col("fp") < F.col("p")))
         & (bound <= MAX_DISTANCE)
@@ -124,8 +157,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """
     base = materialise(fingerprints(docs, shingle), "fingerprints")
     owners = base.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
-    owners = materialise(owners, "distinct-fingerprints")
-    reached = connected_components(linked_fingerprints(owners.select("fp")), "simhash-links")
+    written = Written(owners, "distinct-fingerprints", n=F.count("*"))
+    owners = written.read()
+    reached = connected_components(linked_fingerprints(owners.select("fp"), groups_for(written.taken["n"])), "simhash-links")
     names = reached.join(owners, F.col("node") == F.col("fp")).groupBy("component").agg(F.min("first_id").alias("component_id"))
     moved = reached.join(names, "component").select(F.col("node").alias("fp"), "component", "component_id")
     of_fp = owners.join(moved, "fp", "left").select(

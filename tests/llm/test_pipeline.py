@@ -5,6 +5,7 @@ from quernstone.llm.bpe import codec
 from quernstone.llm.decontaminate import common_subsequence
 from quernstone.llm.queries import vocabulary_file
 from quernstone.llm.secrets import scan_documents
+from quernstone.session import shared_dir
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, _id int, _hash int, _cut string, _key int, root long, `Share` double"
 
@@ -74,4 +75,9 @@ def test_stages_against_brute_force(spark, sf_dir):
         if k == 4:
             own = codec(vocabulary_file())
             assert {d: r.n_tokens for d, r in new.items()} == {d: len(own.encode(r.text or "")) for d, r in old.items()}
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/quernstone")
+    listed = lambda: {f.getPath().getName() for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)}
+    held = listed()
     assert corpus_pipeline.run(spark, sf_dir).count() == len(ids)
+    left = listed() - held
+    assert len(left) == 1 and left.pop().startswith("stage-secret_scans")

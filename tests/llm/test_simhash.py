@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quernstone.llm.components import connected_components
 from quernstone.llm.queries import op6_simhash
-from quernstone.llm.simhash import fingerprint, keep_one, linked_fingerprints, near_duplicates
+from quernstone.llm.simhash import fingerprint, groups_for, keep_one, linked_fingerprints, near_duplicates, refinements
 
 
 def brute_fingerprint(text):
@@ -50,8 +50,18 @@ def test_all_links_found(spark):
             fps.add(x)
     fps |= {0, 1, 3, 7, 15, 2**64 - 1, 2**63, 2**63 + 1}
     signed = [(f - 2**64 if f >= 2**63 else f,) for f in fps]
-    got = {frozenset(x % 2**64 for x in r) for r in linked_fingerprints(spark.createDataFrame(signed, "fp long")).collect()}
-    assert got == {frozenset((a, b)) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 3}
+    links = {frozenset((a, b)) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 3}
+    for groups in (3, 4, 5, 7):
+        got = {frozenset(x % 2**64 for x in r) for r in linked_fingerprints(spark.createDataFrame(signed, "fp long"), groups).collect()}
+        assert got == links, groups
+
+
+def test_cells_refine_as_the_corpus_grows():
+    """Strangers in a cell of even fingerprints do not grow with them: two counts agree with a chance of 0.375."""
+    for n in (10**5, 10**7, 10**8, 10**9, 10**10, 10**11):
+        kept = min(m.bit_count() // 2 for m in refinements(groups_for(n)))
+        assert n * 0.375 ** (16 + kept) <= 8, n
+    assert [len(refinements(g)) for g in (3, 4, 5, 8)] == [1, 4, 10, 56]
 
 
 def test_components(spark):
