@@ -45,6 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.llm.columns import spare
+from quernstone.llm.hot import join_back
 from quernstone.llm.tokens import byte_blocks, mix, power
 from quernstone.session import Written, let_go, materialise
 
@@ -203,6 +204,13 @@ def maximal_repeats(lcp: np.ndarray, before: np.ndarray, length: int = LENGTH) -
                     stack.append([value, first, byte])
 
 
+def bytes_before(contexts: list[bytes], owner: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The byte before each suffix; negative and distinct where a context begins."""
+    base = np.cumsum([0] + [len(c) for c in contexts[:-1]])
+    data = np.frombuffer(b"".join(contexts), dtype=np.uint8)
+    return np.where(place > 0, data[np.maximum(base[owner] + place - 1, 0)].astype(np.int64), -1 - np.arange(len(place)))
+
+
 def repeated_parts(contexts: list[bytes], least: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(context, start, end) of the stretches that contexts share with one of smaller ``least``, merged.
 
@@ -210,9 +218,7 @@ def repeated_parts(contexts: list[bytes], least: np.ndarray, length: int = LENGT
     intervals come first.
     """
     owner, place, _, lcp = suffix_array(contexts, length)
-    base = np.cumsum([0] + [len(c) for c in contexts[:-1]])
-    data = np.frombuffer(b"".join(contexts), dtype=np.uint8)
-    before = np.where(place > 0, data[np.maximum(base[owner] + place - 1, 0)].astype(np.int64), -1 - np.arange(len(place)))
+    before = bytes_before(contexts, owner, place)
     docs, depth = least[owner], np.zeros(len(owner), np.int64)
     for common, first, end in maximal_repeats(lcp, before, length):
         own, known = docs[first:end], depth[first:end]
@@ -662,3 +668,132 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, keep_text: bool = True, w
 
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text
     return joined.mapInArrow(run, schema)
+
+
+PLACE = "hash long, digest long, doc long, tie long, at int, size int"
+PART = "hash long, digest long, a int, depth int, key long, low long"
+PREFIX = PART + ", before int, after int, times int"
+
+
+def context_places(known: DataFrame, length: int = LENGTH) -> DataFrame:
+    """PLACE rows: every context of every document, where it begins."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, ties = batch.column("doc").to_numpy(), batch.column("tie").to_numpy()
+            for row, data, offsets in byte_blocks(batch.column("data"), BLOCK):
+                c = contexts_of(data, offsets, length)
+                yield _batch([c.hash.view(np.int64), c.digest.view(np.int64), ids[row + c.text], ties[row + c.text], c.at, c.size], PLACE)
+
+    return known.mapInArrow(scan, PLACE)
+
+
+def _named(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of each string, as two columns."""
+    keys = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, texts)), np.int64).reshape(-1, 2)
+    return keys[:, 0], keys[:, 1]
+
+
+def _scanned_parts(cut: DataFrame, length: int) -> DataFrame:
+    """PART rows of contexts (hash, digest, times, context), an anchor's in one task, by the stack scan."""
+
+    def settle(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        value, digest, times = (rows.column(c).to_numpy() for c in ("hash", "digest", "times"))
+        once = np.unique(np.stack([value, digest]), axis=1, return_index=True)[1]  # rows alike are cut twice
+        texts = rows.column("context").take(pa.array(once)).to_pylist()
+        # What occurs more than once stands there twice, so it is an interval like any other.
+        twice = np.repeat(np.arange(len(once)), times[once])
+        contexts = [texts[i] for i in twice]
+        owner, place, _, lcp = suffix_array(contexts, length)
+        before = bytes_before(contexts, owner, place)
+        who, at, depth = [], [], []
+        for common, first, end in maximal_repeats(lcp, before, length):
+            met = np.unique(np.stack([twice[owner[first:end]], place[first:end]]), axis=1)
+            who.append(met[0])
+            at.append(met[1])
+            depth.append(np.full(met.shape[1], common))
+        if who:
+            who, at, depth = np.concatenate(who), np.concatenate(at), np.concatenate(depth)
+            key, low = _named([texts[w][a : a + d] for w, a, d in zip(who.tolist(), at.tolist(), depth.tolist(), strict=True)])
+            yield _batch([value[once[who]], digest[once[who]], at, depth, key, low], PART)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[pa.RecordBatch] = []
+        size, last = 0, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            value = batch.column("hash").to_numpy()
+            cuts = np.flatnonzero(value[1:] != value[:-1]) + 1
+            for a, z in zip(np.r_[0, cuts].tolist(), np.r_[cuts, len(value)].tolist(), strict=True):
+                if size >= CHUNK and value[a] != last:
+                    yield from settle(pa.Table.from_batches(parts))
+                    parts, size = [], 0
+                parts.append(batch.slice(a, z - a))
+                size += 80 * (z - a)
+                last = value[a]
+        if parts:
+            yield from settle(pa.Table.from_batches(parts))
+
+    return cut.repartition("hash").sortWithinPartitions("hash").mapInArrow(run, PART)
+
+
+def _counted_parts(cut: DataFrame, length: int) -> DataFrame:
+    """PART rows as ``_scanned_parts``, of anchors too common for a task: every level of the tree is a grouped count."""
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for value, digest, times, context in zip(*(batch.column(c).to_pylist() for c in ("hash", "digest", "times", "context")), strict=True):
+                n = len(context)
+                a, z = (np.concatenate(x) for x in zip(*((np.full(n - length + 1 - p, p), np.arange(p + length, n + 1)) for p in range(n - length + 1)), strict=True))
+                key, low = _named([context[p:q] for p, q in zip(a.tolist(), z.tolist(), strict=True)])
+                byte = np.frombuffer(b"\0" + context + b"\0", np.uint8).astype(np.int32)
+                before, after = np.where(a > 0, byte[a], -1), np.where(z < n, byte[z + 1], -1)
+                yield _batch([np.full(len(a), value), np.full(len(a), digest), a, z - a, key, low, before, after, np.full(len(a), times)], PREFIX)
+
+    every = materialise(cut.dropDuplicates(["hash", "digest"]).mapInArrow(prefixes, PREFIX), "prefixes")
+    group = every.groupBy("key", "low").agg(F.sum("times").alias("n"), *(f(c).alias(f"{f.__name__}_{c}") for c in ("before", "after") for f in (F.min, F.max)))
+    # An end of a context differs from every other.
+    diverse = lambda c: (F.col(f"min_{c}") < 0) | (F.col(f"min_{c}") < F.col(f"max_{c}"))
+    found = materialise(group.where((F.col("n") > 1) & diverse("before") & diverse("after")).select("key", "low", "n"), "repeats-counted")
+    return join_back(every, found, ["key", "low"], "n").select("hash", "digest", "a", "depth", "key", "low")
+
+
+def repeat_groups(docs: DataFrame, length: int = LENGTH, wide: int = WIDE) -> DataFrame:
+    """(repeat, size, doc_id, at): the maximal repeats of the corpus's contexts, each with every occurrence.
+
+    ``repeat`` names the string (32 hex digits of a hash), ``size`` is its length of at
+    least ``length`` bytes, ``at`` the byte where it begins. A repeat is maximal
+    within contexts, whose ends count as different from everything: two occurrences
+    at least, which cannot all be extended by one byte on a side without leaving
+    theirs. So a long passage is a chain of repeats of up to ``2 * length - KMER``
+    bytes that overlap, and every window of ``length`` bytes that the corpus holds
+    twice, in one document or several, lies in one of them.
+
+    An anchor's contexts are scanned in one task where they are up to ``wide``, each
+    text once and those that occur again twice; of commoner anchors every prefix of
+    every suffix is counted by itself, whatever task it is in. Null texts are empty, null
+    ids stay null. Repeated rows are occurrences each. Texts are read whole; only doc_id
+    and text are read, so other columns cannot clash. An empty table gives no rows.
+    """
+    kind, known = dict(docs.dtypes)["doc_id"], _known(docs)
+    places = materialise(context_places(known, length), "context-places")
+    distinct = places.groupBy("hash", "digest").agg(F.count("*").alias("n"), F.min(F.struct("doc", "tie", "at", "size")).alias("one"))
+    distinct = materialise(distinct, "distinct-contexts")
+    anchor = distinct.groupBy("hash").agg(F.count("*").alias("n_contexts"), F.sum("n").alias("places"))
+    anchor = materialise(anchor.where("places > 1").select("hash", "n_contexts", (F.col("n_contexts") > wide).alias("common")), "met-anchors")
+    met = join_back(distinct, anchor, ["hash"], "n_contexts")
+    # A context is asked for as ``deduplicate`` does; ``last`` carries whether it occurs once or more.
+    asks = met.select(F.lit(ASK).alias("kind"), "hash", "digest", "one.*", F.least("n", F.lit(2)).cast("int").alias("last"), F.col("common").alias("more"))
+    cut = context_bytes(_asked(known, asks), length).select("hash", "digest", F.col("last").alias("times"), F.col("more").alias("common"), "context")
+    cut = materialise(cut, "context-bytes")
+    parts = _scanned_parts(cut.where("NOT common"), length).unionByName(_counted_parts(cut.where("common"), length))
+    of_context = parts.groupBy("hash", "digest").agg(F.collect_list(F.struct("a", "depth", "key", "low")).alias("parts"))  # a context has few substrings
+    of_context = materialise(of_context.join(distinct.select("hash", "digest", "n"), ["hash", "digest"]), "repeated-parts")
+    found = join_back(places, of_context, ["hash", "digest"], "n").select("doc", "at", F.inline("parts"))
+    return found.select(
+        F.lower(F.concat(F.lpad(F.hex("key"), 16, "0"), F.lpad(F.hex("low"), 16, "0"))).alias("repeat"),
+        F.col("depth").alias("size"),
+        F.when(F.col("doc") < LAST, F.col("doc")).cast(kind).alias("doc_id"),
+        (F.col("at") + F.col("a")).alias("at"),
+    )

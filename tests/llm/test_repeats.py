@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quernstone.llm import repeats
 from quernstone.llm.queries import op7_repeats
-from quernstone.llm.repeats import anchors, deduplicate, maximal_repeats, suffix_array
+from quernstone.llm.repeats import anchors, deduplicate, maximal_repeats, repeat_groups, suffix_array
 
 
 def brute(rows, length=50):
@@ -180,3 +180,38 @@ def test_texts_of_one_id_whose_hashes_are_equal(spark, monkeypatch, most):
     monkeypatch.setattr(repeats, "_tie", lambda seed: F.lit(5).cast("long"))
     with pytest.raises(RuntimeError):
         repeats.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def brute_groups(rows, length=50):
+    """[(string, {(id, place): times})] of the maximal repeats within contexts."""
+    held = []
+    for i, t in rows:
+        data = np.frombuffer((t or "").encode(), np.uint8)
+        _, _, a, z = anchors(data, np.array([0, len(data)]))
+        held += [(i, s, data[s:e].tobytes()) for s, e in zip(a.tolist(), z.tolist(), strict=True)]
+    met = {}
+    for k, (i, s, c) in enumerate(held):
+        for p in range(len(c) - length + 1):
+            for q in range(p + length, len(c) + 1):
+                met.setdefault(c[p:q], []).append((c[p - 1] if p else -1 - k, c[q] if q < len(c) else -1 - k, i, s + p))
+    return {
+        (w, tuple(sorted((str(i), at) for _, _, i, at in x)))
+        for w, x in met.items()
+        if len({b for b, _, _, _ in x}) > 1 and len({e for _, e, _, _ in x}) > 1
+    }
+
+
+@pytest.mark.parametrize("wide", [repeats.WIDE, 1])
+def test_groups_with_all_occurrences(spark, wide):
+    rng = random.Random(11)
+    word = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    shared = [word(n) for n in (49, 50, 51, 75, 130, 300)]
+    rows = [(k, word(rng.randint(0, 60)) + rng.choice(shared) + word(9) + rng.choice(shared)[: rng.randint(45, 300)]) for k in range(25)]
+    rows += [(30, None), (31, ""), (32, "x" * 260), (33, "ab" * 90), (None, rows[0][1]), (None, rows[1][1]), (2, rows[2][1]), (34, shared[4] + "é" * 40)]
+    got = {}
+    for r in repeat_groups(spark.createDataFrame(rows, "doc_id long, text string").withColumn("hash", F.lit(0)), wide=wide).collect():
+        got.setdefault((r.repeat, r["size"]), []).append((str(r.doc_id), r.at))
+    want = brute_groups(rows)
+    assert len({k for k, _ in got}) == len(got) == len(want) > 50
+    assert sorted((n, tuple(sorted(x))) for (_, n), x in got.items()) == sorted((len(w), x) for w, x in want)
+    assert repeat_groups(spark.createDataFrame([], "doc_id long, text string")).count() == 0
