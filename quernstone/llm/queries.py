@@ -174,6 +174,30 @@ scored AS (SELECT rid, doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_f
 floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS noise FROM d LEFT JOIN mean USING (rid)),
 placed AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY weight + noise DESC, doc_id NULLS LAST, weight, n_features) AS place, count(*) FILTER (WHERE n_words >= 20) OVER () AS eligible FROM scored)
 SELECT doc_id, n_features, weight, weight + noise AS score, CASE WHEN n_words >= 20 AND place <= 25 * eligible // 100 THEN place END AS rank FROM placed"""
+def _sharding_sql(n_shards: int = 8, seed: int = 20) -> str:
+    """DuckDB SQL for op5_sharding over unique ids: one round of the network a step, until the image falls inside."""
+    import numpy as np
+
+    from quernstone.llm.sharding import ROUNDS, _mix
+
+    keys = _mix(np.arange(1, ROUNDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
+    wide = lambda x: f"({x})::UHUGEINT"
+    word = wide(1 << 64)
+    times = lambda x, shift, by: f"xor({x}, {x} >> {shift}) * {wide(by)} % {word}"
+    return f"""WITH RECURSIVE step AS (SELECT range AS b, range AS c, 0 AS k FROM range(256) UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM step WHERE k < 8),
+    crc AS (SELECT list(c ORDER BY b) AS t FROM step WHERE k = 8),
+    d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id NULLS FIRST) - 1 AS rid, count(*) OVER () AS n, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    sums AS (SELECT rid, list_reduce(list_transform(range(1, len(h) // 2 + 1), lambda i: ('0x' || substr(h, 2 * i - 1, 2))::BIGINT), lambda a, x: xor(t[xor(a & 255, x) + 1], a >> 8), 4294967295) AS c FROM d, crc),
+    size AS (SELECT {wide("any_value(n)")} AS n, greatest(1, (len(bin(greatest(any_value(n) - 1, 1))) + 1) // 2)::UHUGEINT AS half FROM d),
+    walk AS (SELECT rid, {wide("rid")} AS x, 0 AS k FROM d UNION ALL
+    SELECT rid, ("right" << half) + xor("left", xor(m2, m2 >> 31) & ((1::UHUGEINT << half) - 1)), k + 1 FROM (SELECT *, {times("m1", 27, 0x94D049BB133111EB)} AS m2
+    FROM (SELECT *, {times("m0", 30, 0xBF58476D1CE4E5B9)} AS m1 FROM (SELECT *, ("right" + {[int(k) for k in keys]}[k % {ROUNDS} + 1]::UHUGEINT) % {word} AS m0
+    FROM (SELECT rid, k, half, x >> half AS "left", x & ((1::UHUGEINT << half) - 1) AS "right" FROM walk, size WHERE k % {ROUNDS} > 0 OR k = 0 OR x >= n))))),
+    image AS (SELECT rid, x::BIGINT AS p FROM walk, size WHERE k > 0 AND k % {ROUNDS} = 0 AND x < n)
+    SELECT doc_id, (len(h) // 2 + 1)::BIGINT AS size, xor(coalesce(c, 4294967295), 4294967295)::BIGINT AS text_crc32, 'rows' AS law, (p % {n_shards})::INT AS shard, p // {n_shards} AS slot, NULL::INT AS grown_shard, rid AS global_row
+    FROM d JOIN sums USING (rid) JOIN image USING (rid)"""
+
+
 #: SQL has no tokenizer, no such hash, no iteration to a model: the others are tested by
 #: brute force, exact round trips or held-out accuracy.
-ORACLES: dict[str, str] = {"op1_warc": _WARC_SQL, "op3_secrets": _secrets_sql(), "op7_repeats": _REPEATS_SQL, "op11_lexical": _LEXICAL_SQL, "op12_jaccard": _JACCARD_SQL, "op13_importance": _IMPORTANCE_SQL}
+ORACLES: dict[str, str] = {"op1_warc": _WARC_SQL, "op3_secrets": _secrets_sql(), "op5_sharding": _sharding_sql(), "op7_repeats": _REPEATS_SQL, "op11_lexical": _LEXICAL_SQL, "op12_jaccard": _JACCARD_SQL, "op13_importance": _IMPORTANCE_SQL}
