@@ -283,7 +283,8 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_
     component take no part, nor do those of another length than most, nor null
     ids. Repeated rows are candidates once; of one id with several vectors each
     is searched for by itself and its results are ranked together. Fewer
-    candidates than ``config.k`` give fewer rows; an empty table gives none.
+    candidates than ``config.k`` give fewer rows; an empty table gives none. Only the
+    id, the vector and what ``queries`` names are read, so other columns cannot clash.
     """
     spark, k = vectors.sparkSession, config.k
     raw = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), F.coalesce(queries, F.lit(False)).alias("asks")).where("id IS NOT NULL").where(usable(F.col("vector")))

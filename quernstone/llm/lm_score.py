@@ -248,7 +248,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, config: Config = Config(
     tokens, losses null and score 0. The target is every document whose quality
     is 1 in ``labels`` (of several labels the largest counts; null ones do not).
     Without target documents the target model is uniform. Repeated rows are
-    counted and scored each; an empty table gives no rows.
+    counted and scored each; an empty table gives no rows. Only doc_id and text are read,
+    and doc_id and quality of ``labels``, so other columns cannot clash. Texts are
+    taken whole; one longer than a block is a block of its own, which a task holds.
     """
     kind = dict(docs.dtypes)["doc_id"]
     words = materialise(word_table(docs, config), "words")

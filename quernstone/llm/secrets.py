@@ -123,7 +123,9 @@ def scan_documents(docs: DataFrame, text_col: str = "text", scope: int = SCOPE)
 
     ``findings`` is an array of (start, kind, end) by start, then kind. n_assign,
     n_access, n_hex and base_sha256 are over the strong spans, ``spans`` lists
-    all. Rows without spans have empty lists. An empty table gives no rows.
+    all. Rows without spans, null and empty texts too, have empty lists. Repeated rows
+    and null ids stay, each a row. Long texts are scanned whole. Only doc_id and the
+    text are read, so other columns cannot clash. An empty table gives no rows.
     """
     spans = find_spans(docs, text_col, scope)
     listed = spans.groupBy("rid").agg(

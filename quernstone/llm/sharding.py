@@ -109,7 +109,9 @@ def shard_documents(docs: DataFrame, n_shards: int = 8, seed: int = 20) -> DataF
     text_crc32 (of the UTF-8 bytes, unsigned; 0 for an empty or null text), law
     (always ``rows``), shard, slot, grown_shard (null under this law) and
     global_row. Equal texts are rows like any other under this law. Repeated and
-    null ids are ordered by size, then by two hashes of the text.
+    null ids are ordered by size, then by two hashes of the text. Texts are measured and
+    hashed whole where they are, however long. Only doc_id and text are read, so
+    other columns cannot clash. An empty table gives no rows.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     slim = docs.select(
