@@ -34,13 +34,15 @@ def selected(df: DataFrame, keys: list[str], value: str, places: dict[str, Colum
     count ``n``; see the functions above. Null values do not count; a null key is a
     group of its own, and without keys there is one group. A group without values
     gives no row. Values are numbers but no NaN. Passes over the data: one for every
-    power of ``bins`` in the spread of the values, two as a rule.
+    power of ``bins`` in the spread of the values, two as a rule. They read keys and
+    values that are written once, so ``df`` is worked out once however dear its columns.
     """
     kind = dict(df.dtypes)[value]
     named = {f"k{i}": F.col(k) for i, k in enumerate(keys)} or {"k0": F.lit(0)}  # names of our own, so that none can clash
     own = list(named)
     exact = "decimal(20,0)" if kind == "bigint" else "double"
-    rows = df.where(F.col(value).isNotNull()).select(*(c.alias(o) for o, c in named.items()), F.col(value).alias("v"))
+    # The filter comes after the write: before it, it would work ``value`` out a second time.
+    rows = Written(df.select(*(c.alias(o) for o, c in named.items()), F.col(value).alias("v")), "values").read().where(F.col("v").isNotNull())
     wanted = F.array(*(F.struct(F.lit(k).alias("which"), p.cast("long").alias("place")) for k, p in places.items()))
     first = rows.groupBy(*own).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).select(*own, "lo", "hi", F.inline(wanted))
     held = Written(first.withColumn("before", F.lit(0).cast("long")), "intervals", open=F.count_if(F.col("lo") < F.col("hi")))

@@ -47,3 +47,16 @@ def test_a_pass_makes_bins_not_values(spark, monkeypatch):
     df = spark.range(50_000).select(F.rand(1).alias("v"))
     assert selected(df, [], "v", {"p": nearest_place(F.col("n"), 50)}).count() == 1
     assert all(n == 1 for n in written) and len(written) <= 4
+
+
+def test_values_are_worked_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def dear(v):
+        seen.add(1)
+        return v
+
+    rows = spark.range(5000).select((F.col("id") % 2).alias("g"), dear((F.col("id") * 7919) % 100_003).alias("v"))
+    assert selected(rows, ["g"], "v", {"p50": nearest_place(F.col("n"), 50)}, bins=4).count() == 2
+    assert seen.value == 5000

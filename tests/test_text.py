@@ -126,3 +126,11 @@ def test_case_folding(spark):
     odd = ["Straße", "STRASSE", "ſtark", "ΟΔΟΣ", "οδος", "ﬁnal", "ŉa", "ẞ", "plain Ñandú", "", None, "µ", "ΐ"]
     assert each(spark, odd, T.casefolded(F.col("v"))) == [None if t is None else t.casefold() for t in odd]
     assert each(spark, ["Maß", "MASS", "mass"], T.entity_key(F.col("v"))) == ["mass"] * 3
+
+
+def test_classes_of_many_characters_keep_them(spark):
+    every = spark.range(0x80, 0x3000).select(F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')").alias("c"))
+    for fast, plain in ((T._COMPOSABLE, rf"[\p{{M}}{T._SINGLE}]"), (T._FOLDABLE, "[" + "".join(T._FOLD_MORE) + "]")):
+        assert fast != plain and every.where(F.col("c").rlike(fast) != F.col("c").rlike(plain)).count() == 0
+    odd = spark.createDataFrame([("a  b   c",), (" a b ",), ("",), (None,), ("a",)], "t string")
+    assert [r.n for r in odd.select(T.word_count(F.col("t")).alias("n")).collect()] == [3, 4, 0, 0, 1]
