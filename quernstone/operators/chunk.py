@@ -43,6 +43,8 @@ FRAGMENT = (
 )
 
 
+#: Documents that a worker turns into Python's at once, fragments it sends at once.
+DOCUMENTS, SENT = 16, 512
 FRAGMENT_NAMES = "chunk_id position n_tokens text enriched section page n_words unit overlaps n_sentences data".split()
 
 
@@ -81,15 +83,13 @@ def accumulate_records(sizes: Column, least: int = 40, target: int = 190) -> Col
     return F.aggregate(F.transform(sizes, lambda n: n.cast("long")), start, step, lambda acc: acc["out"])
 
 
-@dataclass
 class _Sentence:
-    text: str
-    page: int | None
-    title: bool
+    """A sentence and its words, counted once."""
 
-    @property
-    def words(self) -> int:
-        return len(self.text.split())
+    __slots__ = ("text", "page", "title", "words")
+
+    def __init__(self, text: str, page: int | None, title: bool):
+        self.text, self.page, self.title, self.words = text, page, title, len(text.split())
 
 
 class Chunker:
@@ -129,11 +129,14 @@ class Chunker:
 
     def pack(self, items: list[_Sentence], budget: int) -> list[list[_Sentence]]:
         groups: list[list[_Sentence]] = [[]]
+        size = 0
         for s in items:
             now = groups[-1]
-            if now and (sum(x.words for x in now) >= self.config.target_words or not self.fits([*now, s], budget)):
+            if now and (size >= self.config.target_words or size + s.words > self.config.max_words or not self.fits([*now, s], budget)):
                 groups.append([])
+                size = 0
             groups[-1].append(s)
+            size += s.words
         return [g for g in groups if g]
 
     def mend(self, groups: list[list[_Sentence]], budget: int) -> list[list[_Sentence]]:
@@ -178,23 +181,35 @@ class Chunker:
         """Sentences; one over the word cap is cut at inner punctuation where that loses nothing."""
         out = []
         for p in parts:
-            inner = [p]
-            if len(p.split()) > self.config.max_words:
-                words, inner = p.split(" "), [[]]
-                for w in words:
-                    inner[-1].append(w)
-                    if w[-1:] in tuple(".!?。"):
-                        inner.append([])
-                inner = [" ".join(x) for x in inner if x]
-            out += [_Sentence(x, page, title) for x in inner]
+            whole = _Sentence(p, page, title)
+            if whole.words <= self.config.max_words:
+                out.append(whole)
+                continue
+            words, inner = p.split(" "), [[]]
+            for w in words:
+                inner[-1].append(w)
+                if w[-1:] in tuple(".!?。"):
+                    inner.append([])
+            out += [_Sentence(" ".join(x), page, title) for x in inner if x]
         return out
 
-    def fragments(self, doc: str, blocks: list[dict], observatory: str | None, title: str | None) -> list[dict]:
+    def prepared(self, blocks: list[dict], observatory: str | None, title: str | None) -> list[tuple[dict, str, int, list[_Sentence]]]:
+        """Sections with their prefix, budget and (of those that are packed) sentences; target and overlap play no part."""
         c, out = self.config, []
         for section in self.sections(blocks):
             crumb = section["crumb"]
             prefix = " · ".join(p for p in ((observatory or "").strip(), (title or "").strip(), " > ".join(crumb)) if p)
             budget = max(1, c.max_tokens - c.tokens(prefix)) if prefix else c.max_tokens
+            out.append((section, prefix, budget, [] if section["atomic"] else [s for b in section["blocks"] for s in self.cut(b["sentences"], b["page"], b["kind"] == "title")]))
+        return out
+
+    def prose(self, items: list[_Sentence], budget: int) -> list[list[_Sentence]]:
+        return self.mend(self.pack(items, budget), budget)
+
+    def fragments(self, doc: str, blocks: list[dict], observatory: str | None, title: str | None) -> list[dict]:
+        c, out = self.config, []
+        for section, prefix, budget, items in self.prepared(blocks, observatory, title):
+            crumb = section["crumb"]
             found: list[tuple[list[_Sentence], bool, str, list]] = []
             if section["atomic"]:
                 for rows in self.records(section):
@@ -203,22 +218,27 @@ class Chunker:
                     aside = [b["data"] for b in rows if b.get("data")]
                     found += [(g, False, "atomic", aside) for g in ([whole] if len(text.split()) <= c.max_words else self.pack(whole, budget))]
             else:
-                items = [s for b in section["blocks"] for s in self.cut(b["sentences"], b["page"], b["kind"] == "title")]
-                groups = self.mend(self.pack(items, budget), budget)
+                groups = self.prose(items, budget)
                 lone = len(groups) == 1 and all(s.title for s in groups[0])
                 found += [(g, o, "orphan_title" if lone else "prose", []) for g, o in self.overlapped(groups, budget)]
             for group, overlaps, unit, aside in found:
-                text = " ".join(s.text for s in group)
+                text, n_words = " ".join(s.text for s in group), sum(s.words for s in group)
                 out.append(
                     {
-                        "chunk_id": f"{doc}-c{len(out):04d}", "position": len(out), "n_tokens": c.tokens(text), "text": text,
+                        "chunk_id": f"{doc}-c{len(out):04d}", "position": len(out), "n_tokens": c.tokens(text) if c.count_tokens else math.ceil(n_words * T.TOKENS_PER_WORD), "text": text,
                         "enriched": f"{prefix}\n{text}" if prefix else text, "section": crumb, "page": next((s.page for s in group if s.page is not None), None),
-                        "n_words": len(text.split()), "unit": unit, "overlaps": overlaps, "n_sentences": len(group), "data": aside,
+                        "n_words": n_words, "unit": unit, "overlaps": overlaps, "n_sentences": len(group), "data": aside,
                     }
                 )
         return out
 
 
+def few(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows of a batch, of which only DOCUMENTS are Python's at a time."""
+    for at in range(0, batch.num_rows, DOCUMENTS):
+        yield from batch.slice(at, DOCUMENTS).to_pylist()
+
+
 def _cut(docs: DataFrame, language: str) -> DataFrame:
     """(doc_id, blocks, observatory, title) with normalised blocks, the empty ones dropped, and their sentences."""
     kept = "data" in docs.schema["blocks"].dataType.elementType.names
@@ -246,7 +266,13 @@ def fragment_documents(docs: DataFrame, config: ChunkConfig = ChunkConfig(), lan
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunker = Chunker(config)
         for batch in batches:
-            rows = [{"doc_id": r["doc_id"], **f} for r in batch.to_pylist() for f in chunker.fragments(r["doc_id"], r["blocks"] or [], r["observatory"], r["title"])]
+            rows: list[dict] = []
+            for r in few(batch):
+                for f in chunker.fragments(r["doc_id"], r["blocks"] or [], r["observatory"], r["title"]):
+                    rows.append({"doc_id": r["doc_id"], **f})
+                    if len(rows) >= SENT:
+                        yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+                        rows = []
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
@@ -258,8 +284,9 @@ def sweep(docs: DataFrame, targets: tuple[int, ...] = (120, 190, 240), overlaps:
 
     n_fragments, median_words and p95_words (nearest rank, 0 without fragments),
     one_sentence and merged_orphans (percentages of the fragments, one decimal).
-    Sentences are cut once; tasks send a histogram of fragment sizes a batch, so
-    a configuration gathers no more rows than fragments have sizes.
+    Sentences are cut and counted once for all, packed once a target; tasks send a
+    histogram of fragment sizes a batch, so a configuration gathers no more rows than
+    fragments have sizes.
     """
     configs = [(t, o) for t in targets for o in overlaps]
 
@@ -267,12 +294,25 @@ def sweep(docs: DataFrame, targets: tuple[int, ...] = (120, 190, 240), overlaps:
         chunkers = [Chunker(ChunkConfig(target_words=t, overlap=o)) for t, o in configs]
         for batch in batches:
             counts: dict[tuple[int, int, int], list[int]] = {}
-            for r in batch.to_pylist():
-                for (t, o), chunker in zip(configs, chunkers, strict=True):
-                    for f in chunker.fragments(r["doc_id"], r["blocks"] or [], r["observatory"], r["title"]):
-                        held = counts.setdefault((t, o, f["n_words"]), [0, 0, 0])
-                        held[0] += 1
-                        held[1] += f["n_sentences"] == 1
+            for r in few(batch):
+                ready = chunkers[0].prepared(r["blocks"] or [], r["observatory"], r["title"])
+                if any(section["atomic"] for section, *_ in ready):
+                    sizes = [((t, o), f["n_words"], f["n_sentences"]) for (t, o), chunker in zip(configs, chunkers, strict=True) for f in chunker.fragments(r["doc_id"], r["blocks"] or [], r["observatory"], r["title"])]
+                else:
+                    sizes = []
+                    for k in range(0, len(configs), len(overlaps)):
+                        own = chunkers[k : k + len(overlaps)]
+                        for _, _, budget, items in ready:
+                            before = own[0].merged
+                            groups = own[0].prose(items, budget)
+                            for chunker in own[1:]:
+                                chunker.merged += own[0].merged - before
+                            for config, chunker in zip(configs[k : k + len(overlaps)], own, strict=True):
+                                sizes += [(config, sum(s.words for s in g), len(g)) for g, _ in chunker.overlapped(groups, budget)]
+                for config, n_words, n_sentences in sizes:
+                    held = counts.setdefault((*config, n_words), [0, 0, 0])
+                    held[0] += 1
+                    held[1] += n_sentences == 1
             for (t, o), chunker in zip(configs, chunkers, strict=True):
                 counts.setdefault((t, o, 0), [0, 0, 0])[2] += chunker.merged
                 chunker.merged = 0
