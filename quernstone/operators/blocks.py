@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quernstone.functions import text as T
+
 LEVELS = 6
 
 
@@ -82,3 +84,11 @@ def recognised_lines(words: DataFrame, keys: list[str], least: float = 60.0) ->
         F.avg("conf").alias("conf"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda s: s["text"]), " ").alias("text")
     )
     return sure.where(F.col("conf") >= least)
+
+
+def recognised_line(words: Column, least: float = 60.0) -> Column:
+    """(conf, text) of one line's words, an array of (text, conf) in order; null below ``least``. No row leaves its place."""
+    sure = F.filter(words, lambda w: w["conf"] >= 0)
+    mean = lambda s: F.aggregate(s, F.lit(0.0), lambda a, w: a + w["conf"]) / F.size(s)
+    whole = lambda s: F.struct(mean(s).alias("conf"), F.array_join(F.transform(s, lambda w: w["text"]), " ").alias("text"))
+    return T.once(T.once(sure, lambda s: F.when(F.size(s) > 0, whole(s))), lambda x: F.when(x["conf"] >= least, x))

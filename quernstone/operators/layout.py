@@ -8,8 +8,11 @@ page, so pages are Arrow groups; everything after is windows and grouped modes.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +27,8 @@ BANDS, GUTTER, CENTRE, COLUMN_WORDS, COLUMN_SHARE = 200, 0.025, (0.25, 0.75), 40
 PAGE_CHARS, RECOGNISED_PAGES, TITLE_WORDS, LEADING = 40, 200, 20, 12.0
 #: Shares of unreadable marks and of lone letters that make a page unreadable.
 MARK_SHARE, LETTER_SHARE = 0.30, 0.40
+#: Pages that a worker reads at once.
+PAGES = 512
 MARK, LETTER = r"\(cid:\d+\)", r"^[A-Za-zÁÉÍÓÚÜÑáéíóúüñÇç]$"
 LINE = "doc_id string, page int, line int, text string, size double, top double, bottom double, x0 double"
 
@@ -76,23 +81,76 @@ def read_lines(words: list[dict], width: float) -> list[dict]:
     return group_lines([w for w in words if centre(w) < cut]) + group_lines([w for w in words if centre(w) >= cut])
 
 
-def page_lines(words: DataFrame) -> DataFrame:
-    """LINE rows of all pages; a page is a group, its words bound a task. Null sizes count as 10."""
-    names = [c.split()[0] for c in LINE.split(", ")]
-    kinds = {"page": pa.int32(), "line": pa.int32(), "doc_id": pa.string(), "text": pa.string()}
-    schema = pa.schema([(n, kinds.get(n, pa.float64())) for n in names])
+def _rounded(values: np.ndarray) -> np.ndarray:
+    """To one decimal as Python rounds; each distinct value once."""
+    distinct, at = np.unique(values, return_inverse=True)
+    return np.array([round(v, 1) for v in distinct.tolist()])[at]
+
+
+def lines_of_batch(pages: pa.RecordBatch) -> pa.RecordBatch:
+    """:func:`read_lines` of pages (doc_id, page, width, words), without a Python object a word."""
+    listed = pages.column("words")
+    n = pc.fill_null(pc.list_value_length(listed), 0).to_numpy(zero_copy_only=False)
+    words = listed.flatten()
+    page = np.repeat(np.arange(len(n)), n)
+    x0, x1, top, bottom, size = (words.field(c).to_numpy(zero_copy_only=False) for c in ("x0", "x1", "top", "bottom", "size"))
+    right, ends = np.zeros(len(page), bool), np.cumsum(n)
+    widths = pc.fill_null(pages.column("width"), 0.0).to_numpy(zero_copy_only=False)
+    for k in np.flatnonzero((n >= COLUMN_WORDS) & (widths > 0)).tolist():
+        own = slice(ends[k] - n[k], ends[k])
+        cut = gutter([{"x0": a, "x1": z} for a, z in zip(x0[own].tolist(), x1[own].tolist(), strict=True)], widths[k])
+        if cut is not None:
+            right[own] = (x0[own] + x1[own]) / 2 >= cut
+    place = 2 * page + right
+    order = np.lexsort((x0, _rounded(top), place))
+    # Words of one height after each other share a line whatever it is: only the first of them is looked at.
+    first = np.ones(len(order), bool)
+    first[1:] = (place[order][1:] != place[order][:-1]) | (top[order][1:] != top[order][:-1])
+    starts = np.flatnonzero(first)
+    opens, held = np.zeros(len(order), bool), None
+    for at, p, t, s in zip(starts.tolist(), place[order][starts].tolist(), top[order][starts].tolist(), size[order][starts].tolist(), strict=True):
+        if held is None or p != held[0] or not abs(t - held[1]) <= max(LEAST_TOLERANCE, TOLERANCE * held[2]):
+            opens[at], held = True, (p, t, s)
+    line = np.cumsum(opens) - 1
+    order = order[np.lexsort((x0[order], line))]
+    at = np.flatnonzero(opens)  # lines keep their places when their words are sorted
+    ends = np.append(at, len(order))
+    sizes = _rounded(size)[order]
+    mode = sizes[at]
+    for k in np.flatnonzero(np.minimum.reduceat(sizes, at) != np.maximum.reduceat(sizes, at)).tolist() if len(at) else ():
+        mode[k] = Counter(sizes[ends[k] : ends[k + 1]].tolist()).most_common(1)[0][0]
+    of = page[order][at]
+    fresh = np.ones(len(at), bool)
+    fresh[1:] = of[1:] != of[:-1]
+    number = np.arange(len(at)) - np.flatnonzero(fresh)[np.cumsum(fresh) - 1] if len(at) else at
+    text = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), words.field("text").take(pa.array(order))), " ")
+    least, most = (f.reduceat(v[order], at) if len(at) else v for f, v in ((np.minimum, top), (np.maximum, bottom)))
+    columns = [pages.column("doc_id").take(pa.array(of)), pages.column("page").take(pa.array(of)), pa.array(number, pa.int32()), text, *map(pa.array, (mode, least, most, x0[order][at]))]
+    return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in LINE.split(", ")])
+
+
+def lines_of_pages(pages: DataFrame) -> DataFrame:
+    """LINE rows of pages (doc_id, page, width, words), ``words`` an array of (text, x0, x1, top, bottom, size). No shuffle; PAGES are read at once."""
+    number = lambda w, c: w[c].cast("double").alias(c)
+    typed = F.transform("words", lambda w: F.struct(w["text"].alias("text"), *(number(w, c) for c in ("x0", "x1", "top", "bottom")), F.coalesce(w["size"].cast("double"), F.lit(10.0)).alias("size")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, PAGES):
+                yield lines_of_batch(batch.slice(at, PAGES))
+
+    ready = pages.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("page").cast("int").alias("page"), F.col("width").cast("double").alias("width"), typed.alias("words"))
+    return ready.mapInArrow(run, LINE)
 
-    def run(rows: pa.Table) -> pa.Table:
-        page = rows.to_pylist()
-        key = {c: page[0][c] for c in ("doc_id", "page")}
-        found = read_lines(page, page[0]["width"] or 0.0)
-        return pa.Table.from_pylist([{**key, "line": k, **line} for k, line in enumerate(found)], schema=schema)
 
+def page_lines(words: DataFrame) -> DataFrame:
+    """LINE rows of all pages; a page's words are gathered, so they bound a task. Null sizes count as 10."""
     typed = words.select(
         F.col("doc_id").cast("string").alias("doc_id"), F.col("page").cast("int").alias("page"), "text",
         *(F.col(c).cast("double").alias(c) for c in ("width", "x0", "x1", "top", "bottom")), F.coalesce(F.col("size").cast("double"), F.lit(10.0)).alias("size"),
     )
-    return typed.groupBy("doc_id", "page").applyInArrow(run, LINE)
+    listed = F.collect_list(F.struct("text", "x0", "x1", "top", "bottom", "size"))
+    return lines_of_pages(typed.groupBy("doc_id", "page").agg(F.first("width").alias("width"), listed.alias("words")))
 
 
 def useful_text(text: Column) -> Column:
@@ -110,8 +168,7 @@ def is_illegible(text: Column) -> Column:
 
 
 def looks_like_title(text: Column) -> Column:
-    n = T.word_count(T.normalised(text))
-    return (n > 0) & (n <= TITLE_WORDS)
+    return T.once(T.word_count(T.normalised(text)), lambda n: (n > 0) & (n <= TITLE_WORDS))
 
 
 def _page_texts(lines: DataFrame, pages: DataFrame) -> DataFrame:

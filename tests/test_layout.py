@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +87,17 @@ def test_useful_text(spark):
     df = spark.createDataFrame([("(cid:4) real a b word",), ("",)], "t string")
     assert [r[0] for r in df.select(L.useful_text(F.col("t"))).collect()] == ["real word", ""]
     assert [r[0] for r in df.select(L.looks_like_title(F.col("t"))).collect()] == [True, False]
+
+
+def test_pages_in_batches_equal_pages_alone(spark):
+    rng = random.Random(5)
+    rows, want = [], []
+    for p in range(40):
+        words = columns() if p % 5 == 0 else [word(f"w{k}", rng.choice([0, 5, 5, 9, 200]), rng.choice([0, 0.15, 0.25, 1.9, 2, 4.1, 30]), rng.choice([6.0, 10.04, 10.06, 40.0])) for k in range(rng.randrange(60))]
+        rows.append((f"d{p % 3}", p, rng.choice([600.0, 0.0, None]) if p % 5 else 600.0, words))
+        want += [(f"d{p % 3}", p, k, *line.values()) for k, line in enumerate(L.read_lines(words, rows[-1][2] or 0.0))]
+    pages = spark.createDataFrame(rows, "doc_id string, page int, width double, words array<struct<text: string, x0: double, x1: double, top: double, bottom: double, size: double>>")
+    got = L.lines_of_pages(pages)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert L.lines_of_pages(pages.limit(0)).count() == 0

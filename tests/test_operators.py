@@ -208,3 +208,38 @@ def test_sweep_fragments_every_document_anew(spark):
     one = spark.createDataFrame([("D", [block(None, prose(rng, 13))], None, None)], schema)
     assert {tuple(r)[2:] for r in C.sweep(one, (120,), (0,)).collect()} == {(1, 156, 156, 0.0, 100.0)}
     assert sorted(tuple(r) for r in C.sweep(df.limit(0), (120,), (0, 1)).collect()) == [(120, 0, 0, 0, 0, 0.0, 0.0), (120, 1, 0, 0, 0, 0.0, 0.0)]
+
+
+def test_workers_send_fragments_and_entities_a_few_at_a_time(spark, monkeypatch):
+    text = "Acme Corporation met Globex Union. " * 20
+    docs = spark.range(30).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    block = F.struct(F.col("text").alias("text"), F.lit("paragraph").alias("kind"), F.lit(None).cast("int").alias("level"), F.array().cast("array<string>").alias("path"), F.lit(None).cast("int").alias("page"), F.lit(False).alias("atomic"))
+    nested = docs.select("doc_id", F.array(block).alias("blocks"), F.lit("o").alias("observatory"), F.lit(None).cast("string").alias("title"))
+    rows = lambda: (sorted(map(str, C.fragment_documents(nested).collect())), sorted(map(str, G.recognise(docs, G.Dictionary()).collect())))
+    whole = rows()
+    for module, few in ((C, {"DOCUMENTS": 1, "SENT": 1}), (G, {"TEXTS": 2, "SENT": 3})):
+        for name, n in few.items():
+            monkeypatch.setattr(module, name, n)
+    assert rows() == whole and all(whole)
+
+
+def test_words_of_a_sentence_are_counted_once():
+    class Text(str):
+        counted = 0
+
+        def split(self, *a):
+            Text.counted += 1
+            return super().split(*a)
+
+    chunker = C.Chunker(C.ChunkConfig())
+    groups = chunker.mend(chunker.pack(chunker.cut([Text("one two three.") for _ in range(500)], None, False), 450), 450)
+    assert sum(map(len, groups)) == 500 and Text.counted == 500
+
+
+def test_classes_give_the_metrics_of_their_pairs(spark):
+    hits = spark.createDataFrame([(q, r, (q * r) % 12) for q in range(4) for r in range(1, 6)], "query_id long, rank int, item long").distinct()
+    items = spark.createDataFrame([(i, i % 3 if i else None, float(i % 5)) for i in range(12)], "item long, class int, gain double")
+    asked = spark.createDataFrame([(0, None), (1, 1), (2, 2), (3, 9)], "query_id long, class int")
+    pairs = asked.join(items, "class").select("query_id", "item", "gain")
+    assert sorted(V.f1_by_class(hits, asked, items.drop("gain"), 3).collect()) == sorted(V.f1_at_k(hits, pairs, 3).collect())
+    assert sorted(V.ndcg_by_class(hits, asked, items, 4).collect()) == sorted(V.ndcg_at_k(hits, pairs, 4).collect())
