@@ -16,7 +16,8 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     Alternates the large-star and small-star steps: each replaces a node's
     edges by edges to its smallest neighbour. The smallest neighbours come from
     a grouped minimum (combined before the shuffle), so no neighbourhood is ever
-    gathered; the join that follows can be split where a node is hot. Every
+    gathered; the join that follows can be split where a node is hot, and nothing is
+    broadcast through the driver. Every
     step is written in the shared folder and the one before it deleted; count and
     checksum are taken while it is written, so a round is two jobs. Loops (u = v)
     and nulls are ignored, repeated and reversed edges count once; no edges give
@@ -30,11 +31,11 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
         pairs = now.read()
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(least.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         step = Written(large.where("u <> v").distinct(), name)
         large = step.read()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
+        small = large.join(least.hint("merge"), "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
         done = Written(small.select("e.u", "e.v").where("u <> v").distinct(), name, **state)
         settled = done.taken == now.taken
         step.delete()

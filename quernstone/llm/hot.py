@@ -15,7 +15,8 @@ def join_back(rows: DataFrame, groups: DataFrame, key: list[str], count: str) ->
     """``rows`` with the columns of ``groups``, which has each key once and its rows in ``count``.
 
     The hot keys, under ``SHARE`` rows whatever the table's size, are broadcast, so
-    their rows stay where they are; the others are dealt by key. Keys hold no nulls;
+    their rows stay where they are; the others are dealt by key,
+    never broadcast, for a small file of them may be a large table in the driver. Keys hold no nulls;
     rows of a key that ``groups`` lacks go. ``count`` goes too.
     """
     total = groups.agg(F.sum(count)).first()[0] or 0
@@ -24,4 +25,4 @@ def join_back(rows: DataFrame, groups: DataFrame, key: list[str], count: str) ->
     cold = groups.where(F.col(count) * SHARE <= total).drop(count)
     marked = rows.join(F.broadcast(hot), key, "left")
     met = marked.where(F.col(mark)).drop(mark)
-    return met.unionByName(marked.where(F.col(mark).isNull()).select(*rows.columns).join(cold, key))
+    return met.unionByName(marked.where(F.col(mark).isNull()).select(*rows.columns).join(cold.hint("merge"), key))

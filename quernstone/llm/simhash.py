@@ -131,7 +131,8 @@ def linked_fingerprints(distinct: DataFrame, groups: int = MAX_DISTANCE) -> Data
     probes = probes.select("way", (F.col("cell") + F.col("step")).alias("cell"), "step", F.col("fp").alias("p"), F.col("c0").alias("p0"), F.col("c1").alias("p1"))
     bound = _manhattan(F.col("c0"), F.col("p0")) + _manhattan(F.col("c1"), F.col("p1"))
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("p")))
-    met = points.alias("a").join(
+    # Merged by hint, here and below: small files of fingerprints become tables that a driver cannot build for a broadcast.
+    met = points.alias("a").hint("merge").join(
         probes.alias("b"),
         (F.col("a.way") == F.col("b.way"))
         & (F.col("a.cell") == F.col("b.cell"))
@@ -160,9 +161,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     written = Written(owners, "distinct-fingerprints", n=F.count("*"))
     owners = written.read()
     reached = connected_components(linked_fingerprints(owners.select("fp"), groups_for(written.taken["n"])), "simhash-links")
-    names = reached.join(owners, F.col("node") == F.col("fp")).groupBy("component").agg(F.min("first_id").alias("component_id"))
-    moved = reached.join(names, "component").select(F.col("node").alias("fp"), "component", "component_id")
-    of_fp = owners.join(moved, "fp", "left").select(
+    names = reached.join(owners.hint("merge"), F.col("node") == F.col("fp")).groupBy("component").agg(F.min("first_id").alias("component_id"))
+    moved = reached.join(names.hint("merge"), "component").select(F.col("node").alias("fp"), "component", "component_id")
+    of_fp = owners.join(moved.hint("merge"), "fp", "left").select(
         "fp", "n", F.coalesce("component", "fp").alias("root"), F.when(F.col("component").isNotNull(), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id")
     )
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))

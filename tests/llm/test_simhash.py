@@ -93,3 +93,9 @@ def test_nulls_ties_and_clashing_columns(spark):
     kept = keep_one(df.withColumn("root", F.lit("x"))).collect()
     assert sorted((str(r.doc_id), r.text) for r in kept) == [("2", ""), ("9", "quite a different text"), ("None", "some other words here")]
     assert kept[0].root == "x"
+
+
+def test_no_table_of_fingerprints_passes_through_the_driver(spark):
+    few = spark.createDataFrame([(0,), (1,), (1 << 40,)], "fp long")
+    plan = linked_fingerprints(few)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
